@@ -100,3 +100,110 @@ def q_line_points(spark, sf_dir):
     params = regr(clean, "quantity", "price")
     sample = fit_sample(clean, ORDER_KEYS, 1001)
     return _rounded(line_points(sample, params, "quantity", 0.1), 8)
+
+
+# ---------------------------------------------------------------- parsing
+
+from quillspark.functions.columns import snippet  # noqa: E402
+from quillspark.sources.text import (  # noqa: E402
+    BODY_GREEDY,
+    BODY_SHORTEST,
+    CLASS_ONE_MARK,
+    parse_id_text,
+    parse_labelled,
+)
+
+
+@register("parse_pages")
+def q_parse_pages(spark, sf_dir):
+    """Pages wrapped as document lines, parsed with the id / shortest-body and
+    greedy-body patterns."""
+    pages = read_table(spark, sf_dir, "pages")
+    lines = pages.select("page_id", F.concat(
+        F.lit('<doc id="'), F.col("page_id").cast("string"), F.lit('" url="'), F.col("url"),
+        F.lit('">'), F.col("html"), F.lit("</doc>")).alias("value"))
+    short = parse_id_text(lines, keep=["page_id", "value"])
+    greedy = F.regexp_extract("value", BODY_GREEDY, 1)
+    return short.select(
+        "page_id", "id",
+        F.length("text").cast("bigint").alias("body_len"),
+        F.md5("text").alias("body_md5"),
+        F.length(greedy).cast("bigint").alias("greedy_len"),
+        F.col("value").contains(CLASS_ONE_MARK).alias("is_class_one"),
+        snippet("text").alias("snippet"),
+    )
+
+
+def marked_lines(spark, sf_dir) -> DataFrame:
+    """Labelled documents written as marked lines: class 1 (toxic) ids start
+    with AU."""
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels")
+    prefix = F.when(F.col("toxic") == 1, F.lit("AU")).otherwise(F.lit("XX"))
+    return docs.join(labels, "doc_id").select("doc_id", F.concat(
+        F.lit('<doc id="'), prefix, F.col("doc_id").cast("string"), F.lit('" title="t">'),
+        F.col("text"), F.lit("</doc>")).alias("value"))
+
+
+@register("parse_marked_docs")
+def q_parse_marked_docs(spark, sf_dir):
+    parsed = parse_labelled(marked_lines(spark, sf_dir), with_id=False, keep=["doc_id"])
+    return parsed.select("doc_id", "label", F.length("text").cast("bigint").alias("body_len"),
+                         F.md5("text").alias("body_md5"))
+
+
+# ---------------------------------------------------------------- text features
+
+from quillspark.operators import text as tx  # noqa: E402
+
+ORACLE_DIM = 200
+TOP_K = 20
+
+
+def documents(spark, sf_dir) -> DataFrame:
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+@register("doc_freq")
+def q_doc_freq(spark, sf_dir):
+    return tx.doc_freq(documents(spark, sf_dir))
+
+
+def _vocab_query(rule):
+    def fn(spark, sf_dir):
+        return tx.fit_vocabulary(documents(spark, sf_dir), ORACLE_DIM, rule=rule).words()
+    return fn
+
+
+register("vocab_not_all")(_vocab_query(tx.RULE_NOT_ALL))
+register("vocab_forced")(_vocab_query(tx.RULE_FORCED))
+register("vocab_max_df")(_vocab_query(tx.RULE_MAX_DF))
+
+
+@register("term_freq")
+def q_term_freq(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    vocab = tx.fit_vocabulary(docs, ORACLE_DIM)
+    return _rounded(tx.term_freq(docs, vocab), 9)
+
+
+@register("tfidf")
+def q_tfidf(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    vocab = tx.fit_vocabulary(docs, ORACLE_DIM)
+    return _rounded(tx.tfidf_long(docs, vocab), 9)
+
+
+def first_benchmark_text(spark, sf_dir) -> DataFrame:
+    """The query text: the benchmark item with the smallest id (one row)."""
+    return read_table(spark, sf_dir, "benchmark").orderBy("item_id").limit(1).select("text")
+
+
+@register("topk_similar_docs")
+def q_topk_similar_docs(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    vocab = tx.fit_vocabulary(docs, ORACLE_DIM)
+    feats = tx.features(docs, vocab)
+    qvec = tx.dense_query(tx.vectorize_text(spark, first_benchmark_text(spark, sf_dir), vocab),
+                          ORACLE_DIM)
+    return tx.top_k_similar(feats, qvec, TOP_K, docs=docs)

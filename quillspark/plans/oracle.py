@@ -69,3 +69,110 @@ g AS (SELECT i, CASE WHEN k = 1 THEN x_min WHEN i = k - 1 THEN x_max
       FROM b, range(0, k) AS r(i) WHERE k >= 1),
 o AS (SELECT i, x, slope * x + intercept AS y FROM g CROSS JOIN p)
 SELECT i, {R('x', 8)} AS x, {R('y', 8)} AS y FROM o"""
+
+
+# ---------------------------------------------------------------- parsing
+
+from quillspark.plans.sqltext import sql_str  # noqa: E402
+from quillspark.sources.text import (  # noqa: E402
+    BODY_GREEDY,
+    BODY_SHORTEST,
+    CLASS_ONE_MARK,
+    ID_PATTERN,
+)
+
+ORACLES["parse_pages"] = f"""
+WITH l AS (
+  SELECT page_id, '<doc id="' || CAST(page_id AS VARCHAR) || '" url="' || url || '">' || html || '</doc>' AS value
+  FROM pages),
+p AS (
+  SELECT page_id, value, regexp_extract(value, {sql_str(ID_PATTERN)}, 1) AS id,
+         regexp_extract(value, {sql_str(BODY_SHORTEST)}, 1) AS text
+  FROM l WHERE regexp_matches(value, {sql_str(ID_PATTERN)}) AND regexp_matches(value, {sql_str(BODY_SHORTEST)}))
+SELECT page_id, id, CAST(length(text) AS BIGINT) AS body_len, md5(text) AS body_md5,
+       CAST(length(regexp_extract(value, {sql_str(BODY_GREEDY)}, 1)) AS BIGINT) AS greedy_len,
+       contains(value, {sql_str(CLASS_ONE_MARK)}) AS is_class_one,
+       substring(text, 1, 200) AS snippet
+FROM p"""
+
+MARKED_LINES = """
+  SELECT d.doc_id, '<doc id="' || CASE WHEN lb.toxic = 1 THEN 'AU' ELSE 'XX' END
+         || CAST(d.doc_id AS VARCHAR) || '" title="t">' || d.text || '</doc>' AS value
+  FROM documents d JOIN labels lb ON d.doc_id = lb.doc_id"""
+
+ORACLES["parse_marked_docs"] = f"""
+WITH l AS ({MARKED_LINES}),
+p AS (
+  SELECT doc_id, regexp_extract(value, {sql_str(BODY_GREEDY)}, 1) AS text,
+         CASE WHEN contains(value, {sql_str(CLASS_ONE_MARK)}) THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS label
+  FROM l WHERE regexp_matches(value, {sql_str(BODY_GREEDY)}))
+SELECT doc_id, label, CAST(length(text) AS BIGINT) AS body_len, md5(text) AS body_md5 FROM p"""
+
+
+# ---------------------------------------------------------------- text features
+
+from quillspark.operators.text import FORCED_WORDS  # noqa: E402
+
+ORACLE_DIM = 200
+TOP_K = 20
+
+
+def text_ctes(docs_sql: str, dim: int = ORACLE_DIM, rule: str = "not_all", p: str = "",
+              extra_cols: str = "") -> str:
+    """CTEs ``{p}d {p}n {p}w {p}dfreq {p}vocab {p}cnt {p}tfidf {p}tf`` over a
+    documents query with columns ``doc_id, text`` (+ ``extra_cols``)."""
+    if rule == "not_all":
+        keep = "f.df <> n.n_docs"
+    elif rule == "forced":
+        words = ", ".join(sql_str(w) for w in FORCED_WORDS)
+        keep = f"(f.word IN ({words}) OR f.df <> n.n_docs)"
+    elif rule == "max_df":
+        keep = "CAST(f.df AS DOUBLE) / CAST(n.n_docs AS DOUBLE) <= 0.8"
+    else:
+        raise ValueError(rule)
+    xc = f", {extra_cols}" if extra_cols else ""
+    return f"""
+{p}d AS ({docs_sql}),
+{p}n AS (SELECT count(*) AS n_docs FROM {p}d),
+{p}w AS (SELECT doc_id{xc}, unnest(string_split(text, ' ')) AS word,
+               len(string_split(text, ' ')) AS n_tok FROM {p}d),
+{p}dfreq AS (SELECT word, count(DISTINCT doc_id) AS df FROM {p}w GROUP BY word),
+{p}vocab AS (
+  SELECT CAST(row_number() OVER (ORDER BY df DESC, word) - 1 AS INTEGER) AS idx, word, df, n_docs,
+         ln(CAST(n_docs + 1 AS DOUBLE) / CAST(df + 1 AS DOUBLE)) AS idf
+  FROM (SELECT f.word, f.df, n.n_docs FROM {p}dfreq f, {p}n n WHERE {keep}
+        ORDER BY f.df DESC, f.word LIMIT {dim}) t),
+{p}cnt AS (SELECT w.doc_id{xc.replace(', ', ', w.') if xc else ''}, w.n_tok, v.idx, count(*) AS cnt
+           FROM {p}w w JOIN {p}vocab v ON w.word = v.word
+           GROUP BY ALL),
+{p}tf AS (SELECT c.doc_id{xc.replace(', ', ', c.') if xc else ''}, c.idx, v.word,
+                 c.cnt / CAST(c.n_tok AS DOUBLE) AS tf
+          FROM {p}cnt c JOIN {p}vocab v ON c.idx = v.idx),
+{p}tfidf AS (SELECT c.doc_id{xc.replace(', ', ', c.') if xc else ''}, c.idx,
+                    c.cnt / CAST(c.n_tok AS DOUBLE) * v.idf AS x
+             FROM {p}cnt c JOIN {p}vocab v ON c.idx = v.idx)"""
+
+
+DOCS = "SELECT doc_id, text FROM documents"
+
+ORACLES["doc_freq"] = f"WITH {text_ctes(DOCS)} SELECT word, df FROM dfreq"
+
+for _name, _rule in (("vocab_not_all", "not_all"), ("vocab_forced", "forced"),
+                     ("vocab_max_df", "max_df")):
+    ORACLES[_name] = f"WITH {text_ctes(DOCS, rule=_rule)} SELECT idx, word, df FROM vocab"
+
+ORACLES["term_freq"] = f"""WITH {text_ctes(DOCS)}
+SELECT doc_id, idx, word, {R('tf', 9)} AS tf FROM tf"""
+
+ORACLES["tfidf"] = f"""WITH {text_ctes(DOCS)}
+SELECT doc_id, idx, {R('x', 9)} AS x FROM tfidf"""
+
+ORACLES["topk_similar_docs"] = f"""WITH {text_ctes(DOCS)},
+q AS (SELECT text FROM benchmark ORDER BY item_id LIMIT 1),
+qw AS (SELECT unnest(string_split(text, ' ')) AS word, len(string_split(text, ' ')) AS n_tok FROM q),
+qc AS (SELECT v.idx, count(*) / CAST(any_value(qw.n_tok) AS DOUBLE) * any_value(v.idf) AS qx
+       FROM qw JOIN vocab v ON qw.word = v.word GROUP BY v.idx),
+s AS (SELECT t.doc_id, sum(t.x * qc.qx) AS score FROM tfidf t JOIN qc ON t.idx = qc.idx GROUP BY t.doc_id),
+a AS (SELECT d.doc_id, round(coalesce(s.score, 0.0), 9) AS score, substring(d.text, 1, 200) AS snippet
+      FROM d LEFT JOIN s ON d.doc_id = s.doc_id)
+SELECT doc_id, score, snippet FROM a ORDER BY score DESC, doc_id LIMIT {TOP_K}"""

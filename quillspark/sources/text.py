@@ -21,10 +21,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def parse_id_text(lines: DataFrame, line_col: str = "value") -> DataFrame:
+def parse_id_text(lines: DataFrame, line_col: str = "value", keep=()) -> DataFrame:
     """``(id STRING, text STRING)``: first id, shortest body."""
     value = F.col(line_col)
     return lines.where(value.rlike(ID_PATTERN) & value.rlike(BODY_SHORTEST)).select(
+        *keep,
         F.regexp_extract(value, ID_PATTERN, 1).alias("id"),
         F.regexp_extract(value, BODY_SHORTEST, 1).alias("text"),
     )
@@ -35,7 +36,7 @@ def class_from_marker(value: Column) -> Column:
 
 
 def parse_labelled(lines: DataFrame, line_col: str = "value",
-                   with_id: bool = True) -> DataFrame:
+                   with_id: bool = True, keep=()) -> DataFrame:
     """``(doc_id BIGINT, text STRING, label DOUBLE)``: greedy body (to the last
     ``</doc>``), label 1.0 when the id starts with ``AU``.
 
@@ -43,6 +44,7 @@ def parse_labelled(lines: DataFrame, line_col: str = "value",
     used for stable ordering and splitting."""
     value = F.col(line_col)
     out = lines.where(value.rlike(BODY_GREEDY)).select(
+        *keep,
         F.regexp_extract(value, BODY_GREEDY, 1).alias("text"),
         class_from_marker(value).alias("label"),
     )
