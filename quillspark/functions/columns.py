@@ -52,10 +52,17 @@ def snippet(text, n: int = 200) -> Column:
     return F.substring(_c(text), 1, n)
 
 
-def sig_round(c, digits: int = 9) -> Column:
+def sig_round(c, digits: int = 9, zero_below: float | None = None) -> Column:
     """Round to ``digits`` significant digits (for comparing floating results
-    across engines)."""
+    across engines); magnitudes below ``zero_below`` (rounding noise of an
+    exact zero) become 0."""
     c = _c(c)
-    p = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))))
-    return F.when((c == 0) | c.isNull() | F.isnan(c), c).otherwise(
-        F.round(c / p, digits - 1) * p)
+    # k decimals to keep; scale by 10^|k| only (exact for |k| <= 22), so both
+    # engines see the same products and round half away from zero alike.
+    k = F.lit(digits - 1) - F.floor(F.log10(F.abs(c)))
+    pk = F.pow(F.lit(10.0), F.abs(k))
+    out = F.when((c == 0) | c.isNull() | F.isnan(c), c).otherwise(
+        F.when(k >= 0, F.round(c * pk, 0) / pk).otherwise(F.round(c / pk, 0) * pk))
+    if zero_below is not None:
+        out = F.when(F.abs(c) < F.lit(zero_below), F.lit(0.0)).otherwise(out)
+    return out

@@ -27,12 +27,12 @@ def register(name: str):
     return deco
 
 
-def _rounded(df: DataFrame, digits: int = 9, keep=()) -> DataFrame:
+def _rounded(df: DataFrame, digits: int = 9, keep=(), zero_below=None) -> DataFrame:
     """Round every DOUBLE column to ``digits`` significant digits."""
     cols = []
     for f in df.schema.fields:
         if f.dataType.typeName() == "double" and f.name not in keep:
-            cols.append(sig_round(f.name, digits).alias(f.name))
+            cols.append(sig_round(f.name, digits, zero_below).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -207,3 +207,132 @@ def q_topk_similar_docs(spark, sf_dir):
     qvec = tx.dense_query(tx.vectorize_text(spark, first_benchmark_text(spark, sf_dir), vocab),
                           ORACLE_DIM)
     return tx.top_k_similar(feats, qvec, TOP_K, docs=docs)
+
+
+# ---------------------------------------------------------------- classes
+
+import numpy as np  # noqa: E402
+
+from quillspark.operators import gradient as gr  # noqa: E402
+from quillspark.operators import metrics as mt  # noqa: E402
+from quillspark.operators import profile as pf  # noqa: E402
+
+CLASS_PROFILE_N = 40
+LAMBDA = 0.01
+THETA0 = 0.1
+GRAD_ZERO = 1e-12  # |gradient| below this is rounding noise of an exact zero
+
+
+def labelled_documents(spark, sf_dir) -> DataFrame:
+    """``(doc_id, text, label DOUBLE)``: documents with a label row; class 1 =
+    toxic. The join key is the document id on both sides; Spark picks the
+    join strategy from the sizes at run time (AQE), no broadcast is forced
+    because the label table grows with the corpus."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select(
+        "doc_id", F.col("toxic").cast("double").alias("label"))
+    return docs.join(labels, "doc_id")
+
+
+@register("class_mean_tf")
+def q_class_mean_tf(spark, sf_dir):
+    ld = labelled_documents(spark, sf_dir)
+    vocab = tx.fit_vocabulary(ld, ORACLE_DIM, rule=tx.RULE_FORCED)
+    return _rounded(pf.class_mean_tf(ld, vocab, CLASS_PROFILE_N), 9)
+
+
+@register("stable_split")
+def q_stable_split(spark, sf_dir):
+    return pf.split_flag(labelled_documents(spark, sf_dir)).select("doc_id", "label", "is_test")
+
+
+def train_test(spark, sf_dir):
+    return pf.stable_split(labelled_documents(spark, sf_dir))
+
+
+@register("label_counts")
+def q_label_counts(spark, sf_dir):
+    train, _ = train_test(spark, sf_dir)
+    return pf.label_counts(train).select("label", "n")
+
+
+@register("class_weights")
+def q_class_weights(spark, sf_dir):
+    train, _ = train_test(spark, sf_dir)
+    return _rounded(pf.class_weights(train), 12)
+
+
+def model_inputs(spark, sf_dir, rule, weighted=False):
+    """Vocabulary fitted on the train split; sparse features of train and
+    test (test uses the train statistics)."""
+    train, test = train_test(spark, sf_dir)
+    vocab = tx.fit_vocabulary(train, ORACLE_DIM, rule=rule)
+    ftrain = tx.features(train, vocab, keep=["label"])
+    ftest = tx.features(test, vocab, keep=["label"])
+    if weighted:
+        w = pf.class_weights(train).select("label", F.col("share"))
+        ftrain = ftrain.join(F.broadcast(w), "label")
+        ftest = ftest.join(F.broadcast(w), "label")
+    return vocab, ftrain, ftest
+
+
+KIND_RULE = {"logistic": tx.RULE_FORCED, "hinge": tx.RULE_MAX_DF,
+             "weighted_hinge": tx.RULE_MAX_DF}
+
+
+def _loss_query(kind):
+    def fn(spark, sf_dir):
+        vocab, ftrain, _ = model_inputs(spark, sf_dir, KIND_RULE[kind], kind == "weighted_hinge")
+        p = vocab.size() + 1
+        theta = np.full(p, THETA0)
+        m = mt.with_margin(ftrain, theta)
+        w = F.col("share") if kind == "weighted_hinge" else None
+        out = m.agg(F.count(F.lit(1)).alias("n"),
+                    F.avg(gr.loss_col(kind, F.col("margin"), F.col("label"), w)).alias("loss"))
+        if kind == "logistic":
+            reg = float(theta @ theta) * LAMBDA / 2.0
+            out = out.select("n", (F.col("loss") + F.lit(reg) / F.col("n")).alias("loss"))
+        return _rounded(out, 9)
+    return fn
+
+
+def _grad_query(kind):
+    def fn(spark, sf_dir):
+        vocab, ftrain, _ = model_inputs(spark, sf_dir, KIND_RULE[kind], kind == "weighted_hinge")
+        p = vocab.size() + 1
+        theta = np.full(p, THETA0)
+        ps = gr.partial_sums(ftrain, theta, kind, "exact",
+                             weight_col="share" if kind == "weighted_hinge" else None)
+        n = ps.where(F.col("k") == p + 1).select(F.col("g").alias("n"))
+        g = F.col("g") / F.col("n")
+        if kind == "logistic":
+            g = g + F.lit(LAMBDA * THETA0) / F.col("n")
+        out = ps.where(F.col("k") < p).crossJoin(F.broadcast(n)).select(
+            F.col("k").alias("idx"), g.alias("grad"))
+        return _rounded(out, 9, zero_below=GRAD_ZERO)
+    return fn
+
+
+for _kind in ("logistic", "hinge", "weighted_hinge"):
+    register(f"{_kind}_loss")(_loss_query(_kind))
+    register(f"{_kind}_grad")(_grad_query(_kind))
+
+
+def _confusion_at_theta0(spark, sf_dir):
+    vocab, ftrain, ftest = model_inputs(spark, sf_dir, tx.RULE_FORCED)
+    theta = np.full(vocab.size() + 1, THETA0)
+    parts = []
+    for name, f in (("train", ftrain), ("test", ftest)):
+        pred = mt.predict(f, theta, mt.LOGISTIC_THRESHOLD)
+        parts.append(mt.confusion(pred).select(F.lit(name).alias("split"), "*"))
+    return parts[0].unionByName(parts[1])
+
+
+@register("predict_confusion")
+def q_predict_confusion(spark, sf_dir):
+    return _confusion_at_theta0(spark, sf_dir)
+
+
+@register("accuracy_f1")
+def q_accuracy_f1(spark, sf_dir):
+    return _rounded(mt.accuracy_f1(_confusion_at_theta0(spark, sf_dir)), 12)

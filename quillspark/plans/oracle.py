@@ -118,9 +118,10 @@ TOP_K = 20
 
 
 def text_ctes(docs_sql: str, dim: int = ORACLE_DIM, rule: str = "not_all", p: str = "",
-              extra_cols: str = "") -> str:
-    """CTEs ``{p}d {p}n {p}w {p}dfreq {p}vocab {p}cnt {p}tfidf {p}tf`` over a
-    documents query with columns ``doc_id, text`` (+ ``extra_cols``)."""
+              vocab: str | None = None) -> str:
+    """CTEs ``{p}d {p}w {p}cnt {p}tf {p}tfidf`` (and, unless an existing
+    ``vocab`` CTE is named, ``{p}n {p}dfreq {p}vocab``) over a documents query
+    with columns ``doc_id, text``."""
     if rule == "not_all":
         keep = "f.df <> n.n_docs"
     elif rule == "forced":
@@ -130,27 +131,28 @@ def text_ctes(docs_sql: str, dim: int = ORACLE_DIM, rule: str = "not_all", p: st
         keep = "CAST(f.df AS DOUBLE) / CAST(n.n_docs AS DOUBLE) <= 0.8"
     else:
         raise ValueError(rule)
-    xc = f", {extra_cols}" if extra_cols else ""
-    return f"""
+    out = f"""
 {p}d AS ({docs_sql}),
+{p}w AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word,
+               len(string_split(text, ' ')) AS n_tok FROM {p}d),"""
+    if vocab is None:
+        vocab = f"{p}vocab"
+        out += f"""
 {p}n AS (SELECT count(*) AS n_docs FROM {p}d),
-{p}w AS (SELECT doc_id{xc}, unnest(string_split(text, ' ')) AS word,
-               len(string_split(text, ' ')) AS n_tok FROM {p}d),
 {p}dfreq AS (SELECT word, count(DISTINCT doc_id) AS df FROM {p}w GROUP BY word),
 {p}vocab AS (
   SELECT CAST(row_number() OVER (ORDER BY df DESC, word) - 1 AS INTEGER) AS idx, word, df, n_docs,
          ln(CAST(n_docs + 1 AS DOUBLE) / CAST(df + 1 AS DOUBLE)) AS idf
   FROM (SELECT f.word, f.df, n.n_docs FROM {p}dfreq f, {p}n n WHERE {keep}
-        ORDER BY f.df DESC, f.word LIMIT {dim}) t),
-{p}cnt AS (SELECT w.doc_id{xc.replace(', ', ', w.') if xc else ''}, w.n_tok, v.idx, count(*) AS cnt
-           FROM {p}w w JOIN {p}vocab v ON w.word = v.word
-           GROUP BY ALL),
-{p}tf AS (SELECT c.doc_id{xc.replace(', ', ', c.') if xc else ''}, c.idx, v.word,
-                 c.cnt / CAST(c.n_tok AS DOUBLE) AS tf
-          FROM {p}cnt c JOIN {p}vocab v ON c.idx = v.idx),
-{p}tfidf AS (SELECT c.doc_id{xc.replace(', ', ', c.') if xc else ''}, c.idx,
-                    c.cnt / CAST(c.n_tok AS DOUBLE) * v.idf AS x
-             FROM {p}cnt c JOIN {p}vocab v ON c.idx = v.idx)"""
+        ORDER BY f.df DESC, f.word LIMIT {dim}) t),"""
+    out += f"""
+{p}cnt AS (SELECT w.doc_id, w.n_tok, v.idx, count(*) AS cnt
+           FROM {p}w w JOIN {vocab} v ON w.word = v.word GROUP BY w.doc_id, w.n_tok, v.idx),
+{p}tf AS (SELECT c.doc_id, c.idx, v.word, c.cnt / CAST(c.n_tok AS DOUBLE) AS tf
+          FROM {p}cnt c JOIN {vocab} v ON c.idx = v.idx),
+{p}tfidf AS (SELECT c.doc_id, c.idx, c.cnt / CAST(c.n_tok AS DOUBLE) * v.idf AS x
+             FROM {p}cnt c JOIN {vocab} v ON c.idx = v.idx)"""
+    return out
 
 
 DOCS = "SELECT doc_id, text FROM documents"
@@ -176,3 +178,114 @@ s AS (SELECT t.doc_id, sum(t.x * qc.qx) AS score FROM tfidf t JOIN qc ON t.idx =
 a AS (SELECT d.doc_id, round(coalesce(s.score, 0.0), 9) AS score, substring(d.text, 1, 200) AS snippet
       FROM d LEFT JOIN s ON d.doc_id = s.doc_id)
 SELECT doc_id, score, snippet FROM a ORDER BY score DESC, doc_id LIMIT {TOP_K}"""
+
+
+# ---------------------------------------------------------------- classes
+
+CLASS_PROFILE_N = 40
+LAMBDA = 0.01
+THETA0 = 0.1
+
+LABELLED = ("SELECT d.doc_id, d.text, CAST(lb.toxic AS DOUBLE) AS label "
+            "FROM documents d JOIN labels lb ON d.doc_id = lb.doc_id")
+IS_TEST = "(((doc_id % 10) + 10) % 10) = 0"
+TRAIN = f"SELECT * FROM ({LABELLED}) x WHERE NOT {IS_TEST}"
+TEST = f"SELECT * FROM ({LABELLED}) x WHERE {IS_TEST}"
+_WORDS = ", ".join(sql_str(w) for w in FORCED_WORDS)
+
+ORACLES["class_mean_tf"] = f"""WITH {text_ctes(LABELLED, rule="forced")},
+sel AS (SELECT doc_id, label FROM d
+        QUALIFY row_number() OVER (PARTITION BY label ORDER BY doc_id) <= {CLASS_PROFILE_N}),
+cls AS (SELECT label, count(*) AS n_docs FROM sel GROUP BY label),
+wd AS (SELECT unnest([{_WORDS}]) AS word),
+ts AS (SELECT s.label, t.word, sum(t.tf) AS s FROM tf t JOIN sel s ON t.doc_id = s.doc_id
+       GROUP BY s.label, t.word),
+o AS (SELECT c.label, wd.word, coalesce(ts.s, 0.0) / CAST(c.n_docs AS DOUBLE) AS avg_tf, c.n_docs
+      FROM cls c CROSS JOIN wd LEFT JOIN ts ON ts.label = c.label AND ts.word = wd.word)
+SELECT label, word, {R('avg_tf', 9)} AS avg_tf, n_docs FROM o"""
+
+ORACLES["stable_split"] = f"SELECT doc_id, label, {IS_TEST} AS is_test FROM ({LABELLED}) x"
+
+ORACLES["label_counts"] = f"SELECT label, count(*) AS n FROM ({TRAIN}) t GROUP BY label"
+
+ORACLES["class_weights"] = f"""
+WITH c AS (SELECT label, count(*) AS n FROM ({TRAIN}) t GROUP BY label),
+o AS (SELECT label, n, n / CAST(sum(n) OVER () AS DOUBLE) AS share FROM c)
+SELECT label, n, {R('share', 12)} AS share FROM o"""
+
+KIND_RULE = {"logistic": "forced", "hinge": "max_df", "weighted_hinge": "max_df"}
+
+
+def _margins(theta0: float = THETA0, feats: str = "tfidf", lab: str = "lab") -> str:
+    return (f"SELECT l.doc_id, l.label, coalesce(sum(t.x * {theta0!r}), 0.0) + {theta0!r} AS m "
+            f"FROM {lab} l LEFT JOIN {feats} t ON l.doc_id = t.doc_id GROUP BY l.doc_id, l.label")
+
+
+def _model_ctes(kind: str) -> str:
+    out = f"""{text_ctes(TRAIN, rule=KIND_RULE[kind])},
+lab AS (SELECT doc_id, label FROM d),
+wt AS (SELECT label, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share FROM lab GROUP BY label),
+pp AS (SELECT count(*) + 1 AS p FROM vocab),
+mg AS ({_margins()})"""
+    return out
+
+
+def _loss_expr(kind: str) -> str:
+    if kind == "logistic":
+        return "ln(1 + exp(-abs(m))) + greatest(m, 0.0) - label * m"
+    h = "greatest(0.0, 1.0 - (2.0 * label - 1.0) * m)"
+    return h if kind == "hinge" else f"{h} / share"
+
+
+def _coef_expr(kind: str) -> str:
+    if kind == "logistic":
+        return "1.0 / (1.0 + exp(-m)) - label"
+    c = "CASE WHEN (2.0 * label - 1.0) * m < 1.0 THEN -(2.0 * label - 1.0) ELSE 0.0 END"
+    return c if kind == "hinge" else f"({c}) / share"
+
+
+for _kind in ("logistic", "hinge", "weighted_hinge"):
+    _reg = (f" + pp.p * {THETA0!r} * {THETA0!r} * {LAMBDA / 2.0!r} / count(*)"
+            if _kind == "logistic" else "")
+    ORACLES[f"{_kind}_loss"] = f"""WITH {_model_ctes(_kind)},
+o AS (SELECT count(*) AS n, avg({_loss_expr(_kind)}){_reg} AS loss
+      FROM mg JOIN wt USING (label) CROSS JOIN pp GROUP BY pp.p)
+SELECT n, {R('loss', 9)} AS loss FROM o"""
+    _greg = f" + {LAMBDA * THETA0!r} / nn.n" if _kind == "logistic" else ""
+    ORACLES[f"{_kind}_grad"] = f"""WITH {_model_ctes(_kind)},
+co AS (SELECT doc_id, {_coef_expr(_kind)} AS c FROM mg JOIN wt USING (label)),
+gs AS (SELECT t.idx, sum(co.c * t.x) AS g FROM tfidf t JOIN co ON t.doc_id = co.doc_id GROUP BY t.idx),
+nn AS (SELECT count(*) AS n FROM lab),
+ai AS (SELECT idx FROM vocab UNION ALL SELECT CAST(p - 1 AS INTEGER) FROM pp),
+o AS (SELECT ai.idx,
+        (CASE WHEN ai.idx = pp.p - 1 THEN (SELECT sum(c) FROM co) ELSE coalesce(gs.g, 0.0) END)
+          / nn.n{_greg} AS grad
+      FROM ai LEFT JOIN gs ON ai.idx = gs.idx CROSS JOIN nn CROSS JOIN pp)
+SELECT idx, {R('grad', 9, 1e-12)} AS grad FROM o"""
+
+
+def _confusion_sql(threshold: float = 0.5) -> str:
+    cnt = []
+    for name, cond in (("tp", "same AND label = 1.0"), ("fn", "NOT same AND label = 1.0"),
+                       ("fp", "NOT same AND label = 0.0"), ("tn", "same AND label = 0.0")):
+        cnt.append(f"count(*) FILTER (WHERE {cond}) AS {name}")
+    sel = ", ".join(cnt)
+    return f"""WITH {text_ctes(TRAIN, rule="forced")},
+{text_ctes(TEST, p="te_", vocab="vocab")},
+lab AS (SELECT doc_id, label FROM d),
+te_lab AS (SELECT doc_id, label FROM te_d),
+pr AS (
+  SELECT 'train' AS split, label, abs(label - CASE WHEN m >= {threshold!r} THEN 1.0 ELSE 0.0 END) < 0.001 AS same
+  FROM ({_margins()}) a
+  UNION ALL
+  SELECT 'test' AS split, label, abs(label - CASE WHEN m >= {threshold!r} THEN 1.0 ELSE 0.0 END) < 0.001 AS same
+  FROM ({_margins(feats="te_tfidf", lab="te_lab")}) b),
+cf AS (SELECT split, {sel} FROM pr GROUP BY split)"""
+
+
+ORACLES["predict_confusion"] = _confusion_sql() + "\nSELECT * FROM cf"
+ORACLES["accuracy_f1"] = _confusion_sql() + f""",
+o AS (SELECT *, CAST(tp + tn AS DOUBLE) / CAST(tp + fn + fp + tn AS DOUBLE) AS accuracy,
+             CASE WHEN 2 * tp + fp + fn = 0 THEN NULL
+                  ELSE 2.0 * tp / CAST(2 * tp + fp + fn AS DOUBLE) END AS f1 FROM cf)
+SELECT split, tp, fn, fp, tn, {R('accuracy', 12)} AS accuracy, {R('f1', 12)} AS f1 FROM o"""

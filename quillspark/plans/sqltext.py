@@ -10,10 +10,13 @@ def sql_safe_double(expr: str) -> str:
             f"THEN TRY_CAST(trim(CAST({expr} AS VARCHAR)) AS DOUBLE) END")
 
 
-def sql_sig_round(expr: str, digits: int = 9) -> str:
-    p = f"pow(10.0, floor(log10(abs({expr}))))"
-    return (f"(CASE WHEN ({expr}) = 0 OR ({expr}) IS NULL OR isnan({expr}) THEN ({expr}) "
-            f"ELSE round(({expr}) / {p}, {digits - 1}) * {p} END)")
+def sql_sig_round(expr: str, digits: int = 9, zero_below: float | None = None) -> str:
+    k = f"({digits - 1} - floor(log10(abs({expr}))))"
+    pk = f"pow(10.0, abs({k}))"
+    small = f"WHEN abs({expr}) < {zero_below!r} THEN 0.0 " if zero_below is not None else ""
+    return (f"(CASE WHEN ({expr}) = 0 OR ({expr}) IS NULL OR isnan({expr}) THEN ({expr}) {small}"
+            f"WHEN {k} >= 0 THEN round(({expr}) * {pk}, 0) / {pk} "
+            f"ELSE round(({expr}) / {pk}, 0) * {pk} END)")
 
 
 def sql_str(s: str) -> str:
