@@ -60,9 +60,11 @@ def sig_round(c, digits: int = 9, zero_below: float | None = None) -> Column:
     # k decimals to keep; scale by 10^|k| only (exact for |k| <= 22), so both
     # engines see the same products and round half away from zero alike.
     k = F.lit(digits - 1) - F.floor(F.log10(F.abs(c)))
-    pk = F.pow(F.lit(10.0), F.abs(k))
+    pa = F.pow(F.lit(10.0), F.least(F.abs(k), F.lit(22)))
+    pb = F.pow(F.lit(10.0), F.greatest(F.abs(k) - 22, F.lit(0)))
     out = F.when((c == 0) | c.isNull() | F.isnan(c), c).otherwise(
-        F.when(k >= 0, F.round(c * pk, 0) / pk).otherwise(F.round(c / pk, 0) * pk))
+        F.when(k >= 0, F.round(c * pa * pb, 0) / pb / pa)
+        .otherwise(F.round(c / pa / pb, 0) * pb * pa))
     if zero_below is not None:
         out = F.when(F.abs(c) < F.lit(zero_below), F.lit(0.0)).otherwise(out)
     return out

@@ -336,3 +336,33 @@ def q_predict_confusion(spark, sf_dir):
 @register("accuracy_f1")
 def q_accuracy_f1(spark, sf_dir):
     return _rounded(mt.accuracy_f1(_confusion_at_theta0(spark, sf_dir)), 12)
+
+
+# ---------------------------------------------------------------- descent
+
+from quillspark.plans import descent as ds  # noqa: E402
+
+MULTI_X = ["quantity", "discount", "tax"]
+
+
+def _simple_trace_query(variant):
+    def fn(spark, sf_dir):
+        tr = ds.simple_trace(lineitem_clean(spark, sf_dir), "quantity", "price", variant)
+        return _rounded(tr.select("step", "loss", "learning_rate",
+                                  F.col("theta")[0].alias("m"), F.col("theta")[1].alias("b")), 9)
+    return fn
+
+
+def _multi_trace_query(variant):
+    def fn(spark, sf_dir):
+        tr = ds.multi_trace(lineitem_clean(spark, sf_dir), MULTI_X, "price", variant)
+        ws = [F.col("theta")[j].alias(f"w_{x}") for j, x in enumerate(MULTI_X)]
+        return _rounded(tr.select("step", "loss", "learning_rate", *ws,
+                                  F.col("theta")[len(MULTI_X)].alias("w_const")), 9)
+    return fn
+
+
+register("gd_simple_trace")(_simple_trace_query("exact"))
+register("gd_simple_observed")(_simple_trace_query("observed"))
+register("gd_multi_trace")(_multi_trace_query("exact"))
+register("gd_multi_observed")(_multi_trace_query("observed"))

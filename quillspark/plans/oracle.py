@@ -289,3 +289,101 @@ o AS (SELECT *, CAST(tp + tn AS DOUBLE) / CAST(tp + fn + fp + tn AS DOUBLE) AS a
              CASE WHEN 2 * tp + fp + fn = 0 THEN NULL
                   ELSE 2.0 * tp / CAST(2 * tp + fp + fn AS DOUBLE) END AS f1 FROM cf)
 SELECT split, tp, fn, fp, tn, {R('accuracy', 12)} AS accuracy, {R('f1', 12)} AS f1 FROM o"""
+
+
+# ---------------------------------------------------------------- descent
+# Recursive CTEs over the same one-pass statistics (count and correlations).
+
+def _simple_trace_sql(variant: str) -> str:
+    if variant == "exact":
+        gm, gb = "-2.0 * (s.r - t.m)", "2.0 * t.b"
+    else:
+        gm, gb = "-CAST(s.n AS DOUBLE) * (s.r - t.m)", "CAST(s.n AS DOUBLE) * t.b"
+    loss = "1.0 - 2.0 * (u.m * u.r) + u.m * u.m + u.b * u.b"
+    return f"""WITH RECURSIVE s AS (SELECT count(*) AS n, corr(quantity, price) AS r FROM {LI} c),
+t AS (
+  SELECT 0 AS step, CAST(0.1 AS DOUBLE) AS m, CAST(0.1 AS DOUBLE) AS b,
+         1.0 - 2.0 * (0.1 * s.r) + 0.1 * 0.1 + 0.1 * 0.1 AS loss,
+         CAST(0.01 AS DOUBLE) AS lr, CAST(0.01 AS DOUBLE) AS lr_next FROM s
+  UNION ALL
+  SELECT q.step, q.m, q.b, q.loss, q.lr,
+         CASE WHEN q.loss > q.loss_old THEN q.lr * 0.5 ELSE q.lr * 1.05 END
+  FROM (SELECT u.step, u.m, u.b, {loss} AS loss, u.lr, u.loss_old
+        FROM (SELECT t.step + 1 AS step, t.m - ({gm}) * t.lr_next AS m,
+                     t.b - ({gb}) * t.lr_next AS b, t.lr_next AS lr, t.loss AS loss_old, s.r
+              FROM t CROSS JOIN s WHERE t.step < 100) u) q),
+o AS (
+  SELECT -1 AS step, 1.0 - 2.0 * (r * r) + r * r + 0.0 * 0.0 AS loss, CAST(NULL AS DOUBLE) AS learning_rate,
+         r AS m, CAST(0.0 AS DOUBLE) AS b FROM s
+  UNION ALL SELECT step, loss, lr AS learning_rate, m, b FROM t)
+SELECT step, {R('loss', 9)} AS loss, {R('learning_rate', 9)} AS learning_rate,
+       {R('m', 9)} AS m, {R('b', 9)} AS b FROM o"""
+
+
+ORACLES["gd_simple_trace"] = _simple_trace_sql("exact")
+ORACLES["gd_simple_observed"] = _simple_trace_sql("observed")
+
+MULTI_X = ["quantity", "discount", "tax"]
+
+
+def _dot_sql(a: list[str], b: list[str]) -> str:
+    out = f"{a[0]} * {b[0]}"
+    for x, y in zip(a[1:], b[1:]):
+        out = f"({out} + {x} * {y})"
+    return out
+
+
+def _multi_trace_sql(variant: str) -> str:
+    k = len(MULTI_X)
+    stats = ["count(*) AS n"]
+    for a in range(k):
+        for b in range(a + 1, k):
+            stats.append(f"corr({MULTI_X[a]}, {MULTI_X[b]}) AS c_{a}_{b}")
+        stats.append(f"corr({MULTI_X[a]}, price) AS c_{a}_y")
+
+    def cxx(a, b, pre="s."):
+        if a == b:
+            return "1.0"
+        lo, hi = min(a, b), max(a, b)
+        return f"{pre}c_{lo}_{hi}"
+
+    def loss_of(tv: list[str], bias: str) -> str:
+        ct = [_dot_sql([cxx(j, i) for i in range(k)], tv) for j in range(k)]
+        return (f"1.0 - 2.0 * {_dot_sql(tv, [f's.c_{j}_y' for j in range(k)])} "
+                f"+ {_dot_sql(tv, ct)} + {bias} * {bias}")
+
+    tv = [f"t.t{j}" for j in range(k)]
+    if variant == "exact":
+        ct = [_dot_sql([cxx(j, i) for i in range(k)], tv) for j in range(k)]
+        grads = [f"-2.0 * (s.c_{j}_y - {ct[j]})" for j in range(k)]
+        gbias = "2.0 * t.tb"
+    else:
+        grads = [f"2.0 * t.t{j} * t.tb" for j in range(k)]
+        gbias = "2.0 * t.tb * t.tb"
+    upd = ", ".join(f"t.t{j} - ({grads[j]}) * t.lr_next AS t{j}" for j in range(k))
+    uv = [f"u.t{j}" for j in range(k)]
+    init_t = ", ".join(f"CAST(0.1 AS DOUBLE) AS t{j}" for j in range(k))
+    t0 = ["0.1"] * k
+    cols = ", ".join(f"q.t{j}" for j in range(k))
+    ucols = ", ".join(f"u.t{j}" for j in range(k))
+    outw = ", ".join(f"{R(f't{j}', 9)} AS w_{x}" for j, x in enumerate(MULTI_X))
+    return f"""WITH RECURSIVE s AS (SELECT {', '.join(stats)} FROM {LI} c),
+t AS (
+  SELECT 0 AS step, {init_t}, CAST(0.1 AS DOUBLE) AS tb, {loss_of(t0, '0.1')} AS loss,
+         CAST(0.001 AS DOUBLE) AS lr, CAST(0.001 AS DOUBLE) AS lr_next, 0 AS hits, false AS stopped FROM s
+  UNION ALL
+  SELECT q.step, {cols}, q.tb, q.loss, q.lr, q.lr_next, q.hits,
+         q.lr_next < 1e-5 OR q.hits >= 10 AS stopped
+  FROM (SELECT r.*, CASE WHEN r.loss > r.loss_old THEN r.lr * 0.5 ELSE r.lr * 1.05 END AS lr_next,
+               r.hits_old + CASE WHEN r.loss - r.loss_old < 1e-5 THEN 1 ELSE 0 END AS hits
+        FROM (SELECT u.step, {ucols}, u.tb, {loss_of(uv, 'u.tb').replace('s.', 'u.')} AS loss,
+                     u.lr, u.loss_old, u.hits_old
+              FROM (SELECT t.step + 1 AS step, {upd}, t.tb - ({gbias}) * t.lr_next AS tb,
+                           t.lr_next AS lr, t.loss AS loss_old, t.hits AS hits_old, s.*
+                    FROM t CROSS JOIN s WHERE t.step < 100 AND NOT t.stopped) u) r) q)
+SELECT step, {R('loss', 9)} AS loss, {R('lr', 9)} AS learning_rate, {outw},
+       {R('tb', 9)} AS w_const FROM t"""
+
+
+ORACLES["gd_multi_trace"] = _multi_trace_sql("exact")
+ORACLES["gd_multi_observed"] = _multi_trace_sql("observed")
