@@ -366,3 +366,60 @@ register("gd_simple_trace")(_simple_trace_query("exact"))
 register("gd_simple_observed")(_simple_trace_query("observed"))
 register("gd_multi_trace")(_multi_trace_query("exact"))
 register("gd_multi_observed")(_multi_trace_query("observed"))
+
+
+# ---------------------------------------------------------------- classifiers
+
+from quillspark.plans import classify as cl  # noqa: E402
+from quillspark.session import materialize  # noqa: E402
+
+TRACE_STEPS = 5
+
+
+def _trained(spark, sf_dir, kind, steps, variant="exact"):
+    weighted = kind == "weighted_hinge"
+    vocab, ftrain, ftest = model_inputs(spark, sf_dir, KIND_RULE[kind], weighted)
+    p = vocab.size() + 1
+    feats = materialize(ftrain)
+    try:
+        if kind == "logistic":
+            fit = cl.train_logistic(feats, p, variant, max_iter=steps)
+        else:
+            fit = cl.train_hinge(feats, p, ORACLE_DIM, variant,
+                                 weight_col="share" if weighted else None, max_iter=steps)
+    finally:
+        feats.unpersist()
+    return fit, ftrain, ftest
+
+
+def _trace_query(kind, variant="exact"):
+    def fn(spark, sf_dir):
+        fit, _, _ = _trained(spark, sf_dir, kind, TRACE_STEPS, variant)
+        return _rounded(fit.trace_frame(spark), 9)
+    return fn
+
+
+register("logistic_trace")(_trace_query("logistic"))
+register("svm_trace")(_trace_query("hinge"))
+register("weighted_svm_trace")(_trace_query("weighted_hinge"))
+
+
+@register("linear_svc")
+def q_linear_svc(spark, sf_dir):
+    """Spark ML LinearSVC on the embeddings (class = label mod 2), scored by
+    hand on the margin (>= 0.5) as the reference does, train and test split
+    by id."""
+    emb = read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("doc_id"), "embedding",
+        F.pmod(F.col("label"), F.lit(2)).cast("double").alias("label"))
+    train, test = pf.stable_split(emb, "doc_id")
+    model, theta = cl.linear_svc(cl.dense_features(train, "embedding"))
+    k = len(theta) - 1
+    idx = F.sequence(F.lit(0), F.lit(k - 1))
+    parts = []
+    for name, part in (("train", train), ("test", test)):
+        sparse = part.select("doc_id", "label", idx.alias("i"),
+                             F.col("embedding").cast("array<double>").alias("v"))
+        parts.append(cl.evaluate(sparse, theta, mt.LOGISTIC_THRESHOLD)
+                     .select(F.lit(name).alias("split"), "*"))
+    return parts[0].unionByName(parts[1])

@@ -387,3 +387,100 @@ SELECT step, {R('loss', 9)} AS loss, {R('lr', 9)} AS learning_rate, {outw},
 
 ORACLES["gd_multi_trace"] = _multi_trace_sql("exact")
 ORACLES["gd_multi_observed"] = _multi_trace_sql("observed")
+
+
+# ---------------------------------------------------------------- classifier traces
+# Unrolled CTEs: θ_k is a table (idx, w) with the bias at idx p - 1; each step
+# joins it with the TF-IDF entries for margins, then gradient and loss.
+
+TRACE_STEPS = 5
+
+
+def _margin_at(k: int) -> str:
+    return f"""mg{k} AS (
+  SELECT l.doc_id, l.label, wt.share,
+         coalesce(sum(t.x * th.w), 0.0) + (SELECT b.w FROM th{k} b, pp WHERE b.idx = pp.p - 1) AS m
+  FROM lab l JOIN wt ON l.label = wt.label
+       LEFT JOIN tfidf t ON l.doc_id = t.doc_id LEFT JOIN th{k} th ON t.idx = th.idx
+  GROUP BY l.doc_id, l.label, wt.share)"""
+
+
+def _grad_at(k: int, kind: str) -> str:
+    return f"""co{k} AS (SELECT doc_id, {_coef_expr(kind)} AS c FROM mg{k}),
+gs{k} AS (SELECT t.idx, sum(co.c * t.x) AS g FROM tfidf t JOIN co{k} co ON t.doc_id = co.doc_id
+          GROUP BY t.idx),
+gf{k} AS (SELECT th.idx, th.w,
+            CASE WHEN th.idx = pp.p - 1 THEN (SELECT sum(c) FROM co{k}) ELSE coalesce(gs.g, 0.0) END
+              / CAST(nn.n AS DOUBLE) AS g
+          FROM th{k} th LEFT JOIN gs{k} gs ON th.idx = gs.idx CROSS JOIN pp CROSS JOIN nn)"""
+
+
+def _logistic_trace_sql(steps: int = TRACE_STEPS) -> str:
+    parts = [_model_ctes("logistic").split(",\nmg AS")[0],
+             "nn AS (SELECT count(*) AS n FROM lab)",
+             "th0 AS (SELECT idx, CAST(0.1 AS DOUBLE) AS w FROM vocab "
+             "UNION ALL SELECT CAST(p - 1 AS INTEGER), CAST(0.1 AS DOUBLE) FROM pp)",
+             "r0 AS (SELECT CAST(0.1 AS DOUBLE) AS lr)"]
+    for k in range(steps + 1):
+        parts.append(_margin_at(k))
+        parts.append(f"""ls{k} AS (
+  SELECT avg({_loss_expr('logistic')}) + (SELECT sum(w * w) FROM th{k}) * {LAMBDA!r} / 2.0
+           / CAST((SELECT n FROM nn) AS DOUBLE) AS loss FROM mg{k})""")
+        if k > 0:
+            parts.append(f"""r{k} AS (SELECT CASE WHEN a.loss > b.loss THEN r.lr * 0.75 ELSE r.lr * 1.1 END AS lr
+  FROM ls{k} a, ls{k - 1} b, r{k - 1} r)""")
+        if k < steps:
+            parts.append(_grad_at(k, "logistic"))
+            parts.append(f"""th{k + 1} AS (SELECT gf.idx, gf.w - r.lr * (gf.g + {LAMBDA!r} / CAST(nn.n AS DOUBLE) * gf.w) AS w
+  FROM gf{k} gf CROSS JOIN r{k} r CROSS JOIN nn)""")
+    rows = ["SELECT 0 AS step, ls0.loss, r0.lr AS learning_rate FROM ls0, r0"]
+    rows += [f"SELECT {k} AS step, ls{k}.loss, r{k - 1}.lr FROM ls{k}, r{k - 1}"
+             for k in range(1, steps + 1)]
+    body = ",\n".join(parts)
+    return (f"WITH {body},\no AS ({' UNION ALL '.join(rows)})\n"
+            f"SELECT step, {R('loss', 9)} AS loss, {R('learning_rate', 9)} AS learning_rate FROM o")
+
+
+def _hinge_trace_sql(kind: str, steps: int = TRACE_STEPS, dim: int = ORACLE_DIM) -> str:
+    """Exact variant: mean gradient, s = 0.9 s + 0.1 g·g/dim, step rate/(sqrt(s)+1e-8);
+    reject (roll back) when the loss rose by more than 5 %."""
+    parts = [_model_ctes(kind).split(",\nmg AS")[0],
+             "nn AS (SELECT count(*) AS n FROM lab)",
+             "th1 AS (SELECT idx, CAST(0.1 AS DOUBLE) AS w FROM vocab "
+             "UNION ALL SELECT CAST(p - 1 AS INTEGER), CAST(0.1 AS DOUBLE) FROM pp)",
+             "old1 AS (SELECT * FROM th1)",
+             "st0 AS (SELECT CAST(0.01 AS DOUBLE) AS lr, CAST(NULL AS DOUBLE) AS loss, "
+             "CAST(0.0 AS DOUBLE) AS s)"]
+    for k in range(1, steps + 1):
+        parts.append(_margin_at(k))
+        parts.append(f"ls{k} AS (SELECT avg({_loss_expr(kind)}) AS loss FROM mg{k})")
+        parts.append(_grad_at(k, kind))
+        parts.append(f"""dc{k} AS (
+  SELECT st.lr AS lr_used, l.loss AS cur, st.loss AS loss_old,
+         0.9 * st.s + 0.1 * ((SELECT sum(g * g) FROM gf{k}) / {float(dim)!r}) AS s,
+         coalesce(st.loss - l.loss < 0, false) AS rose,
+         coalesce(st.loss - l.loss < 0 AND l.loss / st.loss > 1.05, false) AS reject,
+         coalesce(0 <= (st.loss - l.loss) / st.loss AND (st.loss - l.loss) / st.loss < 0.01, false) AS small
+  FROM st{k - 1} st, ls{k} l)""")
+        parts.append(f"""st{k} AS (
+  SELECT CASE WHEN reject THEN lr_used * 0.5 WHEN rose THEN lr_used * 0.75
+              WHEN small THEN lr_used * 1.1 ELSE lr_used END AS lr,
+         CASE WHEN reject THEN loss_old ELSE cur END AS loss, s, reject
+  FROM dc{k})""")
+        if k < steps:
+            parts.append(f"""th{k + 1} AS (
+  SELECT gf.idx, CASE WHEN st.reject THEN o.w ELSE gf.w - st.lr / (sqrt(st.s) + 1e-8) * gf.g END AS w
+  FROM gf{k} gf JOIN old{k} o ON gf.idx = o.idx CROSS JOIN st{k} st)""")
+            parts.append(f"""old{k + 1} AS (
+  SELECT o.idx, CASE WHEN st.reject THEN o.w ELSE th.w END AS w
+  FROM old{k} o JOIN th{k} th ON o.idx = th.idx CROSS JOIN st{k} st)""")
+    rows = [f"SELECT {k} AS step, ls{k}.loss, st{k - 1}.lr AS learning_rate FROM ls{k}, st{k - 1}"
+            for k in range(1, steps + 1)]
+    body = ",\n".join(parts)
+    return (f"WITH {body},\no AS ({' UNION ALL '.join(rows)})\n"
+            f"SELECT step, {R('loss', 9)} AS loss, {R('learning_rate', 9)} AS learning_rate FROM o")
+
+
+ORACLES["logistic_trace"] = _logistic_trace_sql()
+ORACLES["svm_trace"] = _hinge_trace_sql("hinge")
+ORACLES["weighted_svm_trace"] = _hinge_trace_sql("weighted_hinge")
