@@ -67,11 +67,19 @@ def doc_freq(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
 
 
+VOCAB_SCHEMA = "idx int, word string, df bigint, n_docs bigint, idf double"
+
+
 def fit_vocabulary(docs: DataFrame, dim: int = 2000, text_col: str = "text",
                    rule: str = RULE_NOT_ALL, forced_words: Sequence[str] = FORCED_WORDS,
-                   max_df: float = 0.8) -> Vocabulary:
+                   max_df: float = 0.8, eager: bool = True) -> Vocabulary:
     """Top ``dim`` words by document frequency after the filter ``rule``;
-    ties broken by word (byte order), positions 0..dim-1 in that order."""
+    ties broken by word (byte order), positions 0..dim-1 in that order.
+
+    ``eager`` (default) runs the fit once and keeps the at most ``dim`` rows
+    as a local relation: later uses (train and test features, the query
+    vector) broadcast those rows instead of re-running the corpus-wide
+    document-frequency job, and the lineage is cut there."""
     if dim < 1:
         raise ValueError("dim must be positive")
     n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
@@ -94,6 +102,9 @@ def fit_vocabulary(docs: DataFrame, dim: int = 2000, text_col: str = "text",
         "n_docs",
         F.log((n_docs + 1).cast("double") / (df + 1).cast("double")).alias("idf"),
     )
+    if eager:
+        rows = table.collect()          # at most dim rows
+        table = docs.sparkSession.createDataFrame(rows, VOCAB_SCHEMA)
     return Vocabulary(table, dim)
 
 
