@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quillspark.functions.columns import safe_double, sig_round
 from quillspark.operators.clean import LINEITEM_KEEP, LINEITEM_RANGES, clean_numeric
 from quillspark.operators.linear import closed_form, fit_sample, line_points, mse_at, regr
+from quillspark.session import spread
 from quillspark.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -45,7 +46,7 @@ ORDER_KEYS = ["l_orderkey", "l_linenumber"]
 
 def lineitem_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem rendered as text, then safe-cast and range-filtered."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = spread(read_table(spark, sf_dir, "lineitem"))
     raw = li.select(*ORDER_KEYS, *[F.col(c).cast("string").alias(c) for c in LINEITEM_KEEP.values()])
     return clean_numeric(raw, LINEITEM_KEEP, LINEITEM_RANGES, passthrough=ORDER_KEYS)
 
@@ -118,7 +119,7 @@ from quillspark.sources.text import (  # noqa: E402
 def q_parse_pages(spark, sf_dir):
     """Pages wrapped as document lines, parsed with the id / shortest-body and
     greedy-body patterns."""
-    pages = read_table(spark, sf_dir, "pages")
+    pages = spread(read_table(spark, sf_dir, "pages"))
     lines = pages.select("page_id", F.concat(
         F.lit('<doc id="'), F.col("page_id").cast("string"), F.lit('" url="'), F.col("url"),
         F.lit('">'), F.col("html"), F.lit("</doc>")).alias("value"))
@@ -161,7 +162,7 @@ TOP_K = 20
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @register("doc_freq")
@@ -228,7 +229,7 @@ def labelled_documents(spark, sf_dir) -> DataFrame:
     toxic. The join key is the document id on both sides; Spark picks the
     join strategy from the sizes at run time (AQE), no broadcast is forced
     because the label table grows with the corpus."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     labels = read_table(spark, sf_dir, "labels").select(
         "doc_id", F.col("toxic").cast("double").alias("label"))
     return docs.join(labels, "doc_id")

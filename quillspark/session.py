@@ -66,3 +66,18 @@ def materialize(df: DataFrame) -> DataFrame:
     if checkpoint_dir(spark):
         df = df.checkpoint(eager=True)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the task slots when the scan yields fewer
+    partitions than there are slots (one large row group, a few big files),
+    so CPU-heavy per-row work (tokenising, regex casts) runs in parallel.
+
+    On a cluster reading many files the scan already has at least as many
+    partitions as slots and the frame is returned unchanged (no shuffle).
+    Round-robin repartitioning sorts rows within each task first, so a
+    retried task sends every row to the same place."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

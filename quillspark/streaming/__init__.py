@@ -1,0 +1,8 @@
+"""Streams.
+
+The reference has no stream code (no stream source, watermark or state), so
+nothing stream-specific is built here. The stateless featurisers apply to a
+streaming frame as they are: ``operators.text.features(stream, vocab)`` joins
+each micro-batch with the broadcast, already-fitted vocabulary (a
+stream-static join), and ``operators.metrics.predict`` scores it with a fitted
+θ."""
