@@ -424,3 +424,20 @@ def q_linear_svc(spark, sf_dir):
         parts.append(cl.evaluate(sparse, theta, mt.LOGISTIC_THRESHOLD)
                      .select(F.lit(name).alias("split"), "*"))
     return parts[0].unionByName(parts[1])
+
+
+def _eval_query(kind):
+    """Train (TRACE_STEPS steps), then confusion, accuracy and F1 of the final
+    θ on the train and test splits (logistic: margin >= 0.5; hinge: >= 0)."""
+    def fn(spark, sf_dir):
+        fit, ftrain, ftest = _trained(spark, sf_dir, kind, TRACE_STEPS)
+        thr = mt.LOGISTIC_THRESHOLD if kind == "logistic" else mt.HINGE_THRESHOLD
+        parts = [cl.evaluate(f, fit.theta, thr).select(F.lit(name).alias("split"), "*")
+                 for name, f in (("train", ftrain), ("test", ftest))]
+        return _rounded(parts[0].unionByName(parts[1]), 12)
+    return fn
+
+
+register("logistic_eval")(_eval_query("logistic"))
+register("svm_eval")(_eval_query("hinge"))
+register("weighted_svm_eval")(_eval_query("weighted_hinge"))

@@ -415,7 +415,7 @@ gf{k} AS (SELECT th.idx, th.w,
           FROM th{k} th LEFT JOIN gs{k} gs ON th.idx = gs.idx CROSS JOIN pp CROSS JOIN nn)"""
 
 
-def _logistic_trace_sql(steps: int = TRACE_STEPS) -> str:
+def _logistic_trace_sql(steps: int = TRACE_STEPS, evaluate: bool = False) -> str:
     parts = [_model_ctes("logistic").split(",\nmg AS")[0],
              "nn AS (SELECT count(*) AS n FROM lab)",
              "th0 AS (SELECT idx, CAST(0.1 AS DOUBLE) AS w FROM vocab "
@@ -433,6 +433,8 @@ def _logistic_trace_sql(steps: int = TRACE_STEPS) -> str:
             parts.append(_grad_at(k, "logistic"))
             parts.append(f"""th{k + 1} AS (SELECT gf.idx, gf.w - r.lr * (gf.g + {LAMBDA!r} / CAST(nn.n AS DOUBLE) * gf.w) AS w
   FROM gf{k} gf CROSS JOIN r{k} r CROSS JOIN nn)""")
+    if evaluate:
+        return _eval_tail(parts, "logistic", f"th{steps}", LOGISTIC_THRESHOLD)
     rows = ["SELECT 0 AS step, ls0.loss, r0.lr AS learning_rate FROM ls0, r0"]
     rows += [f"SELECT {k} AS step, ls{k}.loss, r{k - 1}.lr FROM ls{k}, r{k - 1}"
              for k in range(1, steps + 1)]
@@ -441,7 +443,8 @@ def _logistic_trace_sql(steps: int = TRACE_STEPS) -> str:
             f"SELECT step, {R('loss', 9)} AS loss, {R('learning_rate', 9)} AS learning_rate FROM o")
 
 
-def _hinge_trace_sql(kind: str, steps: int = TRACE_STEPS, dim: int = ORACLE_DIM) -> str:
+def _hinge_trace_sql(kind: str, steps: int = TRACE_STEPS, dim: int = ORACLE_DIM,
+                     evaluate: bool = False) -> str:
     """Exact variant: mean gradient, s = 0.9 s + 0.1 g·g/dim, step rate/(sqrt(s)+1e-8);
     reject (roll back) when the loss rose by more than 5 %."""
     parts = [_model_ctes(kind).split(",\nmg AS")[0],
@@ -467,13 +470,15 @@ def _hinge_trace_sql(kind: str, steps: int = TRACE_STEPS, dim: int = ORACLE_DIM)
               WHEN small THEN lr_used * 1.1 ELSE lr_used END AS lr,
          CASE WHEN reject THEN loss_old ELSE cur END AS loss, s, reject
   FROM dc{k})""")
-        if k < steps:
+        if k <= steps:
             parts.append(f"""th{k + 1} AS (
   SELECT gf.idx, CASE WHEN st.reject THEN o.w ELSE gf.w - st.lr / (sqrt(st.s) + 1e-8) * gf.g END AS w
   FROM gf{k} gf JOIN old{k} o ON gf.idx = o.idx CROSS JOIN st{k} st)""")
             parts.append(f"""old{k + 1} AS (
   SELECT o.idx, CASE WHEN st.reject THEN o.w ELSE th.w END AS w
   FROM old{k} o JOIN th{k} th ON o.idx = th.idx CROSS JOIN st{k} st)""")
+    if evaluate:
+        return _eval_tail(parts, kind, f"th{steps + 1}", HINGE_THRESHOLD)
     rows = [f"SELECT {k} AS step, ls{k}.loss, st{k - 1}.lr AS learning_rate FROM ls{k}, st{k - 1}"
             for k in range(1, steps + 1)]
     body = ",\n".join(parts)
@@ -484,3 +489,37 @@ def _hinge_trace_sql(kind: str, steps: int = TRACE_STEPS, dim: int = ORACLE_DIM)
 ORACLES["logistic_trace"] = _logistic_trace_sql()
 ORACLES["svm_trace"] = _hinge_trace_sql("hinge")
 ORACLES["weighted_svm_trace"] = _hinge_trace_sql("weighted_hinge")
+
+
+LOGISTIC_THRESHOLD = 0.5
+HINGE_THRESHOLD = 0.0
+
+
+def _eval_tail(parts: list[str], kind: str, theta: str, threshold: float) -> str:
+    """Confusion, accuracy and F1 of the final θ table on train and test."""
+    test_ctes = text_ctes(TEST, p="te_", vocab="vocab").lstrip()
+    parts = parts + [test_ctes, "te_lab AS (SELECT doc_id, label FROM te_d)"]
+    for name, lab, feats in (("tr", "lab", "tfidf"), ("te", "te_lab", "te_tfidf")):
+        parts.append(f"""ev_{name} AS (
+  SELECT l.label, coalesce(sum(t.x * th.w), 0.0) + (SELECT b.w FROM {theta} b, pp WHERE b.idx = pp.p - 1) AS m
+  FROM {lab} l LEFT JOIN {feats} t ON l.doc_id = t.doc_id LEFT JOIN {theta} th ON t.idx = th.idx
+  GROUP BY l.doc_id, l.label)""")
+    cnt = []
+    for nm, cond in (("tp", "same AND label = 1.0"), ("fn", "NOT same AND label = 1.0"),
+                     ("fp", "NOT same AND label = 0.0"), ("tn", "same AND label = 0.0")):
+        cnt.append(f"count(*) FILTER (WHERE {cond}) AS {nm}")
+    same = f"abs(label - CASE WHEN m >= {threshold!r} THEN 1.0 ELSE 0.0 END) < 0.001 AS same"
+    parts.append(f"""pr AS (SELECT 'train' AS split, label, {same} FROM ev_tr
+  UNION ALL SELECT 'test' AS split, label, {same} FROM ev_te)""")
+    parts.append(f"cf AS (SELECT split, {', '.join(cnt)} FROM pr GROUP BY split)")
+    body = ",\n".join(parts)
+    return f"""WITH {body},
+o AS (SELECT *, CAST(tp + tn AS DOUBLE) / CAST(tp + fn + fp + tn AS DOUBLE) AS accuracy,
+             CASE WHEN 2 * tp + fp + fn = 0 THEN NULL
+                  ELSE 2.0 * tp / CAST(2 * tp + fp + fn AS DOUBLE) END AS f1 FROM cf)
+SELECT split, tp, fn, fp, tn, {R('accuracy', 12)} AS accuracy, {R('f1', 12)} AS f1 FROM o"""
+
+
+ORACLES["logistic_eval"] = _logistic_trace_sql(evaluate=True)
+ORACLES["svm_eval"] = _hinge_trace_sql("hinge", evaluate=True)
+ORACLES["weighted_svm_eval"] = _hinge_trace_sql("weighted_hinge", evaluate=True)
