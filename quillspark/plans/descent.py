@@ -158,23 +158,27 @@ def descend_simple(mo: Moments, variant: str = "exact", m0: float = 0.1, b0: flo
     step 0 = start, then one row per step with the rate used."""
     rule = rule or BoldDriver(0.5, 1.05)
     r, n = float(mo.corr_xy[0]), mo.n
-    one = Moments(n, np.eye(1), np.array([r]))
+    base = 1.0 - r * r
 
-    def loss(m, b):
-        return std_loss(one, np.array([m]), b)
+    # loss = 1 - 2 m r + m² + b² = (1 - r²) + ((m - r)² + b²). The step rule
+    # compares the excess term: the same decision in exact arithmetic, but it
+    # keeps full relative precision near the optimum, where the whole loss
+    # changes by less than one ulp per step.
+    def excess(m, b):
+        return (m - r) * (m - r) + b * b
 
-    rows = [(-1, loss(r, 0.0), None, [r, 0.0])]
+    rows = [(-1, base + excess(r, 0.0), None, [r, 0.0])]
     m, b = m0, b0
-    cur = loss(m, b)
-    rows.append((0, cur, rate, [m, b]))
+    cur = excess(m, b)
+    rows.append((0, base + cur, rate, [m, b]))
     for step in range(1, max_iter + 1):
         if variant == "exact":
             gm, gb = -2.0 * (r - m), 2.0 * b
         else:
             gm, gb = -n * (r - m), n * b
         m, b = m - gm * rate, b - gb * rate
-        cur, old = loss(m, b), cur
-        rows.append((step, cur, rate, [m, b]))
+        cur, old = excess(m, b), cur
+        rows.append((step, base + cur, rate, [m, b]))
         rate = rule.next_rate(cur, old, rate)
     return rows
 

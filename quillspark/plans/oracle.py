@@ -299,11 +299,12 @@ def _simple_trace_sql(variant: str) -> str:
         gm, gb = "-2.0 * (s.r - t.m)", "2.0 * t.b"
     else:
         gm, gb = "-CAST(s.n AS DOUBLE) * (s.r - t.m)", "CAST(s.n AS DOUBLE) * t.b"
-    loss = "1.0 - 2.0 * (u.m * u.r) + u.m * u.m + u.b * u.b"
+    # loss = (1 - r²) + excess; the step rule compares the excess term
+    loss = "(u.m - u.r) * (u.m - u.r) + u.b * u.b"
     return f"""WITH RECURSIVE s AS (SELECT count(*) AS n, corr(quantity, price) AS r FROM {LI} c),
 t AS (
   SELECT 0 AS step, CAST(0.1 AS DOUBLE) AS m, CAST(0.1 AS DOUBLE) AS b,
-         1.0 - 2.0 * (0.1 * s.r) + 0.1 * 0.1 + 0.1 * 0.1 AS loss,
+         (0.1 - s.r) * (0.1 - s.r) + 0.1 * 0.1 AS loss,
          CAST(0.01 AS DOUBLE) AS lr, CAST(0.01 AS DOUBLE) AS lr_next FROM s
   UNION ALL
   SELECT q.step, q.m, q.b, q.loss, q.lr,
@@ -313,9 +314,9 @@ t AS (
                      t.b - ({gb}) * t.lr_next AS b, t.lr_next AS lr, t.loss AS loss_old, s.r
               FROM t CROSS JOIN s WHERE t.step < 100) u) q),
 o AS (
-  SELECT -1 AS step, 1.0 - 2.0 * (r * r) + r * r + 0.0 * 0.0 AS loss, CAST(NULL AS DOUBLE) AS learning_rate,
-         r AS m, CAST(0.0 AS DOUBLE) AS b FROM s
-  UNION ALL SELECT step, loss, lr AS learning_rate, m, b FROM t)
+  SELECT -1 AS step, (1.0 - r * r) + ((r - r) * (r - r) + 0.0 * 0.0) AS loss,
+         CAST(NULL AS DOUBLE) AS learning_rate, r AS m, CAST(0.0 AS DOUBLE) AS b FROM s
+  UNION ALL SELECT step, (1.0 - s.r * s.r) + t.loss AS loss, lr AS learning_rate, m, b FROM t, s)
 SELECT step, {R('loss', 9)} AS loss, {R('learning_rate', 9)} AS learning_rate,
        {R('m', 9)} AS m, {R('b', 9)} AS b FROM o"""
 
