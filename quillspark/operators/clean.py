@@ -42,6 +42,16 @@ LINEITEM_RANGES = {
 }
 
 
+def in_range(c, lo: float, hi: float):
+    """``lo <= c <= hi`` (null -> false) with ``c`` evaluated once per row.
+
+    ``between`` references its operand twice, and the filter is pushed into
+    the scan with the parse inlined, so a regex-guarded cast would run twice
+    per bound. A one-element lambda binds the value once instead."""
+    test = F.transform(F.array(c), lambda v: (v >= F.lit(float(lo))) & (v <= F.lit(float(hi))))
+    return F.coalesce(F.element_at(test, 1), F.lit(False))
+
+
 def clean_numeric(df: DataFrame, keep: Mapping[str, str],
                   ranges: Mapping[str, tuple[float, float]],
                   extra_ranges: Mapping[str, tuple[float, float]] | None = None,
@@ -56,9 +66,10 @@ def clean_numeric(df: DataFrame, keep: Mapping[str, str],
     parsed = {name: safe_double(src) for name, src in {**tested, **keep}.items()}
     cond = F.lit(True)
     for name, (lo, hi) in all_ranges.items():
-        cond = cond & parsed[name].between(F.lit(float(lo)), F.lit(float(hi)))
+        cond = cond & in_range(parsed[name], lo, hi)
     for name in keep:
-        cond = cond & parsed[name].isNotNull()
+        if name not in all_ranges:          # a range test already rejects null
+            cond = cond & parsed[name].isNotNull()
     cols = [F.col(c) for c in passthrough] + [parsed[n].alias(n) for n in keep]
     return df.where(cond).select(*cols)
 
