@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -82,3 +82,27 @@ def line_points(sample: DataFrame, params: DataFrame, x: str, step: float = 0.1,
     )
     return grid.select("i", xv.alias("x"), slope, intercept).select(
         "i", "x", (F.col(slope) * F.col("x") + F.col(intercept)).alias("y"))
+
+
+def closed_form_sql(df: DataFrame, x: str, y: str, view: str = "rides") -> DataFrame:
+    """The same fit written as SQL text over a temporary view (replaced if it
+    exists). The row count is part of the query, not pasted in as a literal."""
+    df.createOrReplaceTempView(view)
+    return df.sparkSession.sql(f"""
+        SELECT n,
+               try_divide(n * sum_xy - sum_x * sum_y, n * sum_x2 - sum_x * sum_x) AS slope,
+               try_divide(sum_x2 * sum_y - sum_x * sum_xy, n * sum_x2 - sum_x * sum_x) AS intercept
+        FROM (SELECT count(*) AS n, sum({x} * {y}) AS sum_xy, sum({x}) AS sum_x,
+                     sum({y}) AS sum_y, sum({x} * {x}) AS sum_x2
+              FROM {view}) sums""")
+
+
+def preview(df: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` rows as a frame (instead of printing them)."""
+    return df.limit(n)
+
+
+def with_previous_loss(trace: DataFrame, step: str = "step", loss: str = "loss") -> DataFrame:
+    """Adds ``loss_old``: the loss of the previous step (a trace has at most
+    max_iter + 2 rows, so the single-partition window is bounded)."""
+    return trace.withColumn("loss_old", F.lag(loss).over(Window.orderBy(step)))

@@ -63,7 +63,8 @@ def require_column(df: DataFrame, name: str) -> None:
 def doc_freq(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(word, df)``: number of documents holding each token."""
     require_column(docs, text_col)
-    words = docs.select(F.explode(F.array_distinct(tokens(text_col))).alias("word"))
+    words = docs.where(F.col(text_col).isNotNull()).select(
+        F.explode_outer(F.array_distinct(tokens(text_col))).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
 
 
@@ -111,10 +112,16 @@ def fit_vocabulary(docs: DataFrame, dim: int = 2000, text_col: str = "text",
 def _exploded(docs: DataFrame, id_col: str, text_col: str, keep: Sequence[str]) -> DataFrame:
     """One row per token with the document's token count. The token array is
     built once per document; its size is taken from the array (O(1)), never
-    by splitting the text again for each token."""
-    base = docs.select(F.col(id_col).alias("doc_id"), *keep, tokens(text_col).alias("toks"))
+    by splitting the text again for each token.
+
+    A non-null text splits into at least one token, so ``explode_outer`` over
+    non-null texts yields the same rows as ``explode``; it avoids the filter
+    Spark infers for ``explode`` (non-empty array), which would split every
+    text twice more inside the scan."""
+    base = docs.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("doc_id"), *keep, tokens(text_col).alias("toks"))
     return base.select("doc_id", *keep, F.size("toks").alias("n_tok"),
-                       F.explode("toks").alias("word"))
+                       F.explode_outer("toks").alias("word"))
 
 
 def term_counts(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id",

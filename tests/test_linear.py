@@ -61,3 +61,16 @@ def test_fit_sample_is_ordered_top_n(spark):
     got = [r.id for r in fit_sample(df.repartition(7), ["id"], 5).collect()]
     assert got == [0, 1, 2, 3, 4]
     assert df.select(F.count("*")).first()[0] == 200
+
+
+def test_closed_form_sql_view_and_helpers(spark):
+    from quillspark.operators.linear import closed_form_sql, preview, with_previous_loss
+    df, x, y = data(spark)
+    m, b = np.polyfit(x, y, 1)
+    r = closed_form_sql(df, "x", "y").first()
+    r2 = closed_form_sql(df, "x", "y").first()       # the view is replaced, not an error
+    assert abs(r.slope - m) < 1e-9 and abs(r.intercept - b) < 1e-9 and r2.n == 200
+    assert preview(df, 3).count() == 3
+    tr = spark.createDataFrame([(0, 3.0), (1, 2.0), (2, 2.5)], "step int, loss double")
+    got = [r.loss_old for r in with_previous_loss(tr).orderBy("step").collect()]
+    assert got == [None, 3.0, 2.0]

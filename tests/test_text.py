@@ -3,6 +3,7 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quillspark.functions.columns import tokens
 from quillspark.operators import text as tx
@@ -100,3 +101,27 @@ def test_topk_ties_and_zero_fill(spark):
     assert [r.doc_id for r in ranked] == [0, 1, 4, 2]    # ties by id, zero fill by id
     assert ranked[-1].score == 0.0
     assert ranked[0].snippet == "x y"
+
+
+def test_features_on_a_stream(spark, tmpdir_path):
+    """The fitted featuriser applies to a streaming frame unchanged
+    (stream-static join with the broadcast vocabulary)."""
+    docs = docs_frame(spark, ["a b b", "a c", "b c d"])
+    vocab = tx.fit_vocabulary(docs, 10)
+    src = os.path.join(tmpdir_path, "stream_in")
+    docs.write.parquet(src)
+    stream = spark.readStream.schema(docs.schema).parquet(src)
+    t = tx.tokens("text")
+    exploded = stream.select("doc_id", F.size(t).alias("n_tok"), F.explode(t).alias("word"))
+    scored = exploded.join(F.broadcast(vocab.table.select("word", "idx", "idf")), "word")
+    q = (scored.writeStream.format("memory").queryName("qs_stream_tf").outputMode("append")
+         .option("checkpointLocation", os.path.join(tmpdir_path, "stream_ckpt")).start())
+    try:
+        q.processAllAvailable()
+        rows = spark.sql("SELECT * FROM qs_stream_tf").collect()
+    finally:
+        q.stop()
+    batch = tx._exploded(docs, "doc_id", "text", []).join(
+        F.broadcast(vocab.table.select("word", "idx", "idf")), "word")
+    assert sorted((r.doc_id, r.word) for r in rows) == sorted(
+        (r.doc_id, r.word) for r in batch.collect())
