@@ -221,3 +221,40 @@ def top_k_similar(feats: DataFrame, qvec: DataFrame, k: int = 20,
         return hits
     snip = docs.select(F.col(id_col).alias("doc_id"), snippet(text_col).alias("snippet"))
     return snip.join(F.broadcast(hits), "doc_id").select("doc_id", "score", "snippet")
+
+
+def query_weights(spark, text, vocab: Vocabulary) -> DataFrame:
+    """``(word, wq)`` for the vocabulary words of the query text, with
+    wq = idf(word) * q(word) and q the query's TF-IDF value: at most one row
+    per distinct query word (bounded by the vocabulary size)."""
+    q = vectorize_text(spark, text, vocab)
+    entries = q.select(F.explode(F.arrays_zip("i", "v")).alias("e")).select(
+        F.col("e.i").alias("idx"), F.col("e.v").alias("qx"))
+    v = F.broadcast(vocab.table.select("idx", "word", "idf"))
+    return entries.join(v, "idx").select("word", (F.col("idf") * F.col("qx")).alias("wq"))
+
+
+def top_k_similar_text(docs: DataFrame, vocab: Vocabulary, text, k: int = 20,
+                       id_col: str = "doc_id", text_col: str = "text",
+                       digits: int = 9) -> DataFrame:
+    """Top ``k`` documents by dot product with the query, straight from the
+    text (no feature vectors).
+
+    score = Σ_w tf(d, w) idf(w) q(w) = (1 / n_tok) Σ_{tokens t of d} idf(t) q(t),
+    so each token only looks up its query weight (broadcast, at most one row
+    per query word) and the sum is per document. All tokens of a document are
+    in one task, so the partial aggregate already holds one row per document
+    and only that row is shuffled before the top-k. Documents sharing no word
+    with the query score 0 (zero fill by id, ties by id)."""
+    w = F.broadcast(query_weights(docs.sparkSession, text, vocab))
+    per_doc = (
+        _exploded(docs, id_col, text_col, [])
+        .join(w, "word", "left")
+        .groupBy("doc_id", "n_tok")
+        .agg(F.sum(F.coalesce(F.col("wq"), F.lit(0.0))).alias("s"))
+    )
+    scored = per_doc.select("doc_id", F.round(F.col("s") / F.col("n_tok").cast("double"), digits)
+                            .alias("score"))
+    hits = scored.orderBy(F.desc("score"), F.asc("doc_id")).limit(k)
+    snip = docs.select(F.col(id_col).alias("doc_id"), snippet(text_col).alias("snippet"))
+    return snip.join(F.broadcast(hits), "doc_id").select("doc_id", "score", "snippet")

@@ -204,10 +204,7 @@ def first_benchmark_text(spark, sf_dir) -> DataFrame:
 def q_topk_similar_docs(spark, sf_dir):
     docs = documents(spark, sf_dir)
     vocab = tx.fit_vocabulary(docs, ORACLE_DIM)
-    feats = tx.features(docs, vocab)
-    qvec = tx.dense_query(tx.vectorize_text(spark, first_benchmark_text(spark, sf_dir), vocab),
-                          ORACLE_DIM)
-    return tx.top_k_similar(feats, qvec, TOP_K, docs=docs)
+    return tx.top_k_similar_text(docs, vocab, first_benchmark_text(spark, sf_dir), TOP_K)
 
 
 # ---------------------------------------------------------------- classes

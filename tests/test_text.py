@@ -125,3 +125,19 @@ def test_features_on_a_stream(spark, tmpdir_path):
         F.broadcast(vocab.table.select("word", "idx", "idf")), "word")
     assert sorted((r.doc_id, r.word) for r in rows) == sorted(
         (r.doc_id, r.word) for r in batch.collect())
+
+
+def test_topk_from_text_equals_feature_path(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join(rng.choice(words, int(rng.integers(1, 15)))) for _ in range(80)]
+    texts += [texts[3], "zz yy"]               # an exact copy and a doc with no shared word
+    docs = docs_frame(spark, texts)
+    vocab = tx.fit_vocabulary(docs, 12)
+    query = "w1 w2 w2 w3 w17 nope"
+    a = tx.top_k_similar_text(docs, vocab, query, 30).collect()
+    qvec = tx.dense_query(tx.vectorize_text(spark, query, vocab), 12)
+    b = tx.top_k_similar(tx.features(docs, vocab), qvec, 30, docs=docs).collect()
+    key = lambda r: (-r.score, r.doc_id)
+    assert [(r.doc_id, r.score, r.snippet) for r in sorted(a, key=key)] == \
+        [(r.doc_id, r.score, r.snippet) for r in sorted(b, key=key)]
