@@ -51,6 +51,9 @@ def test_doc_freq_and_vocab_rules(spark):
     assert [r.word for r in forced.orderBy("idx").collect()] == ["a", "b", "c"]
     maxdf = tx.fit_vocabulary(docs, 10, rule=tx.RULE_MAX_DF, max_df=0.6).words()
     assert [r.word for r in maxdf.orderBy("idx").collect()] == ["c", "d", "e", "x"]
+    # a word in exactly 80 % of the documents passes df / n <= 0.8
+    at80 = tx.fit_vocabulary(docs, 10, rule=tx.RULE_MAX_DF, max_df=0.8).words()
+    assert [r.word for r in at80.orderBy("idx").collect()] == ["b", "c", "d", "e", "x"]
 
 
 def test_vocab_independent_of_partitioning(spark):
