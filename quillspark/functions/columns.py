@@ -62,7 +62,8 @@ def sig_round(c, digits: int = 9, zero_below: float | None = None) -> Column:
     k = F.lit(digits - 1) - F.floor(F.log10(F.abs(c)))
     pa = F.pow(F.lit(10.0), F.least(F.abs(k), F.lit(22)))
     pb = F.pow(F.lit(10.0), F.greatest(F.abs(k) - 22, F.lit(0)))
-    out = F.when((c == 0) | c.isNull() | F.isnan(c), c).otherwise(
+    special = (c == 0) | c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
+    out = F.when(special, c).otherwise(
         F.when(k >= 0, F.round(c * pa * pb, 0) / pb / pa)
         .otherwise(F.round(c / pa / pb, 0) * pb * pa))
     if zero_below is not None:

@@ -15,7 +15,8 @@ def sql_sig_round(expr: str, digits: int = 9, zero_below: float | None = None) -
     pa = f"pow(10.0, least(abs({k}), 22))"
     pb = f"pow(10.0, greatest(abs({k}) - 22, 0))"
     small = f"WHEN abs({expr}) < {zero_below!r} THEN 0.0 " if zero_below is not None else ""
-    return (f"(CASE WHEN ({expr}) = 0 OR ({expr}) IS NULL OR isnan({expr}) THEN ({expr}) {small}"
+    return (f"(CASE WHEN ({expr}) = 0 OR ({expr}) IS NULL OR isnan({expr}) OR isinf({expr}) "
+            f"THEN ({expr}) {small}"
             f"WHEN {k} >= 0 THEN round(({expr}) * {pa} * {pb}, 0) / {pb} / {pa} "
             f"ELSE round(({expr}) / {pa} / {pb}, 0) * {pb} * {pa} END)")
 

@@ -74,3 +74,13 @@ def test_closed_form_sql_view_and_helpers(spark):
     tr = spark.createDataFrame([(0, 3.0), (1, 2.0), (2, 2.5)], "step int, loss double")
     got = [r.loss_old for r in with_previous_loss(tr).orderBy("step").collect()]
     assert got == [None, 3.0, 2.0]
+
+
+def test_sig_round_special_values(spark):
+    from quillspark.functions.columns import sig_round
+    vals = [0.0, None, float("nan"), float("inf"), float("-inf"), 123456.789, -1.23456789e-30, 9.9999999999e22]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r[0] for r in df.select(sig_round("x", 6)).collect()]
+    assert got[0] == 0.0 and got[1] is None and got[2] != got[2]
+    assert got[3] == float("inf") and got[4] == float("-inf")
+    assert got[5] == 123457.0 and got[6] == -1.23457e-30 and got[7] == 1e23
