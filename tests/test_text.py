@@ -144,3 +144,19 @@ def test_topk_from_text_equals_feature_path(spark):
     key = lambda r: (-r.score, r.doc_id)
     assert [(r.doc_id, r.score, r.snippet) for r in sorted(a, key=key)] == \
         [(r.doc_id, r.score, r.snippet) for r in sorted(b, key=key)]
+
+
+def test_arrow_features_equal_sql_features(spark):
+    rng = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(25)] + ["", "W1", "w1,"]
+    texts = [" ".join(rng.choice(words, int(rng.integers(1, 30)))) for _ in range(120)]
+    texts += ["", "zz", "a  b "]
+    docs = spark.createDataFrame([(i, t, float(i % 2)) for i, t in enumerate(texts)] + [(999, None, 0.0)],
+                                 "doc_id long, text string, label double").repartition(3)
+    vocab = tx.fit_vocabulary(docs, 15)
+    for value in ("tfidf", "tf"):
+        a = {r.doc_id: (r.label, r.i, r.v) for r in
+             tx.features(docs, vocab, keep=["label"], value=value).collect()}
+        b = {r.doc_id: (r.label, r.i, r.v) for r in
+             tx.features(docs, vocab, keep=["label"], value=value, method="arrow").collect()}
+        assert a == b
