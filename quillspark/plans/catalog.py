@@ -374,7 +374,10 @@ from quillspark.session import materialize  # noqa: E402
 TRACE_STEPS = 5
 
 
-def _trained(spark, sf_dir, kind, steps, variant="exact"):
+def _trained(spark, sf_dir, kind, steps, variant="exact", evaluate=False):
+    """Train on the pinned train features. With ``evaluate``, also score the
+    final θ on train (still pinned) and test before releasing them; the
+    result is two small rows."""
     weighted = kind == "weighted_hinge"
     vocab, ftrain, ftest = model_inputs(spark, sf_dir, KIND_RULE[kind], weighted)
     p = vocab.size() + 1
@@ -385,14 +388,21 @@ def _trained(spark, sf_dir, kind, steps, variant="exact"):
         else:
             fit = cl.train_hinge(feats, p, ORACLE_DIM, variant,
                                  weight_col="share" if weighted else None, max_iter=steps)
+        scores = None
+        if evaluate:
+            thr = mt.LOGISTIC_THRESHOLD if kind == "logistic" else mt.HINGE_THRESHOLD
+            parts = [cl.evaluate(f, fit.theta, thr).select(F.lit(name).alias("split"), "*")
+                     for name, f in (("train", feats), ("test", ftest))]
+            both = parts[0].unionByName(parts[1])
+            scores = spark.createDataFrame(both.collect(), both.schema)
     finally:
         feats.unpersist()
-    return fit, ftrain, ftest
+    return fit, scores
 
 
 def _trace_query(kind, variant="exact"):
     def fn(spark, sf_dir):
-        fit, _, _ = _trained(spark, sf_dir, kind, TRACE_STEPS, variant)
+        fit, _ = _trained(spark, sf_dir, kind, TRACE_STEPS, variant)
         return _rounded(fit.trace_frame(spark), 9)
     return fn
 
@@ -427,11 +437,8 @@ def _eval_query(kind):
     """Train (TRACE_STEPS steps), then confusion, accuracy and F1 of the final
     θ on the train and test splits (logistic: margin >= 0.5; hinge: >= 0)."""
     def fn(spark, sf_dir):
-        fit, ftrain, ftest = _trained(spark, sf_dir, kind, TRACE_STEPS)
-        thr = mt.LOGISTIC_THRESHOLD if kind == "logistic" else mt.HINGE_THRESHOLD
-        parts = [cl.evaluate(f, fit.theta, thr).select(F.lit(name).alias("split"), "*")
-                 for name, f in (("train", ftrain), ("test", ftest))]
-        return _rounded(parts[0].unionByName(parts[1]), 12)
+        _, scores = _trained(spark, sf_dir, kind, TRACE_STEPS, evaluate=True)
+        return _rounded(scores, 12)
     return fn
 
 
