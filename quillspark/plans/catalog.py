@@ -445,3 +445,22 @@ def _eval_query(kind):
 register("logistic_eval")(_eval_query("logistic"))
 register("svm_eval")(_eval_query("hinge"))
 register("weighted_svm_eval")(_eval_query("weighted_hinge"))
+
+
+@register("linear_svc_tfidf")
+def q_linear_svc_tfidf(spark, sf_dir):
+    """Spark ML LinearSVC on the TF-IDF vectors of the labelled documents
+    (vocabulary rule of the hinge models, fitted on the train split), scored
+    by hand on the margin (>= 0.5) on train and test, as the reference does."""
+    vocab, ftrain, ftest = model_inputs(spark, sf_dir, KIND_RULE["hinge"])
+    size = vocab.size()
+    feats = materialize(ftrain)
+    try:
+        model, theta = cl.linear_svc(cl.sparse_to_dense(feats, size))
+        parts = [cl.evaluate(f, theta, mt.LOGISTIC_THRESHOLD).select(F.lit(name).alias("split"), "*")
+                 for name, f in (("train", feats), ("test", ftest))]
+        both = parts[0].unionByName(parts[1])
+        out = spark.createDataFrame(both.collect(), both.schema)
+    finally:
+        feats.unpersist()
+    return out

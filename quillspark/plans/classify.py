@@ -114,3 +114,35 @@ def dense_features(df: DataFrame, array_col: str, out: str = "features") -> Data
     from pyspark.ml.functions import array_to_vector
 
     return df.withColumn(out, array_to_vector(F.col(array_col).cast("array<double>")))
+
+
+def sparse_to_dense(feats: DataFrame, size: int, out: str = "features",
+                    keep: tuple[str, ...] = ("doc_id", "label")) -> DataFrame:
+    """Sparse ``(i, v)`` -> ML dense vector of length ``size`` for Spark ML.
+
+    The scatter runs per Arrow batch (numpy, O(non-zeros)); the array becomes
+    a vector JVM-side. A dense row costs ``size`` doubles, so this is for the
+    library model's edge only; the hand-written trainers stay sparse."""
+    import pyarrow as pa
+    from pyspark.ml.functions import array_to_vector
+
+    keep = list(keep)
+
+    def fn(batches):
+        for b in batches:
+            n = b.num_rows
+            i = b.column("i")
+            idx = i.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            vals = b.column("v").flatten().to_numpy(zero_copy_only=False)
+            rows = np.repeat(np.arange(n), np.diff(i.offsets.to_numpy()))
+            dense = np.zeros((n, size))
+            dense[rows, idx] = vals
+            offsets = pa.array(np.arange(n + 1, dtype=np.int32) * size)
+            arr = pa.ListArray.from_arrays(offsets, pa.array(dense.ravel()))
+            yield pa.RecordBatch.from_arrays([b.column(k) for k in keep] + [arr],
+                                             names=keep + ["__dense"])
+
+    fields = [f for f in feats.schema.fields if f.name in keep]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    dense = feats.select(*keep, "i", "v").mapInArrow(fn, f"{schema}, __dense array<double>")
+    return dense.withColumn(out, array_to_vector("__dense")).drop("__dense")

@@ -17,7 +17,7 @@ def test_registry_consistent():
     q, o = se.queries(), se.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 30
-    assert set(q) - set(o) == {"linear_svc"}   # the only rows-only query
+    assert set(q) - set(o) == {"linear_svc", "linear_svc_tfidf"}   # Spark ML: rows-only
 
 
 @pytest.mark.parametrize("name", [

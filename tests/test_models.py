@@ -176,3 +176,14 @@ def test_training_loops(spark):
     assert all(math.isfinite(t[1]) for t in wh.trace)
     ev = cl.evaluate(f, fit.theta, mt.LOGISTIC_THRESHOLD).first()
     assert ev.tp + ev.fn + ev.fp + ev.tn == 40
+
+
+def test_sparse_to_dense_and_library_svc(spark):
+    rows = sparse_rows(6)
+    f = feats(spark, 6)
+    got = {r.doc_id: r.features.toArray().tolist() for r in cl.sparse_to_dense(f, P - 1).collect()}
+    Xd, y, _ = dense(rows)
+    for d, vec in got.items():
+        assert vec == Xd[d, :-1].tolist()
+    model, theta = cl.linear_svc(cl.sparse_to_dense(f, P - 1), max_iter=20)
+    assert theta.shape == (P,)
