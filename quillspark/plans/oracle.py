@@ -406,17 +406,32 @@ def _margin_at(k: int) -> str:
   GROUP BY l.doc_id, l.label, wt.share)"""
 
 
-def _grad_at(k: int, kind: str) -> str:
-    return f"""co{k} AS (SELECT doc_id, {_coef_expr(kind)} AS c FROM mg{k}),
+def _coef_observed(kind: str) -> str:
+    if kind == "logistic":
+        return "-label"                      # plus h on every slot (dense term)
+    c = "CASE WHEN m < 1.0 THEN -(2.0 * label - 1.0) ELSE 0.0 END"
+    return c if kind == "hinge" else f"({c}) / share"
+
+
+def _grad_at(k: int, kind: str, variant: str = "exact") -> str:
+    """Gradient table gf{k}(idx, w, g): mean gradient (exact), or the summed
+    observed one (logistic observed: h on every slot, then averaged)."""
+    coef = _coef_expr(kind) if variant == "exact" else _coef_observed(kind)
+    dense = ""
+    if variant == "observed" and kind == "logistic":
+        dense = f" + (SELECT sum(1.0 / (1.0 + exp(-m))) FROM mg{k})"
+    scale = "/ CAST(nn.n AS DOUBLE)" if (variant == "exact" or kind == "logistic") else ""
+    return f"""co{k} AS (SELECT doc_id, {coef} AS c FROM mg{k}),
 gs{k} AS (SELECT t.idx, sum(co.c * t.x) AS g FROM tfidf t JOIN co{k} co ON t.doc_id = co.doc_id
           GROUP BY t.idx),
 gf{k} AS (SELECT th.idx, th.w,
-            CASE WHEN th.idx = pp.p - 1 THEN (SELECT sum(c) FROM co{k}) ELSE coalesce(gs.g, 0.0) END
-              / CAST(nn.n AS DOUBLE) AS g
+            (CASE WHEN th.idx = pp.p - 1 THEN (SELECT sum(c) FROM co{k}) ELSE coalesce(gs.g, 0.0) END{dense})
+              {scale} AS g
           FROM th{k} th LEFT JOIN gs{k} gs ON th.idx = gs.idx CROSS JOIN pp CROSS JOIN nn)"""
 
 
-def _logistic_trace_sql(steps: int = TRACE_STEPS, evaluate: bool = False) -> str:
+def _logistic_trace_sql(steps: int = TRACE_STEPS, evaluate: bool = False,
+                        variant: str = "exact") -> str:
     parts = [_model_ctes("logistic").split(",\nmg AS")[0],
              "nn AS (SELECT count(*) AS n FROM lab)",
              "th0 AS (SELECT idx, CAST(0.1 AS DOUBLE) AS w FROM vocab "
@@ -431,7 +446,7 @@ def _logistic_trace_sql(steps: int = TRACE_STEPS, evaluate: bool = False) -> str
             parts.append(f"""r{k} AS (SELECT CASE WHEN a.loss > b.loss THEN r.lr * 0.75 ELSE r.lr * 1.1 END AS lr
   FROM ls{k} a, ls{k - 1} b, r{k - 1} r)""")
         if k < steps:
-            parts.append(_grad_at(k, "logistic"))
+            parts.append(_grad_at(k, "logistic", variant))
             parts.append(f"""th{k + 1} AS (SELECT gf.idx, gf.w - r.lr * (gf.g + {LAMBDA!r} / CAST(nn.n AS DOUBLE) * gf.w) AS w
   FROM gf{k} gf CROSS JOIN r{k} r CROSS JOIN nn)""")
     if evaluate:
@@ -445,7 +460,7 @@ def _logistic_trace_sql(steps: int = TRACE_STEPS, evaluate: bool = False) -> str
 
 
 def _hinge_trace_sql(kind: str, steps: int = TRACE_STEPS, dim: int = ORACLE_DIM,
-                     evaluate: bool = False) -> str:
+                     evaluate: bool = False, variant: str = "exact") -> str:
     """Exact variant: mean gradient, s = 0.9 s + 0.1 g·g/dim, step rate/(sqrt(s)+1e-8);
     reject (roll back) when the loss rose by more than 5 %."""
     parts = [_model_ctes(kind).split(",\nmg AS")[0],
@@ -454,26 +469,34 @@ def _hinge_trace_sql(kind: str, steps: int = TRACE_STEPS, dim: int = ORACLE_DIM,
              "UNION ALL SELECT CAST(p - 1 AS INTEGER), CAST(0.1 AS DOUBLE) FROM pp)",
              "old1 AS (SELECT * FROM th1)",
              "st0 AS (SELECT CAST(0.01 AS DOUBLE) AS lr, CAST(NULL AS DOUBLE) AS loss, "
-             "CAST(0.0 AS DOUBLE) AS s)"]
+             "CAST(0.0 AS DOUBLE) AS s, CAST(0.0 AS DOUBLE) AS p0)"]
+    exact = variant == "exact"
     for k in range(1, steps + 1):
         parts.append(_margin_at(k))
         parts.append(f"ls{k} AS (SELECT avg({_loss_expr(kind)}) AS loss FROM mg{k})")
-        parts.append(_grad_at(k, kind))
+        parts.append(_grad_at(k, kind, variant))
+        gg = f"((SELECT sum(g * g) FROM gf{k}) / {float(dim)!r})"
+        s_new = f"0.9 * st.s + 0.1 * {gg}" if exact else "st.s"
         parts.append(f"""dc{k} AS (
-  SELECT st.lr AS lr_used, l.loss AS cur, st.loss AS loss_old,
-         0.9 * st.s + 0.1 * ((SELECT sum(g * g) FROM gf{k}) / {float(dim)!r}) AS s,
+  SELECT st.lr AS lr_used, l.loss AS cur, st.loss AS loss_old, st.p0 AS p0_old, {gg} AS gg,
+         {s_new} AS s,
          coalesce(st.loss - l.loss < 0, false) AS rose,
          coalesce(st.loss - l.loss < 0 AND l.loss / st.loss > 1.05, false) AS reject,
          coalesce(0 <= (st.loss - l.loss) / st.loss AND (st.loss - l.loss) / st.loss < 0.01, false) AS small
   FROM st{k - 1} st, ls{k} l)""")
+        p0_new = ("p0_old" if exact else
+                  "CASE WHEN reject OR rose OR small THEN p0_old "
+                  "ELSE p0_old + (0.9 * p0_old + 0.1 * sqrt(gg) + 1e-8) END")
+        last = "lr_used" if exact else "lr_used / p0"
         parts.append(f"""st{k} AS (
   SELECT CASE WHEN reject THEN lr_used * 0.5 WHEN rose THEN lr_used * 0.75
-              WHEN small THEN lr_used * 1.1 ELSE lr_used END AS lr,
-         CASE WHEN reject THEN loss_old ELSE cur END AS loss, s, reject
-  FROM dc{k})""")
+              WHEN small THEN lr_used * 1.1 ELSE {last} END AS lr,
+         CASE WHEN reject THEN loss_old ELSE cur END AS loss, s, p0, reject
+  FROM (SELECT *, {p0_new} AS p0 FROM dc{k}) q)""")
+        step = "st.lr / (sqrt(st.s) + 1e-8)" if exact else "st.lr"
         if k <= steps:
             parts.append(f"""th{k + 1} AS (
-  SELECT gf.idx, CASE WHEN st.reject THEN o.w ELSE gf.w - st.lr / (sqrt(st.s) + 1e-8) * gf.g END AS w
+  SELECT gf.idx, CASE WHEN st.reject THEN o.w ELSE gf.w - {step} * gf.g END AS w
   FROM gf{k} gf JOIN old{k} o ON gf.idx = o.idx CROSS JOIN st{k} st)""")
             parts.append(f"""old{k + 1} AS (
   SELECT o.idx, CASE WHEN st.reject THEN o.w ELSE th.w END AS w
@@ -524,3 +547,6 @@ SELECT split, tp, fn, fp, tn, {R('accuracy', 12)} AS accuracy, {R('f1', 12)} AS
 ORACLES["logistic_eval"] = _logistic_trace_sql(evaluate=True)
 ORACLES["svm_eval"] = _hinge_trace_sql("hinge", evaluate=True)
 ORACLES["weighted_svm_eval"] = _hinge_trace_sql("weighted_hinge", evaluate=True)
+
+ORACLES["logistic_trace_observed"] = _logistic_trace_sql(variant="observed")
+ORACLES["svm_trace_observed"] = _hinge_trace_sql("hinge", variant="observed")
