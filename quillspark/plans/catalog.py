@@ -8,14 +8,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.functions.columns import safe_double, sig_round
+from quillspark.functions.columns import safe_double, sig_round, snippet
+from quillspark.operators import gradient as gr
+from quillspark.operators import metrics as mt
+from quillspark.operators import profile as pf
+from quillspark.operators import text as tx
 from quillspark.operators.clean import LINEITEM_KEEP, LINEITEM_RANGES, clean_numeric
 from quillspark.operators.linear import closed_form, fit_sample, line_points, mse_at, regr
-from quillspark.session import spread
+from quillspark.plans import classify as cl
+from quillspark.plans import descent as ds
+from quillspark.session import materialize, spread
 from quillspark.sources.tables import read_table
+from quillspark.sources.text import BODY_GREEDY, CLASS_ONE_MARK, parse_id_text, parse_labelled
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -105,15 +113,6 @@ def q_line_points(spark, sf_dir):
 
 # ---------------------------------------------------------------- parsing
 
-from quillspark.functions.columns import snippet  # noqa: E402
-from quillspark.sources.text import (  # noqa: E402
-    BODY_GREEDY,
-    BODY_SHORTEST,
-    CLASS_ONE_MARK,
-    parse_id_text,
-    parse_labelled,
-)
-
 
 @register("parse_pages")
 def q_parse_pages(spark, sf_dir):
@@ -155,7 +154,6 @@ def q_parse_marked_docs(spark, sf_dir):
 
 # ---------------------------------------------------------------- text features
 
-from quillspark.operators import text as tx  # noqa: E402
 
 ORACLE_DIM = 200
 TOP_K = 20
@@ -209,11 +207,6 @@ def q_topk_similar_docs(spark, sf_dir):
 
 # ---------------------------------------------------------------- classes
 
-import numpy as np  # noqa: E402
-
-from quillspark.operators import gradient as gr  # noqa: E402
-from quillspark.operators import metrics as mt  # noqa: E402
-from quillspark.operators import profile as pf  # noqa: E402
 
 CLASS_PROFILE_N = 40
 LAMBDA = 0.01
@@ -338,7 +331,6 @@ def q_accuracy_f1(spark, sf_dir):
 
 # ---------------------------------------------------------------- descent
 
-from quillspark.plans import descent as ds  # noqa: E402
 
 MULTI_X = ["quantity", "discount", "tax"]
 
@@ -368,8 +360,6 @@ register("gd_multi_observed")(_multi_trace_query("observed"))
 
 # ---------------------------------------------------------------- classifiers
 
-from quillspark.plans import classify as cl  # noqa: E402
-from quillspark.session import materialize  # noqa: E402
 
 TRACE_STEPS = 5
 

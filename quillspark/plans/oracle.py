@@ -4,7 +4,9 @@ the pre-registered table views (DuckDB dialect)."""
 from __future__ import annotations
 
 from quillspark.operators.clean import LINEITEM_KEEP, LINEITEM_RANGES
-from quillspark.plans.sqltext import sql_safe_double, sql_sig_round
+from quillspark.operators.text import FORCED_WORDS
+from quillspark.plans.sqltext import sql_safe_double, sql_sig_round, sql_str
+from quillspark.sources.text import BODY_GREEDY, BODY_SHORTEST, CLASS_ONE_MARK, ID_PATTERN
 
 ORACLES: dict[str, str] = {}
 
@@ -73,13 +75,6 @@ SELECT i, {R('x', 8)} AS x, {R('y', 8)} AS y FROM o"""
 
 # ---------------------------------------------------------------- parsing
 
-from quillspark.plans.sqltext import sql_str  # noqa: E402
-from quillspark.sources.text import (  # noqa: E402
-    BODY_GREEDY,
-    BODY_SHORTEST,
-    CLASS_ONE_MARK,
-    ID_PATTERN,
-)
 
 ORACLES["parse_pages"] = f"""
 WITH l AS (
@@ -111,7 +106,6 @@ SELECT doc_id, label, CAST(length(text) AS BIGINT) AS body_len, md5(text) AS bod
 
 # ---------------------------------------------------------------- text features
 
-from quillspark.operators.text import FORCED_WORDS  # noqa: E402
 
 ORACLE_DIM = 200
 TOP_K = 20
