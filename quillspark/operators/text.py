@@ -1,6 +1,7 @@
 """Vocabulary, term frequency, TF-IDF and top-k similar documents.
 
-Plan shapes (all declarative, no Python in the hot path):
+Plan shapes (declarative by default; ``features_arrow`` is an opt-in
+map-only variant):
 
 * document frequency: ``explode(array_distinct(split(text, ' ')))`` then
   ``groupBy(word).count()``. The partial aggregate collapses each task to one
@@ -16,9 +17,13 @@ Plan shapes (all declarative, no Python in the hot path):
 * sparse features: one row per document, ``i ARRAY<INT>`` (ascending) and
   ``v ARRAY<DOUBLE>``; a document without any vocabulary word keeps an empty
   vector (left join), it still counts in losses and metrics.
-* similarity: each document's sparse vector is dotted in-row with the dense
-  query array (a one-row broadcast), then a top-k. No shuffle besides the
-  top-k merge.
+* similarity from text (``top_k_similar_text``, the flagship): each token
+  looks up its query weight (broadcast, one row per query word) and the sum is
+  per document, so one row per document is shuffled before the top-k.
+* similarity from cached vectors (``top_k_similar``): each sparse vector is
+  dotted in-row with the dense query array (a one-row broadcast), then a
+  top-k; no shuffle besides the top-k merge.
+* snippets for the k hits: an IN filter on the k ids, pushed into the scan.
 """
 
 from __future__ import annotations
@@ -226,8 +231,7 @@ def top_k_similar(feats: DataFrame, qvec: DataFrame, k: int = 20,
     hits = scored.orderBy(F.desc("score"), F.asc("doc_id")).limit(k)
     if docs is None:
         return hits
-    snip = docs.select(F.col(id_col).alias("doc_id"), snippet(text_col).alias("snippet"))
-    return snip.join(F.broadcast(hits), "doc_id").select("doc_id", "score", "snippet")
+    return attach_snippets(hits, docs, id_col, text_col)
 
 
 def query_weights(spark, text, vocab: Vocabulary) -> DataFrame:
@@ -263,8 +267,23 @@ def top_k_similar_text(docs: DataFrame, vocab: Vocabulary, text, k: int = 20,
     scored = per_doc.select("doc_id", F.round(F.col("s") / F.col("n_tok").cast("double"), digits)
                             .alias("score"))
     hits = scored.orderBy(F.desc("score"), F.asc("doc_id")).limit(k)
-    snip = docs.select(F.col(id_col).alias("doc_id"), snippet(text_col).alias("snippet"))
-    return snip.join(F.broadcast(hits), "doc_id").select("doc_id", "score", "snippet")
+    return attach_snippets(hits, docs, id_col, text_col)
+
+
+def attach_snippets(hits: DataFrame, docs: DataFrame, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """``(doc_id, score, snippet)`` for the hits.
+
+    The hits are at most k rows, so they are collected once; their ids go into
+    the documents scan as an IN filter, which parquet uses to skip every row
+    group whose id range holds none of them. The corpus text is therefore not
+    read in full a second time just for k snippets."""
+    rows = hits.collect()                       # at most k rows
+    local = docs.sparkSession.createDataFrame(rows, hits.schema)
+    ids = [r["doc_id"] for r in rows]
+    snip = docs.where(F.col(id_col).isin(ids)).select(
+        F.col(id_col).alias("doc_id"), snippet(text_col).alias("snippet"))
+    return snip.join(F.broadcast(local), "doc_id").select("doc_id", "score", "snippet")
 
 
 def features_arrow(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id",
