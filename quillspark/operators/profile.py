@@ -73,9 +73,13 @@ def class_mean_tf(docs: DataFrame, vocab: Vocabulary, n: int = 40,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(label, word, avg_tf, n_docs)``: mean term frequency of ``words`` over
     the first ``n`` documents of each class (a word outside the vocabulary or
-    absent from a document counts 0; the divisor is the documents found)."""
+    absent from a document counts 0; the divisor is the documents found).
+    Only those documents (at most n per class) are tokenised."""
     chosen = first_per_class(docs.select(id_col, label_col), n, label_col, id_col)
-    chosen_docs = docs.join(F.broadcast(chosen.select(id_col)), id_col, "left_semi")
+    # at most n ids per class: pushed into the scan as an IN filter, so only
+    # the row groups holding them are read for tokenising
+    ids = [r[id_col] for r in chosen.select(id_col).collect()]
+    chosen_docs = docs.where(F.col(id_col).isin(ids))
     tf = term_freq(chosen_docs, vocab, id_col, text_col, keep=[label_col]).where(
         F.col("word").isin(list(words)))
     per_class = chosen.groupBy(label_col).agg(F.count(F.lit(1)).alias("n_docs"))
