@@ -253,11 +253,11 @@ def q_class_weights(spark, sf_dir):
     return _rounded(pf.class_weights(train), 12)
 
 
-def model_inputs(spark, sf_dir, rule, weighted=False):
+def model_inputs(spark, sf_dir, rule, weighted=False, dim=None):
     """Vocabulary fitted on the train split; sparse features of train and
     test (test uses the train statistics)."""
     train, test = train_test(spark, sf_dir)
-    vocab = tx.fit_vocabulary(train, ORACLE_DIM, rule=rule)
+    vocab = tx.fit_vocabulary(train, dim or ORACLE_DIM, rule=rule)
     ftrain = tx.features(train, vocab, keep=["label"])
     ftest = tx.features(test, vocab, keep=["label"])
     if weighted:
@@ -364,19 +364,20 @@ register("gd_multi_observed")(_multi_trace_query("observed"))
 TRACE_STEPS = 5
 
 
-def _trained(spark, sf_dir, kind, steps, variant="exact", evaluate=False):
+def _trained(spark, sf_dir, kind, steps, variant="exact", evaluate=False, dim=None):
     """Train on the pinned train features. With ``evaluate``, also score the
     final θ on train (still pinned) and test before releasing them; the
     result is two small rows."""
     weighted = kind == "weighted_hinge"
-    vocab, ftrain, ftest = model_inputs(spark, sf_dir, KIND_RULE[kind], weighted)
+    dim = dim or ORACLE_DIM
+    vocab, ftrain, ftest = model_inputs(spark, sf_dir, KIND_RULE[kind], weighted, dim)
     p = vocab.size() + 1
     feats = materialize(ftrain)
     try:
         if kind == "logistic":
             fit = cl.train_logistic(feats, p, variant, max_iter=steps)
         else:
-            fit = cl.train_hinge(feats, p, ORACLE_DIM, variant,
+            fit = cl.train_hinge(feats, p, dim, variant,
                                  weight_col="share" if weighted else None, max_iter=steps)
         scores = None
         if evaluate:
@@ -456,3 +457,29 @@ def q_linear_svc_tfidf(spark, sf_dir):
     finally:
         feats.unpersist()
     return out
+
+
+# The reference's own configuration: 2,000 words, 20 steps.
+FULL_DIM = 2000
+FULL_STEPS = 20
+
+
+def _full_trace_query(kind):
+    def fn(spark, sf_dir):
+        fit, _ = _trained(spark, sf_dir, kind, FULL_STEPS, dim=FULL_DIM)
+        return _rounded(fit.trace_frame(spark), 9)
+    return fn
+
+
+def _full_eval_query(kind):
+    def fn(spark, sf_dir):
+        _, scores = _trained(spark, sf_dir, kind, FULL_STEPS, evaluate=True, dim=FULL_DIM)
+        return _rounded(scores, 12)
+    return fn
+
+
+register("logistic_trace_full")(_full_trace_query("logistic"))
+register("logistic_eval_full")(_full_eval_query("logistic"))
+register("svm_trace_full")(_full_trace_query("hinge"))
+register("svm_eval_full")(_full_eval_query("hinge"))
+register("weighted_svm_eval_full")(_full_eval_query("weighted_hinge"))

@@ -215,8 +215,8 @@ def _margins(theta0: float = THETA0, feats: str = "tfidf", lab: str = "lab") ->
             f"FROM {lab} l LEFT JOIN {feats} t ON l.doc_id = t.doc_id GROUP BY l.doc_id, l.label")
 
 
-def _model_ctes(kind: str) -> str:
-    out = f"""{text_ctes(TRAIN, rule=KIND_RULE[kind])},
+def _model_ctes(kind: str, dim: int = ORACLE_DIM) -> str:
+    out = f"""{text_ctes(TRAIN, dim=dim, rule=KIND_RULE[kind])},
 lab AS (SELECT doc_id, label FROM d),
 wt AS (SELECT label, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share FROM lab GROUP BY label),
 pp AS (SELECT count(*) + 1 AS p FROM vocab),
@@ -425,12 +425,16 @@ gf{k} AS (SELECT th.idx, th.w,
 
 
 def _logistic_trace_sql(steps: int = TRACE_STEPS, evaluate: bool = False,
-                        variant: str = "exact") -> str:
-    parts = [_model_ctes("logistic").split(",\nmg AS")[0],
+                        variant: str = "exact", dim: int = ORACLE_DIM,
+                        min_rate: float = 0.01) -> str:
+    """sp{k}: the loop has stopped after step k (rate below ``min_rate``);
+    θ is frozen from then on and later trace rows are dropped."""
+    parts = [_model_ctes("logistic", dim).split(",\nmg AS")[0],
              "nn AS (SELECT count(*) AS n FROM lab)",
              "th0 AS (SELECT idx, CAST(0.1 AS DOUBLE) AS w FROM vocab "
              "UNION ALL SELECT CAST(p - 1 AS INTEGER), CAST(0.1 AS DOUBLE) FROM pp)",
-             "r0 AS (SELECT CAST(0.1 AS DOUBLE) AS lr)"]
+             "r0 AS (SELECT CAST(0.1 AS DOUBLE) AS lr)",
+             "sp0 AS (SELECT false AS stop)"]
     for k in range(steps + 1):
         parts.append(_margin_at(k))
         parts.append(f"""ls{k} AS (
@@ -439,25 +443,31 @@ def _logistic_trace_sql(steps: int = TRACE_STEPS, evaluate: bool = False,
         if k > 0:
             parts.append(f"""r{k} AS (SELECT CASE WHEN a.loss > b.loss THEN r.lr * 0.75 ELSE r.lr * 1.1 END AS lr
   FROM ls{k} a, ls{k - 1} b, r{k - 1} r)""")
+            parts.append(f"sp{k} AS (SELECT sp.stop OR r.lr < {min_rate!r} AS stop FROM sp{k - 1} sp, r{k} r)")
         if k < steps:
             parts.append(_grad_at(k, "logistic", variant))
-            parts.append(f"""th{k + 1} AS (SELECT gf.idx, gf.w - r.lr * (gf.g + {LAMBDA!r} / CAST(nn.n AS DOUBLE) * gf.w) AS w
-  FROM gf{k} gf CROSS JOIN r{k} r CROSS JOIN nn)""")
+            parts.append(f"""th{k + 1} AS (SELECT gf.idx,
+    CASE WHEN sp.stop THEN gf.w
+         ELSE gf.w - r.lr * (gf.g + {LAMBDA!r} / CAST(nn.n AS DOUBLE) * gf.w) END AS w
+  FROM gf{k} gf CROSS JOIN r{k} r CROSS JOIN nn CROSS JOIN sp{k} sp)""")
     if evaluate:
         return _eval_tail(parts, "logistic", f"th{steps}", LOGISTIC_THRESHOLD)
     rows = ["SELECT 0 AS step, ls0.loss, r0.lr AS learning_rate FROM ls0, r0"]
-    rows += [f"SELECT {k} AS step, ls{k}.loss, r{k - 1}.lr FROM ls{k}, r{k - 1}"
-             for k in range(1, steps + 1)]
+    rows += [f"SELECT {k} AS step, ls{k}.loss, r{k - 1}.lr FROM ls{k}, r{k - 1}, sp{k - 1} "
+             f"WHERE NOT sp{k - 1}.stop" for k in range(1, steps + 1)]
     body = ",\n".join(parts)
     return (f"WITH {body},\no AS ({' UNION ALL '.join(rows)})\n"
             f"SELECT step, {R('loss', 9)} AS loss, {R('learning_rate', 9)} AS learning_rate FROM o")
 
 
 def _hinge_trace_sql(kind: str, steps: int = TRACE_STEPS, dim: int = ORACLE_DIM,
-                     evaluate: bool = False, variant: str = "exact") -> str:
+                     evaluate: bool = False, variant: str = "exact",
+                     min_rate: float = 1e-6) -> str:
     """Exact variant: mean gradient, s = 0.9 s + 0.1 g·g/dim, step rate/(sqrt(s)+1e-8);
-    reject (roll back) when the loss rose by more than 5 %."""
-    parts = [_model_ctes(kind).split(",\nmg AS")[0],
+    reject (roll back) when the loss rose by more than 5 %. hs{k}: stopped at
+    step k (rate below ``min_rate``): θ frozen, later rows dropped."""
+    parts = [_model_ctes(kind, dim).split(",\nmg AS")[0],
+             "hs0 AS (SELECT false AS stop)",
              "nn AS (SELECT count(*) AS n FROM lab)",
              "th1 AS (SELECT idx, CAST(0.1 AS DOUBLE) AS w FROM vocab "
              "UNION ALL SELECT CAST(p - 1 AS INTEGER), CAST(0.1 AS DOUBLE) FROM pp)",
@@ -488,17 +498,19 @@ def _hinge_trace_sql(kind: str, steps: int = TRACE_STEPS, dim: int = ORACLE_DIM,
          CASE WHEN reject THEN loss_old ELSE cur END AS loss, s, p0, reject
   FROM (SELECT *, {p0_new} AS p0 FROM dc{k}) q)""")
         step = "st.lr / (sqrt(st.s) + 1e-8)" if exact else "st.lr"
+        parts.append(f"hs{k} AS (SELECT h.stop OR st.lr < {min_rate!r} AS stop FROM hs{k - 1} h, st{k} st)")
         if k <= steps:
             parts.append(f"""th{k + 1} AS (
-  SELECT gf.idx, CASE WHEN st.reject THEN o.w ELSE gf.w - {step} * gf.g END AS w
-  FROM gf{k} gf JOIN old{k} o ON gf.idx = o.idx CROSS JOIN st{k} st)""")
+  SELECT gf.idx, CASE WHEN h.stop THEN gf.w WHEN st.reject THEN o.w
+                      ELSE gf.w - {step} * gf.g END AS w
+  FROM gf{k} gf JOIN old{k} o ON gf.idx = o.idx CROSS JOIN st{k} st CROSS JOIN hs{k} h)""")
             parts.append(f"""old{k + 1} AS (
   SELECT o.idx, CASE WHEN st.reject THEN o.w ELSE th.w END AS w
   FROM old{k} o JOIN th{k} th ON o.idx = th.idx CROSS JOIN st{k} st)""")
     if evaluate:
         return _eval_tail(parts, kind, f"th{steps + 1}", HINGE_THRESHOLD)
-    rows = [f"SELECT {k} AS step, ls{k}.loss, st{k - 1}.lr AS learning_rate FROM ls{k}, st{k - 1}"
-            for k in range(1, steps + 1)]
+    rows = [f"SELECT {k} AS step, ls{k}.loss, st{k - 1}.lr AS learning_rate "
+            f"FROM ls{k}, st{k - 1}, hs{k - 1} WHERE NOT hs{k - 1}.stop" for k in range(1, steps + 1)]
     body = ",\n".join(parts)
     return (f"WITH {body},\no AS ({' UNION ALL '.join(rows)})\n"
             f"SELECT step, {R('loss', 9)} AS loss, {R('learning_rate', 9)} AS learning_rate FROM o")
@@ -544,3 +556,13 @@ ORACLES["weighted_svm_eval"] = _hinge_trace_sql("weighted_hinge", evaluate=True)
 
 ORACLES["logistic_trace_observed"] = _logistic_trace_sql(variant="observed")
 ORACLES["svm_trace_observed"] = _hinge_trace_sql("hinge", variant="observed")
+
+# The reference's own configuration: 2,000 words, 20 steps.
+FULL_DIM = 2000
+FULL_STEPS = 20
+ORACLES["logistic_trace_full"] = _logistic_trace_sql(FULL_STEPS, dim=FULL_DIM)
+ORACLES["logistic_eval_full"] = _logistic_trace_sql(FULL_STEPS, evaluate=True, dim=FULL_DIM)
+ORACLES["svm_trace_full"] = _hinge_trace_sql("hinge", FULL_STEPS, FULL_DIM)
+ORACLES["svm_eval_full"] = _hinge_trace_sql("hinge", FULL_STEPS, FULL_DIM, evaluate=True)
+ORACLES["weighted_svm_eval_full"] = _hinge_trace_sql("weighted_hinge", FULL_STEPS, FULL_DIM,
+                                                     evaluate=True)

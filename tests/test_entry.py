@@ -28,3 +28,31 @@ def test_registry_consistent():
 def test_oracle_small(spark, name):
     res = check(spark, duck(SMALL), SMALL, name, se.queries()[name], se.oracle_sql()[name])
     assert res["status"].startswith("MATCH"), res
+
+
+def test_early_stop_matches_sql(spark):
+    """Force the stop rules to fire (a high rate floor) and compare the
+    driver loops with the unrolled SQL at the smallest scale."""
+    from quillspark.functions.columns import sig_round
+    from quillspark.plans import catalog as c
+    from quillspark.plans import classify as cl
+    from quillspark.plans import oracle as o
+
+    con = duck(SMALL)
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.select(
+            "step", sig_round("loss", 9).alias("loss"),
+            sig_round("learning_rate", 9).alias("learning_rate")).collect())
+
+    vocab, ftrain, _ = c.model_inputs(spark, SMALL, "forced")
+    fit = cl.train_logistic(ftrain, vocab.size() + 1, max_iter=5, min_rate=0.2)
+    assert len(fit.trace) == 2                       # initial row + the step that stopped
+    sql = con.execute(o._logistic_trace_sql(5, min_rate=0.2)).fetchall()
+    assert rows(fit.trace_frame(spark)) == sorted(sql)
+
+    vocab, ftrain, _ = c.model_inputs(spark, SMALL, "max_df")
+    fit = cl.train_hinge(ftrain, vocab.size() + 1, o.ORACLE_DIM, max_iter=5, min_rate=0.0105)
+    assert len(fit.trace) == 1
+    sql = con.execute(o._hinge_trace_sql("hinge", 5, min_rate=0.0105)).fetchall()
+    assert rows(fit.trace_frame(spark)) == sorted(sql)
