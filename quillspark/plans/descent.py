@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +59,21 @@ class StopRule:
         return rate < self.min_rate or (self.max_hits is not None and self.hits >= self.max_hits)
 
 
+def sig_round_value(x: float, digits: int = 12) -> float:
+    """``x`` rounded to ``digits`` significant digits, half away from zero,
+    scaling by exact powers of ten: the same arithmetic as the SQL oracle's
+    rounding, so both give the same double."""
+    if x == 0 or math.isnan(x) or math.isinf(x):
+        return x
+    k = digits - 1 - math.floor(math.log10(abs(x)))
+    pa, pb = 10.0 ** min(abs(k), 22), 10.0 ** max(abs(k) - 22, 0)
+    if k >= 0:
+        y = Decimal(x * pa * pb).quantize(Decimal(1), rounding=ROUND_HALF_UP)
+        return float(y) / pb / pa
+    y = Decimal(x / pa / pb).quantize(Decimal(1), rounding=ROUND_HALF_UP)
+    return float(y) * pb * pa
+
+
 @dataclass
 class AdaptiveRate:
     """The hinge models' step rule. Returns (rate, accept).
@@ -70,17 +86,25 @@ class AdaptiveRate:
       ``exact``: rate unchanged.
     ``exact`` also keeps s = 0.9 s + 0.1 g·g/dim on every step; the step size
     is then rate / (sqrt(s) + 1e-8) (RMSprop scaling of a mean gradient).
-    The first step (no previous loss) takes the last branch."""
+    The first step (no previous loss) takes the last branch.
+
+    Losses are compared at ``tie_digits`` significant digits: a rolled-back
+    step re-evaluates the same θ, whose loss equals the accepted one in exact
+    arithmetic, and a different summation order must not turn that tie into
+    a rise."""
 
     dim: int
     variant: str = "exact"
     p0: float = 0.0
     s: float = 0.0
+    tie_digits: int = 12
 
     def update(self, grad: np.ndarray, rate: float, loss: float, loss_old: float):
         gg = float(grad @ grad) / self.dim
         if self.variant == "exact":
             self.s = 0.9 * self.s + 0.1 * gg
+        loss = sig_round_value(loss, self.tie_digits)
+        loss_old = sig_round_value(loss_old, self.tie_digits)
         if loss_old - loss < 0:
             if loss / loss_old > 1.05:
                 return rate * 0.5, False

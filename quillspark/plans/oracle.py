@@ -389,6 +389,7 @@ ORACLES["gd_multi_observed"] = _multi_trace_sql("observed")
 # joins it with the TF-IDF entries for margins, then gradient and loss.
 
 TRACE_STEPS = 5
+TIE_DIGITS = 12
 
 
 def _margin_at(k: int) -> str:
@@ -481,13 +482,16 @@ def _hinge_trace_sql(kind: str, steps: int = TRACE_STEPS, dim: int = ORACLE_DIM,
         parts.append(_grad_at(k, kind, variant))
         gg = f"((SELECT sum(g * g) FROM gf{k}) / {float(dim)!r})"
         s_new = f"0.9 * st.s + 0.1 * {gg}" if exact else "st.s"
+        # losses compared at 12 significant digits (ties stay ties)
+        cur_r, old_r = R("l.loss", TIE_DIGITS), R("st.loss", TIE_DIGITS)
         parts.append(f"""dc{k} AS (
-  SELECT st.lr AS lr_used, l.loss AS cur, st.loss AS loss_old, st.p0 AS p0_old, {gg} AS gg,
-         {s_new} AS s,
-         coalesce(st.loss - l.loss < 0, false) AS rose,
-         coalesce(st.loss - l.loss < 0 AND l.loss / st.loss > 1.05, false) AS reject,
-         coalesce(0 <= (st.loss - l.loss) / st.loss AND (st.loss - l.loss) / st.loss < 0.01, false) AS small
-  FROM st{k - 1} st, ls{k} l)""")
+  SELECT lr_used, cur, loss_old, p0_old, gg, s,
+         coalesce(old_r - cur_r < 0, false) AS rose,
+         coalesce(old_r - cur_r < 0 AND cur_r / old_r > 1.05, false) AS reject,
+         coalesce(0 <= (old_r - cur_r) / old_r AND (old_r - cur_r) / old_r < 0.01, false) AS small
+  FROM (SELECT st.lr AS lr_used, l.loss AS cur, st.loss AS loss_old, st.p0 AS p0_old, {gg} AS gg,
+               {s_new} AS s, {cur_r} AS cur_r, {old_r} AS old_r
+        FROM st{k - 1} st, ls{k} l) q)""")
         p0_new = ("p0_old" if exact else
                   "CASE WHEN reject OR rose OR small THEN p0_old "
                   "ELSE p0_old + (0.9 * p0_old + 0.1 * sqrt(gg) + 1e-8) END")

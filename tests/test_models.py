@@ -187,3 +187,13 @@ def test_sparse_to_dense_and_library_svc(spark):
         assert vec == Xd[d, :-1].tolist()
     model, theta = cl.linear_svc(cl.sparse_to_dense(f, P - 1), max_iter=20)
     assert theta.shape == (P,)
+
+
+def test_adaptive_rule_treats_last_bit_noise_as_tie():
+    a = ds.AdaptiveRate(dim=4, variant="exact")
+    g = np.ones(4)
+    old = 0.2356357818040717
+    noisy = 0.23563578180407224        # same θ, other summation order
+    assert a.update(g, 1.0, noisy, old) == (pytest.approx(1.1), True)   # tie, not a rise
+    assert a.update(g, 1.0, old * 1.001, old) == (0.75, True)           # a real rise
+    assert ds.sig_round_value(0.23563578180407177) == ds.sig_round_value(noisy)
