@@ -12,3 +12,21 @@ streaming/  the stateless featurisers applied to a stream (no stream state)
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Serialise this package's functions by value in Spark task closures.
+
+    The Arrow passes (gradient, featuriser, densifier) call helpers defined in
+    this package; pickled by reference, every Python worker would need the
+    package installed. By value, the code travels with the task."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+    except ImportError:  # pyspark absent: nothing to ship
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()

@@ -25,3 +25,33 @@ def test_spread_only_when_scan_is_narrow(spark, tmpdir_path):
     wide = spark.range(0, 100, 1, slots + 2)
     assert spread(wide) is wide                       # unchanged: no shuffle added
     assert sorted(r.id for r in spread(narrow).collect()) == list(range(100))
+
+
+def test_task_closures_need_no_installed_package():
+    """Arrow-pass closures must carry this package's code: Python workers on
+    a cluster do not have it installed."""
+    import subprocess
+    import sys
+
+    import numpy as np
+    import pyarrow as pa
+    from pyspark import cloudpickle
+
+    from quillspark.operators.gradient import _partials
+
+    fn = _partials(np.full(3, 0.1), "hinge", "exact", "label", None)
+    payload = cloudpickle.dumps(fn)
+    probe = (
+        "import sys, pickle, pyarrow as pa\n"
+        "assert not any('repo' in p for p in sys.path)\n"
+        "fn = pickle.loads(sys.stdin.buffer.read())\n"
+        "b = pa.RecordBatch.from_arrays([pa.array([[0, 1]], pa.list_(pa.int32())),"
+        " pa.array([[1.0, 2.0]], pa.list_(pa.float64())), pa.array([1.0])], ['i', 'v', 'label'])\n"
+        "out = next(fn(iter([b])))\n"
+        "print(out.num_rows)\n"
+    )
+    res = subprocess.run([sys.executable, "-c", probe], input=payload, capture_output=True,
+                         cwd="/tmp", timeout=120, env={"PATH": "/usr/bin:/bin"})
+    assert res.returncode == 0, res.stderr.decode()[-800:]
+    assert res.stdout.decode().strip() == "5"      # p + 2 slots
+    assert pa is not None
