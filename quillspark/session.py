@@ -26,6 +26,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # remove checkpoint files once the pinned frame is garbage-collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("QS_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
