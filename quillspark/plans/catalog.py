@@ -401,6 +401,7 @@ def _trace_query(kind, variant="exact"):
 register("logistic_trace")(_trace_query("logistic"))
 register("logistic_trace_observed")(_trace_query("logistic", "observed"))
 register("svm_trace_observed")(_trace_query("hinge", "observed"))
+register("weighted_svm_trace_observed")(_trace_query("weighted_hinge", "observed"))
 register("svm_trace")(_trace_query("hinge"))
 register("weighted_svm_trace")(_trace_query("weighted_hinge"))
 

@@ -560,6 +560,7 @@ ORACLES["weighted_svm_eval"] = _hinge_trace_sql("weighted_hinge", evaluate=True)
 
 ORACLES["logistic_trace_observed"] = _logistic_trace_sql(variant="observed")
 ORACLES["svm_trace_observed"] = _hinge_trace_sql("hinge", variant="observed")
+ORACLES["weighted_svm_trace_observed"] = _hinge_trace_sql("weighted_hinge", variant="observed")
 
 # The reference's own configuration: 2,000 words, 20 steps.
 FULL_DIM = 2000
