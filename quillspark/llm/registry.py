@@ -1,7 +1,9 @@
 """The registered queries of this subpackage and the SQL of those that have one."""
 
+from quillspark.llm.fingerprint import op7_order_min_hash
 from quillspark.llm.mixing import op10_mix_sources
+from quillspark.llm.secrets import op6_link_secrets
 
-QUERIES = {f.__name__: f for f in (op10_mix_sources,)}
+QUERIES = {f.__name__: f for f in (op6_link_secrets, op7_order_min_hash, op10_mix_sources)}
 
 ORACLES: dict[str, str] = {}
