@@ -2,8 +2,9 @@
 
 from quillspark.llm.fingerprint import op7_order_min_hash
 from quillspark.llm.mixing import op10_mix_sources
+from quillspark.llm.packing import op4_pack_patterns
 from quillspark.llm.secrets import op6_link_secrets
 
-QUERIES = {f.__name__: f for f in (op6_link_secrets, op7_order_min_hash, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op4_pack_patterns, op6_link_secrets, op7_order_min_hash, op10_mix_sources)}
 
 ORACLES: dict[str, str] = {}
