@@ -4,11 +4,12 @@ from quillspark.llm.fingerprint import op7_order_min_hash
 from quillspark.llm.line_dedup import op3_line_chunks
 from quillspark.llm.lm_score import op9_pseudo_likelihood
 from quillspark.llm.mixing import op10_mix_sources
+from quillspark.llm.near_dup import op8_near_duplicates
 from quillspark.llm.packing import op4_pack_patterns
 from quillspark.llm.quality import op5_quality
 from quillspark.llm.secrets import op6_link_secrets
 
 QUERIES = {f.__name__: f for f in (
-    op3_line_chunks, op4_pack_patterns, op5_quality, op6_link_secrets, op7_order_min_hash, op9_pseudo_likelihood, op10_mix_sources)}
+    op3_line_chunks, op4_pack_patterns, op5_quality, op6_link_secrets, op7_order_min_hash, op8_near_duplicates, op9_pseudo_likelihood, op10_mix_sources)}
 
 ORACLES: dict[str, str] = {}
