@@ -1,5 +1,6 @@
 """The registered queries of this subpackage and the SQL of those that have one."""
 
+from quillspark.llm.ann_mih import op1_multi_index_hashing
 from quillspark.llm.fingerprint import op7_order_min_hash
 from quillspark.llm.line_dedup import op3_line_chunks
 from quillspark.llm.lm_score import op9_pseudo_likelihood
@@ -10,6 +11,6 @@ from quillspark.llm.quality import op5_quality
 from quillspark.llm.secrets import op6_link_secrets
 
 QUERIES = {f.__name__: f for f in (
-    op3_line_chunks, op4_pack_patterns, op5_quality, op6_link_secrets, op7_order_min_hash, op8_near_duplicates, op9_pseudo_likelihood, op10_mix_sources)}
+    op1_multi_index_hashing, op3_line_chunks, op4_pack_patterns, op5_quality, op6_link_secrets, op7_order_min_hash, op8_near_duplicates, op9_pseudo_likelihood, op10_mix_sources)}
 
 ORACLES: dict[str, str] = {}
