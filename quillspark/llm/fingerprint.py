@@ -91,45 +91,53 @@ def as_text(fingerprint: Column) -> Column:
 
 
 def successors(keys: DataFrame) -> DataFrame:
-    """``(doc_id, th, n)`` with the next key in ascending order, ``next_id`` and
-    ``next_th``; after the last comes the first. The keys are dealt out by
-    range; each range finds its own successors, and the first of the next
-    range, one row a range, completes the last of each."""
-    ranged = cut(keys.distinct().repartitionByRange("doc_id", "th").withColumn("range", F.spark_partition_id()))
-    inside = ranged.withColumn("next", F.lead(F.struct("doc_id", "th")).over(Window.partitionBy("range").orderBy("doc_id", "th")))
-    firsts = ranged.groupBy("range").agg(F.min(F.struct("doc_id", "th")).alias("first"))
+    """``keys(k, th, ...)`` with the next distinct key in ascending order,
+    ``next_k`` and ``next_th``; after the last comes the first. The keys are
+    dealt out by range; each range finds its own successors, and the first of
+    the next range, one row a range, completes the last of each."""
+    ranged = cut(keys.distinct().repartitionByRange("k", "th").withColumn("range", F.spark_partition_id()))
+    inside = ranged.withColumn("next", F.lead(F.struct("k", "th")).over(Window.partitionBy("range").orderBy("k", "th")))
+    firsts = ranged.groupBy("range").agg(F.min(F.struct("k", "th")).alias("first"))
     everything = Window.partitionBy(F.lit(0)).orderBy("range")
     around = F.min("first").over(Window.partitionBy(F.lit(0)))
     firsts = firsts.select(F.col("range").alias("_range"), F.coalesce(F.lead("first").over(everything), around).alias("after"))
     # as many rows as there are ranges
     found = inside.join(F.broadcast(firsts), F.col("range") == F.col("_range"))
     following = F.coalesce("next", "after")
-    return found.select("doc_id", "th", "n", following["doc_id"].alias("next_id"), following["th"].alias("next_th"))
+    return found.select(*keys.columns, following["k"].alias("next_k"), following["th"].alias("next_th"))
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
-    """Each text with its fingerprint, its edited text's and its successor's.
-    The edited text has its last quarter replaced by the successor's start."""
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    text = text.withColumn("th", F.xxhash64("text", F.lit(SEED)))
-    following = successors(text.select("doc_id", "th", F.length("text").alias("n")))
-    # Both joins read this frame with its columns in one order: its exchange is made once and reused.
-    marked = with_fingerprint(text.select("doc_id", "th", "text"), "text", "fp")
-    source = marked.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "text", "fp")
-    on_next = (F.col("next_id").eqNullSafe(F.col("_id"))) & (F.col("next_th") == F.col("_th"))
-    tails = following.join(source, on_next).select(
-        "doc_id", "th", "n", F.expr("substring(text, 1, cast(floor(n / 4) as int))").alias("tail"), F.col("fp").alias("next_fp"))
-    tails = tails.groupBy(F.col("doc_id").alias("_of_id"), F.col("th").alias("_of_th")).agg(
-        F.first("n").alias("n_chars"), F.first("tail").alias("tail"), F.first("next_fp").alias("next_fp"))
-    same = F.col("doc_id").eqNullSafe(F.col("_of_id")) & (F.col("th") == F.col("_of_th"))
-    both = marked.join(tails, same)
-    edited = F.concat(F.expr("substring(text, 1, n_chars - cast(floor(n_chars / 4) as int))"), F.col("tail"))
-    return with_fingerprint(both.withColumn("edited", edited), "edited", "edited_fp").drop("_of_id", "_of_th", "tail")
+    """``(doc_id, n_chars, edited_sha256, fp, edited_fp, next_fp)``: for each
+    text its fingerprint, its edited text's and its successor's. The edited
+    text has its last quarter replaced by the successor's start.
+
+    Texts are shuffled once: both joins read the same columns by the same key,
+    so Spark makes that exchange once. Fingerprints are made after it and
+    written; successors' are joined from there."""
+    text = F.coalesce("text", F.lit(""))
+    # a key without nulls, equal for rows of equal id and text
+    keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k"), F.xxhash64(text, F.lit(SEED)).alias("th"), text.alias("text"))
+    following = successors(keyed.select("doc_id", "k", "th", F.length("text").cast("long").alias("n_chars")))
+    texts = keyed.select("k", "th", "text")
+    source = texts.select(F.col("k").alias("_k"), F.col("th").alias("_th"), "text")
+    tails = following.join(source, (F.col("next_k") == F.col("_k")) & (F.col("next_th") == F.col("_th")))
+    tails = tails.withColumn("tail", F.expr("substring(text, 1, cast(n_chars div 4 as int))"))
+    kept = ["doc_id", "n_chars", "next_k", "next_th", "tail"]
+    tails = tails.groupBy("k", "th").agg(*[F.first(c).alias(c) for c in kept])      # once for repeated successors
+    both = texts.join(tails, ["k", "th"])
+    edited = F.concat(F.expr("substring(text, 1, cast(n_chars - n_chars div 4 as int))"), F.col("tail"))
+    both = with_fingerprint(both.withColumn("edited", edited), "text", "fp")
+    both = with_fingerprint(both, "edited", "edited_fp")
+    done = cut(both.select("k", "th", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fp", "edited_fp", "next_k", "next_th"))
+    others = done.select(F.col("k").alias("_k"), F.col("th").alias("_th"), F.col("fp").alias("next_fp")).dropDuplicates(["_k", "_th"])
+    return done.join(others, (F.col("next_k") == F.col("_k")) & (F.col("next_th") == F.col("_th"))).select(
+        "doc_id", "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp")
 
 
 def op7_order_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_pairs(documents(spark, sf_dir)).select(
-        "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "doc_id", "n_chars", "edited_sha256",
         as_text(F.col("fp")).alias("fingerprint"), as_text(F.col("edited_fp")).alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
         likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))

@@ -104,7 +104,7 @@ def test_secret_query_digest(spark, tmp_path):
 # ---------------------------------------------------------------- fingerprints
 
 def test_fingerprints(spark, odd_docs, odd_rows, clashing, no_docs):
-    rows = fp.edited_pairs(odd_docs).select("doc_id", "n_chars", "text", "edited", "fp", "edited_fp", "next_fp", fp.likeness("fp", "edited_fp").alias("e"), fp.likeness("fp", "next_fp").alias("x")).collect()
+    rows = fp.edited_pairs(odd_docs).select("doc_id", "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp", fp.likeness("fp", "edited_fp").alias("e"), fp.likeness("fp", "next_fp").alias("x")).collect()
     assert sorted(r.doc_id for r in rows) == sorted(r[0] for r in odd_rows)
     text = {r[0]: r[1] or "" for r in odd_rows}
     ids = sorted(text)
@@ -112,7 +112,8 @@ def test_fingerprints(spark, odd_docs, odd_rows, clashing, no_docs):
     for r in rows:
         follower = ids[(ids.index(r.doc_id) + 1) % len(ids)]
         q = len(text[r.doc_id]) // 4
-        assert r.n_chars == len(text[r.doc_id]) and r.edited == text[r.doc_id][:r.n_chars - q] + text[follower][:q]
+        edited = text[r.doc_id][:r.n_chars - q] + text[follower][:q]
+        assert r.n_chars == len(text[r.doc_id]) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert r.next_fp == prints[follower] and 0 <= r.e <= 1 and 0 <= r.x <= 1
     assert prints[4] == prints[5] and prints[0] == prints[1] == prints[2] == [] and prints[3] != []
     by_id = {r.doc_id: r for r in rows}
@@ -120,7 +121,7 @@ def test_fingerprints(spark, odd_docs, odd_rows, clashing, no_docs):
     assert by_id[5].x > 0.8                                 # one word of 120 differs
     long = [r for r in rows if len(text[r.doc_id].split()) > 60 and r.doc_id > 14]
     assert all(r.e > r.x and r.e > 0.25 and r.x < 0.2 for r in long)
-    same = lambda df: sorted((r.doc_id, r.edited, r.fp) for r in fp.edited_pairs(df).select("doc_id", "edited", "fp").collect())
+    same = lambda df: sorted((r.doc_id, r.edited_sha256, r.fp) for r in fp.edited_pairs(df).collect())
     assert same(clashing.select("doc_id", "text", "th", "n")) == same(odd_docs)
     assert fp.edited_pairs(no_docs).collect() == []
 
