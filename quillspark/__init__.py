@@ -8,7 +8,7 @@ operators/  cleaning, closed-form regression, vocabulary and TF-IDF, class
             profiles, fused gradients, metrics
 plans/      driver loops (gradient descent with step and stop rules, classifiers)
             and the registered query catalog with its SQL oracles
-streaming/  the stateless featurisers applied to a stream (no stream state)
+llm/        operators for training-data pipelines (optional; nothing else imports it)
 """
 
 __version__ = "0.1.0"

@@ -21,9 +21,11 @@ def tokens(text) -> Column:
 
 
 def safe_double(c) -> Column:
-    """String -> DOUBLE, null when the text is not a plain number."""
+    """String -> DOUBLE, null when the text is not a plain number. The cast
+    itself takes type suffixes, hexadecimal and words like 'nan'; all of them
+    have a letter other than an exponent's e."""
     s = _c(c).cast("string")
-    return F.when(s.rlike(NUMERIC_PATTERN), F.trim(s).try_cast("double"))
+    return F.when(~s.rlike("[a-df-zA-DF-Z]"), s.try_cast("double"))
 
 
 def sparse_dot(i, v, weights) -> Column:

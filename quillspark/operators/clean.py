@@ -43,13 +43,24 @@ LINEITEM_RANGES = {
 
 
 def in_range(c, lo: float, hi: float):
-    """``lo <= c <= hi`` (null -> false) with ``c`` evaluated once per row.
+    """``lo <= c <= hi``; null and nan aren't in any range."""
+    return (c >= F.lit(float(lo))) & (c <= F.lit(float(hi)))
 
-    ``between`` references its operand twice, and the filter is pushed into
-    the scan with the parse inlined, so a regex-guarded cast would run twice
-    per bound. A one-element lambda binds the value once instead."""
-    test = F.transform(F.array(c), lambda v: (v >= F.lit(float(lo))) & (v <= F.lit(float(hi))))
-    return F.coalesce(F.element_at(test, 1), F.lit(False))
+
+def _condition(parsed, keep, ranges):
+    """Whether a row's tested fields lie in their ranges and all kept ones parse."""
+    cond = F.lit(True)
+    for name, (lo, hi) in ranges.items():
+        cond = cond & in_range(parsed[name], lo, hi)
+    for name in keep:
+        if name not in ranges:          # a range test already rejects null
+            cond = cond & parsed[name].isNotNull()
+    return cond
+
+
+def _parsed(keep, ranges):
+    tested = {name: keep.get(name, name) for name in ranges}
+    return {name: safe_double(src) for name, src in {**tested, **keep}.items()}
 
 
 def clean_numeric(df: DataFrame, keep: Mapping[str, str],
@@ -60,28 +71,17 @@ def clean_numeric(df: DataFrame, keep: Mapping[str, str],
     and keep rows inside every range. Range fields not in ``keep`` are tested
     but not returned. ``extra_ranges`` adds optional conditions (e.g. a
     minimum toll) on top of the defaults."""
-    all_ranges = dict(ranges)
-    all_ranges.update(extra_ranges or {})
-    tested = {name: keep.get(name, name) for name in all_ranges}
-    parsed = {name: safe_double(src) for name, src in {**tested, **keep}.items()}
-    cond = F.lit(True)
-    for name, (lo, hi) in all_ranges.items():
-        cond = cond & in_range(parsed[name], lo, hi)
-    for name in keep:
-        if name not in all_ranges:          # a range test already rejects null
-            cond = cond & parsed[name].isNotNull()
+    all_ranges = {**ranges, **(extra_ranges or {})}
+    parsed = _parsed(keep, all_ranges)
     cols = [F.col(c) for c in passthrough] + [parsed[n].alias(n) for n in keep]
-    return df.where(cond).select(*cols)
+    return df.where(_condition(parsed, keep, all_ranges)).select(*cols)
 
 
 def dropped_rows(df: DataFrame, keep: Mapping[str, str],
                  ranges: Mapping[str, tuple[float, float]]) -> DataFrame:
     """One row: input rows, kept rows, dropped rows (one aggregation pass)."""
-    kept = clean_numeric(df.withColumn("__row", F.lit(1)), keep, ranges,
-                         passthrough=["__row"])
-    total = df.agg(F.count(F.lit(1)).alias("rows_in"))
-    out = kept.agg(F.count(F.lit(1)).alias("rows_kept"))
-    return total.crossJoin(out).withColumn(
+    kept = F.coalesce(_condition(_parsed(keep, ranges), keep, ranges), F.lit(False))
+    return df.agg(F.count(F.lit(1)).alias("rows_in"), F.count_if(kept).alias("rows_kept")).withColumn(
         "rows_dropped", F.col("rows_in") - F.col("rows_kept"))
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.columns import hinge, logistic_loss, sparse_dot
+from quillspark.functions.columns import hinge, logistic_loss
 
 LOSSES = ("logistic", "hinge", "weighted_hinge")
 VARIANTS = ("exact", "observed")
@@ -66,8 +66,16 @@ def row_terms(kind: str, variant: str, m: np.ndarray, y: np.ndarray,
     return loss, c, dense
 
 
+def margins(batch: pa.RecordBatch, theta: np.ndarray) -> np.ndarray:
+    """x·θ + θ[last] of each row of a batch with sparse columns i and v."""
+    idx, lens = _flat(batch.column("i"))
+    vals, _ = _flat(batch.column("v"))
+    row = np.repeat(np.arange(batch.num_rows), lens)
+    return np.bincount(row, weights=vals * theta[:-1][idx.astype(np.int64)], minlength=batch.num_rows) + theta[-1]
+
+
 def _partials(theta: np.ndarray, kind: str, variant: str,
-              label_col: str, weight_col: str | None):
+              label_col: str, shares: dict[float, float] | None):
     p = theta.shape[0]
     wts, bias = theta[:-1], theta[-1]
 
@@ -84,8 +92,7 @@ def _partials(theta: np.ndarray, kind: str, variant: str,
             idx = idx.astype(np.int64)
             row = np.repeat(np.arange(rows), lens)
             y = b.column(label_col).to_numpy(zero_copy_only=False).astype(np.float64)
-            w = (b.column(weight_col).to_numpy(zero_copy_only=False).astype(np.float64)
-                 if weight_col else None)
+            w = np.where(y > 0.5, shares[1.0], shares[0.0]) if shares else None
             m = np.bincount(row, weights=vals * wts[idx], minlength=rows) + bias
             loss, c, dense = row_terms(kind, variant, m, y, w)
             g[:-1] += np.bincount(idx, weights=c[row] * vals, minlength=p - 1)
@@ -103,40 +110,31 @@ def _partials(theta: np.ndarray, kind: str, variant: str,
 
 def partial_sums(feats: DataFrame, theta: np.ndarray, kind: str = "logistic",
                  variant: str = "exact", label_col: str = "label",
-                 weight_col: str | None = None) -> DataFrame:
+                 shares: dict[float, float] | None = None) -> DataFrame:
     """``(k INT, g DOUBLE)``: k < p gradient sums, k = p loss sum, k = p + 1
     row count. Lazy; one job when collected."""
     if kind not in LOSSES or variant not in VARIANTS:
         raise ValueError(f"unknown loss {kind!r} / variant {variant!r}")
-    if kind == "weighted_hinge" and not weight_col:
-        raise ValueError("weighted_hinge needs a weight column (class share)")
-    cols = ["i", "v", label_col] + ([weight_col] if weight_col else [])
-    fn = _partials(np.asarray(theta, dtype=np.float64), kind, variant, label_col, weight_col)
-    return (feats.select(*cols).mapInArrow(fn, "k int, g double")
+    if kind == "weighted_hinge" and not shares:
+        raise ValueError("weighted_hinge needs the class shares")
+    fn = _partials(np.asarray(theta, dtype=np.float64), kind, variant, label_col, shares)
+    return (feats.select("i", "v", label_col).mapInArrow(fn, "k int, g double")
             .groupBy("k").agg(F.sum("g").alias("g")))
 
 
 def gradient_and_loss(feats: DataFrame, theta: np.ndarray, kind: str = "logistic",
                       variant: str = "exact", label_col: str = "label",
-                      weight_col: str | None = None):
+                      shares: dict[float, float] | None = None):
     """Run one pass; return (gradient sum ARRAY, loss sum, row count)."""
     p = len(theta)
     out = np.zeros(p + 2)
-    for r in partial_sums(feats, theta, kind, variant, label_col, weight_col).collect():
+    for r in partial_sums(feats, theta, kind, variant, label_col, shares).collect():
         out[r["k"]] = r["g"]
     return out[:p], out[p], int(round(out[p + 1]))
 
 
 # ------------------------------------------------------------ column form
-# The same quantities as plain column expressions: right for a handful of
-# features, and the reference for testing the Arrow form.
-
-def margin_col(theta_col: str = "theta", bias: Column | None = None) -> Column:
-    """x·θ + b with θ an array column of length p (bias last)."""
-    th = F.col(theta_col)
-    b = bias if bias is not None else F.element_at(th, -1)
-    return sparse_dot("i", "v", th) + b
-
+# The loss as a plain column expression over a margin column.
 
 def loss_col(kind: str, m: Column, y: Column, w: Column | None = None) -> Column:
     if kind == "logistic":

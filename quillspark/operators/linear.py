@@ -12,28 +12,33 @@ def _num(c) -> Column:
     return c if isinstance(c, Column) else F.lit(float(c))
 
 
+def centred_moments(df: DataFrame, x: str, y: str) -> DataFrame:
+    """One row ``(n, x_mean, y_mean, x_var, xy_cov, y_var)`` over the rows that
+    have both: one aggregation pass whose partial moments are centred, so
+    nothing cancels however many rows there are. Everything below follows from
+    this row."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    X, Y = F.when(both, F.col(x)), F.when(both, F.col(y))
+    return df.agg(
+        F.count_if(both).alias("n"),
+        F.avg(X).alias("x_mean"), F.avg(Y).alias("y_mean"),
+        F.var_pop(X).alias("x_var"), F.covar_pop(X, Y).alias("xy_cov"), F.var_pop(Y).alias("y_var"))
+
+
 def closed_form(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row ``(n, sum_xy, sum_x, sum_y, sum_x2, slope, intercept)``.
+    """The least-squares line: the moments' row with ``slope``, ``intercept``
+    and ``mse``, its mean squared error. A constant x gives null for them
+    instead of a division error."""
+    slope = F.try_divide(F.col("xy_cov"), F.col("x_var"))
+    fit = centred_moments(df, x, y).withColumn("slope", slope)
+    fit = fit.withColumn("intercept", F.col("y_mean") - F.col("slope") * F.col("x_mean"))
+    return fit.withColumn("mse", F.greatest(F.lit(0.0), F.col("y_var") - F.col("slope") * F.col("xy_cov")))
 
-    Least squares from the four sums, one aggregation pass (partial sums per
-    task, one row per task shuffled). A constant x gives null slope and
-    intercept instead of a division error."""
-    X, Y = F.col(x), F.col(y)
-    sums = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(X * Y).alias("sum_xy"),
-        F.sum(X).alias("sum_x"),
-        F.sum(Y).alias("sum_y"),
-        F.sum(X * X).alias("sum_x2"),
-    )
-    n = F.col("n").cast("double")
-    den = n * F.col("sum_x2") - F.col("sum_x") * F.col("sum_x")
-    return sums.select(
-        "*",
-        F.try_divide(n * F.col("sum_xy") - F.col("sum_x") * F.col("sum_y"), den).alias("slope"),
-        F.try_divide(F.col("sum_x2") * F.col("sum_y") - F.col("sum_x") * F.col("sum_xy"), den)
-        .alias("intercept"),
-    )
+
+def moments_mse(slope, intercept) -> Column:
+    """Mean of (y - (slope x + intercept))² from the moments' row."""
+    m, off = _num(slope), F.col("y_mean") - _num(slope) * F.col("x_mean") - _num(intercept)
+    return F.col("y_var") - 2.0 * m * F.col("xy_cov") + m * m * F.col("x_var") + off * off
 
 
 def regr(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -84,17 +89,11 @@ def line_points(sample: DataFrame, params: DataFrame, x: str, step: float = 0.1,
         "i", "x", (F.col(slope) * F.col("x") + F.col(intercept)).alias("y"))
 
 
-def closed_form_sql(df: DataFrame, x: str, y: str, view: str = "rides") -> DataFrame:
-    """The same fit written as SQL text over a temporary view (replaced if it
-    exists). The row count is part of the query, not pasted in as a literal."""
+def regr_view(df: DataFrame, x: str, y: str, view: str = "rides") -> DataFrame:
+    """The fit as SQL over a temporary view (replaced if it exists)."""
     df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(f"""
-        SELECT n,
-               try_divide(n * sum_xy - sum_x * sum_y, n * sum_x2 - sum_x * sum_x) AS slope,
-               try_divide(sum_x2 * sum_y - sum_x * sum_xy, n * sum_x2 - sum_x * sum_x) AS intercept
-        FROM (SELECT count(*) AS n, sum({x} * {y}) AS sum_xy, sum({x}) AS sum_x,
-                     sum({y}) AS sum_y, sum({x} * {x}) AS sum_x2
-              FROM {view}) sums""")
+    return df.sparkSession.sql(
+        f"SELECT count(*) AS n, regr_slope({y}, {x}) AS slope, regr_intercept({y}, {x}) AS intercept FROM {view}")
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:

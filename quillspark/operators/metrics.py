@@ -5,28 +5,32 @@ on the one-row result."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.columns import sparse_dot
+from quillspark.operators.gradient import margins
 
 # Margin thresholds of the reference's prediction rules.
 LOGISTIC_THRESHOLD = 0.5   # logistic and the library SVC (compared on the margin)
 HINGE_THRESHOLD = 0.0      # hand-written hinge models
 
 
-def theta_frame(spark: SparkSession, theta) -> DataFrame:
-    """One-row frame ``(theta ARRAY<DOUBLE>)``; broadcast next to the data."""
-    return spark.createDataFrame([([float(t) for t in np.asarray(theta)],)],
-                                 "theta array<double>")
+def with_margin(feats: DataFrame, theta) -> DataFrame:
+    """Add ``margin = x·θ + θ[last]``, map-only: θ (a driver vector of length
+    p) travels in the task closure."""
+    theta = np.asarray(theta, dtype=np.float64)
+    names = [c for c in feats.columns if c != "margin"]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(margins(b, theta))], names=[*names, "margin"])
 
-def with_margin(feats: DataFrame, theta) -> DataFrame:
-    """Add ``margin = x·θ + θ[last]`` (θ a driver vector of length p)."""
-    th = theta_frame(feats.sparkSession, theta)
-    return feats.crossJoin(F.broadcast(th)).withColumn(
-        "margin", sparse_dot("i", "v", "theta") + F.element_at("theta", -1)).drop("theta")
+    kinds = dict(feats.dtypes)
+    return feats.select(*names).mapInArrow(run, "".join(f"`{c}` {kinds[c]}, " for c in names) + "margin double")
 
 
 def predict(feats: DataFrame, theta, threshold: float) -> DataFrame:
@@ -35,16 +39,13 @@ def predict(feats: DataFrame, theta, threshold: float) -> DataFrame:
                         .otherwise(0.0))
 
 
-def _is(c: Column, v: float) -> Column:
-    return F.abs(c - F.lit(v)) < F.lit(0.001)
-
-
 def confusion(pred: DataFrame, label_col: str = "label",
-              pred_col: str = "prediction") -> DataFrame:
-    """One row ``(tp, fn, fp, tn)``; labels compared within 0.001."""
+              pred_col: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
+    """``(tp, fn, fp, tn)``, one row, or one for each value of ``by``; labels
+    compared within 0.001."""
     y, p = F.col(label_col), F.col(pred_col)
     same = F.abs(y - p) < F.lit(0.001)
-    return pred.agg(
+    return pred.groupBy(*by).agg(
         F.count_if(same & (y == 1.0)).alias("tp"),
         F.count_if(~same & (y == 1.0)).alias("fn"),
         F.count_if(~same & (y == 0.0)).alias("fp"),

@@ -35,26 +35,29 @@ def label_counts(df: DataFrame, label_col: str = "label") -> DataFrame:
     return df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
 
 
+def class_shares(df: DataFrame, label_col: str = "label",
+                 classes: Sequence[float] = (1.0, 0.0)) -> dict[float, float]:
+    """Share of the rows that each class has, from one count per class. Raises
+    if one of ``classes`` has no row (the weighted loss divides by the share)."""
+    counts = {float(r[label_col]): r["n"] for r in label_counts(df, label_col).collect()
+              if r[label_col] is not None}                             # one row per class
+    missing = [c for c in classes if c not in counts]
+    if missing:
+        raise ValueError(f"class(es) {missing} have no rows; class weights undefined")
+    return {c: n / sum(counts.values()) for c, n in counts.items()}
+
+
 def class_weights(df: DataFrame, label_col: str = "label",
                   classes: Sequence[float] = (1.0, 0.0)) -> DataFrame:
     """``(label, n, share)`` with share = rows of the class / all rows.
-
-    Raises if one of ``classes`` has no row (the weighted loss divides by the
-    share)."""
-    counts = label_counts(df, label_col)
-    total = counts.agg(F.sum("n").alias("total"))
-    return counts.crossJoin(F.broadcast(total)).select(
-        F.col(label_col).alias("label"), "n",
-        (F.col("n") / F.col("total").cast("double")).alias("share"))
-
-
-def check_classes(weights: DataFrame, classes: Sequence[float] = (1.0, 0.0)) -> dict:
-    """Collect the (at most one row per class) shares; error on a missing class."""
-    got = {float(r["label"]): float(r["share"]) for r in weights.collect()}
-    missing = [c for c in classes if c not in got]
+    Raises if one of ``classes`` has no row."""
+    counts = label_counts(df, label_col).where(F.col(label_col).isNotNull()).collect()   # one row per class
+    total = sum(r["n"] for r in counts)
+    missing = [c for c in classes if c not in {float(r[label_col]) for r in counts}]
     if missing:
         raise ValueError(f"class(es) {missing} have no rows; class weights undefined")
-    return got
+    return df.sparkSession.createDataFrame(
+        [(float(r[label_col]), r["n"], r["n"] / total) for r in counts], "label double, n bigint, share double")
 
 
 def first_per_class(df: DataFrame, n: int, label_col: str = "label",
@@ -79,7 +82,7 @@ def class_mean_tf(docs: DataFrame, vocab: Vocabulary, n: int = 40,
     # at most n ids per class: pushed into the scan as an IN filter, so only
     # the row groups holding them are read for tokenising
     ids = [r[id_col] for r in chosen.select(id_col).collect()]
-    chosen_docs = docs.where(F.col(id_col).isin(ids))
+    chosen_docs = docs.where(F.col(id_col).isin(ids))      # of texts or of tokenised rows
     tf = term_freq(chosen_docs, vocab, id_col, text_col, keep=[label_col]).where(
         F.col("word").isin(list(words)))
     per_class = chosen.groupBy(label_col).agg(F.count(F.lit(1)).alias("n_docs"))

@@ -1,26 +1,29 @@
 """Vocabulary, term frequency, TF-IDF and top-k similar documents.
 
-Plan shapes (declarative by default; ``features_arrow`` is an opt-in
-map-only variant):
-
-* document frequency: ``explode(array_distinct(split(text, ' ')))`` then
-  ``groupBy(word).count()``. The partial aggregate collapses each task to one
-  row per distinct word, so a word found in every document (a hot key) costs
-  one row per task in the shuffle, not one per document.
+Plan shapes:
+
+* tokens (``tokenised``): one map-only Arrow pass over the texts gives a row
+  per document with its distinct words and their counts. Everything below is
+  made from those rows, so a caller that needs several of them pins the rows
+  once (``session.pin``) and the texts are read once. No text crosses an
+  exchange. Rows without a text aren't documents: they are dropped there, and
+  nowhere counted.
+* document frequency: ``explode(words)`` then ``groupBy(word).count()``. The
+  partial aggregate collapses each task to one row per distinct word, so a
+  word found in every document (a hot key) costs one row per task in the
+  shuffle, not one per document.
 * vocabulary: filter rule, then the top ``dim`` words by (df desc, word asc)
   as a TakeOrderedAndProject (no global sort); positions are numbered on those
   ``dim`` rows only. The vocabulary therefore has at most ``dim`` rows, which
   is the bound that makes broadcasting it safe.
-* term counts: tokens joined with the broadcast vocabulary, counted per
-  (document, word). The partial aggregate runs before the shuffle, so only
-  distinct (document, word) pairs move.
-* sparse features: one row per document, ``i ARRAY<INT>`` (ascending) and
-  ``v ARRAY<DOUBLE>``; a document without any vocabulary word keeps an empty
-  vector (left join), it still counts in losses and metrics.
-* similarity from text (``top_k_similar_text``, the flagship): each token
-  looks up its query weight (broadcast, one row per query word) and the sum is
-  per document, so one row per document is shuffled before the top-k.
-* similarity from cached vectors (``top_k_similar``): each sparse vector is
+* term counts: a document's words joined with the broadcast vocabulary; the
+  counts are there already, so nothing is aggregated or shuffled.
+* sparse features: map-only, one row per document, ``i ARRAY<INT>``
+  (ascending) and ``v ARRAY<DOUBLE>``; a document without any vocabulary word
+  keeps an empty vector, it still counts in losses and metrics.
+* similarity: a document's words against the query's weights (at most ``dim``
+  numbers in the task closure), map-only, then a top-k.
+* similarity from kept vectors (``top_k_similar``): each sparse vector is
   dotted in-row with the dense query array (a one-row broadcast), then a
   top-k; no shuffle besides the top-k merge.
 * snippets for the k hits: an IN filter on the k ids, pushed into the scan.
@@ -28,13 +31,16 @@ map-only variant):
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillspark.functions.columns import snippet, sparse_dot, tokens
+from quillspark.functions.columns import snippet, sparse_dot
 
 # The words the logistic job forces past the universal-word
 # filter, and profiles per class.
@@ -59,18 +65,69 @@ class Vocabulary:
     def size(self) -> int:
         return self.table.count()
 
+    def save(self, path: str) -> None:
+        """Keep the fitted statistics; ``load`` gives them back."""
+        self.table.write.parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str, dim: int) -> Vocabulary:
+        rows = spark.read.parquet(path).collect()      # at most dim rows
+        return Vocabulary(spark.createDataFrame(rows, VOCAB_SCHEMA), dim)
+
 
 def require_column(df: DataFrame, name: str) -> None:
     if name not in df.columns:
         raise ValueError(f"input column {name!r} not in frame columns {df.columns}")
 
 
+def _types(df: DataFrame, names: Sequence[str]) -> str:
+    kinds = dict(df.dtypes)
+    return "".join(f"`{c}` {kinds[c]}, " for c in names)
+
+
+def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              keep: Sequence[str] = ()) -> DataFrame:
+    """``(doc_id, *keep, n_tok INT, words ARRAY<STRING>, counts ARRAY<INT>)``:
+    the distinct tokens of each text, split on single spaces, with their
+    counts. Rows without a text are dropped. Map-only."""
+    require_column(docs, text_col)
+    names = ["doc_id", *keep]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = b.num_rows
+            split = pc.split_pattern(b.column(len(names)), " ")
+            n_tok = pc.list_value_length(split)
+            coded = pc.list_flatten(split).dictionary_encode()
+            size = max(1, len(coded.dictionary))
+            row = pc.list_parent_indices(split).to_numpy(zero_copy_only=False).astype(np.int64)
+            key, count = np.unique(row * size + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            ends = pa.array(np.searchsorted(key, np.arange(rows + 1) * size).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:-1], n_tok.cast(pa.int32()),
+                 pa.ListArray.from_arrays(ends, coded.dictionary.take(pa.array(key % size))),
+                 pa.ListArray.from_arrays(ends, pa.array(count.astype(np.int32)))],
+                names=[*names, "n_tok", "words", "counts"])
+
+    source = docs.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("__text"))
+    return source.mapInArrow(run, _types(source, names) + "n_tok int, words array<string>, counts array<int>")
+
+
+def as_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              keep: Sequence[str] = ()) -> DataFrame:
+    """``docs`` if it is tokenised already, else its ``tokenised`` rows."""
+    if {"n_tok", "words", "counts"} <= set(docs.columns):
+        return docs.select("doc_id", *keep, "n_tok", "words", "counts")
+    return tokenised(docs, id_col, text_col, keep)
+
+
 def doc_freq(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(word, df)``: number of documents holding each token."""
-    require_column(docs, text_col)
-    words = docs.where(F.col(text_col).isNotNull()).select(
-        F.explode_outer(F.array_distinct(tokens(text_col))).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    if "words" not in docs.columns:
+        require_column(docs, text_col)
+        docs = tokenised(docs.select(F.lit(0).alias("doc_id"), text_col), text_col=text_col)
+    return docs.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
 
 
 VOCAB_SCHEMA = "idx int, word string, df bigint, n_docs bigint, idf double"
@@ -88,6 +145,7 @@ def fit_vocabulary(docs: DataFrame, dim: int = 2000, text_col: str = "text",
     document-frequency job, and the lineage is cut there."""
     if dim < 1:
         raise ValueError("dim must be positive")
+    docs = as_tokens(docs, docs.columns[0] if "doc_id" not in docs.columns else "doc_id", text_col)
     n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
     dfreq = doc_freq(docs, text_col).crossJoin(F.broadcast(n))
     df, n_docs = F.col("df"), F.col("n_docs")
@@ -114,33 +172,19 @@ def fit_vocabulary(docs: DataFrame, dim: int = 2000, text_col: str = "text",
     return Vocabulary(table, dim)
 
 
-def _exploded(docs: DataFrame, id_col: str, text_col: str, keep: Sequence[str]) -> DataFrame:
-    """One row per token with the document's token count. The token array is
-    built once per document; its size is taken from the array (O(1)), never
-    by splitting the text again for each token.
-
-    A non-null text splits into at least one token, so ``explode_outer`` over
-    non-null texts yields the same rows as ``explode``; it avoids the filter
-    Spark infers for ``explode`` (non-empty array), which would split every
-    text twice more inside the scan."""
-    base = docs.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), *keep, tokens(text_col).alias("toks"))
-    return base.select("doc_id", *keep, F.size("toks").alias("n_tok"),
-                       F.explode_outer("toks").alias("word"))
+def _exploded(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """One row per distinct word of a tokenised document."""
+    each = docs.select("doc_id", *keep, "n_tok", F.explode(F.arrays_zip("words", "counts")).alias("e"))
+    return each.select("doc_id", *keep, "n_tok", F.col("e.words").alias("word"), F.col("e.counts").cast("bigint").alias("cnt"))
 
 
 def term_counts(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id",
                 text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """``(doc_id, *keep, n_tok, idx, cnt)`` for vocabulary words present in a
     document; ``n_tok`` counts every token of the document."""
-    require_column(docs, text_col)
     v = F.broadcast(vocab.table.select("word", "idx"))
-    return (
-        _exploded(docs, id_col, text_col, keep)
-        .join(v, "word")
-        .groupBy("doc_id", *keep, "n_tok", "idx")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
+    each = _exploded(as_tokens(docs, id_col, text_col, keep), keep)
+    return each.join(v, "word").select("doc_id", *keep, "n_tok", "idx", "cnt")
 
 
 def term_freq(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id",
@@ -163,36 +207,42 @@ def tfidf_long(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id",
         (F.col("cnt") / F.col("n_tok").cast("double") * F.col("idf")).alias("x"))
 
 
+def _weights(vocab: Vocabulary) -> tuple[pa.Array, np.ndarray]:
+    """The vocabulary's words and idf by position: at most ``dim`` rows."""
+    rows = sorted(vocab.table.select("idx", "word", "idf").collect())
+    return pa.array([r["word"] for r in rows], pa.string()), np.array([r["idf"] for r in rows])
+
+
 def features(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id",
              text_col: str = "text", keep: Sequence[str] = (),
-             value: str = "tfidf", method: str = "sql") -> DataFrame:
+             value: str = "tfidf") -> DataFrame:
     """Sparse vectors, one row per document: ``(doc_id, *keep, i, v)``.
 
-    ``value`` is ``tfidf`` or ``tf``. Tokens outside the vocabulary fall into
-    a null-index group per document, so every document keeps its row (empty
-    arrays when no vocabulary word occurs) without a join back.
+    ``value`` is ``tfidf`` or ``tf``. Map-only: per Arrow batch the words are
+    looked up in the vocabulary's (at most ``dim``, in the task closure). Works
+    on a streaming frame too."""
+    words, idf = _weights(vocab)
+    names = ["doc_id", *keep]
 
-    ``method="sql"`` (default) is explode + broadcast join + two aggregations
-    (after a join on the id they reuse its partitioning; otherwise two
-    exchanges). ``method="arrow"`` counts per Arrow batch instead and needs no
-    exchange at all (see ``features_arrow``)."""
-    if method == "arrow":
-        return features_arrow(docs, vocab, id_col, text_col, keep, value)
-    require_column(docs, text_col)
-    v = F.broadcast(vocab.table.select("word", "idx", "idf"))
-    per_word = (
-        _exploded(docs, id_col, text_col, keep)
-        .join(v, "word", "left")
-        .groupBy("doc_id", *keep, "n_tok", "idx", "idf")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
-    tf = F.col("cnt") / F.col("n_tok").cast("double")
-    x = tf * F.col("idf") if value == "tfidf" else tf
-    entry = F.when(F.col("idx").isNotNull(), F.struct(F.col("idx").alias("i"), x.alias("v")))
-    vec = per_word.groupBy("doc_id", *keep).agg(F.array_sort(F.collect_list(entry)).alias("e"))
-    return vec.select("doc_id", *keep,
-                      F.col("e.i").alias("i"),
-                      F.col("e.v").alias("v"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = b.num_rows
+            n_tok, listed, counts = b.columns[len(names):]
+            hit = pc.index_in(listed.flatten(), value_set=words)
+            known = hit.is_valid()
+            row = pc.list_parent_indices(listed).filter(known).to_numpy(zero_copy_only=False).astype(np.int64)
+            i = hit.filter(known).to_numpy(zero_copy_only=False).astype(np.int64)
+            x = counts.flatten().filter(known).to_numpy(zero_copy_only=False) / n_tok.to_numpy(zero_copy_only=False)[row].astype(np.float64)
+            if value == "tfidf":
+                x = x * idf[i]
+            order = np.lexsort((i, row))
+            ends = pa.array(np.searchsorted(row, np.arange(rows + 1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:len(names)], pa.ListArray.from_arrays(ends, pa.array(i[order].astype(np.int32))),
+                 pa.ListArray.from_arrays(ends, pa.array(x[order], pa.float64()))], names=[*names, "i", "v"])
+
+    source = as_tokens(docs, id_col, text_col, keep)
+    return source.mapInArrow(run, _types(source, names) + "i array<int>, v array<double>")
 
 
 def dense_query(query_features: DataFrame, dim: int) -> DataFrame:
@@ -247,97 +297,46 @@ def query_weights(spark, text, vocab: Vocabulary) -> DataFrame:
 
 def top_k_similar_text(docs: DataFrame, vocab: Vocabulary, text, k: int = 20,
                        id_col: str = "doc_id", text_col: str = "text",
-                       digits: int = 9) -> DataFrame:
-    """Top ``k`` documents by dot product with the query, straight from the
-    text (no feature vectors).
-
-    score = Σ_w tf(d, w) idf(w) q(w) = (1 / n_tok) Σ_{tokens t of d} idf(t) q(t),
-    so each token only looks up its query weight (broadcast, at most one row
-    per query word) and the sum is per document. All tokens of a document are
-    in one task, so the partial aggregate already holds one row per document
-    and only that row is shuffled before the top-k. Documents sharing no word
-    with the query score 0 (zero fill by id, ties by id)."""
-    w = F.broadcast(query_weights(docs.sparkSession, text, vocab))
-    per_doc = (
-        _exploded(docs, id_col, text_col, [])
-        .join(w, "word", "left")
-        .groupBy("doc_id", "n_tok")
-        .agg(F.sum(F.coalesce(F.col("wq"), F.lit(0.0))).alias("s"))
-    )
-    scored = per_doc.select("doc_id", F.round(F.col("s") / F.col("n_tok").cast("double"), digits)
-                            .alias("score"))
-    hits = scored.orderBy(F.desc("score"), F.asc("doc_id")).limit(k)
+                       digits: int = 9, tokens: DataFrame | None = None) -> DataFrame:
+    """Top ``k`` documents by dot product with the query, straight from their
+    words (no feature vectors): ``(rank, doc_id, score, snippet)``, best first.
+
+    score = Σ_w tf(d, w) idf(w) q(w) = (1 / n_tok) Σ_w count(d, w) idf(w) q(w):
+    one map-only pass with the query's weights (at most one number per
+    vocabulary word) in the task closure, then a top-k. Documents sharing no
+    word with the query score 0 (zero fill by id, ties by id). ``tokens`` are
+    the documents' tokenised rows, where they are kept."""
+    rows = query_weights(docs.sparkSession, text, vocab).collect()     # at most dim rows
+    words, weight = pa.array([r["word"] for r in rows], pa.string()), np.array([r["wq"] for r in rows] or [0.0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n_tok, listed, counts = b.columns[1:]
+            hit = pc.index_in(listed.flatten(), value_set=words)
+            known = hit.is_valid()
+            row = pc.list_parent_indices(listed).filter(known).to_numpy(zero_copy_only=False)
+            w = weight[hit.filter(known).to_numpy(zero_copy_only=False).astype(np.int64)]
+            s = np.bincount(row, weights=counts.flatten().filter(known).to_numpy(zero_copy_only=False) * w, minlength=b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s / n_tok.to_numpy(zero_copy_only=False))], names=["doc_id", "s"])
+
+    source = as_tokens(docs if tokens is None else tokens, id_col, text_col)
+    scored = source.mapInArrow(run, _types(source, ["doc_id"]) + "s double")
+    hits = scored.select("doc_id", F.round("s", digits).alias("score")).orderBy(F.desc("score"), F.asc("doc_id")).limit(k)
     return attach_snippets(hits, docs, id_col, text_col)
 
 
 def attach_snippets(hits: DataFrame, docs: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """``(doc_id, score, snippet)`` for the hits.
+    """``(rank, doc_id, score, snippet)`` for the hits, best first.
 
     The hits are at most k rows, so they are collected once; their ids go into
     the documents scan as an IN filter, which parquet uses to skip every row
     group whose id range holds none of them. The corpus text is therefore not
     read in full a second time just for k snippets."""
-    rows = hits.collect()                       # at most k rows
-    local = docs.sparkSession.createDataFrame(rows, hits.schema)
-    ids = [r["doc_id"] for r in rows]
-    snip = docs.where(F.col(id_col).isin(ids)).select(
+    rows = sorted(hits.collect(), key=lambda r: (-r["score"], r["doc_id"]))     # at most k rows
+    kinds = dict(hits.dtypes)
+    local = docs.sparkSession.createDataFrame(
+        [(n, r["doc_id"], r["score"]) for n, r in enumerate(rows, 1)], f"rank int, doc_id {kinds['doc_id']}, score double")
+    snip = docs.where(F.col(id_col).isin([r["doc_id"] for r in rows])).select(
         F.col(id_col).alias("doc_id"), snippet(text_col).alias("snippet"))
-    return snip.join(F.broadcast(local), "doc_id").select("doc_id", "score", "snippet")
-
-
-def features_arrow(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id",
-                   text_col: str = "text", keep: Sequence[str] = (),
-                   value: str = "tfidf") -> DataFrame:
-    """The same sparse vectors as ``features`` from one map-only pass.
-
-    Per Arrow batch: split on single spaces (Arrow C++), look every token up
-    in the vocabulary words (a hash set of at most ``dim`` words shipped in
-    the task closure), then count (row, index) keys with ``np.unique``. All
-    tokens of a document are in its own row, so no exchange is needed; rows
-    keep their partition. Numbers equal the SQL path's: tf = count / tokens,
-    x = tf * idf with the same idf values."""
-    import numpy as np
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    require_column(docs, text_col)
-    rows = vocab.table.select("idx", "word", "idf").collect()     # at most dim rows
-    size = max([r["idx"] for r in rows], default=-1) + 1
-    words = [None] * size
-    idf = np.zeros(size)
-    for r in rows:
-        words[r["idx"]] = r["word"]
-        idf[r["idx"]] = r["idf"]
-    word_set = pa.array(words, pa.string())
-    use_idf = value == "tfidf"
-    keep = list(keep)
-
-    def fn(batches):
-        for b in batches:
-            n = b.num_rows
-            toks = pc.split_pattern(b.column("__text"), " ")
-            n_tok = pc.list_value_length(toks).to_numpy(zero_copy_only=False).astype(np.float64)
-            flat = pc.list_flatten(toks)
-            parent = pc.list_parent_indices(toks)
-            hit = pc.index_in(flat, value_set=word_set)
-            ok = hit.is_valid()
-            r = parent.filter(ok).to_numpy(zero_copy_only=False).astype(np.int64)
-            i = hit.filter(ok).to_numpy(zero_copy_only=False).astype(np.int64)
-            key, cnt = np.unique(r * max(size, 1) + i, return_counts=True)
-            r, i = key // max(size, 1), key % max(size, 1)
-            x = cnt.astype(np.float64) / n_tok[r]
-            if use_idf:
-                x = x * idf[i]
-            offsets = pa.array(np.searchsorted(r, np.arange(n + 1)).astype(np.int32))
-            cols = [b.column("doc_id")] + [b.column(k) for k in keep] + [
-                pa.ListArray.from_arrays(offsets, pa.array(i.astype(np.int32))),
-                pa.ListArray.from_arrays(offsets, pa.array(x, pa.float64())),
-            ]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", *keep, "i", "v"])
-
-    src = docs.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("__text"))
-    key_fields = [f for f in src.schema.fields if f.name in ["doc_id", *keep]]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields)
-    return src.mapInArrow(fn, f"{schema}, i array<int>, v array<double>")
+    return snip.join(F.broadcast(local), "doc_id").select("rank", "doc_id", "score", "snippet").orderBy("rank")

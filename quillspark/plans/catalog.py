@@ -1,5 +1,6 @@
 """Registered queries: one per operator family of the survey, each reading the
-whole test tables (``sf_dir``) and returning a lazy DataFrame.
+whole test tables (``sf_dir``). Fits, training loops and pinned tokens run
+while a query is built; what is returned is a frame over them.
 
 Floating outputs are rounded to a fixed number of significant digits so the
 result can be compared with the SQL oracle (plans.oracle) across engines."""
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.columns import safe_double, sig_round, snippet
@@ -18,12 +19,20 @@ from quillspark.operators import metrics as mt
 from quillspark.operators import profile as pf
 from quillspark.operators import text as tx
 from quillspark.operators.clean import LINEITEM_KEEP, LINEITEM_RANGES, clean_numeric
-from quillspark.operators.linear import closed_form, fit_sample, line_points, mse_at, regr
+from quillspark.operators.linear import (
+    closed_form,
+    fit_sample,
+    line_points,
+    moments_mse,
+    regr,
+    regr_view,
+    with_previous_loss,
+)
 from quillspark.plans import classify as cl
 from quillspark.plans import descent as ds
-from quillspark.session import materialize, spread
+from quillspark.session import materialize, pin
 from quillspark.sources.tables import read_table
-from quillspark.sources.text import BODY_GREEDY, CLASS_ONE_MARK, parse_id_text, parse_labelled
+from quillspark.sources.text import BODY_GREEDY, CLASS_ONE_MARK, line_counts, parse_id_text, parse_labelled
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -52,11 +61,14 @@ def _rounded(df: DataFrame, digits: int = 9, keep=(), zero_below=None) -> DataFr
 ORDER_KEYS = ["l_orderkey", "l_linenumber"]
 
 
-def lineitem_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+EXTRA_RANGE = {"tax": (0.02, 0.06)}
+
+
+def lineitem_clean(spark: SparkSession, sf_dir: str, extra=None) -> DataFrame:
     """lineitem rendered as text, then safe-cast and range-filtered."""
-    li = spread(read_table(spark, sf_dir, "lineitem"))
+    li = read_table(spark, sf_dir, "lineitem")
     raw = li.select(*ORDER_KEYS, *[F.col(c).cast("string").alias(c) for c in LINEITEM_KEEP.values()])
-    return clean_numeric(raw, LINEITEM_KEEP, LINEITEM_RANGES, passthrough=ORDER_KEYS)
+    return clean_numeric(raw, LINEITEM_KEEP, LINEITEM_RANGES, extra, passthrough=ORDER_KEYS)
 
 
 @register("safe_range_filter")
@@ -64,6 +76,20 @@ def q_safe_range_filter(spark, sf_dir):
     return lineitem_clean(spark, sf_dir)
 
 
+@register("extra_range_filter")
+def q_extra_range_filter(spark, sf_dir):
+    return lineitem_clean(spark, sf_dir, EXTRA_RANGE)
+
+
+ROW_LIMIT = 5000
+
+
+@register("row_limit")
+def q_row_limit(spark, sf_dir):
+    """As many rows as asked for (which ones is the scan's choice), counted."""
+    return read_table(spark, sf_dir, "lineitem").limit(ROW_LIMIT).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("safe_cast_props")
 def q_safe_cast_props(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
@@ -76,25 +102,25 @@ def q_safe_cast_props(spark, sf_dir):
 @register("ols_closed_form")
 def q_ols_closed_form(spark, sf_dir):
     fit = closed_form(lineitem_clean(spark, sf_dir), "quantity", "price")
-    return _rounded(fit.select("n", "slope", "intercept"), 6)
+    return _rounded(fit.select("n", "slope", "intercept"))
 
 
 @register("ols_regr")
 def q_ols_regr(spark, sf_dir):
-    return _rounded(regr(lineitem_clean(spark, sf_dir), "quantity", "price"), 8)
+    return _rounded(regr(lineitem_clean(spark, sf_dir), "quantity", "price"))
+
+
+@register("ols_view")
+def q_ols_view(spark, sf_dir):
+    return _rounded(regr_view(lineitem_clean(spark, sf_dir), "quantity", "price"))
 
 
 @register("mse_at")
 def q_mse_at(spark, sf_dir):
-    clean = lineitem_clean(spark, sf_dir)
-    params = regr(clean, "quantity", "price")
-    out = clean.crossJoin(F.broadcast(params.select("slope", "intercept"))).agg(
-        F.first("slope").alias("slope"),
-        F.first("intercept").alias("intercept"),
-        mse_at("quantity", "price", F.col("slope"), F.col("intercept")).alias("mse"),
-        mse_at("quantity", "price", 0.1, 0.1).alias("mse_initial"),
-    )
-    return _rounded(out, 8)
+    """The fitted line's error and that of slope and intercept 0.1, from one
+    row of centred moments: the table is read once."""
+    fit = closed_form(lineitem_clean(spark, sf_dir), "quantity", "price")
+    return _rounded(fit.select("slope", "intercept", "mse", moments_mse(0.1, 0.1).alias("mse_initial")), 8)
 
 
 @register("fit_sample")
@@ -118,7 +144,7 @@ def q_line_points(spark, sf_dir):
 def q_parse_pages(spark, sf_dir):
     """Pages wrapped as document lines, parsed with the id / shortest-body and
     greedy-body patterns."""
-    pages = spread(read_table(spark, sf_dir, "pages"))
+    pages = read_table(spark, sf_dir, "pages")
     lines = pages.select("page_id", F.concat(
         F.lit('<doc id="'), F.col("page_id").cast("string"), F.lit('" url="'), F.col("url"),
         F.lit('">'), F.col("html"), F.lit("</doc>")).alias("value"))
@@ -145,22 +171,36 @@ def marked_lines(spark, sf_dir) -> DataFrame:
         F.col("text"), F.lit("</doc>")).alias("value"))
 
 
+@register("parse_counts")
+def q_parse_counts(spark, sf_dir):
+    """Of lines of which some lack the end mark: how many parse."""
+    lines = marked_lines(spark, sf_dir).select(
+        F.when(F.col("doc_id") % 7 == 0, F.expr("left(value, length(value) - 3)")).otherwise(F.col("value")).alias("value"))
+    return line_counts(lines)
+
+
 @register("parse_marked_docs")
 def q_parse_marked_docs(spark, sf_dir):
-    parsed = parse_labelled(marked_lines(spark, sf_dir), with_id=False, keep=["doc_id"])
-    return parsed.select("doc_id", "label", F.length("text").cast("bigint").alias("body_len"),
+    parsed = parse_labelled(marked_lines(spark, sf_dir))
+    return parsed.select(F.substring("doc_id", 3, 20).cast("bigint").alias("doc_id"), "label", F.length("text").cast("bigint").alias("body_len"),
                          F.md5("text").alias("body_md5"))
 
 
 # ---------------------------------------------------------------- text features
 
 
-ORACLE_DIM = 200
+DIM = 2000        # words of a vocabulary
 TOP_K = 20
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def corpus(spark, sf_dir) -> DataFrame:
+    """The documents' tokens, pinned: fit and features read them, the texts
+    are read once."""
+    return pin(tx.tokenised(documents(spark, sf_dir)))
 
 
 @register("doc_freq")
@@ -170,7 +210,7 @@ def q_doc_freq(spark, sf_dir):
 
 def _vocab_query(rule):
     def fn(spark, sf_dir):
-        return tx.fit_vocabulary(documents(spark, sf_dir), ORACLE_DIM, rule=rule).words()
+        return tx.fit_vocabulary(corpus(spark, sf_dir), DIM, rule=rule).words()
     return fn
 
 
@@ -181,16 +221,14 @@ register("vocab_max_df")(_vocab_query(tx.RULE_MAX_DF))
 
 @register("term_freq")
 def q_term_freq(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    vocab = tx.fit_vocabulary(docs, ORACLE_DIM)
-    return _rounded(tx.term_freq(docs, vocab), 9)
+    docs = corpus(spark, sf_dir)
+    return _rounded(tx.term_freq(docs, tx.fit_vocabulary(docs, DIM)), 9)
 
 
 @register("tfidf")
 def q_tfidf(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    vocab = tx.fit_vocabulary(docs, ORACLE_DIM)
-    return _rounded(tx.tfidf_long(docs, vocab), 9)
+    docs = corpus(spark, sf_dir)
+    return _rounded(tx.tfidf_long(docs, tx.fit_vocabulary(docs, DIM)), 9)
 
 
 def first_benchmark_text(spark, sf_dir) -> DataFrame:
@@ -200,9 +238,19 @@ def first_benchmark_text(spark, sf_dir) -> DataFrame:
 
 @register("topk_similar_docs")
 def q_topk_similar_docs(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    vocab = tx.fit_vocabulary(docs, ORACLE_DIM)
-    return tx.top_k_similar_text(docs, vocab, first_benchmark_text(spark, sf_dir), TOP_K)
+    tokens = corpus(spark, sf_dir)
+    vocab = tx.fit_vocabulary(tokens, DIM)
+    return tx.top_k_similar_text(documents(spark, sf_dir), vocab, first_benchmark_text(spark, sf_dir), TOP_K, tokens=tokens)
+
+
+@register("topk_kept_vectors")
+def q_topk_kept_vectors(spark, sf_dir):
+    """Fit once, keep the vectors, then query them."""
+    tokens = corpus(spark, sf_dir)
+    vocab = tx.fit_vocabulary(tokens, DIM)
+    kept = pin(tx.features(tokens, vocab))
+    query = tx.dense_query(tx.vectorize_text(spark, first_benchmark_text(spark, sf_dir), vocab), DIM)
+    return tx.top_k_similar(kept, query, TOP_K, docs=documents(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- classes
@@ -214,57 +262,62 @@ THETA0 = 0.1
 GRAD_ZERO = 1e-12  # |gradient| below this is rounding noise of an exact zero
 
 
-def labelled_documents(spark, sf_dir) -> DataFrame:
-    """``(doc_id, text, label DOUBLE)``: documents with a label row; class 1 =
-    toxic. The join key is the document id on both sides; Spark picks the
-    join strategy from the sizes at run time (AQE), no broadcast is forced
-    because the label table grows with the corpus."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    labels = read_table(spark, sf_dir, "labels").select(
-        "doc_id", F.col("toxic").cast("double").alias("label"))
-    return docs.join(labels, "doc_id")
+def labels(spark, sf_dir) -> DataFrame:
+    return read_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
+
+
+def labelled_corpus(spark, sf_dir) -> DataFrame:
+    """``(doc_id, label, is_test, n_tok, words, counts)``, pinned: the tokens
+    of the documents with a label row; class 1 = toxic. Texts are tokenised in
+    the scan; it is the tokens that meet the labels, by the id on both sides.
+    Spark picks the join from the sizes at run time (AQE), no broadcast is
+    forced because the label table grows with the corpus."""
+    tokens = tx.tokenised(documents(spark, sf_dir))
+    return pin(pf.split_flag(tokens.join(labels(spark, sf_dir), "doc_id")))
+
+
+def labelled_ids(spark, sf_dir) -> DataFrame:
+    """The ids, labels and split of the labelled documents that have a text."""
+    ids = read_table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id")
+    return pf.split_flag(ids.join(labels(spark, sf_dir), "doc_id"))
 
 
 @register("class_mean_tf")
 def q_class_mean_tf(spark, sf_dir):
-    ld = labelled_documents(spark, sf_dir)
-    vocab = tx.fit_vocabulary(ld, ORACLE_DIM, rule=tx.RULE_FORCED)
+    ld = labelled_corpus(spark, sf_dir)
+    vocab = tx.fit_vocabulary(ld, DIM, rule=tx.RULE_FORCED)
     return _rounded(pf.class_mean_tf(ld, vocab, CLASS_PROFILE_N), 9)
 
 
 @register("stable_split")
 def q_stable_split(spark, sf_dir):
-    return pf.split_flag(labelled_documents(spark, sf_dir)).select("doc_id", "label", "is_test")
-
-
-def train_test(spark, sf_dir):
-    return pf.stable_split(labelled_documents(spark, sf_dir))
+    return labelled_ids(spark, sf_dir).select("doc_id", "label", "is_test")
 
 
 @register("label_counts")
 def q_label_counts(spark, sf_dir):
-    train, _ = train_test(spark, sf_dir)
-    return pf.label_counts(train).select("label", "n")
+    return pf.label_counts(labelled_ids(spark, sf_dir).where("NOT is_test")).select("label", "n")
 
 
 @register("class_weights")
 def q_class_weights(spark, sf_dir):
-    train, _ = train_test(spark, sf_dir)
-    return _rounded(pf.class_weights(train), 12)
+    return _rounded(pf.class_weights(labelled_ids(spark, sf_dir).where("NOT is_test")), 12)
+
+
+def model_inputs(spark, sf_dir, rule, dim=DIM):
+    """Vocabulary fitted on the train split, and the sparse features of both
+    splits (``is_test``) with the train statistics."""
+    tokens = labelled_corpus(spark, sf_dir)
+    vocab = tx.fit_vocabulary(tokens.where("NOT is_test"), dim, rule=rule)
+    return vocab, tx.features(tokens, vocab, keep=["label", "is_test"])
 
 
-def model_inputs(spark, sf_dir, rule, weighted=False, dim=None):
-    """Vocabulary fitted on the train split; sparse features of train and
-    test (test uses the train statistics)."""
-    train, test = train_test(spark, sf_dir)
-    vocab = tx.fit_vocabulary(train, dim or ORACLE_DIM, rule=rule)
-    ftrain = tx.features(train, vocab, keep=["label"])
-    ftest = tx.features(test, vocab, keep=["label"])
-    if weighted:
-        w = pf.class_weights(train).select("label", F.col("share"))
-        ftrain = ftrain.join(F.broadcast(w), "label")
-        ftest = ftest.join(F.broadcast(w), "label")
-    return vocab, ftrain, ftest
+def train_part(feats: DataFrame) -> DataFrame:
+    return feats.where("NOT is_test")
+
+
+def split_name():
+    return F.when(F.col("is_test"), "test").otherwise("train").alias("split")
 
 
 KIND_RULE = {"logistic": tx.RULE_FORCED, "hinge": tx.RULE_MAX_DF,
@@ -273,11 +326,13 @@ KIND_RULE = {"logistic": tx.RULE_FORCED, "hinge": tx.RULE_MAX_DF,
 
 def _loss_query(kind):
     def fn(spark, sf_dir):
-        vocab, ftrain, _ = model_inputs(spark, sf_dir, KIND_RULE[kind], kind == "weighted_hinge")
-        p = vocab.size() + 1
-        theta = np.full(p, THETA0)
-        m = mt.with_margin(ftrain, theta)
-        w = F.col("share") if kind == "weighted_hinge" else None
+        vocab, feats = model_inputs(spark, sf_dir, KIND_RULE[kind])
+        theta = np.full(vocab.size() + 1, THETA0)
+        m = mt.with_margin(train_part(feats).select("label", "i", "v"), theta)
+        w = None
+        if kind == "weighted_hinge":
+            shares = pf.class_shares(train_part(feats))
+            w = F.when(F.col("label") == 1.0, shares[1.0]).otherwise(shares[0.0])
         out = m.agg(F.count(F.lit(1)).alias("n"),
                     F.avg(gr.loss_col(kind, F.col("margin"), F.col("label"), w)).alias("loss"))
         if kind == "logistic":
@@ -289,17 +344,17 @@ def _loss_query(kind):
 
 def _grad_query(kind):
     def fn(spark, sf_dir):
-        vocab, ftrain, _ = model_inputs(spark, sf_dir, KIND_RULE[kind], kind == "weighted_hinge")
+        vocab, feats = model_inputs(spark, sf_dir, KIND_RULE[kind])
         p = vocab.size() + 1
-        theta = np.full(p, THETA0)
-        ps = gr.partial_sums(ftrain, theta, kind, "exact",
-                             weight_col="share" if kind == "weighted_hinge" else None)
-        n = ps.where(F.col("k") == p + 1).select(F.col("g").alias("n"))
+        train = train_part(feats)
+        shares = pf.class_shares(train) if kind == "weighted_hinge" else None
+        ps = gr.partial_sums(train, np.full(p, THETA0), kind, "exact", shares=shares)
+        # the count is one of the p + 2 sums
+        n = F.max(F.when(F.col("k") == p + 1, F.col("g"))).over(Window.partitionBy(F.lit(0)))
         g = F.col("g") / F.col("n")
         if kind == "logistic":
             g = g + F.lit(LAMBDA * THETA0) / F.col("n")
-        out = ps.where(F.col("k") < p).crossJoin(F.broadcast(n)).select(
-            F.col("k").alias("idx"), g.alias("grad"))
+        out = ps.withColumn("n", n).where(F.col("k") < p).select(F.col("k").alias("idx"), g.alias("grad"))
         return _rounded(out, 9, zero_below=GRAD_ZERO)
     return fn
 
@@ -310,13 +365,9 @@ for _kind in ("logistic", "hinge", "weighted_hinge"):
 
 
 def _confusion_at_theta0(spark, sf_dir):
-    vocab, ftrain, ftest = model_inputs(spark, sf_dir, tx.RULE_FORCED)
-    theta = np.full(vocab.size() + 1, THETA0)
-    parts = []
-    for name, f in (("train", ftrain), ("test", ftest)):
-        pred = mt.predict(f, theta, mt.LOGISTIC_THRESHOLD)
-        parts.append(mt.confusion(pred).select(F.lit(name).alias("split"), "*"))
-    return parts[0].unionByName(parts[1])
+    vocab, feats = model_inputs(spark, sf_dir, tx.RULE_FORCED)
+    pred = mt.predict(feats, np.full(vocab.size() + 1, THETA0), mt.LOGISTIC_THRESHOLD)
+    return mt.confusion(pred, by=("is_test",)).select(split_name(), "tp", "fn", "fp", "tn")
 
 
 @register("predict_confusion")
@@ -336,19 +387,25 @@ MULTI_X = ["quantity", "discount", "tax"]
 
 
 def _simple_trace_query(variant):
+    """Slope, intercept and mean squared error per step, in the data's units."""
     def fn(spark, sf_dir):
         tr = ds.simple_trace(lineitem_clean(spark, sf_dir), "quantity", "price", variant)
-        return _rounded(tr.select("step", "loss", "learning_rate",
-                                  F.col("theta")[0].alias("m"), F.col("theta")[1].alias("b")), 9)
+        return _rounded(with_previous_loss(tr).select(
+            "step", "loss", "loss_old", "learning_rate", F.col("theta")[0].alias("m"), F.col("theta")[1].alias("b")), 9)
     return fn
 
 
 def _multi_trace_query(variant):
+    """As above for several features. The observed rule works on raw inputs,
+    where it needs a target of the features' size: prices in thousands."""
     def fn(spark, sf_dir):
-        tr = ds.multi_trace(lineitem_clean(spark, sf_dir), MULTI_X, "price", variant)
+        rows = lineitem_clean(spark, sf_dir)
+        if variant == "observed":
+            rows = rows.withColumn("price", F.col("price") / 1000.0)
+        tr = ds.multi_trace(rows, MULTI_X, "price", variant)
         ws = [F.col("theta")[j].alias(f"w_{x}") for j, x in enumerate(MULTI_X)]
-        return _rounded(tr.select("step", "loss", "learning_rate", *ws,
-                                  F.col("theta")[len(MULTI_X)].alias("w_const")), 9)
+        return _rounded(with_previous_loss(tr).select(
+            "step", "loss", "loss_old", "learning_rate", *ws, F.col("theta")[len(MULTI_X)].alias("w_const")), 9)
     return fn
 
 
@@ -361,31 +418,28 @@ register("gd_multi_observed")(_multi_trace_query("observed"))
 # ---------------------------------------------------------------- classifiers
 
 
-TRACE_STEPS = 5
+STEPS = 20
 
 
-def _trained(spark, sf_dir, kind, steps, variant="exact", evaluate=False, dim=None):
+def _trained(spark, sf_dir, kind, steps=STEPS, variant="exact", evaluate=False, dim=DIM):
     """Train on the pinned train features. With ``evaluate``, also score the
-    final θ on train (still pinned) and test before releasing them; the
-    result is two small rows."""
-    weighted = kind == "weighted_hinge"
-    dim = dim or ORACLE_DIM
-    vocab, ftrain, ftest = model_inputs(spark, sf_dir, KIND_RULE[kind], weighted, dim)
+    final θ on train and test, both in one pass over the pinned features,
+    before releasing them; the result is two small rows."""
+    vocab, feats = model_inputs(spark, sf_dir, KIND_RULE[kind], dim)
     p = vocab.size() + 1
-    feats = materialize(ftrain)
+    feats = materialize(feats)
     try:
+        train = train_part(feats)
         if kind == "logistic":
-            fit = cl.train_logistic(feats, p, variant, max_iter=steps)
+            fit = cl.train_logistic(train, p, variant, max_iter=steps)
         else:
-            fit = cl.train_hinge(feats, p, dim, variant,
-                                 weight_col="share" if weighted else None, max_iter=steps)
+            shares = pf.class_shares(train) if kind == "weighted_hinge" else None
+            fit = cl.train_hinge(train, p, dim, variant, shares=shares, max_iter=steps)
         scores = None
         if evaluate:
             thr = mt.LOGISTIC_THRESHOLD if kind == "logistic" else mt.HINGE_THRESHOLD
-            parts = [cl.evaluate(f, fit.theta, thr).select(F.lit(name).alias("split"), "*")
-                     for name, f in (("train", feats), ("test", ftest))]
-            both = parts[0].unionByName(parts[1])
-            scores = spark.createDataFrame(both.collect(), both.schema)
+            both = cl.evaluate(feats, fit.theta, thr, by=("is_test",)).select(split_name(), "tp", "fn", "fp", "tn", "accuracy", "f1")
+            scores = spark.createDataFrame(both.collect(), both.schema)       # two rows
     finally:
         feats.unpersist()
     return fit, scores
@@ -393,94 +447,62 @@ def _trained(spark, sf_dir, kind, steps, variant="exact", evaluate=False, dim=No
 
 def _trace_query(kind, variant="exact"):
     def fn(spark, sf_dir):
-        fit, _ = _trained(spark, sf_dir, kind, TRACE_STEPS, variant)
+        fit, _ = _trained(spark, sf_dir, kind, variant=variant)
         return _rounded(fit.trace_frame(spark), 9)
     return fn
 
 
-register("logistic_trace")(_trace_query("logistic"))
-register("logistic_trace_observed")(_trace_query("logistic", "observed"))
-register("svm_trace_observed")(_trace_query("hinge", "observed"))
-register("weighted_svm_trace_observed")(_trace_query("weighted_hinge", "observed"))
-register("svm_trace")(_trace_query("hinge"))
-register("weighted_svm_trace")(_trace_query("weighted_hinge"))
-
-
-@register("linear_svc")
-def q_linear_svc(spark, sf_dir):
-    """Spark ML LinearSVC on the embeddings (class = label mod 2), scored by
-    hand on the margin (>= 0.5) as the reference does, train and test split
-    by id."""
-    emb = read_table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("doc_id"), "embedding",
-        F.pmod(F.col("label"), F.lit(2)).cast("double").alias("label"))
-    train, test = pf.stable_split(emb, "doc_id")
-    model, theta = cl.linear_svc(cl.dense_features(train, "embedding"))
-    k = len(theta) - 1
-    idx = F.sequence(F.lit(0), F.lit(k - 1))
-    parts = []
-    for name, part in (("train", train), ("test", test)):
-        sparse = part.select("doc_id", "label", idx.alias("i"),
-                             F.col("embedding").cast("array<double>").alias("v"))
-        parts.append(cl.evaluate(sparse, theta, mt.LOGISTIC_THRESHOLD)
-                     .select(F.lit(name).alias("split"), "*"))
-    return parts[0].unionByName(parts[1])
-
-
-def _eval_query(kind):
-    """Train (TRACE_STEPS steps), then confusion, accuracy and F1 of the final
-    θ on the train and test splits (logistic: margin >= 0.5; hinge: >= 0)."""
+def _eval_query(kind, variant="exact"):
+    """Train, then confusion, accuracy and F1 of the final θ on the train and
+    test splits (logistic: margin >= 0.5; hinge: >= 0)."""
     def fn(spark, sf_dir):
-        _, scores = _trained(spark, sf_dir, kind, TRACE_STEPS, evaluate=True)
+        _, scores = _trained(spark, sf_dir, kind, variant=variant, evaluate=True)
         return _rounded(scores, 12)
     return fn
 
 
-register("logistic_eval")(_eval_query("logistic"))
-register("svm_eval")(_eval_query("hinge"))
-register("weighted_svm_eval")(_eval_query("weighted_hinge"))
+for _name, _kind in (("logistic", "logistic"), ("svm", "hinge"), ("weighted_svm", "weighted_hinge")):
+    register(f"{_name}_trace")(_trace_query(_kind))
+    register(f"{_name}_trace_observed")(_trace_query(_kind, "observed"))
+    register(f"{_name}_eval")(_eval_query(_kind))
+    # an earlier name of the same
+    register(f"{_name}_eval_full")(QUERIES[f"{_name}_eval"])
+    if _name != "weighted_svm":
+        register(f"{_name}_trace_full")(QUERIES[f"{_name}_trace"])
+
+
+def _svc_facts(feats: DataFrame, theta) -> DataFrame:
+    """What is determined of a library fit: rows and classes of each split, and
+    that the fitted mean hinge loss on train is below that of θ = 0, which is 1."""
+    m = mt.with_margin(feats, theta)
+    loss = F.avg(F.when(~F.col("is_test"), gr.loss_col("hinge", F.col("margin"), F.col("label")))).alias("loss")
+    out = m.groupBy("is_test").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1.0).alias("positives"),
+        F.count_if(F.col("label") == 0.0).alias("negatives"), loss)
+    return out.select(split_name(), "n", "positives", "negatives", (F.col("loss") < 1.0).alias("below_start"))
+
+
+@register("linear_svc")
+def q_linear_svc(spark, sf_dir):
+    """Spark ML LinearSVC on the embeddings (class = label mod 2), fitted on
+    the train split by id."""
+    emb = pf.split_flag(read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("v"),
+        F.pmod(F.col("label"), F.lit(2)).cast("double").alias("label")))
+    _, theta = cl.linear_svc(cl.dense_features(emb.where("NOT is_test"), "v"))
+    idx = F.sequence(F.lit(0), F.lit(len(theta) - 2))
+    return _svc_facts(emb.withColumn("i", idx), theta)
 
 
 @register("linear_svc_tfidf")
 def q_linear_svc_tfidf(spark, sf_dir):
-    """Spark ML LinearSVC on the TF-IDF vectors of the labelled documents
-    (vocabulary rule of the hinge models, fitted on the train split), scored
-    by hand on the margin (>= 0.5) on train and test, as the reference does."""
-    vocab, ftrain, ftest = model_inputs(spark, sf_dir, KIND_RULE["hinge"])
-    size = vocab.size()
-    feats = materialize(ftrain)
+    """Spark ML LinearSVC on the sparse TF-IDF vectors of the labelled
+    documents (vocabulary rule of the hinge models, fitted on the train split)."""
+    vocab, feats = model_inputs(spark, sf_dir, KIND_RULE["hinge"])
+    feats = materialize(feats)
     try:
-        model, theta = cl.linear_svc(cl.sparse_to_dense(feats, size))
-        parts = [cl.evaluate(f, theta, mt.LOGISTIC_THRESHOLD).select(F.lit(name).alias("split"), "*")
-                 for name, f in (("train", feats), ("test", ftest))]
-        both = parts[0].unionByName(parts[1])
-        out = spark.createDataFrame(both.collect(), both.schema)
+        _, theta = cl.linear_svc(cl.sparse_vectors(train_part(feats), vocab.size()))
+        both = _svc_facts(feats, theta)
+        return spark.createDataFrame(both.collect(), both.schema)             # two rows
     finally:
         feats.unpersist()
-    return out
-
-
-# The reference's own configuration: 2,000 words, 20 steps.
-FULL_DIM = 2000
-FULL_STEPS = 20
-
-
-def _full_trace_query(kind):
-    def fn(spark, sf_dir):
-        fit, _ = _trained(spark, sf_dir, kind, FULL_STEPS, dim=FULL_DIM)
-        return _rounded(fit.trace_frame(spark), 9)
-    return fn
-
-
-def _full_eval_query(kind):
-    def fn(spark, sf_dir):
-        _, scores = _trained(spark, sf_dir, kind, FULL_STEPS, evaluate=True, dim=FULL_DIM)
-        return _rounded(scores, 12)
-    return fn
-
-
-register("logistic_trace_full")(_full_trace_query("logistic"))
-register("logistic_eval_full")(_full_eval_query("logistic"))
-register("svm_trace_full")(_full_trace_query("hinge"))
-register("svm_eval_full")(_full_eval_query("hinge"))
-register("weighted_svm_eval_full")(_full_eval_query("weighted_hinge"))

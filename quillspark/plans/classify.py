@@ -63,21 +63,21 @@ def train_logistic(feats: DataFrame, p: int, variant: str = "exact", max_iter: i
 
 
 def train_hinge(feats: DataFrame, p: int, dim: int, variant: str = "exact",
-                weight_col: str | None = None, max_iter: int = 20, rate: float = 0.01,
+                shares: dict[float, float] | None = None, max_iter: int = 20, rate: float = 0.01,
                 min_rate: float = 1e-6, theta0: float = 0.1, label_col: str = "label") -> Fit:
     """Linear SVM by (sub)gradient descent on the hinge loss, optionally
-    divided by the row's class share (``weight_col``). A step whose loss rose
+    divided by the row's class share (``shares``). A step whose loss rose
     by more than 5 % is rolled back. ``observed`` uses summed gradients and
     the reference's compounding rate rule; ``exact`` uses mean gradients with
     RMSprop step scaling."""
-    kind = "weighted_hinge" if weight_col else "hinge"
+    kind = "weighted_hinge" if shares else "hinge"
     rule = AdaptiveRate(dim, variant)
     theta = np.full(p, theta0)
     theta_old = theta.copy()
     loss = float("nan")
     fit = Fit(theta)
     for step in range(1, max_iter + 1):
-        g, lsum, n = gradient_and_loss(feats, theta, kind, variant, label_col, weight_col)
+        g, lsum, n = gradient_and_loss(feats, theta, kind, variant, label_col, shares)
         cur = lsum / n
         grad = g if variant == "observed" else g / n
         fit.trace.append((step, cur, rate))
@@ -93,10 +93,12 @@ def train_hinge(feats: DataFrame, p: int, dim: int, variant: str = "exact",
     return fit
 
 
-def evaluate(feats: DataFrame, theta, threshold: float, label_col: str = "label") -> DataFrame:
-    """One row: tp, fn, fp, tn, accuracy, f1 at a margin threshold."""
+def evaluate(feats: DataFrame, theta, threshold: float, label_col: str = "label",
+             by: tuple[str, ...] = ()) -> DataFrame:
+    """tp, fn, fp, tn, accuracy, f1 at a margin threshold: one row, or one for
+    each value of ``by`` (as the split), in one pass."""
     pred = mt.predict(feats, theta, threshold)
-    return mt.accuracy_f1(mt.confusion(pred, label_col))
+    return mt.accuracy_f1(mt.confusion(pred, label_col, by=by))
 
 
 def linear_svc(train: DataFrame, features_col: str = "features", label_col: str = "label",
@@ -116,33 +118,23 @@ def dense_features(df: DataFrame, array_col: str, out: str = "features") -> Data
     return df.withColumn(out, array_to_vector(F.col(array_col).cast("array<double>")))
 
 
-def sparse_to_dense(feats: DataFrame, size: int, out: str = "features",
-                    keep: tuple[str, ...] = ("doc_id", "label")) -> DataFrame:
-    """Sparse ``(i, v)`` -> ML dense vector of length ``size`` for Spark ML.
-
-    The scatter runs per Arrow batch (numpy, O(non-zeros)); the array becomes
-    a vector JVM-side. A dense row costs ``size`` doubles, so this is for the
-    library model's edge only; the hand-written trainers stay sparse."""
+def sparse_vectors(feats: DataFrame, size: int, out: str = "features",
+                   keep: tuple[str, ...] = ("doc_id", "label")) -> DataFrame:
+    """Sparse ``(i, v)`` -> ML sparse vectors of length ``size``, map-only: a
+    row costs its non-zeros."""
     import pyarrow as pa
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import StructField, StructType
 
-    keep = list(keep)
+    keep = tuple(keep)
 
-    def fn(batches):
+    def run(batches):
         for b in batches:
             n = b.num_rows
-            i = b.column("i")
-            idx = i.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            vals = b.column("v").flatten().to_numpy(zero_copy_only=False)
-            rows = np.repeat(np.arange(n), np.diff(i.offsets.to_numpy()))
-            dense = np.zeros((n, size))
-            dense[rows, idx] = vals
-            offsets = pa.array(np.arange(n + 1, dtype=np.int32) * size)
-            arr = pa.ListArray.from_arrays(offsets, pa.array(dense.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(k) for k in keep] + [arr],
-                                             names=keep + ["__dense"])
-
-    fields = [f for f in feats.schema.fields if f.name in keep]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    dense = feats.select(*keep, "i", "v").mapInArrow(fn, f"{schema}, __dense array<double>")
-    return dense.withColumn(out, array_to_vector("__dense")).drop("__dense")
+            vector = pa.StructArray.from_arrays(
+                [pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, size, np.int32)), b.column("i"), b.column("v")],
+                names=["type", "size", "indices", "values"])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), vector], names=[*keep, out])
+
+    schema = StructType([*(feats.schema[k] for k in keep), StructField(out, VectorUDT())])
+    return feats.select(*keep, "i", "v").mapInArrow(run, schema)

@@ -4,16 +4,29 @@ the pre-registered table views (DuckDB dialect)."""
 from __future__ import annotations
 
 from quillspark.operators.clean import LINEITEM_KEEP, LINEITEM_RANGES
+from quillspark.operators.metrics import HINGE_THRESHOLD, LOGISTIC_THRESHOLD
 from quillspark.operators.text import FORCED_WORDS
+from quillspark.plans.catalog import (
+    CLASS_PROFILE_N,
+    DIM,
+    EXTRA_RANGE,
+    KIND_RULE,
+    LAMBDA,
+    MULTI_X,
+    ROW_LIMIT,
+    STEPS,
+    THETA0,
+    TOP_K,
+)
 from quillspark.plans.sqltext import sql_safe_double, sql_sig_round, sql_str
 from quillspark.sources.text import BODY_GREEDY, BODY_SHORTEST, CLASS_ONE_MARK, ID_PATTERN
 
 ORACLES: dict[str, str] = {}
 
 
-def _lineitem_clean_sql() -> str:
+def _lineitem_clean_sql(extra=()) -> str:
     parsed = ",\n  ".join(f"{sql_safe_double(src)} AS {name}" for name, src in LINEITEM_KEEP.items())
-    conds = [f"{n} BETWEEN {float(lo)!r} AND {float(hi)!r}" for n, (lo, hi) in LINEITEM_RANGES.items()]
+    conds = [f"{n} BETWEEN {float(lo)!r} AND {float(hi)!r}" for n, (lo, hi) in {**LINEITEM_RANGES, **dict(extra)}.items()]
     conds += [f"{n} IS NOT NULL" for n in LINEITEM_KEEP]
     return (f"(SELECT * FROM (SELECT l_orderkey, l_linenumber,\n  {parsed}\n FROM lineitem) p\n"
             f" WHERE {' AND '.join(conds)})")
@@ -29,22 +42,15 @@ SELECT event_id, k FROM (
   SELECT event_id, {sql_safe_double("json_extract_string(props, '$.k')")} AS k FROM events) e
 WHERE k IS NOT NULL"""
 
-ORACLES["ols_closed_form"] = f"""
-WITH s AS (
-  SELECT count(*) AS n, sum(quantity * price) AS sum_xy, sum(quantity) AS sum_x,
-         sum(price) AS sum_y, sum(quantity * quantity) AS sum_x2
-  FROM {LI} c),
-f AS (
-  SELECT n,
-    (n * sum_xy - sum_x * sum_y) / (n * sum_x2 - sum_x * sum_x) AS slope,
-    (sum_x2 * sum_y - sum_x * sum_xy) / (n * sum_x2 - sum_x * sum_x) AS intercept
-  FROM s)
-SELECT n, {R('slope', 6)} AS slope, {R('intercept', 6)} AS intercept FROM f"""
+ORACLES["extra_range_filter"] = f"SELECT * FROM {_lineitem_clean_sql(EXTRA_RANGE)} c"
+
+ORACLES["row_limit"] = f"SELECT count(*) AS n FROM (SELECT 1 FROM lineitem LIMIT {ROW_LIMIT}) c"
 
 ORACLES["ols_regr"] = f"""
 WITH f AS (SELECT count(*) AS n, regr_slope(price, quantity) AS slope,
                   regr_intercept(price, quantity) AS intercept FROM {LI} c)
-SELECT n, {R('slope', 8)} AS slope, {R('intercept', 8)} AS intercept FROM f"""
+SELECT n, {R('slope', 9)} AS slope, {R('intercept', 9)} AS intercept FROM f"""
+ORACLES["ols_closed_form"] = ORACLES["ols_view"] = ORACLES["ols_regr"]
 
 ORACLES["mse_at"] = f"""
 WITH p AS (SELECT regr_slope(price, quantity) AS slope,
@@ -95,6 +101,12 @@ MARKED_LINES = """
          || CAST(d.doc_id AS VARCHAR) || '" title="t">' || d.text || '</doc>' AS value
   FROM documents d JOIN labels lb ON d.doc_id = lb.doc_id"""
 
+ORACLES["parse_counts"] = f"""
+WITH l AS ({MARKED_LINES}),
+c AS (SELECT CASE WHEN doc_id % 7 = 0 THEN left(value, length(value) - 3) ELSE value END AS value FROM l)
+SELECT count(*) AS lines, count(*) FILTER (WHERE regexp_matches(value, {sql_str(BODY_GREEDY)})) AS parsed,
+       count(*) FILTER (WHERE NOT regexp_matches(value, {sql_str(BODY_GREEDY)})) AS unmatched FROM c"""
+
 ORACLES["parse_marked_docs"] = f"""
 WITH l AS ({MARKED_LINES}),
 p AS (
@@ -107,11 +119,8 @@ SELECT doc_id, label, CAST(length(text) AS BIGINT) AS body_len, md5(text) AS bod
 # ---------------------------------------------------------------- text features
 
 
-ORACLE_DIM = 200
-TOP_K = 20
 
-
-def text_ctes(docs_sql: str, dim: int = ORACLE_DIM, rule: str = "not_all", p: str = "",
+def text_ctes(docs_sql: str, dim: int = DIM, rule: str = "not_all", p: str = "",
               vocab: str | None = None) -> str:
     """CTEs ``{p}d {p}w {p}cnt {p}tf {p}tfidf`` (and, unless an existing
     ``vocab`` CTE is named, ``{p}n {p}dfreq {p}vocab``) over a documents query
@@ -126,7 +135,7 @@ def text_ctes(docs_sql: str, dim: int = ORACLE_DIM, rule: str = "not_all", p: st
     else:
         raise ValueError(rule)
     out = f"""
-{p}d AS ({docs_sql}),
+{p}d AS (SELECT * FROM ({docs_sql}) t WHERE text IS NOT NULL),
 {p}w AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word,
                len(string_split(text, ' ')) AS n_tok FROM {p}d),"""
     if vocab is None:
@@ -171,17 +180,15 @@ qc AS (SELECT v.idx, count(*) / CAST(any_value(qw.n_tok) AS DOUBLE) * any_value(
 s AS (SELECT t.doc_id, sum(t.x * qc.qx) AS score FROM tfidf t JOIN qc ON t.idx = qc.idx GROUP BY t.doc_id),
 a AS (SELECT d.doc_id, round(coalesce(s.score, 0.0), 9) AS score, substring(d.text, 1, 200) AS snippet
       FROM d LEFT JOIN s ON d.doc_id = s.doc_id)
-SELECT doc_id, score, snippet FROM a ORDER BY score DESC, doc_id LIMIT {TOP_K}"""
+SELECT CAST(row_number() OVER (ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score, snippet
+FROM a QUALIFY rank <= {TOP_K} ORDER BY rank"""
+ORACLES["topk_kept_vectors"] = ORACLES["topk_similar_docs"]
 
 
 # ---------------------------------------------------------------- classes
 
-CLASS_PROFILE_N = 40
-LAMBDA = 0.01
-THETA0 = 0.1
-
 LABELLED = ("SELECT d.doc_id, d.text, CAST(lb.toxic AS DOUBLE) AS label "
-            "FROM documents d JOIN labels lb ON d.doc_id = lb.doc_id")
+            "FROM documents d JOIN labels lb ON d.doc_id = lb.doc_id WHERE d.text IS NOT NULL")
 IS_TEST = "(((doc_id % 10) + 10) % 10) = 0"
 TRAIN = f"SELECT * FROM ({LABELLED}) x WHERE NOT {IS_TEST}"
 TEST = f"SELECT * FROM ({LABELLED}) x WHERE {IS_TEST}"
@@ -207,15 +214,12 @@ WITH c AS (SELECT label, count(*) AS n FROM ({TRAIN}) t GROUP BY label),
 o AS (SELECT label, n, n / CAST(sum(n) OVER () AS DOUBLE) AS share FROM c)
 SELECT label, n, {R('share', 12)} AS share FROM o"""
 
-KIND_RULE = {"logistic": "forced", "hinge": "max_df", "weighted_hinge": "max_df"}
-
-
 def _margins(theta0: float = THETA0, feats: str = "tfidf", lab: str = "lab") -> str:
     return (f"SELECT l.doc_id, l.label, coalesce(sum(t.x * {theta0!r}), 0.0) + {theta0!r} AS m "
             f"FROM {lab} l LEFT JOIN {feats} t ON l.doc_id = t.doc_id GROUP BY l.doc_id, l.label")
 
 
-def _model_ctes(kind: str, dim: int = ORACLE_DIM) -> str:
+def _model_ctes(kind: str, dim: int = DIM) -> str:
     out = f"""{text_ctes(TRAIN, dim=dim, rule=KIND_RULE[kind])},
 lab AS (SELECT doc_id, label FROM d),
 wt AS (SELECT label, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share FROM lab GROUP BY label),
@@ -286,40 +290,46 @@ SELECT split, tp, fn, fp, tn, {R('accuracy', 12)} AS accuracy, {R('f1', 12)} AS
 
 
 # ---------------------------------------------------------------- descent
-# Recursive CTEs over the same one-pass statistics (count and correlations).
+# Recursive CTEs over the same one-pass statistics (count, means, covariances).
 
 def _simple_trace_sql(variant: str) -> str:
+    """e1, e2: the distance from the least-squares line along the loss' axes."""
+    line = "best_m + c * e1 - sn * e2 AS m, best_b + sn * e1 + c * e2 AS b"
     if variant == "exact":
-        gm, gb = "-2.0 * (s.r - t.m)", "2.0 * t.b"
+        axes = """SELECT *, 2.0 AS v1, 2.0 AS v2, yv AS k1, yv AS k2, 0.1 - cov / (sqrt(xv) * sqrt(yv)) AS e1, CAST(0.1 AS DOUBLE) AS e2 FROM f"""
+        line = """(cov / (sqrt(xv) * sqrt(yv)) + e1) * (sqrt(yv) / sqrt(xv)) AS m,
+         ym + sqrt(yv) * e2 - (cov / (sqrt(xv) * sqrt(yv)) + e1) * (sqrt(yv) / sqrt(xv)) * xm AS b"""
     else:
-        gm, gb = "-CAST(s.n AS DOUBLE) * (s.r - t.m)", "CAST(s.n AS DOUBLE) * t.b"
-    # loss = (1 - r²) + excess; the step rule compares the excess term
-    loss = "(u.m - u.r) * (u.m - u.r) + u.b * u.b"
-    return f"""WITH RECURSIVE s AS (SELECT count(*) AS n, corr(quantity, price) AS r FROM {LI} c),
+        axes = """SELECT *, n * l1 AS v1, n * l2 AS v2, l1 AS k1, l2 AS k2,
+    c * (0.1 - best_m) + sn * (0.1 - best_b) AS e1, c * (0.1 - best_b) - sn * (0.1 - best_m) AS e2
+  FROM (SELECT *, xv / l1 AS l2, (l1 - 1.0) / sqrt((l1 - 1.0) * (l1 - 1.0) + xm * xm) AS c,
+               xm / sqrt((l1 - 1.0) * (l1 - 1.0) + xm * xm) AS sn
+        FROM (SELECT *, (xv + xm * xm + 1.0) / 2.0 + sqrt((xv + xm * xm - 1.0) * (xv + xm * xm - 1.0) / 4.0 + xm * xm) AS l1 FROM f) g) h"""
+    return f"""WITH RECURSIVE m0 AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(quantity) AS xm, avg(price) AS ym, var_pop(quantity) AS xv,
+   var_pop(price) AS yv, covar_pop(quantity, price) AS cov FROM {LI} c),
+f AS (SELECT *, cov / xv AS best_m, ym - cov / xv * xm AS best_b, yv - cov / xv * cov AS base FROM m0),
+s AS ({axes}),
 t AS (
-  SELECT 0 AS step, CAST(0.1 AS DOUBLE) AS m, CAST(0.1 AS DOUBLE) AS b,
-         (0.1 - s.r) * (0.1 - s.r) + 0.1 * 0.1 AS loss,
-         CAST(0.01 AS DOUBLE) AS lr, CAST(0.01 AS DOUBLE) AS lr_next FROM s
+  SELECT 0 AS step, e1, e2, k1 * e1 * e1 + k2 * e2 * e2 AS loss, CAST(0.01 AS DOUBLE) AS lr, CAST(0.01 AS DOUBLE) AS lr_next FROM s
   UNION ALL
-  SELECT q.step, q.m, q.b, q.loss, q.lr,
-         CASE WHEN q.loss > q.loss_old THEN q.lr * 0.5 ELSE q.lr * 1.05 END
-  FROM (SELECT u.step, u.m, u.b, {loss} AS loss, u.lr, u.loss_old
-        FROM (SELECT t.step + 1 AS step, t.m - ({gm}) * t.lr_next AS m,
-                     t.b - ({gb}) * t.lr_next AS b, t.lr_next AS lr, t.loss AS loss_old, s.r
+  SELECT step, e1, e2, loss, lr, CASE WHEN loss > loss_old THEN lr * 0.5 ELSE lr * 1.05 END
+  FROM (SELECT step, e1, e2, k1 * e1 * e1 + k2 * e2 * e2 AS loss, lr, loss_old
+        FROM (SELECT t.step + 1 AS step, t.e1 * (1.0 - s.v1 * t.lr_next) AS e1, t.e2 * (1.0 - s.v2 * t.lr_next) AS e2,
+                     t.lr_next AS lr, t.loss AS loss_old, s.k1, s.k2
               FROM t CROSS JOIN s WHERE t.step < 100) u) q),
 o AS (
-  SELECT -1 AS step, (1.0 - r * r) + ((r - r) * (r - r) + 0.0 * 0.0) AS loss,
-         CAST(NULL AS DOUBLE) AS learning_rate, r AS m, CAST(0.0 AS DOUBLE) AS b FROM s
-  UNION ALL SELECT step, (1.0 - s.r * s.r) + t.loss AS loss, lr AS learning_rate, m, b FROM t, s)
-SELECT step, {R('loss', 9)} AS loss, {R('learning_rate', 9)} AS learning_rate,
-       {R('m', 9)} AS m, {R('b', 9)} AS b FROM o"""
+  SELECT -1 AS step, base AS loss, CAST(NULL AS DOUBLE) AS learning_rate, best_m AS m, best_b AS b FROM s
+  UNION ALL
+  SELECT step, base + loss, lr, m, b FROM (SELECT t.step, t.loss, t.lr, s.base, {line}
+    FROM t, (SELECT * EXCLUDE (e1, e2) FROM s) s) w),
+z AS (SELECT *, lag(loss) OVER (ORDER BY step) AS loss_old FROM o)
+SELECT step, {R('loss', 9)} AS loss, {R('loss_old', 9)} AS loss_old, {R('learning_rate', 9)} AS learning_rate,
+       {R('m', 9)} AS m, {R('b', 9)} AS b FROM z"""
 
 
 ORACLES["gd_simple_trace"] = _simple_trace_sql("exact")
 ORACLES["gd_simple_observed"] = _simple_trace_sql("observed")
 
-MULTI_X = ["quantity", "discount", "tax"]
-
 
 def _dot_sql(a: list[str], b: list[str]) -> str:
     out = f"{a[0]} * {b[0]}"
@@ -329,42 +339,49 @@ def _dot_sql(a: list[str], b: list[str]) -> str:
 
 
 def _multi_trace_sql(variant: str) -> str:
-    k = len(MULTI_X)
-    stats = ["count(*) AS n"]
-    for a in range(k):
-        for b in range(a + 1, k):
-            stats.append(f"corr({MULTI_X[a]}, {MULTI_X[b]}) AS c_{a}_{b}")
-        stats.append(f"corr({MULTI_X[a]}, price) AS c_{a}_y")
-
-    def cxx(a, b, pre="s."):
-        if a == b:
-            return "1.0"
-        lo, hi = min(a, b), max(a, b)
-        return f"{pre}c_{lo}_{hi}"
+    """Standardised units and back for the exact rule, raw ones (prices in
+    thousands) for the observed."""
+    k = range(len(MULTI_X))
+    exact = variant == "exact"
+    y = "price" if exact else "(price / 1000.0)"
+    stats = [f"avg({y}) AS ym", f"var_pop({y}) AS yv"]
+    for a in k:
+        stats += [f"avg({MULTI_X[a]}) AS m_{a}", f"covar_pop({MULTI_X[a]}, {y}) AS c_{a}_y"]
+        stats += [f"covar_pop({MULTI_X[a]}, {MULTI_X[b]}) AS c_{a}_{b}" for b in k if b > a]
+        stats.append(f"var_pop({MULTI_X[a]}) AS c_{a}_{a}")
+
+    def cxx(a, b):
+        a, b = min(a, b), max(a, b)
+        if not exact:
+            return f"s.c_{a}_{b}"
+        return "1.0" if a == b else f"(s.c_{a}_{b} / (sqrt(s.c_{a}_{a}) * sqrt(s.c_{b}_{b})))"
+
+    cxy = [f"(s.c_{a}_y / (sqrt(s.c_{a}_{a}) * sqrt(s.yv)))" if exact else f"s.c_{a}_y" for a in k]
+    ct = lambda tv: [_dot_sql([cxx(j, i) for i in k], tv) for j in k]
+    off = lambda tv, bias: f"(s.ym - ({_dot_sql(tv, [f's.m_{j}' for j in k])}) - {bias})"
 
     def loss_of(tv: list[str], bias: str) -> str:
-        ct = [_dot_sql([cxx(j, i) for i in range(k)], tv) for j in range(k)]
-        return (f"1.0 - 2.0 * {_dot_sql(tv, [f's.c_{j}_y' for j in range(k)])} "
-                f"+ {_dot_sql(tv, ct)} + {bias} * {bias}")
-
-    tv = [f"t.t{j}" for j in range(k)]
-    if variant == "exact":
-        ct = [_dot_sql([cxx(j, i) for i in range(k)], tv) for j in range(k)]
-        grads = [f"-2.0 * (s.c_{j}_y - {ct[j]})" for j in range(k)]
-        gbias = "2.0 * t.tb"
+        last = f"{bias} * {bias}" if exact else f"{off(tv, bias)} * {off(tv, bias)}"
+        first = "1.0" if exact else "s.yv"
+        return f"{first} - 2.0 * ({_dot_sql(tv, cxy)}) + ({_dot_sql(tv, ct(tv))}) + {last}"
+
+    tv, uv = [f"t.t{j}" for j in k], [f"u.t{j}" for j in k]
+    if exact:
+        grads, gbias = [f"-2.0 * ({cxy[j]} - ({ct(tv)[j]}))" for j in k], "2.0 * t.tb"
+        w = [f"t{j} * sqrt(s.yv) / sqrt(s.c_{j}_{j})" for j in k]
+        const = f"s.ym + sqrt(s.yv) * tb - ({_dot_sql([f'({x})' for x in w], [f's.m_{j}' for j in k])})"
+        loss = "loss * s.yv"
     else:
-        grads = [f"2.0 * t.t{j} * t.tb" for j in range(k)]
-        gbias = "2.0 * t.tb * t.tb"
-    upd = ", ".join(f"t.t{j} - ({grads[j]}) * t.lr_next AS t{j}" for j in range(k))
-    uv = [f"u.t{j}" for j in range(k)]
-    init_t = ", ".join(f"CAST(0.1 AS DOUBLE) AS t{j}" for j in range(k))
-    t0 = ["0.1"] * k
-    cols = ", ".join(f"q.t{j}" for j in range(k))
-    ucols = ", ".join(f"u.t{j}" for j in range(k))
-    outw = ", ".join(f"{R(f't{j}', 9)} AS w_{x}" for j, x in enumerate(MULTI_X))
+        grads, gbias = [f"-2.0 * t.t{j} * {off(tv, 't.tb')}" for j in k], f"-2.0 * t.tb * {off(tv, 't.tb')}"
+        w, const, loss = [f"t{j}" for j in k], "tb", "loss"
+    upd = ", ".join(f"t.t{j} - ({grads[j]}) * t.lr_next AS t{j}" for j in k)
+    init_t = ", ".join(f"CAST(0.1 AS DOUBLE) AS t{j}" for j in k)
+    cols = ", ".join(f"q.t{j}" for j in k)
+    ucols = ", ".join(f"u.t{j}" for j in k)
+    outw = ", ".join(f"{R(f'w{j}', 9)} AS w_{x}" for j, x in enumerate(MULTI_X))
     return f"""WITH RECURSIVE s AS (SELECT {', '.join(stats)} FROM {LI} c),
 t AS (
-  SELECT 0 AS step, {init_t}, CAST(0.1 AS DOUBLE) AS tb, {loss_of(t0, '0.1')} AS loss,
+  SELECT 0 AS step, {init_t}, CAST(0.1 AS DOUBLE) AS tb, {loss_of(['0.1'] * len(k), '0.1')} AS loss,
          CAST(0.001 AS DOUBLE) AS lr, CAST(0.001 AS DOUBLE) AS lr_next, 0 AS hits, false AS stopped FROM s
   UNION ALL
   SELECT q.step, {cols}, q.tb, q.loss, q.lr, q.lr_next, q.hits,
@@ -375,9 +392,11 @@ t AS (
                      u.lr, u.loss_old, u.hits_old
               FROM (SELECT t.step + 1 AS step, {upd}, t.tb - ({gbias}) * t.lr_next AS tb,
                            t.lr_next AS lr, t.loss AS loss_old, t.hits AS hits_old, s.*
-                    FROM t CROSS JOIN s WHERE t.step < 100 AND NOT t.stopped) u) r) q)
-SELECT step, {R('loss', 9)} AS loss, {R('lr', 9)} AS learning_rate, {outw},
-       {R('tb', 9)} AS w_const FROM t"""
+                    FROM t CROSS JOIN s WHERE t.step < 100 AND NOT t.stopped) u) r) q),
+o AS (SELECT step, {loss} AS loss, lr, {', '.join(f'{x} AS w{j}' for j, x in enumerate(w))}, {const} AS wc FROM t CROSS JOIN s),
+z AS (SELECT *, lag(loss) OVER (ORDER BY step) AS loss_old FROM o)
+SELECT step, {R('loss', 9)} AS loss, {R('loss_old', 9)} AS loss_old, {R('lr', 9)} AS learning_rate, {outw},
+       {R('wc', 9)} AS w_const FROM z"""
 
 
 ORACLES["gd_multi_trace"] = _multi_trace_sql("exact")
@@ -388,7 +407,6 @@ ORACLES["gd_multi_observed"] = _multi_trace_sql("observed")
 # Unrolled CTEs: θ_k is a table (idx, w) with the bias at idx p - 1; each step
 # joins it with the TF-IDF entries for margins, then gradient and loss.
 
-TRACE_STEPS = 5
 TIE_DIGITS = 12
 
 
@@ -425,8 +443,8 @@ gf{k} AS (SELECT th.idx, th.w,
           FROM th{k} th LEFT JOIN gs{k} gs ON th.idx = gs.idx CROSS JOIN pp CROSS JOIN nn)"""
 
 
-def _logistic_trace_sql(steps: int = TRACE_STEPS, evaluate: bool = False,
-                        variant: str = "exact", dim: int = ORACLE_DIM,
+def _logistic_trace_sql(steps: int = STEPS, evaluate: bool = False,
+                        variant: str = "exact", dim: int = DIM,
                         min_rate: float = 0.01) -> str:
     """sp{k}: the loop has stopped after step k (rate below ``min_rate``);
     θ is frozen from then on and later trace rows are dropped."""
@@ -461,7 +479,7 @@ def _logistic_trace_sql(steps: int = TRACE_STEPS, evaluate: bool = False,
             f"SELECT step, {R('loss', 9)} AS loss, {R('learning_rate', 9)} AS learning_rate FROM o")
 
 
-def _hinge_trace_sql(kind: str, steps: int = TRACE_STEPS, dim: int = ORACLE_DIM,
+def _hinge_trace_sql(kind: str, steps: int = STEPS, dim: int = DIM,
                      evaluate: bool = False, variant: str = "exact",
                      min_rate: float = 1e-6) -> str:
     """Exact variant: mean gradient, s = 0.9 s + 0.1 g·g/dim, step rate/(sqrt(s)+1e-8);
@@ -520,15 +538,6 @@ def _hinge_trace_sql(kind: str, steps: int = TRACE_STEPS, dim: int = ORACLE_DIM,
             f"SELECT step, {R('loss', 9)} AS loss, {R('learning_rate', 9)} AS learning_rate FROM o")
 
 
-ORACLES["logistic_trace"] = _logistic_trace_sql()
-ORACLES["svm_trace"] = _hinge_trace_sql("hinge")
-ORACLES["weighted_svm_trace"] = _hinge_trace_sql("weighted_hinge")
-
-
-LOGISTIC_THRESHOLD = 0.5
-HINGE_THRESHOLD = 0.0
-
-
 def _eval_tail(parts: list[str], kind: str, theta: str, threshold: float) -> str:
     """Confusion, accuracy and F1 of the final θ table on train and test."""
     test_ctes = text_ctes(TEST, p="te_", vocab="vocab").lstrip()
@@ -554,20 +563,29 @@ o AS (SELECT *, CAST(tp + tn AS DOUBLE) / CAST(tp + fn + fp + tn AS DOUBLE) AS a
 SELECT split, tp, fn, fp, tn, {R('accuracy', 12)} AS accuracy, {R('f1', 12)} AS f1 FROM o"""
 
 
+for _variant, _end in (("exact", ""), ("observed", "_observed")):
+    ORACLES[f"logistic_trace{_end}"] = _logistic_trace_sql(variant=_variant)
+    ORACLES[f"svm_trace{_end}"] = _hinge_trace_sql("hinge", variant=_variant)
+    ORACLES[f"weighted_svm_trace{_end}"] = _hinge_trace_sql("weighted_hinge", variant=_variant)
+
 ORACLES["logistic_eval"] = _logistic_trace_sql(evaluate=True)
 ORACLES["svm_eval"] = _hinge_trace_sql("hinge", evaluate=True)
 ORACLES["weighted_svm_eval"] = _hinge_trace_sql("weighted_hinge", evaluate=True)
 
-ORACLES["logistic_trace_observed"] = _logistic_trace_sql(variant="observed")
-ORACLES["svm_trace_observed"] = _hinge_trace_sql("hinge", variant="observed")
-ORACLES["weighted_svm_trace_observed"] = _hinge_trace_sql("weighted_hinge", variant="observed")
-
-# The reference's own configuration: 2,000 words, 20 steps.
-FULL_DIM = 2000
-FULL_STEPS = 20
-ORACLES["logistic_trace_full"] = _logistic_trace_sql(FULL_STEPS, dim=FULL_DIM)
-ORACLES["logistic_eval_full"] = _logistic_trace_sql(FULL_STEPS, evaluate=True, dim=FULL_DIM)
-ORACLES["svm_trace_full"] = _hinge_trace_sql("hinge", FULL_STEPS, FULL_DIM)
-ORACLES["svm_eval_full"] = _hinge_trace_sql("hinge", FULL_STEPS, FULL_DIM, evaluate=True)
-ORACLES["weighted_svm_eval_full"] = _hinge_trace_sql("weighted_hinge", FULL_STEPS, FULL_DIM,
-                                                     evaluate=True)
+for _name in ("logistic_trace", "logistic_eval", "svm_trace", "svm_eval", "weighted_svm_eval"):
+    ORACLES[f"{_name}_full"] = ORACLES[_name]
+
+
+# ---------------------------------------------------------------- library
+# What is determined of a library fit; that its loss is below θ = 0's is a fact.
+
+def _svc_sql(rows: str) -> str:
+    return f"""
+SELECT CASE WHEN {IS_TEST} THEN 'test' ELSE 'train' END AS split, count(*) AS n,
+       count(*) FILTER (WHERE label = 1) AS positives, count(*) FILTER (WHERE label = 0) AS negatives,
+       CASE WHEN {IS_TEST} THEN NULL ELSE true END AS below_start
+FROM ({rows}) r GROUP BY {IS_TEST}"""
+
+
+ORACLES["linear_svc"] = _svc_sql("SELECT vec_id AS doc_id, ((label % 2) + 2) % 2 AS label FROM embeddings")
+ORACLES["linear_svc_tfidf"] = _svc_sql(LABELLED)

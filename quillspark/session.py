@@ -1,8 +1,9 @@
 """Session helpers: building a local session for tests and benches, finding the
-shared checkpoint folder, and materialising a frame that a driver loop reuses."""
+shared checkpoint folder, and pinning frames that several passes read."""
 
 from __future__ import annotations
 
+import logging
 import os
 import tempfile
 
@@ -28,7 +29,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         # remove checkpoint files once the pinned frame is garbage-collected
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", os.environ.get("QS_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("QS_DRIVER_MEMORY", "4g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -51,37 +52,25 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the configured checkpoint folder; only where none is set (local
-    tests) create a scratch one."""
+    tests) create a scratch one, and say so."""
     current = checkpoint_dir(spark)
     if current:
         return current
     scratch = tempfile.mkdtemp(prefix="qs-ckpt-")
+    logging.getLogger(__name__).warning(
+        "spark.checkpoint.dir is not set; %s is used, which other machines don't see", scratch)
     spark.sparkContext.setCheckpointDir(scratch)
     return spark.sparkContext.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Pin a frame that a driver loop scans many times.
-
-    The frame is written to the reliable checkpoint folder (lineage cut, so a
-    lost executor re-reads files instead of re-running the featurisation) and
-    then kept in memory and disk for the following passes."""
-    spark = df.sparkSession
-    if checkpoint_dir(spark):
-        df = df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def pin(df: DataFrame) -> DataFrame:
+    """Write a frame that several passes read to the checkpoint folder (lineage
+    cut, so a lost executor re-reads files instead of re-running it)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the task slots when the scan yields fewer
-    partitions than there are slots (one large row group, a few big files),
-    so CPU-heavy per-row work (tokenising, regex casts) runs in parallel.
-
-    On a cluster reading many files the scan already has at least as many
-    partitions as slots and the frame is returned unchanged (no shuffle).
-    Round-robin repartitioning sorts rows within each task first, so a
-    retried task sends every row to the same place."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+def materialize(df: DataFrame) -> DataFrame:
+    """``pin`` a frame that a driver loop scans many times, and keep it in
+    memory and on disk for the following passes."""
+    return pin(df).persist(StorageLevel.MEMORY_AND_DISK)

@@ -1,8 +1,7 @@
 """Line-marked documents: one ``<doc id="..." ...>body</doc>`` per line.
 
 Parsing is regexp_extract with DOTALL, so it stays in the JVM. A line that does
-not match is filtered out (the count of such lines is available through
-``unmatched_lines``) instead of failing the job."""
+not match is filtered out (``line_counts`` counts them) instead of failing the job."""
 
 from __future__ import annotations
 
@@ -37,25 +36,22 @@ def class_from_marker(value: Column) -> Column:
 
 def parse_labelled(lines: DataFrame, line_col: str = "value",
                    with_id: bool = True, keep=()) -> DataFrame:
-    """``(doc_id BIGINT, text STRING, label DOUBLE)``: greedy body (to the last
-    ``</doc>``), label 1.0 when the id starts with ``AU``.
-
-    ``doc_id`` is the row position (deterministic for a given file split), only
-    used for stable ordering and splitting."""
+    """``(doc_id STRING, text STRING, label DOUBLE)``: the id that the line
+    names, greedy body (to the last ``</doc>``), label 1.0 when the id starts
+    with ``AU``."""
     value = F.col(line_col)
-    out = lines.where(value.rlike(BODY_GREEDY)).select(
-        *keep,
+    named = [F.regexp_extract(value, ID_PATTERN, 1).alias("doc_id")] if with_id else []
+    return lines.where(value.rlike(BODY_GREEDY)).select(
+        *named, *keep,
         F.regexp_extract(value, BODY_GREEDY, 1).alias("text"),
         class_from_marker(value).alias("label"),
     )
-    if with_id:
-        out = out.select(F.monotonically_increasing_id().alias("doc_id"), "*")
-    return out
 
 
-def unmatched_lines(lines: DataFrame, pattern: str = BODY_GREEDY,
-                    line_col: str = "value") -> DataFrame:
-    return lines.where(~F.col(line_col).rlike(pattern))
+def line_counts(lines: DataFrame, pattern: str = BODY_GREEDY, line_col: str = "value") -> DataFrame:
+    """One row: lines, those that parse, those that don't (one pass)."""
+    hit = F.coalesce(F.col(line_col).rlike(pattern), F.lit(False))
+    return lines.agg(F.count(F.lit(1)).alias("lines"), F.count_if(hit).alias("parsed"), F.count_if(~hit).alias("unmatched"))
 
 
 def load_corpus(spark: SparkSession, train_path: str, test_path: str | None = None,
@@ -63,7 +59,8 @@ def load_corpus(spark: SparkSession, train_path: str, test_path: str | None = No
     """Labelled training and test frames.
 
     Two paths: both files are parsed the same way. One path: a stable split by
-    id (``pmod(doc_id, 10) = 0`` is test), independent of partitioning."""
+    the line's own id (``pmod(xxhash64(doc_id), 10) = 0`` is test), the same
+    however the file is cut into partitions."""
     from quillspark.operators.profile import stable_split
 
     train = parse_labelled(read_lines(spark, train_path))

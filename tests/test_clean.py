@@ -1,9 +1,12 @@
 import bz2
 import os
+import re
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quillspark.functions.columns import safe_double
+from quillspark.functions.columns import NUMERIC_PATTERN, safe_double
 from quillspark.operators.clean import TAXI_KEEP, TAXI_RANGES, clean_numeric, dropped_rows
 from quillspark.sources.csv import TAXI_FIELDS, read_csv_strings
 
@@ -65,10 +68,26 @@ def test_csv_plain_bz2_and_short_rows(spark, tmpdir_path):
         assert sorted(r.fare_amount for r in kept.collect()) == [10.0, 20.0]
 
 
-def test_plan_pushes_filter_and_prunes(spark, tmpdir_path):
+def test_plan_prunes_and_compares_plainly(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "rides.parquet")
     frame(spark, [ride(), ride(time="5")]).write.parquet(path)
     out = clean_numeric(spark.read.parquet(path), TAXI_KEEP, TAXI_RANGES).select("fare_amount")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "medallion" not in plan.split("ReadSchema")[-1]
+    assert "transform(" not in plan and "lambda" not in plan and "Exchange" not in plan
     assert out.agg(F.count("*")).first()[0] == 1
+    stats = dropped_rows(spark.read.parquet(path), TAXI_KEEP, TAXI_RANGES)
+    assert stats._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.floats(allow_nan=True, width=64).map(repr), st.integers(-10**6, 10**6).map(str),
+                          st.text("0123456789.eE+- dfxnaiINFty_", max_size=8)), min_size=1, max_size=30))
+def test_safe_double_agrees_with_the_number_pattern(spark, values):
+    """A text counts as a number exactly if it has the form of one."""
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "s string").select(safe_double("s")).collect()]
+    for v, x in zip(values, got):
+        plain = re.fullmatch(NUMERIC_PATTERN.strip("^$"), v, re.ASCII)
+        assert (x is not None) == bool(plain), (v, x)
+        if plain:
+            assert x == float(v)

@@ -2,6 +2,8 @@ import pytest
 
 import __spark_entry__ as se
 from oracle_check import check, duck
+from quillspark.plans.catalog import QUERIES
+from quillspark.plans.oracle import ORACLES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -10,23 +12,20 @@ def test_entry_runs(spark):
     df = se.entry(spark)
     rows = df.collect()
     assert 0 < len(rows) <= 20
-    assert df.columns == ["doc_id", "score", "snippet"]
+    assert df.columns == ["rank", "doc_id", "score", "snippet"]
+    assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1))
+    assert [(-r.score, r.doc_id) for r in rows] == sorted((-r.score, r.doc_id) for r in rows)
 
 
 def test_registry_consistent():
     q, o = se.queries(), se.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 30
-    assert set(q) - set(o) == {"linear_svc", "linear_svc_tfidf"}   # Spark ML: rows-only
+    assert set(ORACLES) == set(QUERIES)       # every query of the core has its SQL
 
 
-@pytest.mark.parametrize("name", [
-    "safe_range_filter", "ols_closed_form", "line_points", "parse_pages", "vocab_forced",
-    "tfidf", "topk_similar_docs", "class_mean_tf", "hinge_grad", "accuracy_f1",
-    "gd_multi_trace", "svm_trace",
-])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.endswith("_full")])
 def test_oracle_small(spark, name):
-    res = check(spark, duck(SMALL), SMALL, name, se.queries()[name], se.oracle_sql()[name])
+    res = check(spark, duck(SMALL), SMALL, name, QUERIES[name], ORACLES[name])
     assert res["status"].startswith("MATCH"), res
 
 
@@ -45,14 +44,14 @@ def test_early_stop_matches_sql(spark):
             "step", sig_round("loss", 9).alias("loss"),
             sig_round("learning_rate", 9).alias("learning_rate")).collect())
 
-    vocab, ftrain, _ = c.model_inputs(spark, SMALL, "forced")
-    fit = cl.train_logistic(ftrain, vocab.size() + 1, max_iter=5, min_rate=0.2)
+    vocab, feats = c.model_inputs(spark, SMALL, "forced")
+    fit = cl.train_logistic(c.train_part(feats), vocab.size() + 1, max_iter=5, min_rate=0.2)
     assert len(fit.trace) == 2                       # initial row + the step that stopped
     sql = con.execute(o._logistic_trace_sql(5, min_rate=0.2)).fetchall()
     assert rows(fit.trace_frame(spark)) == sorted(sql)
 
-    vocab, ftrain, _ = c.model_inputs(spark, SMALL, "max_df")
-    fit = cl.train_hinge(ftrain, vocab.size() + 1, o.ORACLE_DIM, max_iter=5, min_rate=0.0105)
+    vocab, feats = c.model_inputs(spark, SMALL, "max_df")
+    fit = cl.train_hinge(c.train_part(feats), vocab.size() + 1, c.DIM, max_iter=5, min_rate=0.0105)
     assert len(fit.trace) == 1
     sql = con.execute(o._hinge_trace_sql("hinge", 5, min_rate=0.0105)).fetchall()
     assert rows(fit.trace_frame(spark)) == sorted(sql)

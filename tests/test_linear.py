@@ -63,12 +63,28 @@ def test_fit_sample_is_ordered_top_n(spark):
     assert df.select(F.count("*")).first()[0] == 200
 
 
-def test_closed_form_sql_view_and_helpers(spark):
-    from quillspark.operators.linear import closed_form_sql, preview, with_previous_loss
+def test_moments_do_not_cancel(spark):
+    """Far from the origin sums of squares lose every digit of the slope."""
+    from quillspark.operators.linear import moments_mse
+
+    rng = np.random.default_rng(1)
+    x = 1e8 + rng.uniform(0, 1, 500)
+    y = 3.0 * (x - 1e8) + 7.0
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)] + [(None, 1.0), (1.0, None)], "x double, y double")
+    r = closed_form(df, "x", "y").first()
+    assert r.n == 500 and abs(r.slope - 3.0) < 1e-6 and r.mse < 1e-9
+    df, x, y = data(spark)
+    fit = closed_form(df, "x", "y").select("*", moments_mse(2.0, 1.0).alias("at"), moments_mse(F.col("slope"), F.col("intercept")).alias("own")).first()
+    assert abs(fit["at"] - np.mean((y - 2.0 * x - 1.0) ** 2)) < 1e-9
+    assert abs(fit.mse - np.mean((y - fit.slope * x - fit.intercept) ** 2)) < 1e-9 and abs(fit.own - fit.mse) < 1e-9
+
+
+def test_view_and_helpers(spark):
+    from quillspark.operators.linear import preview, regr_view, with_previous_loss
     df, x, y = data(spark)
     m, b = np.polyfit(x, y, 1)
-    r = closed_form_sql(df, "x", "y").first()
-    r2 = closed_form_sql(df, "x", "y").first()       # the view is replaced, not an error
+    r = regr_view(df, "x", "y").first()
+    r2 = regr_view(df, "x", "y").first()       # the view is replaced, not an error
     assert abs(r.slope - m) < 1e-9 and abs(r.intercept - b) < 1e-9 and r2.n == 200
     assert preview(df, 3).count() == 3
     tr = spark.createDataFrame([(0, 3.0), (1, 2.0), (2, 2.5)], "step int, loss double")

@@ -11,6 +11,7 @@ from quillspark.plans import classify as cl
 from quillspark.plans import descent as ds
 
 P = 6  # 5 features + bias
+SHARES = {1.0: 0.25, 0.0: 0.75}
 
 
 def sparse_rows(seed=0, n=40):
@@ -64,7 +65,7 @@ def test_arrow_gradient_matches_dense(spark, kind, variant):
     theta = np.linspace(-0.5, 0.7, P)
     rows = sparse_rows()
     g, lsum, n = gr.gradient_and_loss(feats(spark), theta, kind, variant,
-                                      weight_col="share" if kind == "weighted_hinge" else None)
+                                      shares=SHARES if kind == "weighted_hinge" else None)
     gb, lb = brute(kind, variant, theta, rows)
     assert n == len(rows)
     assert np.allclose(g, gb, atol=1e-10) and lsum == pytest.approx(lb, rel=1e-12)
@@ -109,10 +110,15 @@ def test_split_weights_and_profile(spark):
     tr2, te2 = pf.stable_split(df.repartition(9))
     assert sorted(r.doc_id for r in te.collect()) == list(range(0, 100, 10))
     assert sorted(r.doc_id for r in te2.collect()) == list(range(0, 100, 10))
-    w = pf.check_classes(pf.class_weights(df))
-    assert w == {1.0: 0.25, 0.0: 0.75}
-    with pytest.raises(ValueError):
-        pf.check_classes(pf.class_weights(df.where("label = 0")))
+    assert pf.class_shares(df) == {1.0: 0.25, 0.0: 0.75}
+    assert {r.label: (r.n, r.share) for r in pf.class_weights(df).collect()} == {1.0: (25, 0.25), 0.0: (75, 0.75)}
+    for f in (pf.class_shares, pf.class_weights):
+        with pytest.raises(ValueError):
+            f(df.where("label = 0"))
+    # ids that aren't numbers are hashed
+    named = df.selectExpr("concat('d', doc_id) AS doc_id", "label")
+    tests = [sorted(r.doc_id for r in pf.stable_split(d)[1].collect()) for d in (named, named.repartition(7))]
+    assert tests[0] == tests[1] and 2 <= len(tests[0]) <= 25
     first = pf.first_per_class(df, 3).collect()
     assert sorted((r.label, r.doc_id) for r in first) == [
         (0.0, 1), (0.0, 2), (0.0, 3), (1.0, 0), (1.0, 4), (1.0, 8)]
@@ -137,32 +143,91 @@ def test_step_rules():
     assert b.next_rate(2.0, 1.0, 1.0) == 0.5 and b.next_rate(1.0, 1.0, 1.0) == 1.05
     s = ds.StopRule(1e-5, 3, 1e-5)
     assert [s.should_stop(l, 1.0, 1.0) for l in (0.5, 2.0, 0.9, 0.8)] == [False, False, False, True]
-    a = ds.AdaptiveRate(dim=4, variant="observed")
+
+
+NAN = float("nan")
+
+
+@pytest.mark.parametrize("loss, before, exact, observed, kept", [
+    (1.0, NAN, 1.0, 1 / 0.1, True),       # the first step settles
+    (1.2, 1.0, 0.5, 0.5, False),          # up by more than 5 %
+    (1.0500001, 1.0, 0.5, 0.5, False),
+    (1.05, 1.0, 0.75, 0.75, True),        # up by at most 5 %
+    (1.0 + 1e-9, 1.0, 0.75, 0.75, True),
+    (1.0, 1.0, 1.1, 1.1, True),           # equal
+    (1.0 + 1e-15, 1.0, 1.1, 1.1, True),   # equal at 12 digits
+    (0.9900001, 1.0, 1.1, 1.1, True),     # down by less than 1 %
+    (0.98, 1.0, 1.0, 1 / 0.1, True),      # down further: settles
+    (1.0, 0.0, 0.5, 0.5, False),          # from nothing
+    (0.0, 0.0, 1.1, 1.1, True),
+])
+def test_adaptive_rate(loss, before, exact, observed, kept):
     g = np.ones(4)
-    assert a.update(g, 1.0, 1.0, float("nan")) == (pytest.approx(1 / (0.1 + 1e-8)), True)
-    assert a.update(g, 1.0, 1.2, 1.0) == (0.5, False)
-    assert a.update(g, 1.0, 1.04, 1.0) == (0.75, True)
-    assert a.update(g, 1.0, 0.995, 1.0) == (pytest.approx(1.1), True)
+    for variant, rate in (("exact", exact), ("observed", observed)):
+        rule = ds.AdaptiveRate(dim=4, variant=variant)
+        got = rule.update(g, 1.0, loss, before)
+        assert got == (pytest.approx(rate, rel=1e-6), kept)
+        assert rule.s == pytest.approx(0.1 if variant == "exact" else 0.0)
+    assert ds.AdaptiveRate(dim=4, variant="exact", s=0.25).step_size(1.0) == pytest.approx(2.0)
+
+
+def test_adaptive_rate_compounds():
+    rule = ds.AdaptiveRate(dim=4, variant="observed")
+    g, p0, rate = np.full(4, 2.0), 0.0, 1.0
+    for loss, before in ((4.0, NAN), (3.0, 4.0), (2.0, 3.0)):
+        p0 += 0.9 * p0 + 0.1 * 2.0 + 1e-8
+        rate, _ = rule.update(g, rate, loss, before)
+        assert rule.p0 == pytest.approx(p0)
+    assert rate == pytest.approx(1 / 0.2 / 0.58 / (1.9 * 0.58 + 0.2), rel=1e-6)
 
 
-def test_moments_loss_equals_direct_loss(spark):
+def regression_frame(spark):
     rng = np.random.default_rng(3)
     X = rng.normal(size=(300, 2)) * [2.0, 5.0] + [1.0, -3.0]
-    y = X @ [0.7, -0.2] + rng.normal(size=300)
-    df = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(X, y)],
-                               "x1 double, x2 double, y double")
+    y = 40.0 + X @ [0.7, -0.2] + rng.normal(size=300)
+    return X, y, spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(X, y)], "x1 double, x2 double, y double")
+
+
+def test_descent_in_data_units(spark):
+    X, y, df = regression_frame(spark)
     mo = ds.moments(df, ["x1", "x2"], "y")
-    Z = (X - X.mean(0)) / X.std(0)
-    w = (y - y.mean()) / y.std()
-    theta, bias = np.array([0.3, -0.1]), 0.2
-    direct = np.mean((w - Z @ theta - bias) ** 2)
-    assert ds.std_loss(mo, theta, bias) == pytest.approx(direct, rel=1e-9)
-    rows = ds.descend_simple(ds.moments(df, ["x1"], "y"), "exact", max_iter=100, rate=0.1)
-    r = np.corrcoef(X[:, 0], y)[0, 1]
-    assert rows[-1][3][0] == pytest.approx(r, abs=1e-4)        # slope -> corr
-    assert rows[-1][1] == pytest.approx(1 - r * r, abs=1e-6)  # loss -> baseline
-    multi = ds.descend_multi(mo, "exact", rate=0.1, max_iter=100)
-    assert multi[-1][1] < multi[0][1]
+    mse = lambda slopes, const: np.mean((y - X @ slopes - const) ** 2)
+    for variant, rate in (("exact", 0.1), ("observed", 0.0005)):
+        for _, loss, _, theta in ds.descend_multi(mo, variant, rate=rate, max_iter=60):
+            assert loss == pytest.approx(mse(theta[:2], theta[2]), rel=1e-8)
+    one = ds.moments(df, ["x1"], "y")
+    slope, const = np.polyfit(X[:, 0], y, 1)
+    for variant, rate in (("exact", 0.1), ("observed", 1e-3)):
+        rows = ds.descend_simple(one, variant, rate=rate)
+        assert rows[0][3] == pytest.approx([slope, const], rel=1e-9)
+        assert rows[0][1] == pytest.approx(np.mean((y - slope * X[:, 0] - const) ** 2), rel=1e-9)
+        for _, loss, _, (m, b) in rows:
+            assert loss == pytest.approx(np.mean((y - m * X[:, 0] - b) ** 2), rel=1e-6)
+    last = ds.descend_simple(one, "exact", rate=0.1)[-1]
+    assert last[3] == pytest.approx([slope, const], abs=1e-4)     # nears the closed form
+    with pytest.raises(ValueError):
+        ds.moments(df.selectExpr("1.0 AS x1", "y"), ["x1"], "y")
+
+
+def test_observed_rules_as_written(spark):
+    """Both observed traces against loops over the rows."""
+    X, y, df = regression_frame(spark)
+    m, b, rate = 0.1, 0.1, 1e-3
+    rows = ds.descend_simple(ds.moments(df, ["x1"], "y"), "observed", rate=rate, max_iter=12)
+    loss = np.mean((y - m * X[:, 0] - b) ** 2)
+    for _, got, used, theta in rows[2:]:
+        r = y - (m * X[:, 0] + b)
+        m, b = m + (r * X[:, 0]).sum() * rate, b + r.sum() * rate
+        assert used == pytest.approx(rate) and theta == pytest.approx([m, b], rel=1e-6)
+        loss, old = np.mean((y - m * X[:, 0] - b) ** 2), loss
+        assert got == pytest.approx(loss, rel=1e-6)
+        rate = rate * 0.5 if loss > old else rate * 1.05
+    theta, rate = np.full(3, 0.1), 0.0005
+    X1 = np.column_stack([X, np.ones(len(X))])
+    for _, _, _, got in ds.descend_multi(ds.moments(df, ["x1", "x2"], "y"), "observed", rate=rate, max_iter=5)[1:]:
+        loss, theta = np.mean((y - X1 @ theta) ** 2), theta + theta * (y - X1 @ theta).sum() * 2 / len(y) * rate
+        rate *= 0.5 if np.mean((y - X1 @ theta) ** 2) > loss else 1.05
+        assert got == pytest.approx(theta.tolist(), rel=1e-9)
 
 
 def test_training_loops(spark):
@@ -172,28 +237,32 @@ def test_training_loops(spark):
     assert losses[-1] < losses[0]
     h = cl.train_hinge(f, P, dim=P - 1, max_iter=8)
     assert len(h.trace) == 8 and h.trace[-1][1] <= h.trace[0][1]
-    wh = cl.train_hinge(f, P, dim=P - 1, weight_col="share", max_iter=4, variant="observed")
+    wh = cl.train_hinge(f, P, dim=P - 1, shares=SHARES, max_iter=4, variant="observed")
     assert all(math.isfinite(t[1]) for t in wh.trace)
     ev = cl.evaluate(f, fit.theta, mt.LOGISTIC_THRESHOLD).first()
     assert ev.tp + ev.fn + ev.fp + ev.tn == 40
+    split = f.withColumn("is_test", F.col("doc_id") < 10)
+    both = {r.is_test: r for r in cl.evaluate(split, fit.theta, mt.LOGISTIC_THRESHOLD, by=("is_test",)).collect()}
+    assert both[True].tp + both[False].tp == ev.tp and both[True].tn + both[False].tn == ev.tn
 
 
-def test_sparse_to_dense_and_library_svc(spark):
-    rows = sparse_rows(6)
-    f = feats(spark, 6)
-    got = {r.doc_id: r.features.toArray().tolist() for r in cl.sparse_to_dense(f, P - 1).collect()}
-    Xd, y, _ = dense(rows)
+def test_library_svc_on_sparse_vectors(spark):
+    rows = sparse_rows(6, 200)
+    f = spark.createDataFrame(rows, "doc_id long, label double, i array<int>, v array<double>, share double").repartition(3)
+    X, y, _ = dense(rows)
+    got = {r.doc_id: r.features for r in cl.sparse_vectors(f, P - 1).collect()}
     for d, vec in got.items():
-        assert vec == Xd[d, :-1].tolist()
-    model, theta = cl.linear_svc(cl.sparse_to_dense(f, P - 1), max_iter=20)
-    assert theta.shape == (P,)
-
-
-def test_adaptive_rule_treats_last_bit_noise_as_tie():
-    a = ds.AdaptiveRate(dim=4, variant="exact")
-    g = np.ones(4)
-    old = 0.2356357818040717
-    noisy = 0.23563578180407224        # same θ, other summation order
-    assert a.update(g, 1.0, noisy, old) == (pytest.approx(1.1), True)   # tie, not a rise
-    assert a.update(g, 1.0, old * 1.001, old) == (0.75, True)           # a real rise
-    assert ds.sig_round_value(0.23563578180407177) == ds.sig_round_value(noisy)
+        assert type(vec).__name__ == "SparseVector" and vec.toArray().tolist() == X[d, :-1].tolist()
+    reg = 0.05
+    _, theta = cl.linear_svc(cl.sparse_vectors(f, P - 1), max_iter=200, reg_param=reg)
+    sd = X[:, :-1].std(0, ddof=1)
+    objective = lambda t: np.maximum(0, 1 - (2 * y - 1) * (X @ t)).mean() + reg / 2 * ((t[:-1] * sd) ** 2).sum()
+    # an independent solver: subgradient steps with averaging on the same objective
+    t, mean = np.zeros(P), np.zeros(P)
+    for k in range(1, 20001):
+        s = 2 * y - 1
+        g = -((s * (s * (X @ t) < 1))[:, None] * X).mean(0)
+        g[:-1] += reg * t[:-1] * sd * sd
+        t = t - g / (1 + 0.05 * k)
+        mean += (t - mean) * 2 / (k + 1)
+    assert objective(theta) <= objective(mean) + 5e-3 and objective(theta) < objective(np.zeros(P))

@@ -1,6 +1,6 @@
 import os
 
-from quillspark.session import checkpoint_dir, materialize, spread
+from quillspark.session import checkpoint_dir, materialize, pin
 
 
 def test_materialize_checkpoints_and_keeps_rows(spark):
@@ -18,15 +18,6 @@ def test_materialize_checkpoints_and_keeps_rows(spark):
         pinned.unpersist()
 
 
-def test_spread_only_when_scan_is_narrow(spark, tmpdir_path):
-    slots = spark.sparkContext.defaultParallelism
-    narrow = spark.range(100).coalesce(1)
-    assert spread(narrow).rdd.getNumPartitions() == slots
-    wide = spark.range(0, 100, 1, slots + 2)
-    assert spread(wide) is wide                       # unchanged: no shuffle added
-    assert sorted(r.id for r in spread(narrow).collect()) == list(range(100))
-
-
 def test_task_closures_need_no_installed_package():
     """Arrow-pass closures must carry this package's code: Python workers on
     a cluster do not have it installed."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.columns import tokens
 from quillspark.operators import text as tx
-from quillspark.sources.text import load_corpus, parse_id_text, parse_labelled, read_lines
+from quillspark.sources.text import line_counts, load_corpus, parse_id_text, parse_labelled, read_lines
 
 
 def docs_frame(spark, texts):
@@ -34,8 +34,9 @@ def test_parse_patterns(spark, tmpdir_path):
     short = {r.id: r.text for r in parse_id_text(raw).collect()}
     assert short == {"7": "one", "AU9": 'say "hi"> there', "3": ""}
     lab = parse_labelled(raw).orderBy("doc_id").collect()
-    assert [(r.text, r.label) for r in lab] == [
-        ("one</doc> tail", 0.0), ('say "hi"> there', 1.0), ("", 0.0)]
+    assert [(r.doc_id, r.text, r.label) for r in lab] == [
+        ("3", "", 0.0), ("7", "one</doc> tail", 0.0), ("AU9", 'say "hi"> there', 1.0)]
+    assert tuple(line_counts(raw).first()) == (4, 3, 1)
     train, test = load_corpus(spark, path, path)
     assert train.count() == 3 and test.count() == 3
 
@@ -99,64 +100,103 @@ def test_topk_ties_and_zero_fill(spark):
     vocab = tx.fit_vocabulary(docs, 10)
     feats = tx.features(docs, vocab)
     qvec = tx.dense_query(tx.vectorize_text(spark, "x y", vocab), 10)
-    hits = tx.top_k_similar(feats, qvec, 4, docs=docs).orderBy("score", "doc_id").collect()
-    ranked = sorted(hits, key=lambda r: (-r.score, r.doc_id))
-    assert [r.doc_id for r in ranked] == [0, 1, 4, 2]    # ties by id, zero fill by id
-    assert ranked[-1].score == 0.0
-    assert ranked[0].snippet == "x y"
+    for hits in (tx.top_k_similar(feats, qvec, 4, docs=docs).collect(),
+                 tx.top_k_similar_text(docs.repartition(3), vocab, "x y", 4).collect()):
+        assert [(r["rank"], r.doc_id) for r in hits] == [(1, 0), (2, 1), (3, 4), (4, 2)]    # ties by id, zero fill by id
+        assert hits[-1].score == 0.0 and hits[0].snippet == "x y"
 
 
 def test_features_on_a_stream(spark, tmpdir_path):
-    """The fitted featuriser applies to a streaming frame unchanged
-    (stream-static join with the broadcast vocabulary)."""
+    """The fitted featuriser gives the same rows on a streaming frame."""
     docs = docs_frame(spark, ["a b b", "a c", "b c d"])
     vocab = tx.fit_vocabulary(docs, 10)
     src = os.path.join(tmpdir_path, "stream_in")
     docs.write.parquet(src)
     stream = spark.readStream.schema(docs.schema).parquet(src)
-    t = tx.tokens("text")
-    exploded = stream.select("doc_id", F.size(t).alias("n_tok"), F.explode(t).alias("word"))
-    scored = exploded.join(F.broadcast(vocab.table.select("word", "idx", "idf")), "word")
-    q = (scored.writeStream.format("memory").queryName("qs_stream_tf").outputMode("append")
+    q = (tx.features(stream, vocab).writeStream.format("memory").queryName("qs_stream_tf").outputMode("append")
          .option("checkpointLocation", os.path.join(tmpdir_path, "stream_ckpt")).start())
     try:
         q.processAllAvailable()
         rows = spark.sql("SELECT * FROM qs_stream_tf").collect()
     finally:
         q.stop()
-    batch = tx._exploded(docs, "doc_id", "text", []).join(
-        F.broadcast(vocab.table.select("word", "idx", "idf")), "word")
-    assert sorted((r.doc_id, r.word) for r in rows) == sorted(
-        (r.doc_id, r.word) for r in batch.collect())
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, tx.features(docs, vocab).collect()))
+
+
+def random_docs(spark, seed=7):
+    rng = np.random.default_rng(seed)
+    words = [f"w{i}" for i in range(25)] + ["", "W1", "w1,", "é"]
+    texts = [" ".join(rng.choice(words, int(rng.integers(1, 30)))) for _ in range(120)]
+    texts += ["", "zz", "a  b ", texts[3]]
+    return texts, spark.createDataFrame([(i, t, float(i % 2)) for i, t in enumerate(texts)],
+                                        "doc_id long, text string, label double").repartition(3)
 
 
 def test_topk_from_text_equals_feature_path(spark):
-    rng = np.random.default_rng(5)
-    words = [f"w{i}" for i in range(30)]
-    texts = [" ".join(rng.choice(words, int(rng.integers(1, 15)))) for _ in range(80)]
-    texts += [texts[3], "zz yy"]               # an exact copy and a doc with no shared word
-    docs = docs_frame(spark, texts)
+    _, docs = random_docs(spark, 5)
     vocab = tx.fit_vocabulary(docs, 12)
     query = "w1 w2 w2 w3 w17 nope"
     a = tx.top_k_similar_text(docs, vocab, query, 30).collect()
     qvec = tx.dense_query(tx.vectorize_text(spark, query, vocab), 12)
     b = tx.top_k_similar(tx.features(docs, vocab), qvec, 30, docs=docs).collect()
-    key = lambda r: (-r.score, r.doc_id)
-    assert [(r.doc_id, r.score, r.snippet) for r in sorted(a, key=key)] == \
-        [(r.doc_id, r.score, r.snippet) for r in sorted(b, key=key)]
+    assert a == b and [r["rank"] for r in a] == list(range(1, 31))
+
+
+def test_features_by_counting(spark):
+    """Tokens, TF and TF-IDF of every document against plain counting, from
+    texts and from kept tokens."""
+    from collections import Counter
+
+    texts, docs = random_docs(spark)
+    counts = [Counter(t.split(" ")) for t in texts]
+    df = Counter(w for c in counts for w in c)
+    kept = tx.tokenised(docs, keep=["label"]).cache()
+    for source in (docs, kept):
+        vocab = tx.fit_vocabulary(source, 15)
+        words = [r.word for r in vocab.words().orderBy("idx").collect()]
+        assert words == sorted((w for w in df if df[w] != len(texts)), key=lambda w: (-df[w], w.encode()))[:15]
+        for value in ("tfidf", "tf"):
+            for r in tx.features(source, vocab, keep=["label"], value=value).collect():
+                c, n = counts[r.doc_id], len(texts[r.doc_id].split(" "))
+                want = [(i, c[w] / n * (math.log((len(texts) + 1) / (df[w] + 1)) if value == "tfidf" else 1.0)) for i, w in enumerate(words) if c[w]]
+                assert r.label == r.doc_id % 2 and r.i == [i for i, _ in want] and r.v == pytest.approx([x for _, x in want])
+        got = {(r.doc_id, r.idx): r.cnt for r in tx.term_counts(source, vocab).collect()}
+        assert got == {(d, i): c[w] for d, c in enumerate(counts) for i, w in enumerate(words) if c[w]}
+    kept.unpersist()
+
+
+def test_rows_without_a_text_are_no_documents(spark):
+    """One rule everywhere: neither counted nor scored."""
+    rows = [(0, "a b"), (1, None), (2, "a c"), (3, "a d")]
+    docs, plain = (spark.createDataFrame(r, "doc_id long, text string") for r in (rows, [r for r in rows if r[1] is not None]))
+    a, b = (tx.fit_vocabulary(d, 10) for d in (docs, plain))
+    assert a.table.collect() == b.table.collect() and {r.n_docs for r in a.table.collect()} == {3}
+    assert "a" not in [r.word for r in a.words().collect()]            # in every document
+    assert sorted(r.doc_id for r in tx.features(docs, a).collect()) == [0, 2, 3]
+    assert [r.doc_id for r in tx.top_k_similar_text(docs, a, "b", 10).collect()] == [0, 2, 3]
+    assert tx.doc_freq(docs).where("word = 'a'").first().df == 3
+
+
+def test_vocabulary_is_kept_and_loaded(spark, tmpdir_path):
+    _, docs = random_docs(spark)
+    vocab = tx.fit_vocabulary(docs, 10)
+    path = os.path.join(tmpdir_path, "vocab")
+    vocab.save(path)
+    again = tx.Vocabulary.load(spark, path, 10)
+    assert sorted(again.table.collect()) == sorted(vocab.table.collect())
+    assert sorted(map(str, tx.features(docs, again).collect())) == sorted(map(str, tx.features(docs, vocab).collect()))
 
 
-def test_arrow_features_equal_sql_features(spark):
-    rng = np.random.default_rng(7)
-    words = [f"w{i}" for i in range(25)] + ["", "W1", "w1,"]
-    texts = [" ".join(rng.choice(words, int(rng.integers(1, 30)))) for _ in range(120)]
-    texts += ["", "zz", "a  b "]
-    docs = spark.createDataFrame([(i, t, float(i % 2)) for i, t in enumerate(texts)] + [(999, None, 0.0)],
-                                 "doc_id long, text string, label double").repartition(3)
-    vocab = tx.fit_vocabulary(docs, 15)
-    for value in ("tfidf", "tf"):
-        a = {r.doc_id: (r.label, r.i, r.v) for r in
-             tx.features(docs, vocab, keep=["label"], value=value).collect()}
-        b = {r.doc_id: (r.label, r.i, r.v) for r in
-             tx.features(docs, vocab, keep=["label"], value=value, method="arrow").collect()}
-        assert a == b
+def test_one_path_split_does_not_depend_on_file_splits(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "docs.txt")
+    with open(path, "w") as f:
+        f.writelines(f'<doc id="{"AU" if i % 3 else ""}{i}" title="t">text {i} {"x" * 40}</doc>\n' for i in range(3000))
+    tests = []
+    for size in ("128m", "20k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            train, test = load_corpus(spark, path)
+            tests.append((sorted(r.doc_id for r in test.collect()), train.count()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tests[0] == tests[1] and 200 < len(tests[0][0]) < 400 and len(tests[0][0]) + tests[0][1] == 3000
