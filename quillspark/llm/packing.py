@@ -160,21 +160,23 @@ def patterns(histogram: np.ndarray, size: int, anchors: int = PATTERN_ANCHORS) -
 
 def fit_counts(shapes: np.ndarray, histogram: np.ndarray, steps: int = FIT_STEPS) -> np.ndarray:
     """Non-negative least squares of ``A x = histogram``, A being the patterns'
-    length counts, by accelerated projected gradient on the sparse A."""
+    length counts, by accelerated projected gradient on the sparse A. An error
+    weighs as the square of its length: what is left of long pieces is harder
+    to pack."""
     n = len(histogram)
     used = shapes > 0
-    # |A|^2 <= largest column sum times largest row sum
-    rows = np.bincount(shapes[used], minlength=n)
-    step = 1.0 / max(1.0, float(rows.max() * 3)) if len(shapes) else 1.0
-    weight = histogram.astype(float)
+    error_weight = (np.arange(n) / (n - 1)) ** 2
+    # |W A|^2 <= largest column sum times largest row sum
+    rows = np.bincount(shapes[used], minlength=n) * error_weight
+    step = 1.0 / max(1e-9, float(rows.max() * 3)) if len(shapes) else 1.0
+    wanted = histogram.astype(float)
     x = np.zeros(len(shapes))
     y, t = x, 1.0
     for _ in range(steps if len(shapes) else 0):
         made = np.zeros(n)
         for c in range(3):
             made += np.bincount(shapes[:, c], weights=y, minlength=n)
-        residual = made - weight
-        residual[0] = 0
+        residual = (made - wanted) * error_weight
         gradient = residual[shapes].sum(1)
         new = np.maximum(0, y - step * gradient)
         t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
@@ -191,10 +193,10 @@ def plan(histogram: np.ndarray, size: int = SEQUENCE) -> list[tuple[tuple[int, .
         left[size] = 0
     shapes = patterns(left, size)
     counts = fit_counts(shapes, left)
-    for at in np.argsort(-counts, kind="stable"):
+    some = np.flatnonzero(counts >= 0.5)
+    # patterns of the longest pieces first: only the fitting complement serves them
+    for at in some[np.lexsort((-counts[some], -shapes[some, 0]))] if len(some) else ():
         # The fit can ask for more than there is: what is left bounds it.
-        if counts[at] < 0.5:
-            break
         lengths, times = np.unique(shapes[at][shapes[at] > 0], return_counts=True)
         n = int(min(np.floor(counts[at] + 0.5), (left[lengths] // times).min()))
         if n > 0:
