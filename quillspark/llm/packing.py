@@ -36,7 +36,7 @@ END_ID = 0
 PATTERN_ANCHORS = 24      # middle lengths that three-piece patterns are made with
 FIT_STEPS = 400
 RANK_BUCKETS = 512        # rows of a rank bucket, over all lengths
-WORDS_KEPT = 600_000      # tokenized words that a Python worker remembers
+WORDS_KEPT = 700_000      # tokenized words of each of a Python worker's two generations
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -73,11 +73,23 @@ class WordTokenizer:
         self.odd = re.compile(f"[^{esc(plain)}]|<\\|")
         # the tokenizer's own rule of words, for lower-case plain text
         self.split = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{esc(letters)}]+|[{esc(numbers)}]|[^\\s{esc(letters + numbers)}]+").findall
+        # Two generations: a full one becomes the old one, and words still in
+        # use come over from there.
         self.words: dict[str, bytes] = {}
-
-    def learn(self, new: list[str]) -> None:
-        if len(self.words) + len(new) > WORDS_KEPT:
-            self.words.clear()
+        self.old: dict[str, bytes] = {}
+
+    def learn(self, wanted: list[str]) -> None:
+        if len(self.words) + len(wanted) > WORDS_KEPT:
+            self.words, self.old = {}, self.words
+        new = []
+        for w in wanted:
+            ids = self.old.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                self.words[w] = ids
+        if not new:
+            return
         ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, np.uint16)
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(new):  # a word that the tokenizer splits again: one by one
