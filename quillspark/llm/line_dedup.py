@@ -2,14 +2,16 @@
 
 A text's lines are hashed. A gap between lines is a boundary where a rolling
 hash over the two lines after it, or over the two before it, hits one value in
-``DIVISOR``; both depend on content alone, so a passage that shifts or changes
+a divisor; both depend on content alone, so a passage that shifts or changes
 neighbours keeps the boundaries inside it and, where its own lines decide,
-around it. ``CHUNKINGS`` seeds give as many chunkings, so that a passage's ends
-fall on a boundary of one of them. A line of ``LONG_WORDS`` words or more is
+around it. Each of ``DIVISORS`` gives a chunking of its own, finer and coarser
+ones, so that some chunk of one of them lies inside the passage. A line of ``LONG_WORDS`` words or more is
 always a chunk of its own. Chunks of several lines and ``MIN_WORDS`` words, and
 long lines, are looked up over the whole corpus by hash; where a hash occurs
 again, the chunks' bytes are compared with those of its first occurrence (least
-doc_id, text hash, line), and a line in a later, equal chunk is removed.
+doc_id, text hash, line). A later, equal chunk is removed, with up to
+``BESIDE`` lines on either side that are also equal there: a passage's ends can
+lie in chunks with lines of their surroundings.
 
 Only hashes and places are shuffled for the lookup. Counts and first places
 are combined before the shuffle; the join that finds the later ones is on
@@ -33,8 +35,8 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import SEED, bounded_batches, cut, documents
 from quillspark.llm.tokens import MIX_A, SPACE, Splitter, buffers, blocks, mix, segment_hashes
 
-DIVISOR = 3
-CHUNKINGS = 3
+DIVISORS = (2, 3, 3, 4, 4)
+BESIDE = 2
 LONG_WORDS = 50
 MIN_WORDS = 8
 CHUNK = "hash long, doc_id long, th long, first int, lines int"
@@ -58,7 +60,7 @@ def line_table(data: np.ndarray, edges: np.ndarray, splitter: Splitter):
     return row, start, end, segment_hashes(data, start, end, splitter.powers), words + glued
 
 
-def chunks(row: np.ndarray, hashes: np.ndarray, words: np.ndarray, seed: int):
+def chunks(row: np.ndarray, hashes: np.ndarray, words: np.ndarray, seed: int, divisor: int):
     """First line, one past the last and hash of each chunk of one chunking."""
     n = len(row)
     if not n:
@@ -66,8 +68,8 @@ def chunks(row: np.ndarray, hashes: np.ndarray, words: np.ndarray, seed: int):
     same = np.append(False, row[1:] == row[:-1])           # line i has the row of line i - 1
     ahead = np.where(np.append(same[1:], False), np.append(hashes[1:], np.uint64(0)), np.uint64(0))
     pair = mix(hashes * np.uint64(MIX_A) + ahead + np.uint64(seed))       # lines i, i + 1
-    hit = (pair % np.uint64(DIVISOR)) == 0
-    hit2 = (mix(pair + np.uint64(1)) % np.uint64(DIVISOR)) == 0
+    hit = (pair % np.uint64(divisor)) == 0
+    hit2 = (mix(pair + np.uint64(1)) % np.uint64(divisor)) == 0
     behind = np.zeros(n, bool)
     behind[2:] = hit2[:-2] & same[2:] & same[1:-1]
     long = words >= LONG_WORDS
@@ -94,8 +96,8 @@ def chunk_table(docs: DataFrame) -> DataFrame:
                 line = np.arange(len(row)) - np.searchsorted(row, row)
                 through = np.concatenate([[0], np.cumsum(words)])
                 found = []
-                for k in range(CHUNKINGS):
-                    first, end, h = chunks(row, hashes, words, SEED + k)
+                for k, divisor in enumerate(DIVISORS):
+                    first, end, h = chunks(row, hashes, words, SEED + k, divisor)
                     n_words = through[end] - through[first]
                     keep = ((end - first > 1) & (n_words >= MIN_WORDS)) | (n_words >= LONG_WORDS)
                     found.append(np.stack([first[keep], end[keep], h[keep].view(np.int64)]))
@@ -131,24 +133,41 @@ def repeated(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for doc_id, th, text, want in zip(*(c if k == 2 else c.to_pylist() for k, c in enumerate(batch.columns))):
                 lines = (text.as_py() or "").split("\n")
-                rows = [(w["hash"], doc_id, th, w["first"], w["lines"], w["is_first"], "\n".join(lines[w["first"]:w["first"] + w["lines"]])) for w in want]
+                rows = []
+                for w in want:
+                    at, to = w["first"], w["first"] + w["lines"]
+                    rows.append((w["hash"], doc_id, th, at, w["lines"], w["is_first"], "\n".join(lines[at:to]),
+                                 lines[max(0, at - BESIDE):at][::-1], lines[to:to + BESIDE]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.string()))],
-                    ["hash", "doc_id", "th", "first", "lines", "is_first", "body"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string())))],
+                    ["hash", "doc_id", "th", "first", "lines", "is_first", "body", "before", "after"])
 
-    bodies = cut(texts.mapInArrow(run, CHUNK + ", is_first boolean, body string"))
-    origin = cut(bodies.where("is_first").groupBy("hash").agg(F.first("body").alias("_body")).withColumnRenamed("hash", "_hash"))
+    bodies = cut(texts.mapInArrow(run, CHUNK + ", is_first boolean, body string, before array<string>, after array<string>"))
+    origin = bodies.where("is_first").groupBy("hash").agg(F.first(F.struct("body", "before", "after")).alias("o"))
+    origin = cut(origin.select(F.col("hash").alias("_hash"), F.col("o.body").alias("_body"), F.col("o.before").alias("_before"), F.col("o.after").alias("_after")))
     equal = bodies.where("not is_first").join(origin, (F.col("hash") == F.col("_hash")) & (F.col("body") == F.col("_body")))
-    return cut(equal.groupBy("doc_id", "th").agg(F.collect_set(F.struct("first", "lines")).alias("spans")))
 
-
-def drop_repeated(docs: DataFrame) -> DataFrame:
-    """``docs`` with its ``text`` without repeated chunks, and how many lines
-    are ``kept_lines`` and ``removed_lines`` (columns of these names are replaced)."""
-    spans = repeated(docs).select(F.col("doc_id").alias("_of_id"), F.col("th").alias("_of_th"), "spans")
-    names, kinds = [c for c in docs.columns if c not in ("kept_lines", "removed_lines")], dict(docs.dtypes)
+    def alike(a: str, b: str) -> Column:
+        """How many lines from the chunk on are equal."""
+        n = F.lit(0)
+        for k in reversed(range(BESIDE)):
+            n = F.when(F.coalesce(F.get(a, F.lit(k)) == F.get(b, F.lit(k)), F.lit(False)), n + 1).otherwise(0)
+        return n
+
+    before, after = alike("before", "_before"), alike("after", "_after")
+    span = F.struct((F.col("first") - before).alias("first"), (F.col("lines") + before + after).alias("lines"))
+    return cut(equal.groupBy("doc_id", "th").agg(F.collect_set(span).alias("spans")))
+
+
+def drop_repeated(docs: DataFrame, counts: bool = True) -> DataFrame:
+    """``docs`` with its ``text`` without repeated chunks and, with ``counts``,
+    how many lines are ``kept_lines`` and ``removed_lines`` (columns of these
+    names are replaced)."""
+    spans = repeated(docs).select(F.col("doc_id").alias("_of_id"), F.col("th").alias("_of_th"), F.col("spans").alias("_of_spans"))
+    added = ["kept_lines", "removed_lines"] if counts else []
+    names, kinds = [c for c in docs.columns if c not in added], dict(docs.dtypes)
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_of_id")) & (_text_hash() == F.col("_of_th"))
-    both = docs.join(spans, same, "left").select(*[F.col(f"`{c}`") for c in names], F.col("spans").alias("_spans"))
+    both = docs.join(spans, same, "left").select(*[F.col(f"`{c}`") for c in names], "_of_spans")
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,22 +176,18 @@ def drop_repeated(docs: DataFrame) -> DataFrame:
             for text, spans in zip(batch.column(at), batch.column(len(names))):
                 text, spans = text.as_py(), spans.as_py()
                 lines = [] if text is None else text.split("\n")
-                if not spans:
-                    texts.append(text)
-                    kept.append(len(lines))
-                    removed.append(0)
-                    continue
                 gone = np.zeros(len(lines), bool)
-                for s in spans:
+                for s in spans or ():
                     gone[s["first"]:s["first"] + s["lines"]] = True
-                texts.append("\n".join(line for line, g in zip(lines, gone) if not g))
+                texts.append("\n".join(line for line, g in zip(lines, gone) if not g) if spans else text)
                 kept.append(int((~gone).sum()))
                 removed.append(int(gone.sum()))
             columns = list(batch.columns[:len(names)])
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.int64()), pa.array(removed, pa.int64())], [*names, "kept_lines", "removed_lines"])
+            extra = [pa.array(kept, pa.int64()), pa.array(removed, pa.int64())][:len(added)]
+            yield pa.RecordBatch.from_arrays([*columns, *extra], [*names, *added])
 
-    return both.mapInArrow(run, ", ".join([f"`{c}` {kinds[c]}" for c in names] + ["kept_lines long", "removed_lines long"]))
+    return both.mapInArrow(run, ", ".join([f"`{c}` {kinds[c]}" for c in names] + [f"{c} long" for c in added]))
 
 
 def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

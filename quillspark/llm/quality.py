@@ -232,20 +232,20 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple
     return vectors, Network().fit(x, rows["y"].to_numpy())
 
 
-def score(docs: DataFrame, vectors: np.ndarray, network: Network) -> DataFrame:
-    """Adds (or replaces) ``score`` in every row of ``docs``, which has a column
-    ``text``."""
+def score(docs: DataFrame, vectors: np.ndarray, network: Network, name: str = "score") -> DataFrame:
+    """Adds (or replaces) a column, the score, in every row of ``docs``, which
+    has a column ``text``."""
     bounded_batches(docs.sparkSession)
-    docs = docs.drop("score")
+    docs = docs.drop(name)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(vectors)
         for batch in batches:
             x = features.of(batch.column(names.index("text")))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(network.score(x))], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(network.score(x))], [*names, name])
 
-    return docs.mapInArrow(run, ", ".join([f"`{c}` {t}" for c, t in docs.dtypes] + ["score double"]))
+    return docs.mapInArrow(run, ", ".join([f"`{c}` {t}" for c, t in docs.dtypes] + [f"`{name}` double"]))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

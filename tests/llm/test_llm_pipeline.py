@@ -13,7 +13,7 @@ def test_registered():
     assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{k}" for k in range(1, 11)}
 
 
-def test_stages(spark, odd_docs, odd_rows, tmp_path, no_docs):
+def test_stages(spark, odd_docs, odd_rows, tmp_path, no_docs, clashing):
     docs, labels = quality_rows()
     known = spark.createDataFrame([(10_000 + i, q, 0) for i, q in labels], "doc_id long, quality int, toxic int")
     table = odd_docs.union(spark.createDataFrame([(10_000 + i, t, "en", "s1", len(t)) for i, t, _ in docs], odd_docs.schema))
@@ -47,7 +47,11 @@ def test_stages(spark, odd_docs, odd_rows, tmp_path, no_docs):
     packed = stage["packing"](spark, mixed, str(tmp_path)).collect()
     assert Counter(r.doc_id for r in packed if r.piece == 0) == times
     assert cp.run(spark, str(tmp_path)).count() == len(packed)
-    # the stages stand nothing but rows of their own
-    for name in list(stage)[:-1]:
+    # empty tables, and more columns of names that the operators use
+    for name in stage:
         assert stage[name](spark, no_docs, str(tmp_path)).collect() == []
+    more = clashing
+    for name in list(stage)[:-1]:
+        more = cp.cut(stage[name](spark, more, str(tmp_path)))
+        assert more.columns == clashing.columns and more.count() > 0 and more.where("score != 1 OR kept_lines != 1").count() == 0
     assert near_dup.SIMILARITY == 0.8
