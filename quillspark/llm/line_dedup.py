@@ -126,7 +126,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     again = cut(table.join(firsts, F.col("hash") == F.col("_hash")).select(
         "hash", "doc_id", "th", "first", "lines", (place == F.col("at")).alias("is_first")))
     wanted = again.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
-        F.collect_set(F.struct("hash", "first", "lines", "is_first")).alias("wanted"))
+        F.collect_set(F.struct("hash", "first", "lines", "is_first")).alias("wanted")).hint("merge")  # grows with the corpus
     texts = named.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("doc_id", "th", "text", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +163,7 @@ def drop_repeated(docs: DataFrame, counts: bool = True) -> DataFrame:
     """``docs`` with its ``text`` without repeated chunks and, with ``counts``,
     how many lines are ``kept_lines`` and ``removed_lines`` (columns of these
     names are replaced)."""
-    spans = repeated(docs).select(F.col("doc_id").alias("_of_id"), F.col("th").alias("_of_th"), F.col("spans").alias("_of_spans"))
+    spans = repeated(docs).select(F.col("doc_id").alias("_of_id"), F.col("th").alias("_of_th"), F.col("spans").alias("_of_spans")).hint("merge")
     added = ["kept_lines", "removed_lines"] if counts else []
     names, kinds = [c for c in docs.columns if c not in added], dict(docs.dtypes)
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_of_id")) & (_text_hash() == F.col("_of_th"))
