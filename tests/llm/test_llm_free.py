@@ -151,7 +151,7 @@ def test_edit_distance():
         for most in (0, 1, 3, 10, 60):
             assert near_dup.edit_distance(a, b, most) == min(want, most + 1)
             if len(a) and len(b) and abs(len(a) - len(b)) <= most:
-                assert near_dup._by_rows(a, b, most) == near_dup._by_diagonals(a, b, most) == min(want, most + 1)
+                assert near_dup.banded(*((a, b) if len(a) >= len(b) else (b, a)), most) == min(want, most + 1)
 
 
 def classes_by_brute_force(rows):
