@@ -89,7 +89,6 @@ def chunk_table(docs: DataFrame) -> DataFrame:
         splitter = Splitter(words_only=True)
         for batch in batches:
             data, offsets = buffers(batch.column(2))
-            ids, th = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             for lo, hi in blocks(offsets):
                 part, edges = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
                 row, _, _, hashes, words = line_table(part, edges, splitter)
@@ -102,9 +101,9 @@ def chunk_table(docs: DataFrame) -> DataFrame:
                     keep = ((end - first > 1) & (n_words >= MIN_WORDS)) | (n_words >= LONG_WORDS)
                     found.append(np.stack([first[keep], end[keep], h[keep].view(np.int64)]))
                 first, end, h = np.unique(np.concatenate(found, 1), axis=1)
-                at = lo + row[first]
+                at = pa.array(lo + row[first])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(ids[at], pa.int64(), from_pandas=True), pa.array(th[at]), pa.array(line[first].astype(np.int32)), pa.array((end - first).astype(np.int32))],
+                    [pa.array(h), batch.column(0).take(at), batch.column(1).take(at), pa.array(line[first].astype(np.int32)), pa.array((end - first).astype(np.int32))],
                     ["hash", "doc_id", "th", "first", "lines"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "th", "text").mapInArrow(run, CHUNK)

@@ -37,7 +37,8 @@ WINDOW = 2
 SHAPES = 512
 FIT_ROWS = 20_000
 HIDDEN = 32
-EPOCHS = 40
+EPOCHS = 40           # at least, and as many as LEAST_STEPS batches need
+LEAST_STEPS = 1200
 THRESHOLD = 0.3
 PARTS = 64            # of the table of word vectors, for merging
 
@@ -159,7 +160,7 @@ class Network:
 
     def fit(self, x: np.ndarray, y: np.ndarray, seed: int = SEED) -> Network:
         rng = np.random.default_rng(seed)
-        self.mean, self.sd = x.mean(0), x.std(0) + 1e-6
+        self.mean, self.sd = (x.mean(0), x.std(0) + 1e-6) if len(x) else (0.0, 1.0)
         self.base = float(y.mean()) if len(y) else 0.5
         self.layers = None
         self.temperature = 1.0
@@ -172,7 +173,7 @@ class Network:
         p[3][:] = np.log(self.base / (1 - self.base))
         m, v, step = [0 * a for a in p], [0 * a for a in p], 0
         best, best_loss = [a.copy() for a in p], np.inf
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, -(-LEAST_STEPS // -(-len(fit) // 256)))):
             for at in range(0, len(fit), 256):
                 rows = fit[at:at + 256] if len(fit) > 256 else fit
                 a = np.tanh(z[rows] @ p[0] + p[1])

@@ -55,3 +55,22 @@ def test_stages(spark, odd_docs, odd_rows, tmp_path, no_docs, clashing):
         more = cp.cut(stage[name](spark, more, str(tmp_path)))
         assert more.columns == clashing.columns and more.count() > 0 and more.where("score != 1 OR kept_lines != 1").count() == 0
     assert near_dup.SIMILARITY == 0.8
+
+
+def test_rows_without_an_id(spark, odd_rows):
+    """They are rows like others; as a class has its least id for a name, near
+    copies of them alone have none."""
+    from quillspark.llm import fingerprint, line_dedup, lm_score, mixing, packing, quality, secrets
+
+    rows = [(None, r[1], r[3]) if k % 5 == 0 else (r[0], r[1], r[3]) for k, r in enumerate(odd_rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    n = len(rows)
+    assert mixing.mix(docs).count() == n
+    assert secrets.find_secrets(docs).count() == n
+    assert fingerprint.edited_pairs(docs).count() == n
+    assert line_dedup.drop_repeated(docs).count() == n
+    assert near_dup.near_duplicates(docs).count() == n
+    assert packing.pack_documents(docs, packing.default_tokenizer()).where("piece = 0").count() == n
+    vectors, network = quality.train(docs, spark.createDataFrame([(1, 1), (None, 0)], "doc_id long, quality int"))
+    assert quality.score(docs, vectors, network).count() == n
+    assert lm_score.score(docs, *lm_score.train(docs, epochs=1)).count() == n
