@@ -16,6 +16,7 @@ columns are ignored by :func:`mix`, which keeps only the columns it names.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -91,9 +92,10 @@ def sainte_lague(df: DataFrame, group: list[str], key: list[str], weight: str, s
         *df.columns, (F.col("_quota") + F.coalesce("_change", F.lit(0).cast("long"))).alias("quota"))
 
 
-def mix(docs: DataFrame, block: int = BLOCK, shard_docs: int = SHARD_DOCS, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, block: int = BLOCK, shard_docs: int = SHARD_DOCS, seed: int = SEED, shards_too: bool = False) -> DataFrame:
     """Rows ``(doc_id, size, source, source_size, target, taken)``, one per row
-    of ``docs(doc_id, text, source)``: ``taken`` words of the mix come from it."""
+    of ``docs(doc_id, text, source)``: ``taken`` words of the mix come from it.
+    With ``shards_too``, also the ``shard``."""
     sized = cut(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
     shards = max(1, -(-sized.count() // shard_docs))
     sized = sized.withColumn("shard", F.pmod(seeded(seed, "doc_id"), F.lit(shards)))
@@ -124,7 +126,35 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_docs: int = SHARD_DOCS, seed:
         F.sequence(F.greatest(F.lit(0).cast("long"), first - 1), last), F.lit(0).cast("long"),
         lambda acc, b: acc + F.when(rank(b) < quota % n, overlap(b)).otherwise(0))
     taken = F.when(F.col("size") > 0, F.floor(quota / n) * F.col("size") + F.when(quota % n > 0, once_more).otherwise(0)).otherwise(0)
-    return at.select("doc_id", "size", "source", "source_size", "target", taken.cast("long").alias("taken"))
+    return at.select("doc_id", "size", "source", "source_size", "target", taken.cast("long").alias("taken"), *(["shard"] if shards_too else []))
+
+
+def whole_copies(mixed: DataFrame, seed: int = SEED) -> DataFrame:
+    """``(doc_id, copies)`` for each row of ``mixed(doc_id, size, source, taken,
+    shard)``: whole copies that add up to the words taken from its (source,
+    shard) cell. A document is copied ``taken / size`` times, rounded down, and
+    once more where the parts left over, summed along the cell, have grown to
+    it. The longest come first, so that the shorter ones even out what a long
+    one leaves; a seeded share of the first one's size starts the sum, so that
+    each cell's first one has the chance of its own part."""
+    start = F.pmod(seeded(seed + 3, "shard", "source"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+
+    def run(cells: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(cells[c].to_pylist() for c in ("source", "size", "doc_id", "taken", "start"))),
+                      key=lambda r: (r[0] is None, r[0] or "", -r[1], r[2] is None, r[2] or 0))
+        copies, cell = [], ()
+        for source, size, _, taken, first in rows:
+            if (source,) != cell:
+                cell, due = (source,), 0
+            whole, part = divmod(taken, size) if size else (0, 0)
+            due += part
+            more = part > 0 and due > (1 - first) * size
+            due -= size * more
+            copies.append(whole + more)
+        return pa.table([pa.array([r[2] for r in rows], pa.int64()), pa.array(copies, pa.int32())], ["doc_id", "copies"])
+
+    narrow = mixed.select(F.col("doc_id").cast("long").alias("doc_id"), "size", "source", "taken", "shard", start.alias("start"))
+    return narrow.groupBy("shard").applyInArrow(run, "doc_id long, copies int")
 
 
 def _small(df: DataFrame, most: int = 100_000) -> bool:

@@ -1,9 +1,10 @@
+import random
 import re
 from collections import Counter
 
 import corpus_pipeline as cp
 import __spark_entry__ as entry
-from quillspark.llm import near_dup
+from quillspark.llm import mixing, near_dup
 
 from .test_llm_free import classes_by_brute_force, quality_rows
 
@@ -57,6 +58,28 @@ def test_stages(spark, odd_docs, odd_rows, tmp_path, no_docs, clashing):
     assert near_dup.SIMILARITY == 0.8
 
 
+def test_mixing_stage_meets_the_targets(spark, tmp_path):
+    """Also for a source that holds a third of the rows, in long documents of
+    which the mix takes less than half."""
+    rng = random.Random(8)
+    rows = [(i, "w " * max(1, int(rng.lognormvariate(5.5, 0.8))), "en", "s0" if i % 3 == 0 else f"s{1 + i % 7}", 0) for i in range(1500)]
+    docs = cp.cut(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3))
+    want, taken = {}, Counter()
+    for r in mixing.mix(docs).collect():
+        want[r.source] = (r.target, r.target / r.source_size)
+    got = cp.cut(cp.mix_to_weights(spark, docs, str(tmp_path)))
+    size = {r[0]: len(r[1].split()) for r in rows}
+    times = Counter(r.doc_id for r in got.select("doc_id").collect())
+    for i, _, _, source, _ in rows:
+        taken[source] += size[i] * times[i]
+    assert any(q < 0.5 for _, q in want.values()) and any(q % 1 > 0.3 and q > 1 for _, q in want.values())
+    for s, (target, _) in want.items():
+        assert abs(taken[s] - target) < 0.05 * target, (s, taken[s], target)
+    assert max(times.values()) <= 3
+    again = Counter(r.doc_id for r in cp.mix_to_weights(spark, docs.repartition(5), str(tmp_path)).select("doc_id").collect())
+    assert again == times
+
+
 def test_rows_without_an_id(spark, odd_rows):
     """They are rows like others; as a class has its least id for a name, near
     copies of them alone have none."""
