@@ -6,12 +6,19 @@ a divisor; both depend on content alone, so a passage that shifts or changes
 neighbours keeps the boundaries inside it and, where its own lines decide,
 around it. Each of ``DIVISORS`` gives a chunking of its own, finer and coarser
 ones, so that some chunk of one of them lies inside the passage. A line of ``LONG_WORDS`` words or more is
-always a chunk of its own. Chunks of several lines and ``MIN_WORDS`` words, and
-long lines, are looked up over the whole corpus by hash; where a hash occurs
-again, the chunks' bytes are compared with those of its first occurrence (least
-doc_id, text hash, line). A later, equal chunk is removed, with up to
-``BESIDE`` lines on either side that are also equal there: a passage's ends can
-lie in chunks with lines of their surroundings.
+always a chunk of its own. Besides the chunks, every window of neighbouring
+lines that just reaches ``LONG_WORDS`` words, from each line on and up to each
+line, is looked up too; together the windows inside a passage of that many
+words cover all its lines, wherever it stands and whatever surrounds it.
+
+Chunks of several lines and ``MIN_WORDS`` words, long lines and windows are
+looked up over the whole corpus by hash; where a hash occurs again, 256-bit
+digests of the bytes are compared with that of its first occurrence (least
+doc_id, text hash, line). A later, equal one is removed, but for lines of that
+first occurrence itself (a text that repeats a line over and over). With a
+chunk go up to ``BESIDE`` lines on either side that are also equal there: the
+ends of a passage under ``LONG_WORDS`` words can lie in chunks with lines of
+their surroundings.
 
 Only hashes and places are shuffled for the lookup. Counts and first places
 are combined before the shuffle; the join that finds the later ones is on
@@ -25,6 +32,7 @@ an empty table gives none. Single short lines are never removed.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +47,7 @@ DIVISORS = (2, 3, 3, 4, 4)
 BESIDE = 2
 LONG_WORDS = 50
 MIN_WORDS = 8
+WINDOW_SEED = SEED + len(DIVISORS)
 CHUNK = "hash long, doc_id long, th long, first int, lines int"
 
 
@@ -81,6 +90,30 @@ def chunks(row: np.ndarray, hashes: np.ndarray, words: np.ndarray, seed: int, di
     return first, end, mix(whole + (end - first).astype(np.uint64))
 
 
+def windows(row: np.ndarray, hashes: np.ndarray, words: np.ndarray, least: int = LONG_WORDS):
+    """First line, one past the last and hash of each window of several lines
+    that begins and ends with words, reaches ``least`` of them and no longer
+    does without its last line, or without its first."""
+    n = len(row)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    through = np.concatenate([[0], np.cumsum(words)])
+    line = np.arange(n)
+    end = np.searchsorted(through, through[:-1] + least, "left")          # from each line on
+    first = np.searchsorted(through, through[1:] - least, "right") - 1    # up to each line
+    first, end = np.concatenate([line, first]), np.concatenate([end, line + 1])
+    inside = (first >= 0) & (end <= n) & (end - first > 1)
+    first, end = first[inside], end[inside]
+    # lines without words at either end go with a window inside or stay
+    inside = (row[first] == row[end - 1]) & (words[first] > 0) & (words[end - 1] > 0)
+    first, end = np.unique(np.stack([first[inside], end[inside]]), axis=1)
+    # sums of the lines' hashes times powers of an odd number, which has an inverse
+    powers, back = (np.multiply.accumulate(np.full(n, m % 2**64, np.uint64)) for m in (MIX_A, pow(MIX_A, -1, 2**64)))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers)])
+    h = (sums[end] - sums[first]) * back[first]
+    return first, end, mix(h + (end - first).astype(np.uint64) + np.uint64(WINDOW_SEED))
+
+
 def chunk_table(docs: DataFrame) -> DataFrame:
     """Rows ``(hash, doc_id, th, first, lines)`` of ``docs(doc_id, th, text)``."""
     bounded_batches(docs.sparkSession)
@@ -100,6 +133,8 @@ def chunk_table(docs: DataFrame) -> DataFrame:
                     n_words = through[end] - through[first]
                     keep = ((end - first > 1) & (n_words >= MIN_WORDS)) | (n_words >= LONG_WORDS)
                     found.append(np.stack([first[keep], end[keep], h[keep].view(np.int64)]))
+                first, end, h = windows(row, hashes, words)
+                found.append(np.stack([first, end, h.view(np.int64)]))
                 first, end, h = np.unique(np.concatenate(found, 1), axis=1)
                 at = pa.array(lo + row[first])
                 yield pa.RecordBatch.from_arrays(
@@ -109,6 +144,10 @@ def chunk_table(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "th", "text").mapInArrow(run, CHUNK)
 
 
+def digest(text: str) -> bytes:
+    return hashlib.blake2b(text.encode(), digest_size=32).digest()
+
+
 def _text_hash(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), F.lit(SEED))
 
@@ -123,9 +162,10 @@ def repeated(docs: DataFrame) -> DataFrame:
     firsts = cut(table.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at"), F.min("lines").alias("n_lines")).where("n > 1")
                  .select(F.col("hash").alias("_hash"), "at"))
     again = cut(table.join(firsts, F.col("hash") == F.col("_hash")).select(
-        "hash", "doc_id", "th", "first", "lines", (place == F.col("at")).alias("is_first")))
+        "hash", "doc_id", "th", "first", "lines", (place == F.col("at")).alias("is_first"),
+        F.when(F.col("at.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("at.th") == F.col("th")), F.col("at.first") + F.col("lines")).alias("clear")))
     wanted = again.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
-        F.collect_set(F.struct("hash", "first", "lines", "is_first")).alias("wanted")).hint("merge")  # grows with the corpus
+        F.collect_set(F.struct("hash", "first", "lines", "is_first", "clear")).alias("wanted")).hint("merge")  # grows with the corpus
     texts = named.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("doc_id", "th", "text", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,13 +175,13 @@ def repeated(docs: DataFrame) -> DataFrame:
                 rows = []
                 for w in want:
                     at, to = w["first"], w["first"] + w["lines"]
-                    rows.append((w["hash"], doc_id, th, at, w["lines"], w["is_first"], "\n".join(lines[at:to]),
-                                 lines[max(0, at - BESIDE):at][::-1], lines[to:to + BESIDE]))
+                    rows.append((w["hash"], doc_id, th, at, w["lines"], w["is_first"], w["clear"], digest("\n".join(lines[at:to])),
+                                 [digest(x) for x in lines[max(0, at - BESIDE):at][::-1]], [digest(x) for x in lines[to:to + BESIDE]]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string())))],
-                    ["hash", "doc_id", "th", "first", "lines", "is_first", "body", "before", "after"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.binary())))],
+                    ["hash", "doc_id", "th", "first", "lines", "is_first", "clear", "body", "before", "after"])
 
-    bodies = cut(texts.mapInArrow(run, CHUNK + ", is_first boolean, body string, before array<string>, after array<string>"))
+    bodies = cut(texts.mapInArrow(run, CHUNK + ", is_first boolean, clear int, body binary, before array<binary>, after array<binary>"))
     origin = bodies.where("is_first").groupBy("hash").agg(F.first(F.struct("body", "before", "after")).alias("o"))
     origin = cut(origin.select(F.col("hash").alias("_hash"), F.col("o.body").alias("_body"), F.col("o.before").alias("_before"), F.col("o.after").alias("_after")))
     equal = bodies.where("not is_first").join(origin, (F.col("hash") == F.col("_hash")) & (F.col("body") == F.col("_body")))
@@ -154,7 +194,11 @@ def repeated(docs: DataFrame) -> DataFrame:
         return n
 
     before, after = alike("before", "_before"), alike("after", "_after")
-    span = F.struct((F.col("first") - before).alias("first"), (F.col("lines") + before + after).alias("lines"))
+    # lines of the first place stay, where a text repeats itself at once
+    begin = F.greatest(F.col("first") - before, F.coalesce("clear", F.lit(0)))
+    stop = F.col("first") + F.col("lines") + after
+    span = F.struct(begin.alias("first"), (stop - begin).alias("lines"))
+    equal = equal.where(stop > begin)
     return cut(equal.groupBy("doc_id", "th").agg(F.collect_set(span).alias("spans")))
 
 

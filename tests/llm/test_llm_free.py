@@ -109,6 +109,37 @@ def test_line_dedup(odd_docs, odd_rows, clashing, no_docs):
     assert line_dedup.drop_repeated(no_docs).collect() == []
 
 
+def test_planted_passages_are_found(spark):
+    """Passages of 2, 3 and 4 lines, 50 words and up, wherever they stand; the
+    first occurrence stays, also in a text that repeats one line."""
+    rng = random.Random(31)
+    new = lambda n: [sentence(rng, rng.randint(5, 12)) for _ in range(n)]
+    rows, planted = [], {}
+    for k in range(60):
+        lines = 2 + k % 3
+        passage = [sentence(rng, rng.randint(*{2: (26, 49), 3: (17, 30), 4: (13, 20)}[lines])) for _ in range(lines)]
+        for d in (k, 1000 + k):
+            rows.append((d, "\n".join(new(3 + d % 4) + passage + new(3 + d % 3))))
+        planted[1000 + k] = passage
+    again = sentence(rng, 9)
+    rows.append((5000, "\n".join([again] * 40)))
+    out = {r.doc_id: r.text for r in line_dedup.drop_repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, text in rows[:-1]:
+        want = [x for x in text.split("\n") if x not in planted.get(d, ())]
+        assert out[d].split("\n") == want
+    assert set(out[5000].split("\n")) == {again} and out[5000].count(again) >= 2
+    rng = np.random.default_rng(3)
+    words, row = rng.integers(0, 30, 300), np.sort(rng.integers(0, 12, 300))
+    hashes = rng.integers(0, 2**63, 300).astype(np.uint64)
+    first, end, h = line_dedup.windows(row, hashes, words)
+    got = set(zip(first.tolist(), end.tolist()))
+    want = {(i, j) for i in range(300) for j in range(i + 2, 301) if row[i] == row[j - 1] and words[i:j].sum() >= 50 and words[i] and words[j - 1]
+            and (words[i:j - 1].sum() < 50 or words[i + 1:j].sum() < 50)}
+    assert got == want
+    copy = line_dedup.windows(row[50:], hashes[50:], words[50:])
+    assert set(copy[2].tolist()) <= set(h.tolist()) and len(set(h.tolist())) == len(h)
+
+
 def test_equal_hashes_of_unlike_chunks_stay(spark, monkeypatch):
     """With a hash that makes all chunks collide only equal bytes are removed."""
     rng = random.Random(2)
