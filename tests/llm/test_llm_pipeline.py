@@ -6,6 +6,7 @@ import corpus_pipeline as cp
 import __spark_entry__ as entry
 from quillspark.llm import mixing, near_dup
 
+from .conftest import sentence
 from .test_llm_free import classes_by_brute_force, quality_rows
 
 
@@ -80,6 +81,22 @@ def test_mixing_stage_meets_the_targets(spark, tmp_path):
     assert again == times
 
 
+def test_stages_keep_rows_without_an_id_or_with_a_shared_one(spark, tmp_path):
+    rng = random.Random(12)
+    text = [sentence(rng, 60) for _ in range(6)]
+    near = text[0].split()
+    near[30] = "changed"
+    rows = [(None, text[0]), (None, " ".join(near)), (None, text[1]), (7, text[2]), (7, text[3]), (7, text[3]), (3, text[4]), (None, text[4]), (9, text[5])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    single = cp.cut(cp.drop_near_duplicates(spark, docs, str(tmp_path)))
+    got = [(r.doc_id, r.text) for r in single.collect()]
+    first, *rest = sorted(got, key=lambda r: r[1] not in (text[0], " ".join(near)))
+    assert first[0] is None and first[1] in (text[0], " ".join(near))
+    assert Counter(rest) == Counter([(None, text[1]), (7, text[2]), (7, text[3]), (3, text[4]), (9, text[5])])
+    # one source is taken once as a whole
+    assert Counter((r.doc_id, r.text) for r in cp.mix_to_weights(spark, single, str(tmp_path)).collect()) == Counter(got)
+
+
 def test_rows_without_an_id(spark, odd_rows):
     """They are rows like others; as a class has its least id for a name, near
     copies of them alone have none."""
