@@ -13,5 +13,8 @@ query and (where SQL can express it) the DuckDB SQL of the same result:
     near_dup     order-min-hash near duplicates with banded alignment
     lm_score     masked pseudo-likelihood under a bidirectional window network
     mixing       sources mixed to target weights by Sainte-Lague apportionment
+    fim          fill-in-middle transformation by repeated-capture matching
+    spelling     spelling variants by sorted permuterm rotations
+    lexicon      BPE encoding by a minimal acyclic transducer, and decoding
 """
 
