@@ -1,11 +1,12 @@
 """Fused gradient and loss over sparse features, one pass per step.
 
 Each task walks its Arrow batches with numpy (margins by ``bincount`` over the
-flattened sparse entries, gradient by a second ``bincount``) and emits ONE
-dense partial of ``p + 2`` slots: gradient, summed loss, row count. The
-partials are merged by ``groupBy(k).sum`` (map-side combine, then at most
-``p + 2`` rows reach the driver). The model vector θ travels in the task
-closure; its size is the vocabulary size + 1, bounded by ``dim``.
+flattened sparse entries, gradient by a second ``bincount``) and emits ONE row:
+a packed array of ``p + 2`` sums, which are gradient, loss and row count. The
+rows are added up in levels (operators.merge), one row per task and level, in
+the order of the tasks; at most ``merge.FAN`` rows reach the driver. The model
+vector θ travels in the task closure; its size is the vocabulary size + 1,
+bounded by ``dim``.
 
 Losses (``y`` in {0, 1}; ``s = 2y - 1`` in {-1, +1}; margin ``m = x·θ + b``):
 
@@ -26,9 +27,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from quillspark.functions.columns import hinge, logistic_loss
+from quillspark.operators.merge import merged, one_row_per_task
 
 LOSSES = ("logistic", "hinge", "weighted_hinge")
 VARIANTS = ("exact", "observed")
@@ -79,7 +80,7 @@ def _partials(theta: np.ndarray, kind: str, variant: str,
     p = theta.shape[0]
     wts, bias = theta[:-1], theta[-1]
 
-    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fn(batches: Iterator[pa.RecordBatch]) -> pa.RecordBatch:
         g = np.zeros(p)
         loss_sum = 0.0
         n = 0
@@ -101,36 +102,41 @@ def _partials(theta: np.ndarray, kind: str, variant: str,
                 g += dense.sum()
             loss_sum += loss.sum()
             n += rows
-        out = np.concatenate([g, [loss_sum, float(n)]])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(p + 2, dtype=np.int32)), pa.array(out)], names=["k", "g"])
+        return pa.RecordBatch.from_arrays([pa.array([np.concatenate([g, [loss_sum, float(n)]])], pa.list_(pa.float64()))], names=["g"])
 
-    return fn
+    return one_row_per_task(fn)
+
+
+def add_up(rows: pa.Table) -> pa.Table:
+    """The element-wise sum of the rows' arrays."""
+    total = np.zeros(0)
+    for row in rows.column("g"):
+        total = row.values.to_numpy(zero_copy_only=False) + (total if len(total) else 0.0)
+    return pa.table([pa.array([total], pa.list_(pa.float64()))], ["g"])
 
 
 def partial_sums(feats: DataFrame, theta: np.ndarray, kind: str = "logistic",
                  variant: str = "exact", label_col: str = "label",
                  shares: dict[float, float] | None = None) -> DataFrame:
-    """``(k INT, g DOUBLE)``: k < p gradient sums, k = p loss sum, k = p + 1
-    row count. Lazy; one job when collected."""
+    """``(g ARRAY<DOUBLE>)``, one row per task: gradient sums, loss sum and row
+    count. Lazy."""
     if kind not in LOSSES or variant not in VARIANTS:
         raise ValueError(f"unknown loss {kind!r} / variant {variant!r}")
     if kind == "weighted_hinge" and not shares:
         raise ValueError("weighted_hinge needs the class shares")
     fn = _partials(np.asarray(theta, dtype=np.float64), kind, variant, label_col, shares)
-    return (feats.select("i", "v", label_col).mapInArrow(fn, "k int, g double")
-            .groupBy("k").agg(F.sum("g").alias("g")))
+    return feats.select("i", "v", label_col).mapInArrow(fn, "g array<double>")
 
 
 def gradient_and_loss(feats: DataFrame, theta: np.ndarray, kind: str = "logistic",
                       variant: str = "exact", label_col: str = "label",
-                      shares: dict[float, float] | None = None):
-    """Run one pass; return (gradient sum ARRAY, loss sum, row count)."""
+                      shares: dict[float, float] | None = None, tasks: int | None = None):
+    """Run one pass; return (gradient sum ARRAY, loss sum, row count).
+    ``tasks``: the frame's number of partitions, where the caller knows it."""
     p = len(theta)
-    out = np.zeros(p + 2)
-    for r in partial_sums(feats, theta, kind, variant, label_col, shares).collect():
-        out[r["k"]] = r["g"]
-    return out[:p], out[p], int(round(out[p + 1]))
+    rows = merged(partial_sums(feats, theta, kind, variant, label_col, shares), add_up, tasks)
+    out = np.asarray(rows.column("g")[0].values) if rows.num_rows else np.zeros(p + 2)
+    return out[:p], float(out[p]), int(round(out[p + 1]))
 
 
 # ------------------------------------------------------------ column form

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions.columns import safe_double, sig_round, snippet
@@ -30,7 +30,8 @@ from quillspark.operators.linear import (
 )
 from quillspark.plans import classify as cl
 from quillspark.plans import descent as ds
-from quillspark.session import materialize, pin
+from quillspark.plans.state import StepLog
+from quillspark.session import kept_folder, materialize, pin
 from quillspark.sources.tables import read_table
 from quillspark.sources.text import BODY_GREEDY, CLASS_ONE_MARK, line_counts, parse_id_text, parse_labelled
 
@@ -307,9 +308,18 @@ def q_class_weights(spark, sf_dir):
 def model_inputs(spark, sf_dir, rule, dim=DIM):
     """Vocabulary fitted on the train split, and the sparse features of both
     splits (``is_test``) with the train statistics."""
+    vocab, feats, _ = weighted_inputs(spark, sf_dir, rule, dim, weighted=False)
+    return vocab, feats
+
+
+def weighted_inputs(spark, sf_dir, rule, dim=DIM, weighted=True):
+    """The same with the class shares of the train split, which are counted on
+    the pinned tokens: only their labels are read for that."""
     tokens = labelled_corpus(spark, sf_dir)
-    vocab = tx.fit_vocabulary(tokens.where("NOT is_test"), dim, rule=rule)
-    return vocab, tx.features(tokens, vocab, keep=["label", "is_test"])
+    train = tokens.where("NOT is_test")
+    vocab = tx.fit_vocabulary(train, dim, rule=rule)
+    shares = pf.class_shares(train) if weighted else None
+    return vocab, tx.features(tokens, vocab, keep=["label", "is_test"]), shares
 
 
 def train_part(feats: DataFrame) -> DataFrame:
@@ -326,12 +336,11 @@ KIND_RULE = {"logistic": tx.RULE_FORCED, "hinge": tx.RULE_MAX_DF,
 
 def _loss_query(kind):
     def fn(spark, sf_dir):
-        vocab, feats = model_inputs(spark, sf_dir, KIND_RULE[kind])
+        vocab, feats, shares = weighted_inputs(spark, sf_dir, KIND_RULE[kind], weighted=kind == "weighted_hinge")
         theta = np.full(vocab.size() + 1, THETA0)
         m = mt.with_margin(train_part(feats).select("label", "i", "v"), theta)
         w = None
-        if kind == "weighted_hinge":
-            shares = pf.class_shares(train_part(feats))
+        if shares:
             w = F.when(F.col("label") == 1.0, shares[1.0]).otherwise(shares[0.0])
         out = m.agg(F.count(F.lit(1)).alias("n"),
                     F.avg(gr.loss_col(kind, F.col("margin"), F.col("label"), w)).alias("loss"))
@@ -344,17 +353,12 @@ def _loss_query(kind):
 
 def _grad_query(kind):
     def fn(spark, sf_dir):
-        vocab, feats = model_inputs(spark, sf_dir, KIND_RULE[kind])
+        vocab, feats, shares = weighted_inputs(spark, sf_dir, KIND_RULE[kind], weighted=kind == "weighted_hinge")
         p = vocab.size() + 1
         train = train_part(feats)
-        shares = pf.class_shares(train) if kind == "weighted_hinge" else None
-        ps = gr.partial_sums(train, np.full(p, THETA0), kind, "exact", shares=shares)
-        # the count is one of the p + 2 sums
-        n = F.max(F.when(F.col("k") == p + 1, F.col("g"))).over(Window.partitionBy(F.lit(0)))
-        g = F.col("g") / F.col("n")
-        if kind == "logistic":
-            g = g + F.lit(LAMBDA * THETA0) / F.col("n")
-        out = ps.withColumn("n", n).where(F.col("k") < p).select(F.col("k").alias("idx"), g.alias("grad"))
+        g, _, n = gr.gradient_and_loss(train, np.full(p, THETA0), kind, "exact", shares=shares)
+        g = g / n + (LAMBDA * THETA0 / n if kind == "logistic" else 0.0)
+        out = spark.createDataFrame([(k, float(x)) for k, x in enumerate(g)], "idx int, grad double")   # at most dim + 1 rows
         return _rounded(out, 9, zero_below=GRAD_ZERO)
     return fn
 
@@ -419,22 +423,27 @@ register("gd_multi_observed")(_multi_trace_query("observed"))
 
 
 STEPS = 20
+BREAK_AFTER = 7
 
 
-def _trained(spark, sf_dir, kind, steps=STEPS, variant="exact", evaluate=False, dim=DIM):
+def _trained(spark, sf_dir, kind, steps=STEPS, variant="exact", evaluate=False, dim=DIM, broken_after=None):
     """Train on the pinned train features. With ``evaluate``, also score the
     final θ on train and test, both in one pass over the pinned features,
-    before releasing them; the result is two small rows."""
+    before releasing them; the result is two small rows. With ``broken_after``
+    the run ends after that step, and another one goes on from its log."""
     vocab, feats = model_inputs(spark, sf_dir, KIND_RULE[kind], dim)
     p = vocab.size() + 1
     feats = materialize(feats)
     try:
         train = train_part(feats)
-        if kind == "logistic":
-            fit = cl.train_logistic(train, p, variant, max_iter=steps)
-        else:
-            shares = pf.class_shares(train) if kind == "weighted_hinge" else None
-            fit = cl.train_hinge(train, p, dim, variant, shares=shares, max_iter=steps)
+        shares = pf.class_shares(train) if kind == "weighted_hinge" else None
+        path = kept_folder(spark, "training") if broken_after else None
+        for last in [broken_after, steps] if broken_after else [steps]:
+            log = StepLog(spark, path, {"kind": kind, "variant": variant, "p": p}) if path else None
+            if kind == "logistic":
+                fit = cl.train_logistic(train, p, variant, max_iter=last, log=log)
+            else:
+                fit = cl.train_hinge(train, p, dim, variant, shares=shares, max_iter=last, log=log)
         scores = None
         if evaluate:
             thr = mt.LOGISTIC_THRESHOLD if kind == "logistic" else mt.HINGE_THRESHOLD
@@ -445,9 +454,9 @@ def _trained(spark, sf_dir, kind, steps=STEPS, variant="exact", evaluate=False,
     return fit, scores
 
 
-def _trace_query(kind, variant="exact"):
+def _trace_query(kind, variant="exact", broken_after=None):
     def fn(spark, sf_dir):
-        fit, _ = _trained(spark, sf_dir, kind, variant=variant)
+        fit, _ = _trained(spark, sf_dir, kind, variant=variant, broken_after=broken_after)
         return _rounded(fit.trace_frame(spark), 9)
     return fn
 
@@ -465,6 +474,8 @@ for _name, _kind in (("logistic", "logistic"), ("svm", "hinge"), ("weighted_svm"
     register(f"{_name}_trace")(_trace_query(_kind))
     register(f"{_name}_trace_observed")(_trace_query(_kind, "observed"))
     register(f"{_name}_eval")(_eval_query(_kind))
+    # a run that ended after step 7, and one that went on from what it kept
+    register(f"{_name}_trace_resumed")(_trace_query(_kind, "observed" if _kind == "hinge" else "exact", broken_after=BREAK_AFTER))
     # an earlier name of the same
     register(f"{_name}_eval_full")(QUERIES[f"{_name}_eval"])
     if _name != "weighted_svm":

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from quillspark.operators import metrics as mt
 from quillspark.operators.gradient import gradient_and_loss
 from quillspark.plans.descent import AdaptiveRate, BoldDriver
+from quillspark.plans.state import Step, StepLog
 
 TRACE_SCHEMA = "step int, loss double, learning_rate double"
 
@@ -37,25 +38,46 @@ class Fit:
                                      "idx int, weight double")
 
 
+def _resumed(log: StepLog | None) -> Step | None:
+    return log.last() if log is not None else None
+
+
 def train_logistic(feats: DataFrame, p: int, variant: str = "exact", max_iter: int = 20,
                    rate: float = 0.1, lam: float = 0.01, min_rate: float = 0.01,
                    theta0: float = 0.1, rule: BoldDriver | None = None,
-                   label_col: str = "label") -> Fit:
+                   label_col: str = "label", log: StepLog | None = None) -> Fit:
     """L2 logistic regression by gradient descent. Mean gradient plus
     (λ/n)θ; loss mean log-loss plus λ/(2n)‖θ‖² (bias included). Bold driver
-    (0.75, 1.1); stop when the rate falls below ``min_rate``."""
+    (0.75, 1.1); stop when the rate falls below ``min_rate``. With a ``log``
+    each step is kept there, and a run goes on from the last one kept."""
     rule = rule or BoldDriver(0.75, 1.1)
-    theta = np.full(p, theta0)
-    g, lsum, n = gradient_and_loss(feats, theta, "logistic", variant, label_col)
-    loss = lsum / n + float(theta @ theta) * lam / 2.0 / n
-    fit = Fit(theta, [(0, loss, rate)])
-    for step in range(1, max_iter + 1):
-        grad = g / n + lam / n * theta
+    tasks = feats.rdd.getNumPartitions()
+
+    def at(theta):
+        g, lsum, n = gradient_and_loss(feats, theta, "logistic", variant, label_col, tasks=tasks)
+        return g / n + lam / n * theta, lsum / n + float(theta @ theta) * lam / 2.0 / n
+
+    before = _resumed(log)
+    if before is None:
+        theta, first = np.full(p, theta0), 1
+        grad, loss = at(theta)
+        fit = Fit(theta, [(0, loss, rate)])
+        if log is not None:
+            log.save(Step(0, theta, theta, loss, rate, {}), loss, rate)
+    else:
+        theta, rate, loss, first = before.theta, before.rate, before.loss, before.step + 1
+        fit = Fit(theta, log.trace(before.step))
+        if before.finished or first > max_iter:
+            return fit
+        grad, _ = at(theta)
+    for step in range(first, max_iter + 1):
         theta = theta - rate * grad
-        g, lsum, n = gradient_and_loss(feats, theta, "logistic", variant, label_col)
-        loss, old = lsum / n + float(theta @ theta) * lam / 2.0 / n, loss
+        old = loss
+        grad, loss = at(theta)
         fit.trace.append((step, loss, rate))
-        rate = rule.next_rate(loss, old, rate)
+        used, rate = rate, rule.next_rate(loss, old, rate)
+        if log is not None:
+            log.save(Step(step, theta, theta, loss, rate, {}, rate < min_rate), loss, used)
         if rate < min_rate:
             break
     fit.theta = theta
@@ -64,31 +86,45 @@ def train_logistic(feats: DataFrame, p: int, variant: str = "exact", max_iter: i
 
 def train_hinge(feats: DataFrame, p: int, dim: int, variant: str = "exact",
                 shares: dict[float, float] | None = None, max_iter: int = 20, rate: float = 0.01,
-                min_rate: float = 1e-6, theta0: float = 0.1, label_col: str = "label") -> Fit:
+                min_rate: float = 1e-6, theta0: float = 0.1, label_col: str = "label",
+                log: StepLog | None = None) -> Fit:
     """Linear SVM by (sub)gradient descent on the hinge loss, optionally
     divided by the row's class share (``shares``). A step whose loss rose
     by more than 5 % is rolled back. ``observed`` uses summed gradients and
     the reference's compounding rate rule; ``exact`` uses mean gradients with
-    RMSprop step scaling."""
+    RMSprop step scaling. With a ``log`` each step is kept there, and a run
+    goes on from the last one kept."""
     kind = "weighted_hinge" if shares else "hinge"
     rule = AdaptiveRate(dim, variant)
     theta = np.full(p, theta0)
     theta_old = theta.copy()
-    loss = float("nan")
+    loss, first = float("nan"), 1
     fit = Fit(theta)
-    for step in range(1, max_iter + 1):
-        g, lsum, n = gradient_and_loss(feats, theta, kind, variant, label_col, shares)
+    before = _resumed(log)
+    if before is not None:
+        theta, theta_old, loss, rate, first = before.theta, before.theta_old, before.loss, before.rate, before.step + 1
+        rule.p0, rule.s = before.rule["p0"], before.rule["s"]
+        fit = Fit(theta, log.trace(before.step))
+        if before.finished:
+            return fit
+    tasks = feats.rdd.getNumPartitions()
+    for step in range(first, max_iter + 1):
+        g, lsum, n = gradient_and_loss(feats, theta, kind, variant, label_col, shares, tasks)
         cur = lsum / n
         grad = g if variant == "observed" else g / n
-        fit.trace.append((step, cur, rate))
+        used = rate
+        fit.trace.append((step, cur, used))
         rate, accept = rule.update(grad, rate, cur, loss)
-        if rate < min_rate:
-            break
-        if accept:
+        stop = rate < min_rate
+        if not stop and accept:
             loss = cur
             theta, theta_old = theta - rule.step_size(rate) * grad, theta
-        else:
+        elif not stop:
             theta = theta_old
+        if log is not None:
+            log.save(Step(step, theta, theta_old, loss, rate, {"p0": rule.p0, "s": rule.s}, stop), cur, used)
+        if stop:
+            break
     fit.theta = theta
     return fit
 

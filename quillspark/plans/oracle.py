@@ -568,10 +568,15 @@ for _variant, _end in (("exact", ""), ("observed", "_observed")):
     ORACLES[f"svm_trace{_end}"] = _hinge_trace_sql("hinge", variant=_variant)
     ORACLES[f"weighted_svm_trace{_end}"] = _hinge_trace_sql("weighted_hinge", variant=_variant)
 
+ORACLES["logistic_trace_resumed"] = ORACLES["logistic_trace"]
+ORACLES["svm_trace_resumed"] = ORACLES["svm_trace_observed"]
+ORACLES["weighted_svm_trace_resumed"] = ORACLES["weighted_svm_trace"]
+
 ORACLES["logistic_eval"] = _logistic_trace_sql(evaluate=True)
 ORACLES["svm_eval"] = _hinge_trace_sql("hinge", evaluate=True)
 ORACLES["weighted_svm_eval"] = _hinge_trace_sql("weighted_hinge", evaluate=True)
 
+
 for _name in ("logistic_trace", "logistic_eval", "svm_trace", "svm_eval", "weighted_svm_eval"):
     ORACLES[f"{_name}_full"] = ORACLES[_name]
 

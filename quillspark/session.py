@@ -6,6 +6,7 @@ from __future__ import annotations
 import logging
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = checkpoint_dir(spark)
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
     scratch = tempfile.mkdtemp(prefix="qs-ckpt-")
     logging.getLogger(__name__).warning(
         "spark.checkpoint.dir is not set; %s is used, which other machines don't see", scratch)
@@ -63,6 +66,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def kept_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path under the shared checkpoint folder, for tables that
+    outlive the plan that writes them. Whoever owns that folder clears it."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write a frame that several passes read to the checkpoint folder (lineage
     cut, so a lost executor re-reads files instead of re-running it)."""
