@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillspark.functions.columns import snippet, sparse_dot
+from quillspark.functions.columns import snippet, sparse_dot, tokens
 
 # The words the logistic job forces past the universal-word
 # filter, and profiles per class.
@@ -123,10 +123,11 @@ def as_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def doc_freq(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(word, df)``: number of documents holding each token."""
+    """``(word, df)``: number of documents holding each token. From texts it is
+    a pass within the JVM; kept tokens have each word once already."""
     if "words" not in docs.columns:
         require_column(docs, text_col)
-        docs = tokenised(docs.select(F.lit(0).alias("doc_id"), text_col), text_col=text_col)
+        docs = docs.select(F.array_distinct(tokens(text_col)).alias("words"))
     return docs.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
 
 

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.columns import safe_double, sig_round, snippet
 from quillspark.operators import gradient as gr
+from quillspark.operators import heavy as hv
 from quillspark.operators import metrics as mt
 from quillspark.operators import profile as pf
 from quillspark.operators import text as tx
 from quillspark.operators.clean import LINEITEM_KEEP, LINEITEM_RANGES, clean_numeric
+from quillspark.operators.index import TextIndex
 from quillspark.operators.linear import (
     closed_form,
     fit_sample,
@@ -132,7 +134,7 @@ def q_fit_sample(spark, sf_dir):
 
 @register("line_points")
 def q_line_points(spark, sf_dir):
-    clean = lineitem_clean(spark, sf_dir)
+    clean = pin(lineitem_clean(spark, sf_dir).select(*ORDER_KEYS, "quantity", "price"))     # read twice below
     params = regr(clean, "quantity", "price")
     sample = fit_sample(clean, ORDER_KEYS, 1001)
     return _rounded(line_points(sample, params, "quantity", 0.1), 8)
@@ -220,6 +222,20 @@ register("vocab_forced")(_vocab_query(tx.RULE_FORCED))
 register("vocab_max_df")(_vocab_query(tx.RULE_MAX_DF))
 
 
+def _summary_query(rule):
+    """The same vocabularies from bounded summaries; counting every distinct
+    word is what happens only where the proof fails."""
+    def fn(spark, sf_dir):
+        vocab, _ = hv.fit_vocabulary(corpus(spark, sf_dir), DIM, rule=rule)
+        return vocab.words()
+    return fn
+
+
+register("vocab_summary_not_all")(_summary_query(tx.RULE_NOT_ALL))
+register("vocab_summary_forced")(_summary_query(tx.RULE_FORCED))
+register("vocab_summary_max_df")(_summary_query(tx.RULE_MAX_DF))
+
+
 @register("term_freq")
 def q_term_freq(spark, sf_dir):
     docs = corpus(spark, sf_dir)
@@ -254,6 +270,25 @@ def q_topk_kept_vectors(spark, sf_dir):
     return tx.top_k_similar(kept, query, TOP_K, docs=documents(spark, sf_dir))
 
 
+def text_index(spark, sf_dir) -> TextIndex:
+    """The corpus' kept inverted index, in a new folder."""
+    return TextIndex.build(documents(spark, sf_dir), kept_folder(spark, "index"), DIM)
+
+
+@register("topk_indexed")
+def q_topk_indexed(spark, sf_dir):
+    """The flagship's hits, from the postings of the query's words alone."""
+    query = first_benchmark_text(spark, sf_dir).select(F.lit(0).alias("query"), "text")
+    return text_index(spark, sf_dir).top_k(query, TOP_K).select("rank", "doc_id", "score", "snippet")
+
+
+@register("topk_all_texts")
+def q_topk_all_texts(spark, sf_dir):
+    """The hits of every benchmark text, one index and one plan for all."""
+    queries = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query"), "text")
+    return text_index(spark, sf_dir).top_k(queries, TOP_K).select(F.col("query").alias("item_id"), "rank", "doc_id", "score", "snippet")
+
+
 # ---------------------------------------------------------------- classes
 
 

@@ -166,6 +166,8 @@ for _name, _rule in (("vocab_not_all", "not_all"), ("vocab_forced", "forced"),
                      ("vocab_max_df", "max_df")):
     ORACLES[_name] = f"WITH {text_ctes(DOCS, rule=_rule)} SELECT idx, word, df FROM vocab"
 
+    ORACLES[_name.replace("vocab_", "vocab_summary_")] = ORACLES[_name]
+
 ORACLES["term_freq"] = f"""WITH {text_ctes(DOCS)}
 SELECT doc_id, idx, word, {R('tf', 9)} AS tf FROM tf"""
 
@@ -182,7 +184,17 @@ a AS (SELECT d.doc_id, round(coalesce(s.score, 0.0), 9) AS score, substring(d.te
       FROM d LEFT JOIN s ON d.doc_id = s.doc_id)
 SELECT CAST(row_number() OVER (ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score, snippet
 FROM a QUALIFY rank <= {TOP_K} ORDER BY rank"""
-ORACLES["topk_kept_vectors"] = ORACLES["topk_similar_docs"]
+ORACLES["topk_kept_vectors"] = ORACLES["topk_indexed"] = ORACLES["topk_similar_docs"]
+
+ORACLES["topk_all_texts"] = f"""WITH {text_ctes(DOCS)},
+qw AS (SELECT item_id, unnest(string_split(text, ' ')) AS word, len(string_split(text, ' ')) AS n_tok FROM benchmark WHERE text IS NOT NULL),
+qc AS (SELECT qw.item_id, v.idx, count(*) / CAST(any_value(qw.n_tok) AS DOUBLE) * any_value(v.idf) AS qx
+       FROM qw JOIN vocab v ON qw.word = v.word GROUP BY qw.item_id, v.idx),
+s AS (SELECT qc.item_id, t.doc_id, sum(t.x * qc.qx) AS score FROM tfidf t JOIN qc ON t.idx = qc.idx GROUP BY qc.item_id, t.doc_id),
+a AS (SELECT b.item_id, d.doc_id, round(coalesce(s.score, 0.0), 9) AS score, substring(d.text, 1, 200) AS snippet
+      FROM (SELECT DISTINCT item_id FROM qw) b CROSS JOIN d LEFT JOIN s ON d.doc_id = s.doc_id AND b.item_id = s.item_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score, snippet
+FROM a QUALIFY rank <= {TOP_K}"""
 
 
 # ---------------------------------------------------------------- classes

@@ -26,6 +26,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # bound Arrow batches by bytes too: a batch of long documents stays small
         .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+        # lookups of some hundred ids or words skip pages by each of them, not by their range
+        .config("spark.sql.parquet.pushdown.inFilterThreshold", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         # remove checkpoint files once the pinned frame is garbage-collected
