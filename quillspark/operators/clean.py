@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quillspark.functions.columns import safe_double
@@ -58,7 +58,8 @@ def _condition(parsed, keep, ranges):
     return cond
 
 
-def _parsed(keep, ranges):
+def parsed_fields(keep, ranges):
+    """The kept and the tested fields by name, safely cast."""
     tested = {name: keep.get(name, name) for name in ranges}
     return {name: safe_double(src) for name, src in {**tested, **keep}.items()}
 
@@ -72,15 +73,34 @@ def clean_numeric(df: DataFrame, keep: Mapping[str, str],
     but not returned. ``extra_ranges`` adds optional conditions (e.g. a
     minimum toll) on top of the defaults."""
     all_ranges = {**ranges, **(extra_ranges or {})}
-    parsed = _parsed(keep, all_ranges)
+    parsed = parsed_fields(keep, all_ranges)
     cols = [F.col(c) for c in passthrough] + [parsed[n].alias(n) for n in keep]
     return df.where(_condition(parsed, keep, all_ranges)).select(*cols)
 
 
+def clean_observed(df: DataFrame, keep: Mapping[str, str], ranges: Mapping[str, tuple[float, float]],
+                   extra_ranges: Mapping[str, tuple[float, float]] | None = None,
+                   passthrough: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
+    """``clean_numeric`` and what it drops, counted in the same pass:
+    ``rows_in``, ``rows_kept``, and by the first cause ``unparsable`` (a kept or
+    tested field is no plain number) and ``out_of_range``. The counts are there
+    once an action has run over the frame."""
+    all_ranges = {**ranges, **(extra_ranges or {})}
+    parsed = parsed_fields(keep, all_ranges)
+    whole = F.lit(True)
+    for c in parsed.values():
+        whole = whole & c.isNotNull()
+    kept = F.coalesce(_condition(parsed, keep, all_ranges), F.lit(False))
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(kept).alias("rows_kept"),
+                         F.count_if(~whole).alias("unparsable"), F.count_if(whole & ~kept).alias("out_of_range"))
+    return clean_numeric(counted, keep, ranges, extra_ranges, passthrough), seen
+
+
 def dropped_rows(df: DataFrame, keep: Mapping[str, str],
                  ranges: Mapping[str, tuple[float, float]]) -> DataFrame:
     """One row: input rows, kept rows, dropped rows (one aggregation pass)."""
-    kept = F.coalesce(_condition(_parsed(keep, ranges), keep, ranges), F.lit(False))
+    kept = F.coalesce(_condition(parsed_fields(keep, ranges), keep, ranges), F.lit(False))
     return df.agg(F.count(F.lit(1)).alias("rows_in"), F.count_if(kept).alias("rows_kept")).withColumn(
         "rows_dropped", F.col("rows_in") - F.col("rows_kept"))
 

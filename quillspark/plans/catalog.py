@@ -19,7 +19,7 @@ from quillspark.operators import heavy as hv
 from quillspark.operators import metrics as mt
 from quillspark.operators import profile as pf
 from quillspark.operators import text as tx
-from quillspark.operators.clean import LINEITEM_KEEP, LINEITEM_RANGES, clean_numeric
+from quillspark.operators.clean import LINEITEM_KEEP, LINEITEM_RANGES, clean_numeric, clean_observed
 from quillspark.operators.index import TextIndex
 from quillspark.operators.linear import (
     closed_form,
@@ -32,10 +32,13 @@ from quillspark.operators.linear import (
 )
 from quillspark.plans import classify as cl
 from quillspark.plans import descent as ds
+from quillspark.plans.certify import certificate
 from quillspark.plans.state import StepLog
 from quillspark.session import kept_folder, materialize, pin
-from quillspark.sources.tables import read_table
-from quillspark.sources.text import BODY_GREEDY, CLASS_ONE_MARK, line_counts, parse_id_text, parse_labelled
+from quillspark.sources.csv import checked_records, split_records
+from quillspark.sources.layout import laid_out
+from quillspark.sources.tables import keep_bucketed, read_table
+from quillspark.sources.text import BODY_GREEDY, CLASS_ONE_MARK, observe_lines, parse_id_text, parse_labelled
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -84,6 +87,65 @@ def q_extra_range_filter(spark, sf_dir):
     return lineitem_clean(spark, sf_dir, EXTRA_RANGE)
 
 
+@register("rebalanced_filter")
+def q_rebalanced_filter(spark, sf_dir):
+    """The cleaned rows when the loaded ones are dealt out by size first."""
+    li = laid_out(read_table(spark, sf_dir, "lineitem"), "auto")
+    raw = li.select(*ORDER_KEYS, *[F.col(c).cast("string").alias(c) for c in LINEITEM_KEEP.values()])
+    return clean_numeric(raw, LINEITEM_KEEP, LINEITEM_RANGES, passthrough=ORDER_KEYS)
+
+
+@register("clean_drop_causes")
+def q_clean_drop_causes(spark, sf_dir):
+    """Rows in, kept and dropped by cause, counted while the kept ones are
+    written; every ninth order has a quantity that is no number."""
+    quantity = F.when(F.col("l_orderkey") % 9 == 0, F.lit("n/a")).otherwise(F.col("l_quantity").cast("string"))
+    li = read_table(spark, sf_dir, "lineitem").withColumn("l_quantity", quantity)
+    kept, seen = clean_observed(li, LINEITEM_KEEP, LINEITEM_RANGES, passthrough=ORDER_KEYS)
+    pin(kept)
+    return _counts(spark, seen.get)
+
+
+def _counts(spark, counts) -> DataFrame:
+    """One row of counts."""
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{n} bigint" for n in counts))
+
+
+RECORD_FIELDS = ["l_orderkey", "l_linenumber", *LINEITEM_KEEP.values(), "l_returnflag"]
+
+
+def lineitem_records(spark, sf_dir) -> DataFrame:
+    """lineitem as delimited lines: every eleventh order's lack the last field,
+    every seventeenth's have one more, every thirteenth's price is no number."""
+    key = F.col("l_orderkey")
+    text = {c: F.col(c).cast("string") for c in RECORD_FIELDS}
+    text["l_extendedprice"] = F.when(key % 13 == 0, F.lit("1_000")).otherwise(text["l_extendedprice"])
+    line = F.concat_ws(",", *text.values())
+    line = F.when(key % 11 == 0, F.concat_ws(",", *list(text.values())[:-1])).when(key % 17 == 0, F.concat(line, F.lit(",x"))).otherwise(line)
+    return read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", line.alias("value"))
+
+
+def _split(spark, sf_dir):
+    checked = checked_records(lineitem_records(spark, sf_dir).select(*[F.col(c).alias(f"of_{c}") for c in ORDER_KEYS], "value"),
+                              RECORD_FIELDS, LINEITEM_KEEP, LINEITEM_RANGES, passthrough=[f"of_{c}" for c in ORDER_KEYS])
+    return split_records(checked, kept_folder(spark, "records"))
+
+
+@register("reject_table")
+def q_reject_table(spark, sf_dir):
+    """The lines that aren't kept, with the cause."""
+    _, rejects, _ = _split(spark, sf_dir)
+    return rejects.select(*[F.col(f"of_{c}").alias(c) for c in ORDER_KEYS], "line", "cause")
+
+
+@register("reject_counts")
+def q_reject_counts(spark, sf_dir):
+    """Lines, kept ones and each cause's, counted while both tables were
+    written, and the rows that the tables have."""
+    kept, rejects, counts = _split(spark, sf_dir)
+    return _counts(spark, counts | {"kept_rows": kept.count(), "reject_rows": rejects.count()})
+
+
 ROW_LIMIT = 5000
 
 
@@ -179,7 +241,9 @@ def q_parse_counts(spark, sf_dir):
     """Of lines of which some lack the end mark: how many parse."""
     lines = marked_lines(spark, sf_dir).select(
         F.when(F.col("doc_id") % 7 == 0, F.expr("left(value, length(value) - 3)")).otherwise(F.col("value")).alias("value"))
-    return line_counts(lines)
+    seen_lines, seen = observe_lines(lines)
+    pin(parse_labelled(seen_lines, with_id=False).select("label", F.length("text").alias("n_chars")))
+    return _counts(spark, seen.get)
 
 
 @register("parse_marked_docs")
@@ -318,6 +382,16 @@ def labelled_ids(spark, sf_dir) -> DataFrame:
     return pf.split_flag(ids.join(labels(spark, sf_dir), "doc_id"))
 
 
+@register("label_token_stats")
+def q_label_token_stats(spark, sf_dir):
+    """Documents, tokens and distinct words per class, from token and label
+    tables that are kept in equal buckets by id: their join moves no rows."""
+    tokens = keep_bucketed(tx.tokenised(documents(spark, sf_dir)), "doc_id")
+    known = keep_bucketed(labels(spark, sf_dir), "doc_id")
+    return tokens.join(known.hint("merge"), "doc_id").groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum("n_tok").alias("n_tok"), F.sum(F.size("words")).alias("n_words"))
+
+
 @register("class_mean_tf")
 def q_class_mean_tf(spark, sf_dir):
     ld = labelled_corpus(spark, sf_dir)
@@ -509,6 +583,7 @@ for _name, _kind in (("logistic", "logistic"), ("svm", "hinge"), ("weighted_svm"
     register(f"{_name}_trace")(_trace_query(_kind))
     register(f"{_name}_trace_observed")(_trace_query(_kind, "observed"))
     register(f"{_name}_eval")(_eval_query(_kind))
+    register(f"{_name}_eval_observed")(_eval_query(_kind, "observed"))
     # a run that ended after step 7, and one that went on from what it kept
     register(f"{_name}_trace_resumed")(_trace_query(_kind, "observed" if _kind == "hinge" else "exact", broken_after=BREAK_AFTER))
     # an earlier name of the same
@@ -552,3 +627,26 @@ def q_linear_svc_tfidf(spark, sf_dir):
         return spark.createDataFrame(both.collect(), both.schema)             # two rows
     finally:
         feats.unpersist()
+
+
+SVC_REG = 1e-3
+SVC_GAP = 0.02        # of the objective: what a better fit could gain at most
+
+
+@register("svc_certified")
+def q_svc_certified(spark, sf_dir):
+    """The library classifier with a penalty: its scores at margin 0.5 on both
+    splits, and whether its objective on train is proven to be within
+    ``SVC_GAP`` of the least there is."""
+    vocab, feats = model_inputs(spark, sf_dir, KIND_RULE["hinge"])
+    feats = materialize(feats)
+    try:
+        train = train_part(feats)
+        _, theta = cl.linear_svc(cl.sparse_vectors(train, vocab.size()), reg_param=SVC_REG, standardize=False)
+        proof = certificate(train, theta, SVC_REG)
+        scores = cl.evaluate(feats, theta, mt.LOGISTIC_THRESHOLD, by=("is_test",)).select(
+            split_name(), "tp", "fn", "fp", "tn", "accuracy", "f1",
+            F.when(~F.col("is_test"), F.lit(proof.within(SVC_GAP))).alias("certified"))
+        return _rounded(spark.createDataFrame(scores.collect(), scores.schema), 12)          # two rows
+    finally:
+        feats.unpersist()

@@ -138,12 +138,13 @@ def evaluate(feats: DataFrame, theta, threshold: float, label_col: str = "label"
 
 
 def linear_svc(train: DataFrame, features_col: str = "features", label_col: str = "label",
-               max_iter: int = 100, reg_param: float = 0.0):
-    """Spark ML's LinearSVC (threshold 0); returns θ = coefficients + [intercept]."""
+               max_iter: int = 100, reg_param: float = 0.0, standardize: bool = True):
+    """Spark ML's LinearSVC (threshold 0); returns θ = coefficients + [intercept].
+    With ``standardize`` the penalty is on features in units of their deviation."""
     from pyspark.ml.classification import LinearSVC
 
     model = LinearSVC(featuresCol=features_col, labelCol=label_col, maxIter=max_iter,
-                      regParam=reg_param, threshold=0.0).fit(train)
+                      regParam=reg_param, threshold=0.0, standardization=standardize).fit(train)
     return model, np.append(model.coefficients.toArray(), model.intercept)
 
 

@@ -44,6 +44,28 @@ WHERE k IS NOT NULL"""
 
 ORACLES["extra_range_filter"] = f"SELECT * FROM {_lineitem_clean_sql(EXTRA_RANGE)} c"
 
+ORACLES["rebalanced_filter"] = ORACLES["safe_range_filter"]
+
+_IN_RANGE = " AND ".join(f"{LINEITEM_KEEP[n]} BETWEEN {float(lo)!r} AND {float(hi)!r}" for n, (lo, hi) in LINEITEM_RANGES.items())
+
+ORACLES["clean_drop_causes"] = f"""
+SELECT count(*) AS rows_in, count(*) FILTER (WHERE l_orderkey % 9 <> 0 AND {_IN_RANGE}) AS rows_kept,
+       count(*) FILTER (WHERE l_orderkey % 9 = 0) AS unparsable,
+       count(*) FILTER (WHERE l_orderkey % 9 <> 0 AND NOT ({_IN_RANGE})) AS out_of_range FROM lineitem"""
+
+_CAUSE = f"""SELECT *, CASE WHEN l_orderkey % 11 = 0 OR l_orderkey % 17 = 0 THEN 'ragged' WHEN l_orderkey % 13 = 0 THEN 'unparsable'
+               WHEN NOT ({_IN_RANGE}) THEN 'out_of_range' END AS cause FROM lineitem"""
+_RECORD = ("concat_ws(',', l_orderkey, l_linenumber, l_quantity, CASE WHEN l_orderkey % 13 = 0 THEN '1_000' ELSE l_extendedprice::VARCHAR END, "
+           "l_discount, l_tax, CASE WHEN l_orderkey % 11 <> 0 THEN l_returnflag END, CASE WHEN l_orderkey % 11 <> 0 AND l_orderkey % 17 = 0 THEN 'x' END)")
+
+ORACLES["reject_table"] = f"""
+SELECT l_orderkey, l_linenumber, {_RECORD} AS line, cause FROM ({_CAUSE}) c WHERE cause IS NOT NULL"""
+
+ORACLES["reject_counts"] = f"""
+SELECT count(*) AS lines, count(*) FILTER (WHERE cause IS NULL) AS kept, count(*) FILTER (WHERE cause = 'ragged') AS ragged,
+       count(*) FILTER (WHERE cause = 'unparsable') AS unparsable, count(*) FILTER (WHERE cause = 'out_of_range') AS out_of_range,
+       count(*) FILTER (WHERE cause IS NULL) AS kept_rows, count(cause) AS reject_rows FROM ({_CAUSE}) c"""
+
 ORACLES["row_limit"] = f"SELECT count(*) AS n FROM (SELECT 1 FROM lineitem LIMIT {ROW_LIMIT}) c"
 
 ORACLES["ols_regr"] = f"""
@@ -217,6 +239,11 @@ o AS (SELECT c.label, wd.word, coalesce(ts.s, 0.0) / CAST(c.n_docs AS DOUBLE) AS
       FROM cls c CROSS JOIN wd LEFT JOIN ts ON ts.label = c.label AND ts.word = wd.word)
 SELECT label, word, {R('avg_tf', 9)} AS avg_tf, n_docs FROM o"""
 
+ORACLES["label_token_stats"] = f"""
+WITH t AS (SELECT label, string_split(text, ' ') AS words FROM ({LABELLED}) x)
+SELECT label, count(*) AS n_docs, CAST(sum(len(words)) AS BIGINT) AS n_tok, CAST(sum(len(list_distinct(words))) AS BIGINT) AS n_words
+FROM t GROUP BY label"""
+
 ORACLES["stable_split"] = f"SELECT doc_id, label, {IS_TEST} AS is_test FROM ({LABELLED}) x"
 
 ORACLES["label_counts"] = f"SELECT label, count(*) AS n FROM ({TRAIN}) t GROUP BY label"
@@ -589,6 +616,10 @@ ORACLES["svm_eval"] = _hinge_trace_sql("hinge", evaluate=True)
 ORACLES["weighted_svm_eval"] = _hinge_trace_sql("weighted_hinge", evaluate=True)
 
 
+ORACLES["logistic_eval_observed"] = _logistic_trace_sql(evaluate=True, variant="observed")
+ORACLES["svm_eval_observed"] = _hinge_trace_sql("hinge", evaluate=True, variant="observed")
+ORACLES["weighted_svm_eval_observed"] = _hinge_trace_sql("weighted_hinge", evaluate=True, variant="observed")
+
 for _name in ("logistic_trace", "logistic_eval", "svm_trace", "svm_eval", "weighted_svm_eval"):
     ORACLES[f"{_name}_full"] = ORACLES[_name]
 

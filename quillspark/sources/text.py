@@ -5,9 +5,11 @@ not match is filtered out (``line_counts`` counts them) instead of failing the j
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.sources.layout import Layout, laid_out
+
 # The document markers and the class-1 id prefix.
 ID_PATTERN = r'(?s)<doc id="(.*?)"'
 BODY_SHORTEST = r'(?s)">(.*?)</doc>'
@@ -15,9 +17,9 @@ BODY_GREEDY = r'(?s)<doc id.*?">(.*)</doc>'
 CLASS_ONE_MARK = '<doc id="AU'
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row per line, column ``value``."""
-    return spark.read.text(path)
+def read_lines(spark: SparkSession, path: str, layout: Layout = None) -> DataFrame:
+    """One row per line, column ``value``, dealt out as ``layout`` says."""
+    return laid_out(spark.read.text(path), layout)
 
 
 def parse_id_text(lines: DataFrame, line_col: str = "value", keep=()) -> DataFrame:
@@ -54,16 +56,23 @@ def line_counts(lines: DataFrame, pattern: str = BODY_GREEDY, line_col: str = "v
     return lines.agg(F.count(F.lit(1)).alias("lines"), F.count_if(hit).alias("parsed"), F.count_if(~hit).alias("unmatched"))
 
 
+def observe_lines(lines: DataFrame, pattern: str = BODY_GREEDY, line_col: str = "value") -> tuple[DataFrame, Observation]:
+    """The lines, counted as a parser reads them: ``lines``, ``parsed`` and
+    ``unmatched`` are there once an action has run over what it made of them."""
+    seen, hit = Observation(), F.coalesce(F.col(line_col).rlike(pattern), F.lit(False))
+    return lines.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(hit).alias("parsed"), F.count_if(~hit).alias("unmatched")), seen
+
+
 def load_corpus(spark: SparkSession, train_path: str, test_path: str | None = None,
-                test_fraction_mod: int = 10):
-    """Labelled training and test frames.
+                test_fraction_mod: int = 10, layout: Layout = None):
+    """Labelled training and test frames, the lines dealt out as ``layout`` says.
 
     Two paths: both files are parsed the same way. One path: a stable split by
     the line's own id (``pmod(xxhash64(doc_id), 10) = 0`` is test), the same
     however the file is cut into partitions."""
     from quillspark.operators.profile import stable_split
 
-    train = parse_labelled(read_lines(spark, train_path))
+    train = parse_labelled(read_lines(spark, train_path, layout))
     if test_path is not None:
-        return train, parse_labelled(read_lines(spark, test_path))
+        return train, parse_labelled(read_lines(spark, test_path, layout))
     return stable_split(train, "doc_id", test_fraction_mod)

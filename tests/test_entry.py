@@ -20,10 +20,11 @@ def test_entry_runs(spark):
 def test_registry_consistent():
     q, o = se.queries(), se.oracle_sql()
     assert set(o) <= set(q)
-    assert set(ORACLES) == set(QUERIES)       # every query of the core has its SQL
+    # every query of the core has its SQL, but for a trained library model's scores (tests/test_certify.py)
+    assert set(QUERIES) - set(ORACLES) == {"svc_certified"} and set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.endswith("_full")])
+@pytest.mark.parametrize("name", [n for n in ORACLES if not n.endswith("_full")])
 def test_oracle_small(spark, name):
     res = check(spark, duck(SMALL), SMALL, name, QUERIES[name], ORACLES[name])
     assert res["status"].startswith("MATCH"), res
