@@ -1,8 +1,8 @@
 """BPE encoding and decoding with a minimal acyclic transducer as lexicon.
 
 Encoding: texts are split into the tokenizer's words; the words' counts over the
-whole corpus name the ``LEXICON`` most frequent ones; their token ids are found
-by exact merging and compiled into a minimal acyclic transducer, an automaton
+whole corpus name up to ``LEXICON`` most frequent ones (a histogram of the counts
+gives the least count taken); their token ids are found by exact merging and compiled into a minimal acyclic transducer, an automaton
 whose arcs carry ids and whose equal suffixes are shared. It is one flat file of
 32-bit numbers, which Spark ships to the executors and their Python workers map
 into memory, so all workers of a machine share its pages. A task takes the
@@ -39,14 +39,16 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import bounded_batches, documents
+from quillspark.llm.common import bounded_batches, cut, documents
 from quillspark.llm.packing import _plain_ranges, default_tokenizer
 from quillspark.llm.tokens import blocks, buffers
 
-LEXICON = 1 << 16         # words of the transducer
+LEXICON = 1 << 17         # words of the transducer, at most
+GRADES = 8                # of word counts, from one power of two to the next
 LONGEST = 64              # bytes of a word of the transducer
-BLOCK = 4 << 20           # bytes of text whose distinct words are walked together
+BLOCK = 2 << 20           # bytes of text whose distinct words are walked together
 MERGED_KEPT = 200_000     # merged words that a Python worker remembers, of up to LONGEST bytes each
+SHORT = 256               # bytes of a word whose pairs are searched through for each merge
 
 
 # ----------------------------------------------------------------- tokenizer
@@ -77,9 +79,9 @@ class WordBpe:
         self.byte_of = {c: b for b, c in enumerate(letters)}
         self.inner = [vocab[c] for c in letters]
         self.last = [vocab[c + self.end] for c in letters]
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(m.split(" ") if isinstance(m, str) else m for m in model["merges"])}
-        tokens = {i: t for t, i in [*vocab.items(), *self.special.items()]}
-        self.tokens = pa.array([tokens.get(i) for i in range(max(tokens) + 1)], pa.string())
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.rank = {(vocab[a], vocab[b]): k for k, (a, b) in enumerate(pairs)}
+        self.made = [vocab[a + b] for a, b in pairs]
         self.whole = Tokenizer.from_file(path)
         plain, letter, number = _plain_ranges()
         esc = lambda s: "".join(f"\\u{ord(c):04x}" for c in s)
@@ -106,30 +108,54 @@ class WordBpe:
 
     def merged(self, word: str) -> list[int]:
         """The ids of a word: of all neighbouring pairs the one of least rank,
-        the leftmost of these, is merged until none is left. Pairs wait in a
-        heap, neighbours are linked, so long words take n log n steps."""
+        the leftmost of these, is merged until none is left."""
         if word in self.special:
             return [self.special[word]]
         raw = word.encode("utf-8")
         ids = [*[self.inner[b] for b in raw[:-1]], self.last[raw[-1]]]
-        n, merges = len(ids), self.merges
+        if len(ids) > SHORT:
+            return self.merged_long(ids)
+        get, none = self.rank.get, len(self.made)
+        ranks = [get(p, none) for p in zip(ids, ids[1:])]
+        while ranks and (least := min(ranks)) < none:
+            k = ranks.index(least)
+            ids[k:k + 2] = [self.made[least]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = get((ids[k - 1], ids[k]), none)
+            if k < len(ranks):
+                ranks[k] = get((ids[k], ids[k + 1]), none)
+        return ids
+
+    def merged_long(self, ids: list[int]) -> list[int]:
+        """The same for long words in n log n steps: pairs wait in a heap,
+        neighbours are linked."""
+        n, rank = len(ids), self.rank
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*found, k, a, b) for k, (a, b) in enumerate(zip(ids, ids[1:])) if (found := merges.get((a, b)))]
+        heap = [(rank[a, b], k, a, b) for k, (a, b) in enumerate(zip(ids, ids[1:])) if (a, b) in rank]
         heapq.heapify(heap)
         while heap:
-            _, new, k, a, b = heapq.heappop(heap)
+            least, k, a, b = heapq.heappop(heap)
             right = after[k]
             if ids[k] != a or right >= n or ids[right] != b:  # one of the pair is merged already
                 continue
-            ids[k], ids[right], after[k] = new, -1, after[right]
+            ids[k], ids[right], after[k] = self.made[least], -1, after[right]
             if after[k] < n:
                 before[after[k]] = k
             for left in (before[k], k):
-                if left >= 0 and after[left] < n and (found := merges.get((ids[left], ids[after[left]]))):
-                    heapq.heappush(heap, (*found, left, ids[left], ids[after[left]]))
+                if left >= 0 and after[left] < n and (pair := (ids[left], ids[after[left]])) in rank:
+                    heapq.heappush(heap, (rank[pair], left, *pair))
         return [i for i in ids if i >= 0]
 
 
+def token_table(path: str) -> pa.Array:
+    """The tokens by id, null where the file has none."""
+    with open(path, encoding="utf-8") as f:
+        kind = json.load(f)
+    tokens = {i: t for t, i in [*kind["model"]["vocab"].items(), *((t["content"], t["id"]) for t in kind["added_tokens"])]}
+    return pa.array([tokens.get(i) for i in range(max(tokens) + 1)], pa.string())
+
+
 # ---------------------------------------------------------------- transducer
 
 class _State:
@@ -307,12 +333,26 @@ def word_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     return each.where(F.octet_length("word") <= LONGEST).groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(docs: DataFrame, tokenizer_path: str, words: int = LEXICON) -> list[str]:
+    """Up to ``words`` most frequent words. Counts are graded by their size;
+    the grades' histogram, some hundred rows, says how far down the list fits:
+    no task and not the driver gets more than that."""
+    grade = F.floor(F.log2("n") * GRADES)
+    counts = cut(word_counts(docs, tokenizer_path).withColumn("grade", grade))
+    least = None
+    for row in sorted(counts.groupBy("grade").count().collect(), reverse=True):
+        words -= row["count"]
+        if words < 0:
+            break
+        least = row["grade"]
+    return [] if least is None else [r["word"] for r in counts.where(F.col("grade") >= least).select("word").collect()]
+
+
 def build_lexicon(docs: DataFrame, tokenizer_path: str, words: int = LEXICON) -> str:
     """Compiles the most frequent words and ships the file to all executors;
-    returns its name there. At most ``words`` words reach the driver."""
-    top = word_counts(docs, tokenizer_path).orderBy(F.desc("n"), "word").limit(words).collect()
+    returns its name there."""
     bpe = WordBpe(tokenizer_path)
-    flat = compile_lexicon((r["word"].encode("utf-8"), tuple(bpe.merged(r["word"]))) for r in top)
+    flat = compile_lexicon((w.encode("utf-8"), tuple(bpe.merged(w))) for w in frequent_words(docs, tokenizer_path, words))
     name = f"lexicon-{uuid.uuid4().hex}"
     file = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
     flat.tofile(file)
@@ -348,15 +388,16 @@ def encode(docs: DataFrame, tokenizer_path: str, lexicon: str) -> DataFrame:
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     """``(doc_id, ids, text)`` for each row of ``encoded(doc_id, ids)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _kept(f"bpe:{tokenizer_path}", lambda: WordBpe(tokenizer_path))
+        table = _kept(f"tokens:{tokenizer_path}", lambda: token_table(tokenizer_path))
         for batch in batches:
-            data, offsets = buffers(batch.column(1))
-            ids = np.ascontiguousarray(data).view("<u4")
-            tokens = bpe.tokens.take(pa.array(ids))
-            if tokens.null_count:
-                raise ValueError("an id that the tokenizer doesn't have")
-            rows = pa.LargeListArray.from_arrays(pa.array(offsets // 4), tokens)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pc.binary_join(rows, " ").cast(pa.string())], ["doc_id", "ids", "text"])
+            for lo, hi in blocks(buffers(batch.column(1))[1], BLOCK):
+                part = batch.slice(lo, hi - lo)
+                data, offsets = buffers(part.column(1))
+                tokens = table.take(pa.array(np.ascontiguousarray(data).view("<u4")))
+                if tokens.null_count:
+                    raise ValueError("an id that the tokenizer doesn't have")
+                rows = pa.LargeListArray.from_arrays(pa.array(offsets // 4), tokens)
+                yield pa.RecordBatch.from_arrays([*part.columns, pc.binary_join(rows, " ").cast(pa.string())], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
 
