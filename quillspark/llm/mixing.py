@@ -16,7 +16,6 @@ columns are ignored by :func:`mix`, which keeps only the columns it names.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -133,28 +132,22 @@ def whole_copies(mixed: DataFrame, seed: int = SEED) -> DataFrame:
     """``(doc_id, copies)`` for each row of ``mixed(doc_id, size, source, taken,
     shard)``: whole copies that add up to the words taken from its (source,
     shard) cell. A document is copied ``taken / size`` times, rounded down, and
-    once more where the parts left over, summed along the cell, have grown to
-    it. The longest come first, so that the shorter ones even out what a long
-    one leaves; a seeded share of the first one's size starts the sum, so that
-    each cell's first one has the chance of its own part."""
-    start = F.pmod(seeded(seed + 3, "shard", "source"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-
-    def run(cells: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(cells[c].to_pylist() for c in ("source", "size", "doc_id", "taken", "start"))),
-                      key=lambda r: (r[0] is None, r[0] or "", -r[1], r[2] is None, r[2] or 0))
-        copies, cell = [], ()
-        for source, size, _, taken, first in rows:
-            if (source,) != cell:
-                cell, due = (source,), 0
-            whole, part = divmod(taken, size) if size else (0, 0)
-            due += part
-            more = part > 0 and due > (1 - first) * size
-            due -= size * more
-            copies.append(whole + more)
-        return pa.table([pa.array([r[2] for r in rows], pa.int64()), pa.array(copies, pa.int32())], ["doc_id", "copies"])
-
-    narrow = mixed.select(F.col("doc_id").cast("long").alias("doc_id"), "size", "source", "taken", "shard", start.alias("start"))
-    return narrow.groupBy("shard").applyInArrow(run, "doc_id long, copies int")
+    once more where the running sum of the parts left over, along the cell,
+    passes a whole number. The order is by size, so that those copied once more
+    are spread evenly over long and short ones and their words come to the sum
+    of the parts. The sums of a source's shards start at places that are spread
+    evenly too (steps of the golden section from a seeded one), so that what a
+    cell has too much of its longest document, another has too little."""
+    one = 1 << 20                                    # parts are whole numbers of this unit: sums are exact
+    whole = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(F.lit(0).cast("long"))
+    part = F.when(F.col("size") > 0, F.floor((F.col("taken") % F.col("size")) * one / F.col("size"))).otherwise(0).cast("long")
+    step = round(one * (5 ** 0.5 - 1) / 2)
+    start = F.pmod(F.pmod(seeded(seed + 3, "source"), F.lit(one)) + F.col("shard") * step, F.lit(one))
+    along = Window.partitionBy("source", "shard").orderBy(F.col("size").desc(), F.col("doc_id").asc_nulls_last(), F.col("taken"))
+    rows = mixed.select(F.col("doc_id").cast("long").alias("doc_id"), "size", "source", "taken", "shard", whole.alias("whole"), part.alias("part"), start.alias("start"))
+    through = F.col("start") + F.sum("part").over(along.rowsBetween(Window.unboundedPreceding, 0))
+    more = F.floor(through / one) - F.floor((through - F.col("part")) / one)
+    return rows.select("doc_id", (F.col("whole") + more).cast("int").alias("copies"))
 
 
 def _small(df: DataFrame, most: int = 100_000) -> bool:
