@@ -200,3 +200,41 @@ def test_unknown_ids_are_refused(spark):
 
 def test_regex_library_keeps_every_repetition():
     assert regex.fullmatch("(?s:(.))*", "ab\n").ends(1) == [1, 2, 3]
+
+
+# ------------------------------------------------------------- near duplicates
+
+def test_near_copies_of_any_length_are_found(spark):
+    """300 pairs of 9 to 300 words, a similarity of 0.80 to 0.95, changes scattered."""
+    from quillspark.llm import near_dup
+
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(4000)]
+    rows, pairs = [], 0
+    for k in range(300):
+        n = rng.choice([9, 10, 12, 15, 20, 30, 45, 50, 60, 100, 200, 300])
+        a = [rng.choice(vocabulary) for _ in range(n)]
+        b = a[:]
+        for at in rng.sample(range(n), max(1, int(rng.uniform(0.05, 0.2) * n))):
+            b[at] = f"changed{rng.random()}"
+        rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+        pairs += near_dup.near(*[np.array([zlib.crc32(w.encode()) for w in t]) for t in (a, b)])
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = sum(got[2 * k] == got[2 * k + 1] for k in range(300))
+    assert pairs == 300 and found >= 0.95 * pairs, found
+    assert all(got[2 * k] == 2 * k for k in range(300))                   # and nothing else
+
+
+def test_passages_that_many_texts_share(spark):
+    """Thousands of unlike texts in the same buckets; the near copies among them are found."""
+    from quillspark.llm import near_dup
+
+    rng = random.Random(22)
+    passage = sentence(rng, 40)
+    own = [" ".join(f"u{rng.randrange(10**6)}" for _ in range(35)) for _ in range(1200)]
+    rows = [(k, f"{t[:len(t) // 2]} {passage} {t[len(t) // 2:]}") for k, t in enumerate(own)]
+    rows += [(5000 + k, rows[k][1].replace(" u", " v", 2)) for k in range(0, 1200, 12)]
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    copies = [k for k in range(0, 1200, 12) if got[5000 + k] == got[k]]
+    assert len(copies) >= 0.95 * 100, len(copies)
+    assert sum(c == d for d, c in got.items()) >= len(rows) - 100
