@@ -39,10 +39,10 @@ def test_task_closures_need_no_installed_package():
         "b = pa.RecordBatch.from_arrays([pa.array([[0, 1]], pa.list_(pa.int32())),"
         " pa.array([[1.0, 2.0]], pa.list_(pa.float64())), pa.array([1.0])], ['i', 'v', 'label'])\n"
         "out = next(fn(iter([b])))\n"
-        "print(out.num_rows)\n"
+        "print(out.num_rows, len(out.column(0)[0]))\n"
     )
     res = subprocess.run([sys.executable, "-c", probe], input=payload, capture_output=True,
                          cwd="/tmp", timeout=120, env={"PATH": "/usr/bin:/bin"})
     assert res.returncode == 0, res.stderr.decode()[-800:]
-    assert res.stdout.decode().strip() == "5"      # p + 2 slots
+    assert res.stdout.decode().strip() == "1 5"      # one row of p + 2 slots
     assert pa is not None
