@@ -9,7 +9,8 @@ substrings of 16 bits and each substring is indexed. By the pigeonhole
 principle a code within Hamming radius r of the query's has a substring within
 ``r // substrings`` bits of the query's; probing those buckets retrieves every
 code within r, whose vectors are then ranked by the inner product in double
-precision. The radius is fitted on the same sample to reach ``RECALL``.
+precision. The radius is fitted on the same sample to reach ``RECALL``; queries
+that have too few codes within it go again with a larger one, up to all bits.
 
 All vectors are indexed, in shards of ``SHARD_ROWS``; queries meet each shard
 in blocks, and a block returns its nearest only. Of equal vectors only the
@@ -41,6 +42,7 @@ FIT_ROWS = 8192
 FIT_QUERIES = 256
 FIT_STEPS = 20
 RECALL = 0.98
+WIDER = 16               # a wider radius has this part of all bits more
 SHARD_ROWS = 16_384
 QUERY_ROWS = 1024
 BITS = np.array([bin(v).count("1") for v in range(1 << SUBSTRING)], np.uint8)
@@ -148,7 +150,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST) -> DataFrame:
     same = Window.partitionBy("v").orderBy("vec_id")
     base = cut(sound.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1)
                .groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
-    facts = base.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("norm"), F.count(F.lit(1)).alias("n")).first()
+    facts = base.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("norm"), F.count(F.lit(1)).alias("n"),
+                     F.sum(F.size("ids")).alias("ids")).first()
     schema = "query_id long, rank int, vec_id long, score double"
     if not facts.n:
         return spark.createDataFrame([], schema)
@@ -158,7 +161,30 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST) -> DataFrame:
     radius = fit_radius(hasher, sample, k)
 
     asked = cut(sound.where(is_query).groupBy("v").agg(F.min("vec_id").alias("q")))
-    shards = max(1, round(facts.n / SHARD_ROWS))
+    # a query's own row is among what it finds; fewer rows than that are all there are
+    wanted = min(k + 1, facts.ids)
+    found, left = None, asked
+    while True:
+        some = cut(_nearest(base, left, facts.n, hasher, radius, k))
+        full = some.where(F.size("hits") >= wanted) if radius < hasher.bits else some
+        found = full if found is None else found.unionByName(full)
+        if radius >= hasher.bits:
+            break
+        left = cut(left.join(full.select(F.col("_q")), F.col("q") == F.col("_q"), "left_anti"))
+        if left.isEmpty():
+            break
+        radius = min(hasher.bits, radius + max(1, hasher.bits // WIDER))
+    each = sound.where(is_query).select("vec_id", "v").join(cut(asked.select(F.col("v").alias("_v"), "q")), F.col("v") == F.col("_v")).select(F.col("vec_id").alias("query_id"), "q")
+    own = F.filter("hits", lambda h: h["hit"]["ids"] != F.col("query_id"))
+    rows = each.join(found, F.col("q") == F.col("_q")).select("query_id", F.posexplode(F.slice(own, 1, k)).alias("at", "h"))
+    return rows.select("query_id", (F.col("at") + 1).alias("rank"), F.col("h.hit.ids").alias("vec_id"), F.col("h.hit.scores").alias("score"))
+
+
+def _nearest(base: DataFrame, asked: DataFrame, n: int, hasher: Hasher, radius: int, k: int) -> DataFrame:
+    """``(_q, hits)``: the ``k + 1`` best rows of ``base(v, ids)``, ``n`` vectors,
+    within the radius of each of ``asked(v, q)``, best first; queries with none
+    are left out."""
+    shards = max(1, round(n / SHARD_ROWS))
     groups = max(1, -(-asked.count() // QUERY_ROWS))
     dealt = base.withColumn("shard", F.pmod(seeded(SEED, F.element_at("ids", 1)), F.lit(shards)))
     dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
@@ -190,11 +216,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST) -> DataFrame:
     hit = F.explode(F.arrays_zip("ids", "scores")).alias("hit")
     best = Window.partitionBy("q").orderBy(F.col("hit.scores").desc(), F.col("hit.ids"))
     found = found.select("q", hit).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
-    found = cut(found.groupBy(F.col("q").alias("_q")).agg(F.sort_array(F.collect_list(F.struct("n", "hit"))).alias("hits")))
-    each = sound.where(is_query).select("vec_id", "v").join(cut(asked.select(F.col("v").alias("_v"), "q")), F.col("v") == F.col("_v")).select(F.col("vec_id").alias("query_id"), "q")
-    own = F.filter("hits", lambda h: h["hit"]["ids"] != F.col("query_id"))
-    rows = each.join(found, F.col("q") == F.col("_q")).select("query_id", F.posexplode(F.slice(own, 1, k)).alias("at", "h"))
-    return rows.select("query_id", (F.col("at") + 1).alias("rank"), F.col("h.hit.ids").alias("vec_id"), F.col("h.hit.scores").alias("score"))
+    return found.groupBy(F.col("q").alias("_q")).agg(F.sort_array(F.collect_list(F.struct("n", "hit"))).alias("hits"))
 
 
 def op1_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
