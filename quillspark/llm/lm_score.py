@@ -4,28 +4,37 @@ Every word (a run of letters, digits or other signs) has one of ``CODES``
 codes: the corpus's most frequent words one each, all others one of
 ``RARE`` by hash. A small network sees the codes of two words on either side,
 never the word itself, and predicts its code in two factors, group and member.
-A document's score is the sum over its words of the log-probability given both
-sides. The network is trained in numpy by the tasks: in each epoch every task
-goes once through its documents (one word in ``STRIDE`` is a target, another
-one each epoch), and the tasks' parameters are averaged by the number of their
-targets, in two levels. Word counts and training both cover the whole corpus.
+A word that shares its code has a share of the code's probability, by the
+counts of all words in the corpus: ``(n + 1) / (n of the code + its words + 1)``,
+where the last 1 is the share of words that the corpus doesn't hold. A document's
+score is the sum over its words of the log-probability given both sides.
+
+The network is trained in numpy by the tasks: in each epoch every task goes
+once through its documents, each word of which is a target, and the tasks'
+parameters are averaged by the number of their targets, in levels. Word counts
+and training both cover the whole corpus. Counts stay in a written table that
+meets the documents' words by a join; such a word is no more than one in
+``CODES - RARE`` of all, so no key of that join is hot.
 
 Defined results. Null and empty texts have no words: log-probability 0.0 and
 null per word. Every input row gives one result row; equal texts get equal
-scores; extra columns are ignored; an empty table gives none.
+scores up to single precision's rounding; extra columns are ignored; an empty
+table gives none.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import SEED, bounded_batches, documents
-from quillspark.llm.tokens import Splitter, Words, mix
+from quillspark.llm.common import SEED, bounded_batches, cut, documents
+from quillspark.llm.tokens import Splitter, Words
+from quillspark.operators.merge import merged
 
 GROUPS = 32
 MEMBERS = 32
@@ -34,10 +43,10 @@ RARE = 256
 BESIDE = (-2, -1, 1, 2)
 EMBED = 8
 HIDDEN = 16
-EPOCHS = 2
-STRIDE = 8
+EPOCHS = 1
 BATCH = 2048
 RATE = 0.08
+SCALE = 1 << 30        # logarithms are summed as integers, in any order
 SHAPES = {
     "embed": (CODES + 1, EMBED), "w1": (len(BESIDE) * EMBED, HIDDEN), "b1": (HIDDEN,),
     "wg": (HIDDEN, GROUPS), "bg": (GROUPS,), "wm": (HIDDEN, MEMBERS), "bm": (GROUPS, MEMBERS),
@@ -99,8 +108,8 @@ class Network:
     def log_probabilities(self, beside: np.ndarray, target: np.ndarray) -> np.ndarray:
         return np.concatenate([self.forward(beside[at:at + 8192], target[at:at + 8192])[-1] for at in range(0, len(target), 8192)] or [np.zeros(0)])
 
-    def step(self, beside: np.ndarray, target: np.ndarray, squares: dict[str, np.ndarray]) -> None:
-        """One Adagrad step on a batch."""
+    def gradients(self, beside: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
+        """Of a batch's mean loss."""
         p, n = self.p, np.float32(len(target))
         x, h, group, member, pg, pm, _ = self.forward(beside, target)
         rows = np.arange(len(target))
@@ -111,18 +120,33 @@ class Network:
         back = (pg @ p["wg"].T + pm @ p["wm"].T) * (1 - h * h)
         dx = (back @ p["w1"].T).reshape(-1, EMBED)
         flat = beside.reshape(-1)
-        grads = {
+        return {
             "wg": h.T @ pg, "bg": pg.sum(0), "wm": h.T @ pm, "w1": x.T @ back, "b1": back.sum(0),
             "bm": np.stack([np.bincount(group, weights=pm[:, k], minlength=GROUPS) for k in range(MEMBERS)], 1),
             "embed": np.stack([np.bincount(flat, weights=dx[:, k], minlength=CODES + 1) for k in range(EMBED)], 1),
         }
-        for k, g in grads.items():
+
+    def step(self, beside: np.ndarray, target: np.ndarray, squares: dict[str, np.ndarray]) -> None:
+        """One Adagrad step on a batch."""
+        for k, g in self.gradients(beside, target).items():
             squares[k] += (g * g).astype(np.float32)
-            p[k] -= RATE * (g / (np.sqrt(squares[k]) + 1e-6)).astype(np.float32)
+            self.p[k] -= RATE * (g / (np.sqrt(squares[k]) + 1e-6)).astype(np.float32)
+
+
+@dataclass
+class Model:
+    """The frequent words in order of their codes, the network's parameters, the
+    mass of each shared code (its words' counts, its words and 1), and the
+    counts of all words, a written table ``(word, n)``."""
+
+    frequent: np.ndarray
+    flat: np.ndarray
+    mass: np.ndarray
+    words: DataFrame
 
 
-def frequent_words(docs: DataFrame, most: int = CODES - RARE) -> np.ndarray:
-    """Hashes of the corpus's most frequent words, ties to the smaller hash."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``(word, n)``: how often each word's hash occurs in ``docs(text)``."""
     bounded_batches(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,77 +156,85 @@ def frequent_words(docs: DataFrame, most: int = CODES - RARE) -> np.ndarray:
             hashes, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
 
-    counts = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.col("n").desc(), "word").limit(most).collect()
-    return np.array([r.word for r in top], np.int64).view(np.uint64)
+    return cut(docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def train(docs: DataFrame, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent words and trained parameters for ``docs(text)``."""
-    frequent = frequent_words(docs)
+def train(docs: DataFrame, epochs: int = EPOCHS) -> Model:
+    """A model of ``docs(text)``."""
+    words = word_counts(docs)
+    top = words.orderBy(F.col("n").desc(), "word").limit(CODES - RARE).collect()
+    mass = np.ones(RARE)
+    for r in words.groupBy(F.col("word").bitwiseAND(RARE - 1).alias("code")).agg(F.sum(F.col("n") + 1).alias("mass")).collect():  # RARE rows
+        mass[r.code] += r.mass
+    for r in top:
+        mass[r.word & (RARE - 1)] -= r.n + 1
+    frequent = np.array([r.word for r in top], np.int64).view(np.uint64)
     flat = Network().flat
-    for epoch in range(epochs):
-        flat = _epoch(docs, frequent, flat, epoch)
-    return frequent, flat
+    for _ in range(epochs):
+        flat = _epoch(docs, frequent, flat)
+    return Model(frequent, flat, mass, words)
 
 
-def _epoch(docs: DataFrame, frequent: np.ndarray, flat: np.ndarray, epoch: int) -> np.ndarray:
+def _epoch(docs: DataFrame, frequent: np.ndarray, flat: np.ndarray) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, codes, net = Splitter(), Codes(frequent), Network(flat)
         squares = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-        seen, salt = 0, 0
+        seen = 0
         for batch in batches:
             for w in split.words(batch.column(0)):
                 c = codes.of(w)
-                # which words are targets follows from the words, not from where they lie in the batch
-                chosen = mix(w.hash + np.arange(len(c), dtype=np.uint64) - np.repeat(w.bounds()[:-1], np.diff(w.bounds())).astype(np.uint64))
-                targets = np.flatnonzero((chosen % np.uint64(STRIDE)) == np.uint64(epoch % STRIDE))
-                salt = (salt + int(chosen[:1].sum() & np.uint64(0xFFFF))) % 256
-                beside, target = contexts(c, w.row, targets), c[targets]
-                for at in range(0, len(targets), BATCH):
-                    net.step(beside[at:at + BATCH], target[at:at + BATCH], squares)
-                seen += len(targets)
-        if seen:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([salt], pa.int32()), pa.array([float(seen)]), pa.array([net.flat.astype(np.float64) * seen], pa.list_(pa.float64()))],
-                ["salt", "seen", "sums"])
+                for at in range(0, len(c), BATCH):
+                    targets = np.arange(at, min(len(c), at + BATCH))
+                    net.step(contexts(c, w.row, targets), c[targets], squares)
+                seen += len(c)
+        yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([net.flat.astype(np.float64) * seen], pa.list_(pa.float64()))], ["seen", "sums"])
 
     def add(table: pa.Table) -> pa.Table:
         sums = sum(np.asarray(v.values, np.float64) for v in table["sums"])
-        return pa.table({"salt": pa.array([0], pa.int32()), "seen": pa.array([sum(table["seen"].to_pylist())]), "sums": pa.array([sums], pa.list_(pa.float64()))})
+        return pa.table({"seen": pa.array([sum(table["seen"].to_pylist())]), "sums": pa.array([sums], pa.list_(pa.float64()))})
 
-    kind = "salt int, seen double, sums array<double>"
-    merged = docs.select("text").mapInArrow(run, kind)
-    for _ in range(2):
-        merged = merged.groupBy("salt").applyInArrow(add, kind)
-    rows = merged.collect()  # one row
-    return np.array(rows[0].sums) / rows[0].seen if rows else flat
+    row = merged(docs.select("text").mapInArrow(run, "seen double, sums array<double>"), add).to_pylist()
+    return np.array(row[0]["sums"]) / row[0]["seen"] if row and row[0]["seen"] else flat
 
 
-def score(docs: DataFrame, frequent: np.ndarray, flat: np.ndarray) -> DataFrame:
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, n_words, log_prob, log_prob_per_word)`` of ``docs(doc_id, text)``."""
     bounded_batches(docs.sparkSession)
+    frequent, flat, mass = model.frequent, model.flat, np.log(model.mass)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, codes, net = Splitter(), Codes(frequent), Network(flat)
         for batch in batches:
-            n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+            n, total, shared = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            words = [np.zeros(0, np.int64)]
             for w in split.words(batch.column(1)):
                 c = codes.of(w)
                 each = np.zeros(len(c))
                 for at in range(0, len(c), 1 << 16):
                     targets = np.arange(at, min(len(c), at + (1 << 16)))
                     each[targets] = net.log_probabilities(contexts(c, w.row, targets), c[targets])
+                rare = np.flatnonzero(c >= CODES - RARE)
+                each[rare] -= mass[c[rare] - (CODES - RARE)]
+                words.append(w.hash[rare].view(np.int64))
                 rows = slice(w.first, w.first + w.rows)
                 n[rows] = np.diff(w.bounds())
                 total[rows] = np.bincount(w.row, weights=each, minlength=w.rows)
-            per_word = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total), per_word], ["doc_id", "n_words", "log_prob", "log_prob_per_word"])
+                shared[rows] = np.bincount(w.row[rare], minlength=w.rows)
+            ends = np.append(0, np.cumsum(shared)).astype(np.int32)
+            words = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(words)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total), words], ["doc_id", "n_words", "log_prob", "words"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_words long, log_prob double, log_prob_per_word double")
+    coded = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_words long, log_prob double, words array<long>")
+    coded = cut(coded.withColumn("row", F.monotonically_increasing_id()))
+    counts = model.words.select(F.col("word").alias("_word"), F.round(F.log(F.col("n") + 1) * SCALE).cast("long").alias("_log"))
+    logs = (coded.select(F.col("row").alias("_row"), F.explode("words").alias("word")).join(counts, F.col("word") == F.col("_word"))
+            .groupBy("_row").agg((F.sum("_log") / SCALE).alias("_logs")))
+    both = coded.drop("words").join(logs, F.col("row") == F.col("_row"), "left")
+    total = F.col("log_prob") + F.coalesce(F.col("_logs"), F.lit(0.0))
+    return both.select("doc_id", "n_words", total.alias("log_prob"), F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("log_prob_per_word"))
 
 
 def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return score(docs, *train(docs))
+    return score(docs, train(docs))

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -275,6 +276,29 @@ def test_search(spark):
     assert ann_mih.search(df.where("vec_id > 5000"), F.col("vec_id") == 0).collect() == []
 
 
+def test_isolated_and_repeated_queries_get_all_rows(spark):
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(20, 32)) * 10
+    x = np.concatenate([centres[rng.integers(0, 20, 3000)] + rng.normal(size=(3000, 32)) * 0.1, rng.normal(size=(5, 32)) * 4])
+    ids = [i if i < 3000 else 10 * (100 * i) for i in range(len(x))]  # the isolated ones are queries
+    rows = [(i, [float(v) for v in r], 0.0, "s") for i, r in zip(ids, x)]
+    rows += [rows[40], rows[40], rows[41]]                            # ids that repeat
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score double, q string")
+    from pyspark.sql import functions as F
+
+    got = defaultdict(list)
+    for r in ann_mih.search(df, F.col("vec_id") % 200 == 0).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    assert {i for i in ids if i % 200 == 0} <= set(got)
+    hits = 0
+    for q, found in got.items():
+        mine = x[ids.index(q)]
+        assert sorted(r for r, _, _ in found) == list(range(1, 21))
+        best = sorted((-float(mine @ np.array(r[1])), r[0]) for r in rows if r[0] != q)[:20]
+        hits += len({v for _, v in best} & {v for _, v, _ in found}) / len({v for _, v in best})
+    assert hits >= 0.9 * len(got)
+
+
 # ---------------------------------------------------------------- wrappers
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var a="</p>";</script></head><body><header><h1>Site</h1></header>
@@ -392,6 +416,23 @@ def test_network_gradients():
     for _ in range(60):
         net.step(beside, target, squares)
     assert net.log_probabilities(beside, target).mean() > before + 2
+    # gradients against numeric derivatives of the mean loss, in doubles
+    net = lm_score.Network(seed=2)
+    net.flat = net.flat.astype(np.float64)
+    at = 0
+    for k, shape in lm_score.SHAPES.items():
+        net.p[k] = net.flat[at:at + int(np.prod(shape))].reshape(shape)
+        at += int(np.prod(shape))
+    loss = lambda: -net.log_probabilities(beside, target).mean()
+    for k, g in net.gradients(beside, target).items():
+        for place in map(tuple, np.argwhere(np.abs(g) >= np.sort(np.abs(g), None)[-3])[:3]):
+            was, out = net.p[k][place], []
+            for step in (1e-5, -1e-5):
+                net.p[k][place] = was + step
+                out.append(loss())
+            net.p[k][place] = was
+            assert (out[0] - out[1]) / 2e-5 == pytest.approx(g[place], rel=1e-4, abs=1e-7)
+    net = lm_score.Network(seed=2)
     # probabilities of all codes sum to one
     one = np.repeat(beside[:1], lm_score.CODES, 0)
     assert abs(np.exp(net.log_probabilities(one, np.arange(lm_score.CODES)).astype(float)).sum() - 1) < 1e-3
@@ -405,12 +446,48 @@ def test_language_model(spark, odd_docs, odd_rows, no_docs):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(2)
     model = lm_score.train(docs, epochs=6)
     test = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:10] + mixed)], "doc_id long, text string")
-    got = {r.doc_id: r for r in lm_score.score(test, *model).collect()}
+    got = {r.doc_id: r for r in lm_score.score(test, model).collect()}
     assert np.mean([got[i].log_prob_per_word for i in range(10)]) > np.mean([got[i].log_prob_per_word for i in range(10, 20)]) + 0.3
-    odd = lm_score.score(odd_docs, *model).collect()
+    odd = lm_score.score(odd_docs, model).collect()
     assert len(odd) == len(odd_rows)
     by_id = {r.doc_id: r for r in odd}
     assert by_id[0].n_words == 0 and by_id[0].log_prob == 0.0 and by_id[0].log_prob_per_word is None
     assert by_id[4].log_prob == pytest.approx(by_id[5].log_prob) and all(r.log_prob <= 0 for r in odd)
-    assert lm_score.score(no_docs, *model).collect() == []
+    assert lm_score.score(no_docs, model).collect() == []
     lm_score.train(no_docs, epochs=1)
+
+
+def test_pseudo_likelihood_by_brute_force(spark, monkeypatch):
+    # four words have a code of their own, the others share eight
+    monkeypatch.setattr(lm_score, "CODES", 12)
+    monkeypatch.setattr(lm_score, "RARE", 8)
+    monkeypatch.setitem(lm_score.SHAPES, "embed", (13, lm_score.EMBED))
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice(("red", "ox", "1905", "plum", "fig,")) if rng.random() < 0.6 else f"rare{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(n)) for n in (1, 2, 5, 40, 300)]
+    texts += [texts[3], "unseen" * 3, "", None]
+    docs = spark.createDataFrame([(i, t, i, 0, 0) for i, t in enumerate(texts)], "doc_id long, text string, row long, word int, n int")
+    known = docs.where("doc_id <> 6")
+    model = lm_score.train(known)
+    split = lambda t: re.findall("[A-Za-z]+|[0-9]+|[^A-Za-z0-9 ]+", t or "")
+    hashed = {}
+    for t in texts:
+        for w in Splitter().words(pa.array([t], pa.string())):
+            hashed |= dict(zip(split(t), w.hash.tolist()))
+    n = Counter(w for i, t in enumerate(texts) if i != 6 for w in split(t))
+    frequent = model.frequent.tolist()
+    assert [n[w] for f in frequent for w, h in hashed.items() if h == f] == sorted(n.values(), reverse=True)[:len(frequent)]
+    own = {w: frequent.index(h) for w, h in hashed.items() if h in frequent}
+    code = {w: own[w] if w in own else lm_score.CODES - lm_score.RARE + (h & (lm_score.RARE - 1)) for w, h in hashed.items()}
+    net = lm_score.Network(model.flat)
+    got = {r.doc_id: r for r in lm_score.score(docs, model).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        words, total = split(t), 0.0
+        for k, w in enumerate(words):
+            beside = [code[words[k + s]] if 0 <= k + s < len(words) else lm_score.CODES for s in lm_score.BESIDE]
+            total += float(net.log_probabilities(np.array([beside]), np.array([code[w]]))[0])
+            if w not in own:
+                others = [v for v in n if v not in own and code[v] == code[w]]
+                total += np.log((n[w] + 1) / (sum(n[v] for v in others) + len(others) + 1))
+        assert got[i].n_words == len(words) and got[i].log_prob == pytest.approx(total, rel=1e-4, abs=1e-6)
+    assert got[3].log_prob == pytest.approx(got[5].log_prob, rel=1e-6)

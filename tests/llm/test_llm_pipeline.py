@@ -113,4 +113,4 @@ def test_rows_without_an_id(spark, odd_rows):
     assert packing.pack_documents(docs, packing.default_tokenizer()).where("piece = 0").count() == n
     vectors, network = quality.train(docs, spark.createDataFrame([(1, 1), (None, 0)], "doc_id long, quality int"))
     assert quality.score(docs, vectors, network).count() == n
-    assert lm_score.score(docs, *lm_score.train(docs, epochs=1)).count() == n
+    assert lm_score.score(docs, lm_score.train(docs, epochs=1)).count() == n
