@@ -15,12 +15,15 @@ Alignment is symmetric, so every task builds a wrapper of each host's pages it
 has, and these are aligned with each other in two levels: a host with a third
 of all pages is dealt over many tasks and no page is gathered. The wrapper then
 names the host's main parts: its article or main elements, or else the part
-whose own slots and paragraphs hold the most text that isn't links. Each page's
-text is read from its parts at these places, without menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments in them.
+whose own slots and paragraphs hold the most text that isn't links; texts that
+the host's pages share weigh nothing beside slots. Each page's text is read from
+its parts at these places, without menus, headers, footers, sidebars, notices,
+adverts, forms, scripts, styles and reader comments in them, and outside article
+and main elements without the constants that all pages of the host have there.
 
 Defined results. Null and empty html give an empty text. Pages with no url
-count as one host. A page that has none of its host's main parts is read by
+count as one host. Where no text differs between a host's pages (one page, or
+copies of one), all texts weigh and none is dropped. A page that has none of its host's main parts is read by
 the wrapper of its own stream. Elements nested deeper than ``DEEPEST`` count
 as text of the one that holds them. Every input row gives one result row;
 extra columns are ignored; an empty table gives none.
@@ -28,10 +31,12 @@ extra columns are ignored; an empty table gives none.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +47,7 @@ from quillspark.sources.tables import read_table
 
 DEEPEST = 100
 PERIOD = 4
-CONSTANT = 80           # longest text that can be a constant of a wrapper
+CONSTANT = 80           # a longer constant stands in its wrapper as a digest
 SALTS = 64
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
@@ -152,15 +157,32 @@ def parse(page: str) -> Part:
 
 # ------------------------------------------------------------------ wrappers
 
+def constant(block: str) -> str:
+    """A block of text as a wrapper holds it, of bounded length."""
+    return block if len(block) <= CONSTANT else "sha256:" + hashlib.sha256(block.encode("utf-8", "surrogatepass")).hexdigest()
+
+
 def wrapper_of(part: Part) -> Part:
-    """The wrapper of one stream: repeats folded, texts constants."""
+    """The wrapper of one stream: repeats folded, texts in a row as one constant
+    with a line for each block."""
     out = Part(part.symbol, part.tag, part.aside)
-    if part.tag == "#":
-        words = part.text.strip()
-        out.text = words if len(words) <= CONSTANT else None
-        out.chars = 0 if part.linked else len(words)
-        return out
-    out.inside = fold([wrapper_of(p) for p in part.inside if p.tag != "br" and (p.tag != "#" or p.text.strip())])
+    inside: list[Part] = []
+    for is_text, run in groupby(part.inside, key=lambda p: p.tag in ("#", "br")):
+        if not is_text:
+            inside.extend(map(wrapper_of, run))
+            continue
+        text = Part("#", "#")
+        lines = [""]
+        for p in run:
+            if p.tag == "br":
+                lines.append("")
+            else:
+                lines[-1] += p.text
+                text.chars += 0 if p.linked else len(p.text.strip())
+        text.text = "\n".join(constant(b) for b in (" ".join(x.split()) for x in lines) if b)
+        if text.text:
+            inside.append(text)
+    out.inside = fold(inside)
     return out
 
 
@@ -268,57 +290,71 @@ def expression(p: Part) -> str:
     return (f"({inside})" if p.tag == "()" else f"<{p.symbol}>{{{inside}}}" if p.symbol else inside) + marks
 
 
-def main_places(wrapper: Part) -> list[str]:
-    """Places (symbols from the top) of a wrapper's main parts."""
+def main_places(wrapper: Part) -> tuple[list[str], list[str]]:
+    """Places (symbols from the top) of a wrapper's main parts, and the
+    constants, with their places, that are no text of a page's own there."""
     marked: list[str] = []
-    weight: dict[str, int] = {}
+    constants: set[str] = set()
+    weight: dict[str, tuple[int, int]] = {}
+    one_page = wrapper.pages == 1
 
-    def walk(p: Part, place: str, under: str | None) -> int:
-        """Characters of texts that count for the part itself."""
+    def walk(p: Part, place: str, under: str | None, required: bool) -> tuple[int, int]:
+        """Characters that count for the part itself: of slots, of all texts."""
         if p.aside:
-            return 0
-        own = 0
+            return 0, 0
+        slots = texts = 0
         for x in p.inside:
+            always = required and not x.optional
             if x.tag == "#":
-                own += x.chars
-            elif x.tag == "()":
-                own += walk(x, place, under)
-            else:
-                where = f"{place}/{x.symbol}"
-                if x.tag in MAIN and not x.aside and under is None:
-                    marked.append(where)
-                inner = walk(x, where, under if under is not None or x.tag not in MAIN else where)
-                if x.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "pre", "blockquote", "table", "tbody", "tr", "td", "th", "dl", "dt", "dd"):
-                    own += inner
+                texts += x.chars
+                if x.text is None or one_page or x.pages == 1:
+                    slots += x.chars
+                elif always:
+                    constants.update(f"{place}\t{block}" for block in x.text.split("\n"))
+                continue
+            if x.tag == "()":
+                inner = walk(x, place, under, always)
+                slots, texts = slots + inner[0], texts + inner[1]
+                continue
+            where = f"{place}/{x.symbol}"
+            if x.tag in MAIN and not x.aside and under is None:
+                marked.append(where)
+            inner = walk(x, where, under if under is not None or x.tag not in MAIN else where, always)
+            if x.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "pre", "blockquote", "table", "tbody", "tr", "td", "th", "dl", "dt", "dd"):
+                slots, texts = slots + inner[0], texts + inner[1]
         if p.tag != "()":
-            weight[place] = weight.get(place, 0) + own
-        return own
+            before = weight.get(place, (0, 0))
+            weight[place] = before[0] + slots, before[1] + texts
+        return slots, texts
 
-    walk(wrapper, "", None)
+    walk(wrapper, "", None, True)
     if marked:
-        return sorted(set(marked))
-    if not any(weight.values()):
-        return []
-    return [max(weight, key=lambda k: (weight[k], -k.count("/"), k))]
+        return sorted(set(marked)), []
+    best = max(weight, key=lambda k: (weight[k], -k.count("/"), k), default="")
+    if not any(weight.get(best, (0, 0))):
+        return [], []
+    return [best], sorted(constants) if weight[best][0] else []
 
 
-def read(root: Part, places: set[str]) -> str | None:
-    """The text of a page's parts at the places; None if it has none of them."""
+def read(root: Part, places: set[str], constants: set[str] = frozenset()) -> str | None:
+    """The text of a page's parts at the places but for the constants; None if
+    it has none of them."""
     blocks: list[str] = []
     line: list[str] = []
-    found = "" in places
+    found, at = "" in places, ""
 
     def end() -> None:
         text = " ".join("".join(line).split())
-        if text:
+        if text and f"{at}\t{constant(text)}" not in constants:
             blocks.append(text)
         line.clear()
 
     def walk(p: Part, place: str, inside: bool) -> None:
-        nonlocal found
+        nonlocal found, at
         for x in p.inside:
             if x.tag == "#":
                 if inside:
+                    at = place
                     line.append(x.text)
             elif x.tag == "br":
                 end()
@@ -337,10 +373,10 @@ def read(root: Part, places: set[str]) -> str | None:
     return "\n".join(blocks) if found else None
 
 
-def page_text(page: str | None, places: set[str] | None) -> str:
+def page_text(page: str | None, places: set[str] | None, constants: set[str] = frozenset()) -> str:
     root = parse(page or "")
-    text = read(root, places) if places else None
-    return read(root, set(main_places(wrapper_of(root)))) or "" if text is None else text
+    text = read(root, places, constants) if places else None
+    return read(root, set(main_places(wrapper_of(root))[0])) or "" if text is None else text
 
 
 # --------------------------------------------------------------------- Spark
@@ -401,15 +437,16 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places = [main_places(load(json.loads(t))) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.list_(pa.string()))], ["_host", "places"])
+            found = [main_places(load(json.loads(t))) for t in batch.column(1).to_pylist()]
+            lists = [pa.array([f[k] for f in found], pa.list_(pa.string())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], ["_host", "places", "constants"])
 
-    places = cut(wrappers(hosted).mapInArrow(name, "_host string, places array<string>"))
-    both = hosted.join(places, F.col("host") == F.col("_host"), "left").select("page_id", "url", "html", "places")
+    places = cut(wrappers(hosted).mapInArrow(name, "_host string, places array<string>, constants array<string>"))
+    both = hosted.join(places, F.col("host") == F.col("_host"), "left").select("page_id", "url", "html", "places", "constants")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = [page_text(page.as_py(), set(p.as_py() or ())) for page, p in zip(batch.column(2), batch.column(3))]
+            text = [page_text(page.as_py(), set(p.as_py() or ()), set(c.as_py() or ())) for page, p, c in zip(batch.column(2), batch.column(3), batch.column(4))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(text, pa.string())], ["page_id", "url", "text"])
 
     kind = dict(pages.dtypes)["page_id"]

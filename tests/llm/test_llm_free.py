@@ -341,6 +341,23 @@ def test_extract(spark):
     assert wrappers.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def test_constants_of_a_host_are_no_article(spark):
+    top, foot = "Welcome to the <b>Daily</b> Page", "All rights are with<br>the paper and nobody else. " * 3
+    page = "<html><body><div>{top}</div><p>{text}</p><div>{foot}</div></body></html>"
+    reports = [f"Report {k}: {'rain ' * (k % 3 + 1)}in town {k * 7}." for k in range(20)]
+    rows = [(k, f"https://paper.example/{k}", page.format(top=top, text=t, foot=foot)) for k, t in enumerate(reports)]
+    rows += [(100 + k, f"https://few.example/{k}", page.format(top=top, text=t, foot=foot)) for k, t in enumerate(reports[:5])]
+    # a host whose pages are copies of one, and one with a single page, keep all
+    rows += [(200 + k, "https://copies.example/", page.format(top=top, text=reports[0] * 3, foot="end")) for k in range(3)]
+    rows += [(300, "https://one.example/", page.format(top=top, text=reports[0] * 3, foot="end"))]
+    for n in (1, 6):
+        df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(n)
+        text = {r.page_id: r.text for r in wrappers.extract(df).collect()}
+        assert [text[k] for k in range(20)] == reports
+        assert [text[100 + k] for k in range(5)] == reports[:5]
+        assert all(text[k] == f"Welcome to the Daily Page\n{reports[0] * 3}\nend" for k in (200, 201, 202, 300))
+
+
 # ---------------------------------------------------------------- models
 
 def quality_rows(n=240):
