@@ -2,16 +2,22 @@
 
 Sources get shares of all words by weight, held to ``MAX_REPEAT`` times their
 own words. The shares are allocated in blocks of ``BLOCK`` words: first to
-sources, then within each source to its shards, each time to the highest
-quotients ``weight / (2 seats + 1)``. That gives every (source, shard) cell an
-integer quota of blocks. A cell is a seeded order of documents whose words are
-cut into near-equal blocks; the quota takes every block ``quota / blocks``
-times and, of the rest, a seeded permutation's first ones once more.
+sources, then within each source to its groups of ``GROUP_SHARDS`` shards, then
+within each group to its shards, each time to the highest quotients
+``weight / (2 seats + 1)``. That gives every (source, shard) cell an integer
+quota of blocks, and no ranking has more than a group's rows or a source's
+groups. A cell is a seeded order of documents whose words are cut into
+near-equal blocks; the quota takes every block ``quota / blocks`` times and, of
+the rest, a seeded permutation's first ones once more. A quota beyond
+``MAX_REPEAT`` times its cell's blocks is held to it: that is all the words the
+cell may give.
 
 Defined results. Null text has size 0, takes nothing and stays in the result.
-Null source is a source of its own, after all others. Documents of equal id
-and text (repeated rows) each count. An empty table gives no rows. Extra
-columns are ignored by :func:`mix`, which keeps only the columns it names.
+Null source is a source of its own, after all others. Rows are dealt to shards
+by id and text, so rows without an id, or that share one, go to many shards.
+Documents of equal id and text (repeated rows) each count. An empty table gives
+no rows. Extra columns are ignored by :func:`mix`, which keeps only the columns
+it names.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ from quillspark.llm.common import SEED, cut, documents, seeded
 
 BLOCK = 32          # words of a block
 SHARD_DOCS = 256    # documents of a shard, over all sources
+GROUP_SHARDS = 1024 # shards of a group
 MAX_REPEAT = 3
 WEIGHTS = (1, 2, 3)
 WORD = r"[^\x20\x09-\x0D]+"
@@ -91,29 +98,36 @@ def sainte_lague(df: DataFrame, group: list[str], key: list[str], weight: str, s
         *df.columns, (F.col("_quota") + F.coalesce("_change", F.lit(0).cast("long"))).alias("quota"))
 
 
-def mix(docs: DataFrame, block: int = BLOCK, shard_docs: int = SHARD_DOCS, seed: int = SEED, shards_too: bool = False) -> DataFrame:
+def mix(docs: DataFrame, block: int = BLOCK, shard_docs: int = SHARD_DOCS, seed: int = SEED, shards_too: bool = False,
+        group_shards: int = GROUP_SHARDS) -> DataFrame:
     """Rows ``(doc_id, size, source, source_size, target, taken)``, one per row
     of ``docs(doc_id, text, source)``: ``taken`` words of the mix come from it.
     With ``shards_too``, also the ``shard``."""
-    sized = cut(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
+    sized = cut(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), seeded(seed, "doc_id", "text").alias("_row")))
     shards = max(1, -(-sized.count() // shard_docs))
-    sized = sized.withColumn("shard", F.pmod(seeded(seed, "doc_id"), F.lit(shards)))
+    sized = sized.withColumn("shard", F.pmod("_row", F.lit(shards)))
     cells = cut(sized.groupBy("source", "shard").agg(F.sum("size").alias("cell_size")))
     sources = capped_targets(cells.groupBy("source").agg(F.sum("cell_size").alias("source_size")))
     sources = sources.withColumn("_seats", F.round(F.sum("target").over(Window.partitionBy(F.lit(0))) / block).cast("long"))
     sources = sainte_lague(sources, [], ["source"], "target", "_seats").select(
         F.col("source").alias("_source"), "source_size", "target", F.col("quota").alias("_source_quota"))
     sources = cut(sources)
-    cell = cells.join(F.broadcast(sources) if _small(sources) else sources, F.col("source").eqNullSafe(F.col("_source")))
-    cell = sainte_lague(cell, ["source"], ["shard"], "cell_size", "_source_quota")
+    cells = cells.withColumn("_group", F.floor(F.col("shard") / group_shards).cast("long"))
+    groups = cells.groupBy("source", "_group").agg(F.sum("cell_size").alias("_group_size"))
+    groups = groups.join(F.broadcast(sources) if _small(sources) else sources, F.col("source").eqNullSafe(F.col("_source")))
+    groups = cut(sainte_lague(groups, ["source"], ["_group"], "_group_size", "_source_quota").select(
+        "_source", F.col("_group").alias("_of_group"), "source_size", "target", F.col("quota").alias("_group_quota")))
+    cell = cells.join(F.broadcast(groups) if _small(groups) else groups.hint("merge"),
+                      F.col("source").eqNullSafe(F.col("_source")) & (F.col("_group") == F.col("_of_group")))
+    cell = sainte_lague(cell, ["source", "_group"], ["shard"], "cell_size", "_group_quota")
     blocks = F.greatest(F.lit(1).cast("long"), F.round(F.col("cell_size") / block).cast("long"))
     cell = cell.withColumn("blocks", F.when(F.col("cell_size") > 0, blocks).otherwise(0))
-    cell = cut(cell.select(F.col("source").alias("_s"), F.col("shard").alias("_h"), "source_size", "target", "cell_size", "blocks",
+    cell = cut(cell.select(_cell().alias("_of_cell"), "source_size", "target", "cell_size", "blocks",
                            F.least("quota", F.col("blocks") * MAX_REPEAT).alias("quota")))
     # Documents of a cell in a seeded order; the cell's words in that order are its stream.
-    in_cell = Window.partitionBy("source", "shard").orderBy(seeded(seed + 1, "doc_id"), "doc_id", "size")
-    stream = sized.withColumn("_end", F.sum("size").over(in_cell.rowsBetween(Window.unboundedPreceding, 0)))
-    at = stream.join(cell, F.col("source").eqNullSafe(F.col("_s")) & (F.col("shard") == F.col("_h")))
+    in_cell = Window.partitionBy("_cell").orderBy(seeded(seed + 1, "_row"), "doc_id", "size")
+    stream = sized.withColumn("_cell", _cell()).withColumn("_end", F.sum("size").over(in_cell.rowsBetween(Window.unboundedPreceding, 0)))
+    at = stream.join(cell.hint("merge"), F.col("_cell") == F.col("_of_cell"))    # one cell for some 256 documents: they grow with them
     n, quota, size = F.col("blocks"), F.col("quota"), F.col("cell_size")
     start, end = F.col("_end") - F.col("size"), F.col("_end")
     first = F.floor(start * n / size).cast("long")
@@ -150,6 +164,12 @@ def whole_copies(mixed: DataFrame, seed: int = SEED) -> DataFrame:
     return rows.select("doc_id", (F.col("whole") + more).cast("int").alias("copies"))
 
 
+def _cell() -> Column:
+    """Names a (source, shard) cell; structs with a null source are equal too, so
+    rows ranked within cells meet their cell without another shuffle."""
+    return F.struct("source", "shard")
+
+
 def _small(df: DataFrame, most: int = 100_000) -> bool:
     """Whether a frame that is already written has at most so many rows."""
     return df.count() <= most

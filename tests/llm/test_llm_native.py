@@ -44,6 +44,23 @@ def test_mix(spark, odd_docs, odd_rows, clashing, no_docs):
     assert mixing.mix(no_docs).collect() == []
 
 
+def test_many_groups_of_shards_and_rows_without_an_id(spark):
+    """Seats go to sources, groups and shards; rows without an id spread over
+    many cells; targets hold for a source with a third of the rows too."""
+    rows = [(None if i % 4 == 0 else i, f"t{i} " + "w " * (20 + 37 * i % 300), "s0" if i % 3 == 0 else f"s{1 + i % 5}") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs, shard_docs=8, group_shards=4, shards_too=True).collect()
+    assert len(got) == len(rows) and all(0 <= r.taken <= 3 * r.size for r in got)
+    assert len({r.shard for r in got if r.doc_id is None}) > 100
+    want, taken = {r.source: r.target for r in got}, Counter()
+    for r in got:
+        taken[r.source] += r.taken
+    for s in want:
+        assert abs(taken[s] - want[s]) <= 0.01 * want[s], (s, taken[s], want[s])
+    again = mixing.mix(docs.repartition(5), shard_docs=8, group_shards=4, shards_too=True).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, got))
+
+
 def test_sources_beyond_their_cap(spark):
     rows = [(i, "w " * (5 if i < 2 else 500), None, "small" if i < 2 else f"big{i % 2}", 0) for i in range(20)]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), block=1).collect()
