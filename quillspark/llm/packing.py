@@ -36,6 +36,7 @@ END_ID = 0
 PATTERN_ANCHORS = 24      # middle lengths that three-piece patterns are made with
 FIT_STEPS = 400
 RANK_BUCKETS = 512        # rows of a rank bucket, over all lengths
+GROUP_BUCKETS = 1024     # buckets whose counts one window adds up
 WORDS_KEPT = 700_000      # tokenized words of each of a Python worker's two generations
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -294,12 +295,13 @@ def slots(packed: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int
     return out
 
 
-def pack(cut_pieces: DataFrame, size: int = SEQUENCE, bucket_rows: int = RANK_BUCKETS) -> DataFrame:
+def pack(cut_pieces: DataFrame, size: int = SEQUENCE, bucket_rows: int = RANK_BUCKETS, group_buckets: int = GROUP_BUCKETS) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces that are already written
-    (:func:`pieces`, then ``cut``). Ranks within a length come from two levels:
-    inside a bucket of (length, hash of the id), and the counts of the buckets
-    before it, so a length that a third of the pieces share is ranked by many
-    tasks."""
+    (:func:`pieces`, then ``cut``). Ranks within a length come from three
+    levels: inside a bucket of (length, hash of the id), the counts of the
+    buckets before it in its group of ``GROUP_BUCKETS``, and those of the groups
+    before that, so a length that a third of the pieces share is ranked by many
+    tasks and no window has more than a group's buckets or a length's groups."""
     spark = cut_pieces.sparkSession
     counts = cut_pieces.groupBy("length").count().collect()  # at most `size` rows
     histogram = np.zeros(size + 1, np.int64)
@@ -308,8 +310,13 @@ def pack(cut_pieces: DataFrame, size: int = SEQUENCE, bucket_rows: int = RANK_BU
     buckets = max(1, int(histogram.sum()) // bucket_rows)
     bucketed = cut_pieces.withColumn("_bucket", F.pmod(seeded(SEED, "doc_id", "piece"), F.lit(buckets)))
     sizes = bucketed.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = cut(sizes.select(F.col("length").alias("_length"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")).alias("_before")))
+    sizes = cut(sizes.withColumn("_group", F.floor(F.col("_bucket") / group_buckets)))
+    through = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    groups = sizes.groupBy("length", "_group").agg(F.sum("_n").alias("_n"))
+    groups = groups.select(F.col("length").alias("_l"), F.col("_group").alias("_g"), through(Window.partitionBy("length").orderBy("_group")).alias("_groups_before"))
+    sizes = sizes.withColumn("_inside_before", through(Window.partitionBy("length", "_group").orderBy("_bucket")))
+    sizes = sizes.join(cut(groups), (F.col("length") == F.col("_l")) & (F.col("_group") == F.col("_g")))
+    sizes = cut(sizes.select(F.col("length").alias("_length"), F.col("_bucket").alias("_b"), (F.col("_groups_before") + F.col("_inside_before")).alias("_before")))
     inside = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece")
     ranked = bucketed.withColumn("_rank", F.row_number().over(inside) - 1)
     ranked = ranked.join(sizes, (F.col("length") == F.col("_length")) & (F.col("_bucket") == F.col("_b")))
