@@ -4,7 +4,7 @@ A word is a run of letters, digits or other signs; its hash picks one of
 ``WORDS`` rows. Each row has a sparse random ternary index vector. Its word
 vector is the sum of the index vectors of the words up to ``WINDOW`` places
 from it, over the whole corpus: one pass that adds up a table of fixed size per
-task, merged in two levels by table part. A document's features are the mean of
+task, merged by table part in as many levels as there are tasks for. A document's features are the mean of
 its words' vectors, the mean of the random vectors of their shapes (case, kind,
 repeats of the word before), and its length. A network of two layers, trained
 in numpy on at most ``FIT_ROWS`` labelled rows (those of least hash of the id),
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import SEED, bounded_batches, documents, seeded
 from quillspark.llm.tokens import Splitter, Words, mix
+from quillspark.operators.merge import FAN, levels
 from quillspark.sources.tables import read_table
 
 WORDS = 1 << 14
@@ -77,26 +78,19 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             for w in split.words(batch.column(0)):
                 context_sums(w, index, sums)
-        salt = int(abs(sums).sum()) % 16
         values = sums.astype(np.float32).reshape(PARTS, -1)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(np.full(PARTS, salt, np.int32)), pa.array(list(values), pa.list_(pa.float32()))],
-            ["part", "salt", "sums"])
-
-    def add(batches):
-        total, key = None, None
-        for batch in batches:
-            for part, salt, sums in zip(*(c.to_pylist() if k < 2 else c for k, c in enumerate(batch.columns))):
-                values = np.asarray(sums.values, np.float64)
-                total, key = (values.copy() if total is None else total + values), (part, salt)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0]], pa.int32()), pa.array([0], pa.int32()), pa.array([total.astype(np.float32)], pa.list_(pa.float32()))],
-            ["part", "salt", "sums"])
-
-    kind = "part int, salt int, sums array<float>"
-    partial = docs.select("text").mapInArrow(count, kind)
-    merged = partial.groupBy("part", "salt").applyInArrow(lambda table: pa.Table.from_batches(add(table.to_batches())), kind)
-    merged = merged.groupBy("part").applyInArrow(lambda table: pa.Table.from_batches(add(table.to_batches())), kind)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(list(values), pa.list_(pa.float32()))], ["part", "sums"])
+
+    def add(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("task")
+        total = sum(np.asarray(v.values, np.float64) for v in rows["sums"])
+        return pa.table([pa.array([rows["task"][0].as_py() // FAN], pa.int32()), pa.array([rows["part"][0].as_py()], pa.int32()),
+                         pa.array([total.astype(np.float32)], pa.list_(pa.float32()))], ["task", "part", "sums"])
+
+    partial = docs.select("text").mapInArrow(count, "part int, sums array<float>")
+    merged = partial.select(F.spark_partition_id().alias("task"), "part", "sums")
+    for _ in range(levels(partial.rdd.getNumPartitions()) + 1):     # a group has FAN rows at most, whatever the tasks
+        merged = merged.groupBy("part", F.floor(F.col("task") / FAN).alias("_group")).applyInArrow(add, "task int, part int, sums array<float>")
     table = np.zeros((PARTS, WORDS // PARTS * DIMS))
     for row in merged.collect():  # one table of fixed size
         table[row.part] = row.sums
