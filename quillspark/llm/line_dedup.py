@@ -6,19 +6,20 @@ a divisor; both depend on content alone, so a passage that shifts or changes
 neighbours keeps the boundaries inside it and, where its own lines decide,
 around it. Each of ``DIVISORS`` gives a chunking of its own, finer and coarser
 ones, so that some chunk of one of them lies inside the passage. A line of ``LONG_WORDS`` words or more is
-always a chunk of its own. Besides the chunks, every window of neighbouring
-lines that just reaches ``LONG_WORDS`` words, from each line on and up to each
-line, is looked up too; together the windows inside a passage of that many
-words cover all its lines, wherever it stands and whatever surrounds it.
+always a chunk of its own. A short passage can have no boundary of any chunking
+at both its ends, so the least windows are chunks as well: from each line on and
+up to each line, the shortest run of two or more lines with words that reaches
+``MIN_WORDS`` words. Every line of a passage of several lines and that many
+words lies in a window inside the passage, wherever it stands, so an equal
+passage is followed line by line as far as it goes.
 
 Chunks of several lines and ``MIN_WORDS`` words, long lines and windows are
 looked up over the whole corpus by hash; where a hash occurs again, 256-bit
 digests of the bytes are compared with that of its first occurrence (least
 doc_id, text hash, line). A later, equal one is removed, but for lines of that
-first occurrence itself (a text that repeats a line over and over). With a
-chunk go up to ``BESIDE`` lines on either side that are also equal there: the
-ends of a passage under ``LONG_WORDS`` words can lie in chunks with lines of
-their surroundings.
+first occurrence itself (a text that repeats a line over and over). Lines of
+fewer than ``MIN_WORDS`` words together, such as brackets or bare headings, are
+no passage.
 
 Only hashes and places are shuffled for the lookup. Counts and first places
 are combined before the shuffle; the join that finds the later ones is on
@@ -44,7 +45,6 @@ from quillspark.llm.common import SEED, bounded_batches, cut, documents
 from quillspark.llm.tokens import MIX_A, SPACE, Splitter, buffers, blocks, mix, segment_hashes
 
 DIVISORS = (2, 3, 3, 4, 4)
-BESIDE = 2
 LONG_WORDS = 50
 MIN_WORDS = 8
 WINDOW_SEED = SEED + len(DIVISORS)
@@ -90,25 +90,26 @@ def chunks(row: np.ndarray, hashes: np.ndarray, words: np.ndarray, seed: int, di
     return first, end, mix(whole + (end - first).astype(np.uint64))
 
 
-def windows(row: np.ndarray, hashes: np.ndarray, words: np.ndarray, least: int = LONG_WORDS):
-    """First line, one past the last and hash of each window of several lines
-    that begins and ends with words, reaches ``least`` of them and no longer
-    does without its last line, or without its first."""
-    n = len(row)
-    if not n:
+def windows(row: np.ndarray, hashes: np.ndarray, words: np.ndarray, least: int = MIN_WORDS):
+    """First line, one past the last and hash of each window of two or more
+    lines with words that begins and ends with one, reaches ``least`` words and
+    no longer does all that without its last such line, or without its first.
+    Lines without words go with the window they are inside of."""
+    line = np.flatnonzero(words > 0)
+    n = len(line)
+    if n < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    through = np.concatenate([[0], np.cumsum(words)])
-    line = np.arange(n)
-    end = np.searchsorted(through, through[:-1] + least, "left")          # from each line on
-    first = np.searchsorted(through, through[1:] - least, "right") - 1    # up to each line
-    first, end = np.concatenate([line, first]), np.concatenate([end, line + 1])
-    inside = (first >= 0) & (end <= n) & (end - first > 1)
-    first, end = first[inside], end[inside]
-    # lines without words at either end go with a window inside or stay
-    inside = (row[first] == row[end - 1]) & (words[first] > 0) & (words[end - 1] > 0)
-    first, end = np.unique(np.stack([first[inside], end[inside]]), axis=1)
+    through = np.concatenate([[0], np.cumsum(words[line])])
+    at = np.arange(n)
+    end = np.maximum(at + 2, np.searchsorted(through, through[:-1] + least, "left"))             # from each line on
+    first = np.minimum(at - 1, np.searchsorted(through, through[1:] - least, "right") - 1)       # up to each line
+    first, end = np.concatenate([at, first]), np.concatenate([end, at + 1])
+    inside = (first >= 0) & (end <= n)
+    first, last = line[first[inside]], line[end[inside] - 1]
+    inside = row[first] == row[last]
+    first, end = np.unique(np.stack([first[inside], last[inside] + 1]), axis=1)
     # sums of the lines' hashes times powers of an odd number, which has an inverse
-    powers, back = (np.multiply.accumulate(np.full(n, m % 2**64, np.uint64)) for m in (MIX_A, pow(MIX_A, -1, 2**64)))
+    powers, back = (np.multiply.accumulate(np.full(len(row), m % 2**64, np.uint64)) for m in (MIX_A, pow(MIX_A, -1, 2**64)))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers)])
     h = (sums[end] - sums[first]) * back[first]
     return first, end, mix(h + (end - first).astype(np.uint64) + np.uint64(WINDOW_SEED))
@@ -174,29 +175,19 @@ def repeated(docs: DataFrame) -> DataFrame:
                 lines = (text.as_py() or "").split("\n")
                 rows = []
                 for w in want:
-                    at, to = w["first"], w["first"] + w["lines"]
-                    rows.append((w["hash"], doc_id, th, at, w["lines"], w["is_first"], w["clear"], digest("\n".join(lines[at:to])),
-                                 [digest(x) for x in lines[max(0, at - BESIDE):at][::-1]], [digest(x) for x in lines[to:to + BESIDE]]))
+                    body = digest("\n".join(lines[w["first"]:w["first"] + w["lines"]]))
+                    rows.append((w["hash"], doc_id, th, w["first"], w["lines"], w["is_first"], w["clear"], body))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.binary())))],
-                    ["hash", "doc_id", "th", "first", "lines", "is_first", "clear", "body", "before", "after"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
+                    ["hash", "doc_id", "th", "first", "lines", "is_first", "clear", "body"])
 
-    bodies = cut(texts.mapInArrow(run, CHUNK + ", is_first boolean, clear int, body binary, before array<binary>, after array<binary>"))
-    origin = bodies.where("is_first").groupBy("hash").agg(F.first(F.struct("body", "before", "after")).alias("o"))
-    origin = cut(origin.select(F.col("hash").alias("_hash"), F.col("o.body").alias("_body"), F.col("o.before").alias("_before"), F.col("o.after").alias("_after")))
+    bodies = cut(texts.mapInArrow(run, CHUNK + ", is_first boolean, clear int, body binary"))
+    origin = cut(bodies.where("is_first").groupBy(F.col("hash").alias("_hash")).agg(F.first("body").alias("_body")))
     equal = bodies.where("not is_first").join(origin, (F.col("hash") == F.col("_hash")) & (F.col("body") == F.col("_body")))
-
-    def alike(a: str, b: str) -> Column:
-        """How many lines from the chunk on are equal."""
-        n = F.lit(0)
-        for k in reversed(range(BESIDE)):
-            n = F.when(F.coalesce(F.get(a, F.lit(k)) == F.get(b, F.lit(k)), F.lit(False)), n + 1).otherwise(0)
-        return n
-
-    before, after = alike("before", "_before"), alike("after", "_after")
     # lines of the first place stay, where a text repeats itself at once
-    begin = F.greatest(F.col("first") - before, F.coalesce("clear", F.lit(0)))
-    stop = F.col("first") + F.col("lines") + after
+    begin = F.greatest(F.col("first"), F.coalesce("clear", F.lit(0)))
+    stop = F.col("first") + F.col("lines")
     span = F.struct(begin.alias("first"), (stop - begin).alias("lines"))
     equal = equal.where(stop > begin)
     return cut(equal.groupBy("doc_id", "th").agg(F.collect_set(span).alias("spans")))

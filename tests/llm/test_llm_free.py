@@ -80,6 +80,10 @@ def test_pack(odd_docs, odd_rows, clashing, no_docs):
         assert at <= 2048
     total = sum(len(ids[d]) * n for d, n in copies.items())
     assert len(sequences) <= -(-total // 2048) * 1.1 + 1
+    # many buckets and groups of buckets give every piece a place of its own too
+    many = packing.pack(packing.cut(packing.pieces(odd_docs, path)), bucket_rows=1, group_buckets=3).collect()
+    assert Counter((r.sequence_id, r.offset, r.length) for r in many) == Counter((r.sequence_id, r.offset, r.length) for r in rows)
+    assert Counter((r.doc_id, r.piece) for r in many) == got
     assert packing.pack_documents(clashing, path).count() == len(rows)
     assert packing.pack_documents(no_docs, path).collect() == []
 
@@ -134,13 +138,34 @@ def test_planted_passages_are_found(spark):
     hashes = rng.integers(0, 2**63, 300).astype(np.uint64)
     first, end, h = line_dedup.windows(row, hashes, words)
     got = set(zip(first.tolist(), end.tolist()))
-    want = {(i, j) for i in range(300) for j in range(i + 2, 301) if row[i] == row[j - 1] and words[i:j].sum() >= 50 and words[i] and words[j - 1]
-            and (words[i:j - 1].sum() < 50 or words[i + 1:j].sum() < 50)}
+    full = lambda i, j: words[i:j].sum() >= line_dedup.MIN_WORDS and (words[i:j] > 0).sum() >= 2
+    want = {(i, j) for i in range(300) for j in range(i + 2, 301) if row[i] == row[j - 1] and words[i] and words[j - 1] and full(i, j)
+            and not (full(i, j - 1) and full(i + 1, j))}
     assert got == want
     copy = line_dedup.windows(row[50:], hashes[50:], words[50:])
     assert set(copy[2].tolist()) <= set(h.tolist()) and len(set(h.tolist())) == len(h)
 
 
+@pytest.mark.parametrize("lines", [2, 3, 5])
+def test_short_passages_are_found(spark, lines):
+    """Passages of a few lines of 4 to 9 words, with and without empty lines
+    between them, go whole, wherever they stand; single lines and pairs of fewer
+    words than a passage has stay."""
+    rng = random.Random(lines)
+    new = lambda n: [sentence(rng, rng.randint(5, 12)) for _ in range(n)]
+    rows, planted = [], {}
+    alone, brief = sentence(rng, 30), [sentence(rng, 2), sentence(rng, 2)]
+    for k in range(40):
+        passage = [sentence(rng, rng.randint(4, 9)) for _ in range(lines)]
+        for d in (k, 1000 + k):
+            joined = (["\n\n", "\n"][k % 2]).join(passage).split("\n")
+            rows.append((d, "\n".join(new(d % 4) + joined + new(2) + [alone] + new(1) + brief + new(1 + d % 3))))
+        planted[1000 + k] = {*passage, *([""] if k % 2 == 0 else [])}
+    out = {r.doc_id: r.text for r in line_dedup.drop_repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, text in rows:
+        assert out[d].split("\n") == [x for x in text.split("\n") if x not in planted.get(d, ())]
+
+
 def test_equal_hashes_of_unlike_chunks_stay(spark, monkeypatch):
     """With a hash that makes all chunks collide only equal bytes are removed."""
     rng = random.Random(2)
@@ -422,6 +447,14 @@ def test_random_indexing_is_a_sum_of_index_vectors():
     assert np.allclose(sums, want)
 
 
+def test_word_vectors_do_not_depend_on_tasks(spark):
+    """Merged in two levels beyond 32 tasks, with tasks that have no rows."""
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(sentence(rng, 30),) for _ in range(60)], "text string")
+    one, many = quality.word_vectors(docs.coalesce(1)), quality.word_vectors(docs.repartition(70))
+    assert np.array_equal(one, many) and abs(one).sum() > 0
+
+
 def test_network_gradients():
     rng = np.random.default_rng(3)
     net = lm_score.Network(seed=2)
