@@ -503,6 +503,12 @@ def test_language_model(spark, odd_docs, odd_rows, no_docs):
     by_id = {r.doc_id: r for r in odd}
     assert by_id[0].n_words == 0 and by_id[0].log_prob == 0.0 and by_id[0].log_prob_per_word is None
     assert by_id[4].log_prob == pytest.approx(by_id[5].log_prob) and all(r.log_prob <= 0 for r in odd)
+    from pyspark.sql import functions as F
+
+    clashing = odd_docs.select("*", *[F.lit("x").alias(c) for c in ("words", "word", "row", "_row", "n", "n_words", "log_prob", "_log", "_logs", "mass", "seen")])
+    again = lm_score.score(clashing, model).collect()
+    assert sorted((r.doc_id, r.n_words, round(r.log_prob, 3)) for r in again) == sorted((r.doc_id, r.n_words, round(r.log_prob, 3)) for r in odd)
+    lm_score.train(clashing, epochs=1)
     assert lm_score.score(no_docs, model).collect() == []
     lm_score.train(no_docs, epochs=1)
 
