@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
 from quillspark.functions.columns import hinge, logistic_loss
+from quillspark.operators.blocks import ENTRIES, blocks, bound_batches
 from quillspark.operators.merge import merged, one_row_per_task
 
 LOSSES = ("logistic", "hinge", "weighted_hinge")
@@ -84,10 +85,8 @@ def _partials(theta: np.ndarray, kind: str, variant: str,
         g = np.zeros(p)
         loss_sum = 0.0
         n = 0
-        for b in batches:
+        for b in blocks(batches, "i", ENTRIES):
             rows = b.num_rows
-            if rows == 0:
-                continue
             idx, lens = _flat(b.column("i"))
             vals, _ = _flat(b.column("v"))
             idx = idx.astype(np.int64)
@@ -124,6 +123,7 @@ def partial_sums(feats: DataFrame, theta: np.ndarray, kind: str = "logistic",
         raise ValueError(f"unknown loss {kind!r} / variant {variant!r}")
     if kind == "weighted_hinge" and not shares:
         raise ValueError("weighted_hinge needs the class shares")
+    bound_batches(feats.sparkSession)
     fn = _partials(np.asarray(theta, dtype=np.float64), kind, variant, label_col, shares)
     return feats.select("i", "v", label_col).mapInArrow(fn, "g array<double>")
 

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators import text as tx
+from quillspark.operators.blocks import ENTRIES, blocks, bound_batches
 from quillspark.operators.merge import FAN, merged, one_row_per_task
 from quillspark.session import pin
 
@@ -62,7 +63,7 @@ def summaries(tokens: DataFrame, size: int = SIZE) -> DataFrame:
     document has each of its words once."""
     def run(batches: Iterator[pa.RecordBatch]) -> pa.RecordBatch:
         words, counts, error = pa.array([], pa.string()), np.zeros(0, np.int64), 0
-        for b in batches:
+        for b in blocks(batches, 0, ENTRIES):
             new = pc.value_counts(b.column(0).flatten())
             words, counts = added([words, new.field("values")], [counts, new.field("counts").to_numpy()])
             if len(counts) > 2 * size:
@@ -95,7 +96,7 @@ def exact_counts(tokens: DataFrame, words: pa.Array, tasks: int | None = None, f
 
     def run(batches: Iterator[pa.RecordBatch]) -> pa.RecordBatch:
         total = np.zeros(n + 1, np.int64)
-        for b in batches:
+        for b in blocks(batches, 0, ENTRIES):
             at = pc.index_in(b.column(0).flatten(), value_set=words).drop_null().to_numpy()
             total[:n] += np.bincount(at, minlength=n)[:n]
             total[n] += b.num_rows
@@ -127,6 +128,7 @@ def fit_vocabulary(docs: DataFrame, dim: int = 2000, text_col: str = "text", rul
     texts or their tokenised rows, which are pinned (they are read twice)."""
     if dim < 1 or size < 1:
         raise ValueError("dim and size must be positive")
+    bound_batches(docs.sparkSession)
     tokens = docs if "words" in docs.columns else pin(tx.tokenised(docs, docs.columns[0] if "doc_id" not in docs.columns else "doc_id", text_col))
     tasks = tokens.rdd.getNumPartitions()
     words, _, error = summary(tokens, size, tasks, fan)

@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.columns import snippet
+from quillspark.operators.blocks import ENTRIES, blocks, bound_batches
 from quillspark.operators.text import RULE_NOT_ALL, Vocabulary, features, fit_vocabulary, tokenised
 from quillspark.session import pin
 
@@ -201,12 +202,13 @@ class TextIndex:
         """``(query, doc_id, snippet, score)``: the full dot products of
         ``pairs(query, doc_id)``."""
         dim = self.vocab.dim
+        bound_batches(self.spark)
         pairs = pin(pairs)
         both = pairs.join(self._fetched(pairs), "doc_id").join(vectors, "query").select("query", "doc_id", "snippet", "i", "v", "qi", "qv")
         kinds = dict(both.dtypes)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in blocks(batches, "i", ENTRIES):
                 key, value = _by_row(b.column("i"), b.column("v"), dim)
                 q_key, q_value = _by_row(b.column("qi"), b.column("qv"), dim)
                 at = np.minimum(np.searchsorted(q_key, key), max(len(q_key) - 1, 0))

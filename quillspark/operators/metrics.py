@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.operators.blocks import ENTRIES, blocks, bound_batches
 from quillspark.operators.gradient import margins
 
 # Margin thresholds of the reference's prediction rules.
@@ -23,10 +24,11 @@ def with_margin(feats: DataFrame, theta) -> DataFrame:
     """Add ``margin = x·θ + θ[last]``, map-only: θ (a driver vector of length
     p) travels in the task closure."""
     theta = np.asarray(theta, dtype=np.float64)
+    bound_batches(feats.sparkSession)
     names = [c for c in feats.columns if c != "margin"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in blocks(batches, "i", ENTRIES):
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(margins(b, theta))], names=[*names, "margin"])
 
     kinds = dict(feats.dtypes)

@@ -41,6 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.columns import snippet, sparse_dot, tokens
+from quillspark.operators.blocks import ENTRIES, TEXT_BYTES, blocks, bound_batches
 
 # The words the logistic job forces past the universal-word
 # filter, and profiles per class.
@@ -91,10 +92,11 @@ def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the distinct tokens of each text, split on single spaces, with their
     counts. Rows without a text are dropped. Map-only."""
     require_column(docs, text_col)
+    bound_batches(docs.sparkSession)
     names = ["doc_id", *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in blocks(batches, len(names), TEXT_BYTES):
             rows = b.num_rows
             split = pc.split_pattern(b.column(len(names)), " ")
             n_tok = pc.list_value_length(split)
@@ -223,10 +225,11 @@ def features(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id",
     looked up in the vocabulary's (at most ``dim``, in the task closure). Works
     on a streaming frame too."""
     words, idf = _weights(vocab)
+    bound_batches(docs.sparkSession)
     names = ["doc_id", *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in blocks(batches, len(names) + 1, ENTRIES):
             rows = b.num_rows
             n_tok, listed, counts = b.columns[len(names):]
             hit = pc.index_in(listed.flatten(), value_set=words)
@@ -307,11 +310,12 @@ def top_k_similar_text(docs: DataFrame, vocab: Vocabulary, text, k: int = 20,
     vocabulary word) in the task closure, then a top-k. Documents sharing no
     word with the query score 0 (zero fill by id, ties by id). ``tokens`` are
     the documents' tokenised rows, where they are kept."""
+    bound_batches(docs.sparkSession)
     rows = query_weights(docs.sparkSession, text, vocab).collect()     # at most dim rows
     words, weight = pa.array([r["word"] for r in rows], pa.string()), np.array([r["wq"] for r in rows] or [0.0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in blocks(batches, 2, ENTRIES):
             n_tok, listed, counts = b.columns[1:]
             hit = pc.index_in(listed.flatten(), value_set=words)
             known = hit.is_valid()

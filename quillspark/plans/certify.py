@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from quillspark.operators.blocks import ENTRIES, blocks, bound_batches
 from quillspark.operators.gradient import add_up, margins
 from quillspark.operators.merge import merged, one_row_per_task
 
@@ -49,13 +50,14 @@ def certificate(feats: DataFrame, theta: np.ndarray, reg: float, label_col: str
     ``(label, i, v)``, labels 1 and 0. One pass; ``reg`` must be positive."""
     if reg <= 0:
         raise ValueError("without regularisation there is no such bound")
+    bound_batches(feats.sparkSession)
     theta = np.asarray(theta, np.float64)
     dim, tries = len(theta) - 1, [(w, p) for w in widths for p in places]
 
     def run(batches: Iterator[pa.RecordBatch]) -> pa.RecordBatch:
         loss, n = 0.0, 0
         weight, vector = np.zeros((len(tries), 2)), np.zeros((len(tries), 2, dim))
-        for b in batches:
+        for b in blocks(batches, "i", ENTRIES):
             y = b.column(label_col).to_numpy(zero_copy_only=False) > 0.5
             short = 1.0 - np.where(y, 1.0, -1.0) * margins(b, theta)
             loss, n = loss + np.maximum(short, 0.0).sum(), n + b.num_rows
