@@ -46,6 +46,8 @@ from quillspark.operators.text import RULE_NOT_ALL, Vocabulary, features, fit_vo
 from quillspark.session import pin
 
 BLOCK = 1024
+#: Rows of a task where postings are sorted and (query, document) pairs added up: tasks grow with the rows, not the tasks' memory.
+TASK_ROWS = 1 << 19
 #: Up to so many documents are fetched by their ids, which the scan can skip by; more are joined.
 LOOKUP = 1000
 #: Levels lie at this part of where the cut ones add up to the floor: more blocks are read, bounds are closer.
@@ -54,12 +56,17 @@ DEPTH = 0.25
 SLACK = 2e-9
 
 
-def posting_blocks(entries: DataFrame, block: int = BLOCK) -> DataFrame:
+def tasks_for(rows: int | None) -> int:
+    return max(1, -(-(rows or 0) // TASK_ROWS))
+
+
+def posting_blocks(entries: DataFrame, block: int = BLOCK, tasks: int | None = None) -> DataFrame:
     """``(idx, top, n, ids, weights)`` of ``entries(idx, doc_id, w)``: runs of a
     word's documents by falling weight, ``top`` the first one's. Dealt out by
-    range, so that a frequent word's list lies in several tasks."""
+    range, so that a frequent word's list lies in several tasks; ``tasks``: in
+    how many ranges, where the caller knows."""
     order = [F.col("idx"), F.col("w").desc(), F.col("doc_id")]
-    dealt = entries.select("idx", "doc_id", "w").repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = entries.select("idx", "doc_id", "w").repartitionByRange(*([tasks] if tasks else []), *order).sortWithinPartitions(*order)
     id_type = dict(entries.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,8 +109,9 @@ class TextIndex:
         made = TextIndex(spark, path, vocab)
         entry = F.explode(F.arrays_zip("i", "v")).alias("e")
         entries = made.documents().select("doc_id", entry).select(F.col("e.i").alias("idx"), "doc_id", F.col("e.v").alias("w"))
+        n = made.documents().agg(F.sum(F.size("i")).alias("n")).first()["n"]
         # small pages and row groups: a lookup reads those of its words
-        posting_blocks(entries.where("w > 0"), block).write.option("parquet.page.size", str(64 << 10)).option(
+        posting_blocks(entries.where("w > 0"), block, tasks_for(n)).write.option("parquet.page.size", str(64 << 10)).option(
             "parquet.block.size", str(8 << 20)).parquet(f"{path}/postings")
         heads = made.postings().groupBy("idx").agg(F.max_by(F.struct("top", "ids", "weights"), "top").alias("h"))
         heads.select("idx", "h.*").write.parquet(f"{path}/heads")        # a block for each word at most
@@ -182,8 +190,11 @@ class TextIndex:
             F.col("top") >= F.lit(min([r["least"] for r in asked], default=0.0)))
         blocks = postings.join(read, "idx").where(F.col("top") >= F.col("least"))
         each = blocks.select("query", "floor", "cuts", "q", "cut", F.explode(F.arrays_zip("ids", "weights")).alias("e"))
-        part, seen = F.sum(F.col("q") * F.col("e.weights")), F.sum("cut")
-        sums = pin(each.groupBy("query", F.col("e.ids").alias("doc_id")).agg(
+        # as many tasks as the rows call for, dealt out before they are added up: hardly any two of a task's are of one pair
+        each = each.select("query", F.col("e.ids").alias("doc_id"), "floor", "cuts", "cut", (F.col("q") * F.col("e.weights")).alias("w"))
+        each = each.repartition(tasks_for(blocks.agg(F.sum("n").alias("n")).first()["n"]), "query", "doc_id")
+        part, seen = F.sum("w"), F.sum("cut")
+        sums = pin(each.groupBy("query", "doc_id").agg(
             part.alias("part"), (part - seen + F.first("cuts")).alias("bound"), F.first("floor").alias("floor")))
         # the k-th of the sums is a floor as well, as no score is below its sum
         best = Window.partitionBy("query").orderBy(F.desc("part"), F.asc("doc_id"))

@@ -110,3 +110,20 @@ def test_empty_corpus(spark, tmpdir_path):
     made = ix.TextIndex.build(none, os.path.join(tmpdir_path, "none"), 10)
     assert made.top_k(spark.createDataFrame([(1, "a b")], "query long, text string"), 3).collect() == []
     assert math.isclose(tx.fit_vocabulary(none, 10).size(), 0)
+
+
+def test_pairs_are_added_up_in_tasks_of_bounded_rows(spark, tmpdir_path, monkeypatch):
+    """More rows give more tasks, not larger ones (before, the tasks' number didn't follow the rows)."""
+    docs = spark.createDataFrame([(k, " ".join(f"w{(k * j) % 29}" for j in range(1 + k % 19))) for k in range(400)], "doc_id long, text string")
+    queries = spark.createDataFrame([(q, " ".join(f"w{(q * j) % 29}" for j in range(9))) for q in range(12)], "query long, text string")
+    want = sorted(map(tuple, ix.TextIndex.build(docs, f"{tmpdir_path}/one", 25).top_k(queries, 7).collect()))
+    monkeypatch.setattr(ix, "TASK_ROWS", 50)
+    pinned, pin = [], ix.pin
+    monkeypatch.setattr(ix, "pin", lambda df: pinned.append(pin(df)) or pinned[-1])
+    index = ix.TextIndex.build(docs, f"{tmpdir_path}/two", 25)
+    assert sorted(map(tuple, index.top_k(queries, 7).collect())) == want
+    entries = index.postings().agg(F.sum("n")).first()[0]
+    parts = index.postings().count() and len({r.file for r in index.postings().select(F.input_file_name().alias("file")).distinct().collect()})
+    assert parts >= entries // 50 // 2
+    sums = next(p for p in pinned if "bound" in p.columns)
+    assert sums.rdd.getNumPartitions() >= sums.count() // 50
