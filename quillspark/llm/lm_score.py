@@ -59,26 +59,44 @@ class Codes:
     def __init__(self, frequent: np.ndarray):
         order = np.argsort(frequent)
         self.known, self.rank = frequent[order], order
+        first = np.arange(1 << 16, dtype=np.uint64) << np.uint64(48)
+        self.first = np.minimum(np.searchsorted(self.known, first), max(0, len(order) - 1))      # by a hash's first bits
+        self.several = np.bincount((self.known >> np.uint64(48)).astype(np.int64), minlength=1 << 16).max(initial=0)
 
     def of(self, w: Words) -> np.ndarray:
         rare = CODES - RARE + (w.hash & np.uint64(RARE - 1)).astype(np.int64)
         if not len(self.known):
             return rare
-        at = np.minimum(np.searchsorted(self.known, w.hash), len(self.known) - 1)
-        return np.where(self.known[at] == w.hash, self.rank[at], rare)
+        first = self.first.take((w.hash >> np.uint64(48)).astype(np.int64))
+        for k in range(self.several):
+            at = np.minimum(first + k, len(self.known) - 1) if k else first
+            hit = np.flatnonzero(self.known.take(at) == w.hash)
+            rare[hit] = self.rank.take(at.take(hit))
+        return rare
 
 
 def contexts(codes: np.ndarray, row: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Codes beside each target; ``CODES`` beyond its text's ends."""
     out = np.full((len(targets), len(BESIDE)), CODES, np.int64)
+    own = row.take(targets)
     for c, step in enumerate(BESIDE):
         at = targets + step
-        inside = (at >= 0) & (at < len(codes))
-        inside[inside] = row[at[inside]] == row[targets[inside]]
-        out[inside, c] = codes[at[inside]]
+        near = np.minimum(np.maximum(at, 0), len(codes) - 1)
+        np.copyto(out[:, c], codes.take(near), where=(at == near) & (row.take(near) == own))
     return out
 
 
+def column_sums(values: np.ndarray) -> np.ndarray:
+    """Sums of columns, added up in the order in which numpy adds a row of up
+    to 128 numbers that stand together, eight at a time."""
+    if len(values) % 8 or not 8 <= len(values) <= 128:
+        return np.ascontiguousarray(values.T).sum(1)
+    s = values[:8].copy()
+    for at in range(8, len(values), 8):
+        s += values[at:at + 8]
+    return ((s[0] + s[1]) + (s[2] + s[3])) + ((s[4] + s[5]) + (s[6] + s[7]))
+
+
 class Network:
     def __init__(self, flat: np.ndarray | None = None, seed: int = SEED):
         sizes = [int(np.prod(s)) for s in SHAPES.values()]
@@ -92,38 +110,50 @@ class Network:
             self.p[k] = self.flat[at:at + n].reshape(s)
             at += n
 
-    def forward(self, beside: np.ndarray, target: np.ndarray):
+    def forward(self, beside: np.ndarray, target: np.ndarray, training: bool = True):
+        """Inputs, hidden units, factors of the targets, both factors'
+        probabilities (when ``training``), and log-probabilities. What has a row
+        for each member of a factor has a column for each target: numpy goes
+        along whole rows, several times as fast as across them."""
         p = self.p
-        x = p["embed"][beside].reshape(len(beside), -1)
+        x = p["embed"].take(beside, axis=0).reshape(len(beside), -1)
         h = np.tanh(x @ p["w1"] + p["b1"])
         group, member = target // MEMBERS, target % MEMBERS
-        out = []
-        for logits, hit in ((h @ p["wg"] + p["bg"], group), (h @ p["wm"] + p["bm"][group], member)):
-            logits -= logits.max(1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(1)
-            out += [e / total[:, None], logits[np.arange(len(hit)), hit] - np.log(total)]
+        each, out = np.arange(len(target)), []
+        of_group = p["wg"].T @ h.T
+        of_group += p["bg"][:, None]
+        of_member = p["wm"].T @ h.T
+        of_member += np.take(np.ascontiguousarray(p["bm"].T), group, axis=1)
+        for logits, hit in ((of_group, group), (of_member, member)):
+            logits -= logits.max(0)
+            chosen = logits[hit, each]
+            e = np.exp(logits, out=logits)
+            total = column_sums(e)
+            if training:
+                e /= total
+            out += [e, chosen - np.log(total)]
         return x, h, group, member, out[0], out[2], out[1] + out[3]
 
     def log_probabilities(self, beside: np.ndarray, target: np.ndarray) -> np.ndarray:
-        return np.concatenate([self.forward(beside[at:at + 8192], target[at:at + 8192])[-1] for at in range(0, len(target), 8192)] or [np.zeros(0)])
+        return np.concatenate([self.forward(beside[at:at + 4096], target[at:at + 4096], False)[-1] for at in range(0, len(target), 4096)] or [np.zeros(0)])
 
     def gradients(self, beside: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
         """Of a batch's mean loss."""
         p, n = self.p, np.float32(len(target))
         x, h, group, member, pg, pm, _ = self.forward(beside, target)
-        rows = np.arange(len(target))
-        pg[rows, group] -= 1
-        pm[rows, member] -= 1
+        each = np.arange(len(target))
+        pg[group, each] -= 1
+        pm[member, each] -= 1
         pg /= n
         pm /= n
-        back = (pg @ p["wg"].T + pm @ p["wm"].T) * (1 - h * h)
+        back = (pg.T @ p["wg"].T + pm.T @ p["wm"].T) * (1 - h * h)
         dx = (back @ p["w1"].T).reshape(-1, EMBED)
-        flat = beside.reshape(-1)
+        flat, dx = beside.reshape(-1), np.ascontiguousarray(dx.T, np.float64)
+        rows = pg.T.copy()
         return {
-            "wg": h.T @ pg, "bg": pg.sum(0), "wm": h.T @ pm, "w1": x.T @ back, "b1": back.sum(0),
-            "bm": np.stack([np.bincount(group, weights=pm[:, k], minlength=GROUPS) for k in range(MEMBERS)], 1),
-            "embed": np.stack([np.bincount(flat, weights=dx[:, k], minlength=CODES + 1) for k in range(EMBED)], 1),
+            "wg": h.T @ rows, "bg": rows.sum(0), "wm": h.T @ pm.T, "w1": x.T @ back, "b1": back.sum(0),
+            "bm": np.bincount((np.arange(MEMBERS)[:, None] * GROUPS + group).reshape(-1), pm.reshape(-1), GROUPS * MEMBERS).reshape(MEMBERS, GROUPS).T,
+            "embed": np.stack([np.bincount(flat, weights=w, minlength=CODES + 1) for w in dx], 1),
         }
 
     def step(self, beside: np.ndarray, target: np.ndarray, squares: dict[str, np.ndarray]) -> None:
